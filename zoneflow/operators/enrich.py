@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.functions.scores import NULL_TOKENS, is_null_token
+from zoneflow.session import checkpoint_root
 
 UNKNOWN = "NA"
 
@@ -57,7 +58,8 @@ def fill_plan(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
 
 
 def fill_from_latest_known(df: DataFrame, key: str, value: str, order: str,
-                           default: str = UNKNOWN, strategy: str = "preagg") -> DataFrame:
+                           default: str = UNKNOWN, strategy: str = "preagg",
+                           materialize: bool = False) -> DataFrame:
     """Fill null-token ``value`` from the latest known value of ``key``.
 
     ``strategy="preagg"`` (default): aggregate to (key, order) first, run the
@@ -68,7 +70,16 @@ def fill_from_latest_known(df: DataFrame, key: str, value: str, order: str,
 
     ``strategy="window"``: a single running window over all rows partitioned by
     key -- one exchange, but every row of a key goes to one task.
+
+    The pre-aggregated form reads ``df`` three times (rows to keep, rows to
+    fill, the aggregate).  That is cheap for a table scan; when ``df`` is an
+    expensive plan (joins), pass ``materialize=True`` to checkpoint it once
+    into the shared checkpoint folder (executor loss then recomputes from the
+    checkpoint, not from the sources).
     """
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint(eager=True)
     if strategy == "window":
         upto = Window.partitionBy(key).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
         latest = F.max(F.when(_real(value), F.struct(F.col(order).alias("o"), F.col(value).alias("v")))).over(upto)

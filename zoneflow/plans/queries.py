@@ -381,7 +381,9 @@ def q_outer_merge_grouped(spark, sf):
 
 
 def q_lookup_fill_asof(spark, sf):
-    return fill_from_latest_known(standins.match_frame(spark, sf), "team_name_1", "country_1", "season")
+    # the input is a three-way join: checkpoint it once instead of joining three times
+    return fill_from_latest_known(standins.match_frame(spark, sf), "team_name_1", "country_1", "season",
+                                  materialize=True)
 
 
 def q_lookup_fill_asof_window(spark, sf):

@@ -92,8 +92,9 @@ def tolerant_scan(spark: SparkSession, path: str, schema: StructType, fmt: str =
                   **options: str) -> tuple[DataFrame, DataFrame]:
     """Read with malformed records split off instead of failing the job.
 
-    Returns ``(good_rows, bad_lines)``; unreadable files are skipped.  The raw
-    text of each malformed record is kept in ``bad_lines``.
+    Returns ``(good_rows, bad_rows)``; unreadable files are skipped.  ``bad_rows``
+    keeps the partly parsed fields plus the raw text in ``_bad_record`` (Spark
+    rejects scans that reference the raw-text column alone).
     """
     full = StructType(list(schema.fields) + [StructField(BAD_RECORD_COLUMN, StringType())])
     reader = (spark.read.format(fmt).schema(full).option("mode", "PERMISSIVE")
@@ -105,5 +106,5 @@ def tolerant_scan(spark: SparkSession, path: str, schema: StructType, fmt: str =
         reader = reader.option(k, v)
     df = reader.load(path)
     good = df.filter(df[BAD_RECORD_COLUMN].isNull()).drop(BAD_RECORD_COLUMN)
-    bad = df.filter(df[BAD_RECORD_COLUMN].isNotNull()).select(BAD_RECORD_COLUMN)
+    bad = df.filter(df[BAD_RECORD_COLUMN].isNotNull())
     return good, bad
