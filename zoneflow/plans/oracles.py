@@ -306,6 +306,7 @@ ORACLES: dict[str, str] = {
     "lookup_fill_asof_window": fill_sql(MATCH_FRAME),
     # jobs
     "pipe_season_raw": f"SELECT {ORDERS_TEXT}, {season('o_orderdate')} AS season FROM orders",
+    "stream_season_raw": f"SELECT {ORDERS_TEXT}, {season('o_orderdate')} AS season FROM orders",
     "pipe_match_dates": MATCH_DATES,
     "pipe_match_scores": MATCH_SCORES,
     "pipe_match_enrich": f"SELECT * FROM ({fill_sql(ENRICH_FRAME)}) UNION ALL BY NAME SELECT * FROM ({ENRICH_SKIPPED})",

@@ -49,6 +49,7 @@ from zoneflow.operators.matches import derive_match_dates
 from zoneflow.plans import jobs, standins
 from zoneflow.plans.standins import EXCLUDED_SEASON, REPLACED_SEASON, letters, season_of, table
 from zoneflow.session import scratch_dir
+from zoneflow.streaming import incremental_landing_to_raw
 from zoneflow.sinks import (
     append_parquet,
     export_single_csv,
@@ -466,6 +467,19 @@ def q_pipe_serve_table(spark, sf):
     return spark.read.text(path).withColumnRenamed("value", "data")
 
 
+def q_stream_season_raw(spark, sf):
+    """W1 run incrementally: orders land in two arrivals, each ingested exactly once."""
+    base = scratch_dir(spark, "landing-stream")
+    raw = scratch_dir(spark, "raw-stream")
+    checkpoint = scratch_dir(spark, "raw-stream-checkpoint")
+    orders = table(spark, sf, "orders").withColumn("season", season_of("o_orderdate"))
+    schema = StructType([StructField(c, StringType()) for c in orders.columns if c != "season"])
+    for arrival, parity in (("arrival-1", 0), ("arrival-2", 1)):
+        standins.land_by_season(spark, orders.filter(F.col("o_orderkey") % 2 == parity), base, batch=arrival)
+        incremental_landing_to_raw(spark, base, raw, schema, checkpoint)
+    return read_parquet(spark, raw).withColumn("season", F.col("season").cast("string"))
+
+
 def _flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Landing CSV seasons -> raw (W1) -> dates cleaned (W2) -> rows per season."""
     raw = scratch_dir(spark, "flagship-raw")

@@ -94,8 +94,9 @@ def write_json_arrays(df: DataFrame, path: str, chunk_key: str, rows_per_file: i
     return path
 
 
-def land_by_season(spark: SparkSession, df: DataFrame, base: str, season_col: str = "season") -> str:
-    """CSV files in ``<base>/<season>/batch/`` folders (the landing layout).
+def land_by_season(spark: SparkSession, df: DataFrame, base: str, season_col: str = "season",
+                   batch: str = "batch") -> str:
+    """CSV files in ``<base>/<season>/<batch>/`` folders (the landing layout).
 
     One parallel write partitioned by season, then one folder rename per season
     (metadata only) from ``season=X`` to ``X``.
@@ -108,7 +109,7 @@ def land_by_season(spark: SparkSession, df: DataFrame, base: str, season_col: st
     for status in fs.listStatus(stage_path):
         name = status.getPath().getName()
         if status.isDirectory() and name.startswith(f"{season_col}="):
-            move_path(spark, status.getPath().toString(), f"{base}/{name.split('=', 1)[1]}/batch")
+            move_path(spark, status.getPath().toString(), f"{base}/{name.split('=', 1)[1]}/{batch}")
     return base
 
 
