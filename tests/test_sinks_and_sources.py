@@ -94,6 +94,14 @@ def test_season_scan_ignores_non_season_folders(spark, scratch):
     assert got == [("1", "2020-21"), ("2", "2020-21"), ("3", "2021-22")]
 
 
+def test_season_scan_keeps_each_seasons_header(spark, scratch):
+    write_text(spark, ["a,b", "1,2"], f"{scratch}/2020-21")
+    write_text(spark, ["b,c", "3,4"], f"{scratch}/2021-22")
+    got = {r.season: (r.a, r.b, r.c) for r in season_folder_scan(spark, scratch).collect()}
+    assert got == {"2020-21": ("1", "2", None), "2021-22": (None, "3", "4")}
+    assert season_folder_scan(spark, f"{scratch}/nothing-here") is None
+
+
 def test_mixed_folder_reads_each_format_once(spark, scratch):
     write_text(spark, ["k,v", "1,a"], f"{scratch}/x")
     csv_df, json_df = read_mixed_format(spark, scratch)

@@ -34,7 +34,6 @@ from zoneflow.operators.schema import (
 from zoneflow.sinks.writers import (
     export_single_csv,
     replace_partitions,
-    write_if_nonempty,
     write_json_rows,
     write_parquet,
     write_single_parquet,
@@ -54,19 +53,26 @@ TEAM_JSON_SCHEMA = StructType([
 
 # -- W1 ---------------------------------------------------------------------
 
-def landing_to_raw(spark: SparkSession, landing: str, raw: str) -> str:
+def landing_to_raw(spark: SparkSession, landing: str, raw: str) -> str | None:
     """Every ``<landing>/<yyyy-yy>/`` CSV folder -> ``<raw>/season=yyyy-yy/`` parquet.
 
-    Only the seasons present in the landing zone are replaced.
+    Only the seasons present in the landing zone are replaced; nothing is
+    touched when there is no season folder.
     """
-    return replace_partitions(season_folder_scan(spark, landing), raw, ("season",))
+    rows = season_folder_scan(spark, landing)
+    if rows is None:
+        return None
+    return replace_partitions(rows, raw, ("season",))
 
 
 # -- W2 / W3 / W4 -------------------------------------------------------------
 
 def _stage(spark: SparkSession, src: str, dst: str, transform) -> str | None:
-    out = transform(read_season_table(spark, src))
-    return write_if_nonempty(out, replace_partitions, dst, ("season",))
+    """Row-preserving stage: probe the (cheap) input for a row, then write once."""
+    rows = read_season_table(spark, src)
+    if rows.isEmpty():
+        return None
+    return replace_partitions(transform(rows), dst, ("season",))
 
 
 def match_dates_job(spark: SparkSession, src: str, dst: str) -> str | None:
@@ -127,10 +133,11 @@ def teams_to_raw(spark: SparkSession, landing_subject: str, raw: str, subject: s
         sources.append(conform_standing(csv_df, "TEAMS"))
     if json_df is not None:
         sources.append(conform_team_json(json_df, "TEAMS"))
-    if not sources:
+    # the merge is empty exactly when every source is: probe the scans, not the aggregate
+    if all(src.isEmpty() for src in sources):
         return None
     merged = align_to_schema(merge_sources(sources, "name", mode), SUBJECT_SCHEMAS[subject])
-    return write_if_nonempty(merged, write_parquet, raw)
+    return write_parquet(merged, raw)
 
 
 def team_dimension(df: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Season-folder scans (O1, O2).
 
-Landing data arrives as ``<base>/<yyyy-yy>/.../*.csv``.  Instead of listing the
-bucket on the driver and running one job per folder, one read over a path glob
-covers every season folder; the season is taken from each row's file path.
+Landing data arrives as ``<base>/<yyyy-yy>/.../*.csv``.  Instead of one job per
+folder, the season folders (one metadata listing) are read into a single plan
+-- one scan per season so each keeps its own header -- and written by one job.
 Zones this library writes itself are Hive-partitioned (``season=yyyy-yy``) so
 that season filters prune partitions at planning time.
 """
@@ -10,6 +10,7 @@ that season filters prune partitions at planning time.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,19 +28,48 @@ def season_of_path(base: str, path_col: str = "_metadata.file_path"):
     return F.regexp_extract(F.col(path_col), f"/{anchor}/({SEASON_REGEX})/", 1)
 
 
-def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", **options: str) -> DataFrame:
+def season_folders(spark: SparkSession, base: str) -> list[tuple[str, str]]:
+    """``(season, path)`` of every folder directly below ``base`` named like ``2021-22``.
+
+    A metadata listing of one level (bounded by the number of seasons).
+    """
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{SEASON_GLOB}")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    folders = [(st.getPath().getName(), st.getPath().toString()) for st in found if st.isDirectory()]
+    return sorted(f for f in folders if re.fullmatch(SEASON_REGEX, f[0]))
+
+
+def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_season_header: bool = True,
+                       **options: str) -> DataFrame | None:
     """All files under every ``<base>/<yyyy-yy>/`` folder, plus a ``season`` column.
 
     CSV is read with header and every column as text (no inference pass).
-    Folders that do not match the season pattern are never listed.
+    Folders that do not match the season pattern are never read.
+
+    ``per_season_header=True`` (default) reads each season folder with its own
+    header -- seasons may differ in columns -- and unions them by name (missing
+    columns null) into one plan, so the write is still a single job.  With
+    ``False`` one read over the glob takes every file's columns from the first
+    header; use it only when all seasons share one layout.  Returns ``None``
+    when there is no season folder.
     """
-    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    df = reader.load(f"{base.rstrip('/')}/{SEASON_GLOB}")
-    return df.select("*", season_of_path(base).alias("season"))
+    def reader():
+        r = spark.read.format(fmt).option("recursiveFileLookup", "true")
+        if fmt == "csv":
+            r = r.option("header", "true")
+        for k, v in options.items():
+            r = r.option(k, v)
+        return r
+
+    if not per_season_header:
+        df = reader().load(f"{base.rstrip('/')}/{SEASON_GLOB}")
+        return df.select("*", season_of_path(base).alias("season"))
+    parts = [reader().load(path).withColumn("season", F.lit(season)) for season, path in season_folders(spark, base)]
+    if not parts:
+        return None
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def exclude_seasons(df: DataFrame, *seasons: str, column: str = "season") -> DataFrame:

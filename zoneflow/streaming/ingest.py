@@ -20,14 +20,18 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from zoneflow.session import checkpoint_root
-from zoneflow.sources.seasons import SEASON_GLOB, season_of_path
+from zoneflow.sources.seasons import SEASON_GLOB, season_folder_scan, season_of_path
 
 
 def landing_schema(spark: SparkSession, landing: str) -> StructType:
-    """Column names from the header of the landing CSV files, every column text."""
-    header = spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(
-        f"{landing.rstrip('/')}/{SEASON_GLOB}").schema
-    return StructType([StructField(f.name, StringType()) for f in header.fields])
+    """Column names from the header of the landing CSV files, every column text.
+
+    Seasons with different layouts are unioned by name (``season_folder_scan``).
+    """
+    rows = season_folder_scan(spark, landing)
+    if rows is None:
+        raise ValueError(f"no season folder below {landing}")
+    return StructType([StructField(f.name, StringType()) for f in rows.schema.fields if f.name != "season"])
 
 
 def stream_checkpoint(spark: SparkSession, raw: str) -> str:
@@ -40,8 +44,10 @@ def incremental_landing_to_raw(spark: SparkSession, landing: str, raw: str, sche
                                checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> int:
     """Ingest the landing files not seen before; returns the number of rows written."""
     schema = schema or landing_schema(spark, landing)
+    # enforceSchema=false: a file whose header disagrees with the schema fails the
+    # run instead of being assigned to columns by position
     reader = (spark.readStream.format("csv").schema(schema).option("header", "true")
-              .option("recursiveFileLookup", "true"))
+              .option("enforceSchema", "false").option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     rows = reader.load(f"{landing.rstrip('/')}/{SEASON_GLOB}")
