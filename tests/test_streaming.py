@@ -22,3 +22,11 @@ def test_incremental_ingest_is_exactly_once(spark, scratch):
     assert incremental_landing_to_raw(spark, landing, raw, schema, ckpt) == 1
     got = sorted((r.v, str(r.season)) for r in spark.read.parquet(raw).collect())
     assert got == [("1", "2020-21"), ("2", "2020-21"), ("3", "2021-22")]
+
+
+def test_cli_runs_a_job(spark, scratch):
+    from zoneflow.plans.cli import main
+
+    land(spark, f"{scratch}/landing/2020-21", ["v", "1"])
+    assert main(["landing-to-raw", f"{scratch}/landing", f"{scratch}/raw"]) == 0
+    assert [(r.v, str(r.season)) for r in spark.read.parquet(f"{scratch}/raw").collect()] == [("1", "2020-21")]
