@@ -118,3 +118,15 @@ def test_no_python_udf_in_function_plans(spark):
                                       F.to_json(F.array(F.col("x"))))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("0123456789+-. \t\n\x01\x0b\xa0ae١")), max_size=12),
+                min_size=1, max_size=40))
+def test_guarded_integer_cast_equals_try_cast(spark, values):
+    from zoneflow.functions.casts import text_to_integral
+
+    df = spark.createDataFrame([(v,) for v in values + ["2147483648", "-2147483649"]], "s string")
+    for t in ("int", "bigint"):
+        rows = df.select(F.col("s").try_cast(t).alias("a"), text_to_integral("s", t).alias("b")).collect()
+        assert all(r.a == r.b for r in rows)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from zoneflow.functions.casts import text_to_integral
+
 # --- fixed values ----------------------------------------------------------
 TEXT_DATE_REGEX = r"(\d{1,2} \w{3} \d{4})"
 TEXT_DATE_FORMAT = "d MMM yyyy"
@@ -34,7 +36,8 @@ def date_from_timestamp(c: Column | str) -> Column:
 def date_from_text(c: Column | str) -> Column:
     """Free text holding ``d MMM yyyy`` -> ``yyyy-MM-dd`` text; no match -> null."""
     found = F.regexp_extract(_col(c), TEXT_DATE_REGEX, 1)
-    return iso_date_string(F.try_to_date(found, TEXT_DATE_FORMAT))
+    # no match gives "": skip the (exception-driven) failed parse for it
+    return iso_date_string(F.when(found != "", F.try_to_date(found, TEXT_DATE_FORMAT)))
 
 
 def day_from_iso(c: Column | str) -> Column:
@@ -54,4 +57,4 @@ def day_from_text(c: Column | str) -> Column:
 
 def week_from_text(c: Column | str) -> Column:
     """Week number written as ``(W37)`` in the text; null when absent."""
-    return F.regexp_extract(_col(c), TEXT_WEEK_REGEX, 1).try_cast("int")
+    return text_to_integral(F.regexp_extract(_col(c), TEXT_WEEK_REGEX, 1), "int")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from zoneflow.functions.casts import cast_value, text_to_integral
+
 # --- fixed values ----------------------------------------------------------
 NULL_TOKENS = ("NA",)
 DEFAULT_ROUND_TYPE = "g"
@@ -19,7 +21,7 @@ def _col(c: Column | str) -> Column:
 
 def pair_part(c: Column | str, index: int, sep: str = "-") -> Column:
     """Integer at position ``index`` (0-based) of ``"a-b"`` text; null when absent."""
-    return F.get(F.split(_col(c), sep), index).try_cast("int")
+    return text_to_integral(F.get(F.split(_col(c), sep), index), "int")
 
 
 def split_pair_to_ints(c: Column | str, sep: str = "-") -> tuple[Column, Column]:
@@ -38,12 +40,15 @@ def null_token_default(c: Column | str, default: str = DEFAULT_ROUND_TYPE,
     return F.when(is_null_token(c, tokens), F.lit(default)).otherwise(_col(c))
 
 
-def backfill_int(primary: Column | str, fallback: Column | str | None) -> Column:
+def backfill_int(primary: Column | str, fallback: Column | str | None,
+                 primary_type: str = "string", fallback_type: str = "string") -> Column:
     """``primary`` when it is not null, else ``fallback``; then as int.
 
     A non-null but non-numeric ``primary`` yields null (it still wins).
+    ``*_type`` are the source types (Spark simple strings) of the two columns.
     """
     first = _col(primary)
+    first_int = cast_value(first, primary_type, "int")
     if fallback is None:
-        return first.try_cast("int")
-    return F.when(first.isNotNull(), first.try_cast("int")).otherwise(_col(fallback).try_cast("int"))
+        return first_int
+    return F.when(first.isNotNull(), first_int).otherwise(cast_value(_col(fallback), fallback_type, "int"))

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.functions.casts import cast_value
 from zoneflow.functions.dates import (
     date_from_text,
     date_from_timestamp,
@@ -61,11 +62,13 @@ def clean_match_scores(df: DataFrame, columns: Sequence[tuple[str, str]] = STAND
     """W3 body: back-fill scores, ints, default round type, standard columns."""
     for target, source in SCORE_SOURCES:
         src, tgt = resolve(df, source), resolve(df, target)
+        types = dict(df.dtypes)
         if src is not None:
             fallback = F.col(f"`{tgt}`") if tgt is not None else None
-            df = df.withColumn(target, backfill_int(F.col(f"`{src}`"), fallback)).drop(src)
+            filled = backfill_int(F.col(f"`{src}`"), fallback, types[src], types.get(tgt, "string"))
+            df = df.withColumn(target, filled).drop(src)
         elif tgt is not None:
-            df = df.withColumn(tgt, F.col(f"`{tgt}`").try_cast("int"))
+            df = df.withColumn(tgt, cast_value(F.col(f"`{tgt}`"), types[tgt], "int"))
     if resolve(df, "round_type") is not None:
         df = df.withColumn("round_type", null_token_default("round_type"))
     return standardize_columns(df, columns)

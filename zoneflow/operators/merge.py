@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.functions.casts import cast_value
+
 _PRIO = "_merge_prio"
 
 
@@ -45,7 +47,7 @@ def _conform(df: DataFrame, key: str, types: dict[str, str]) -> list[Column]:
         if c not in have:
             cols.append(F.lit(None).cast(t).alias(c))
         elif have[c] != t:
-            cols.append(F.col(f"`{c}`").try_cast(t).alias(c))
+            cols.append(cast_value(F.col(f"`{c}`"), have[c], t).alias(c))
         else:
             cols.append(F.col(f"`{c}`"))
     return cols

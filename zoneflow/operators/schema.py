@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from zoneflow.functions.casts import cast_value
+
 # --- fixed values: declared schemas of the match and general data ------------
 # The 22 standard match columns, in order, with their declared types.
 STANDARD_MATCH_COLUMNS = (
@@ -90,10 +92,11 @@ def standardize_columns(df: DataFrame, columns: Sequence[tuple[str, str]] = STAN
 def align_to_schema(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     """Cast declared columns that exist, add missing ones as typed nulls, keep extras."""
     wanted = {name.lower(): (name, t) for name, t in schema.items()}
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     cols = []
     for c in df.columns:
         hit = wanted.get(c.lower())
-        cols.append(F.col(f"`{c}`").try_cast(hit[1]).alias(c) if hit else F.col(f"`{c}`"))
+        cols.append(cast_value(F.col(f"`{c}`"), types[c], hit[1]).alias(c) if hit else F.col(f"`{c}`"))
     present = {c.lower() for c in df.columns}
     cols += [F.lit(None).cast(t).alias(n) for n, t in schema.items() if n.lower() not in present]
     return df.select(*cols)

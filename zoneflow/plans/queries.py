@@ -348,8 +348,10 @@ def q_score_backfill(spark, sf):
     li = table(spark, sf, "lineitem")
     score1 = F.when(F.col("l_linenumber") % 3 == 0, F.lit(None)).otherwise(F.col("l_linenumber"))
     return li.select("l_orderkey", "l_linenumber",
-                     backfill_int(score1, F.col("l_quantity").cast("int").cast("string")).alias("team1score"),
-                     backfill_int(F.lit(None).cast("string"), F.col("l_suppkey") % 10).alias("team2score"))
+                     backfill_int(score1, F.col("l_quantity").cast("int").cast("string"), "int", "string")
+                     .alias("team1score"),
+                     backfill_int(F.lit(None).cast("string"), F.col("l_suppkey") % 10, "string", "bigint")
+                     .alias("team2score"))
 
 
 def q_null_token_default(spark, sf):
