@@ -315,6 +315,8 @@ ORACLES: dict[str, str] = {
         UNION ALL BY NAME
         SELECT *, 'scores' AS origin FROM ({MATCH_SCORES})""",
     "pipe_teams_raw": TEAMS_RAW,
+    "pipe_players_raw": f"""SELECT *, cast(NULL AS VARCHAR) AS player_name, cast(NULL AS VARCHAR) AS team,
+                                   cast(NULL AS INTEGER) AS goals FROM ({TEAMS_RAW})""",
     "pipe_dim_teams": TEAM_GOALS,
     "pipe_countries_raw": SUPPLIER_TEXT,
     "pipe_dim_countries": "SELECT s_name AS country_id, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier",

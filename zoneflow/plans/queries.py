@@ -432,6 +432,13 @@ def q_pipe_teams_raw(spark, sf):
     return read_parquet(spark, raw)
 
 
+def q_pipe_players_raw(spark, sf):
+    """W6 for PLAYERS: the team parser, then the PLAYERS schema (player columns typed null)."""
+    raw = scratch_dir(spark, "raw-players-out")
+    jobs.teams_to_raw(spark, standins.landing_teams(spark, sf), raw, subject="PLAYERS")
+    return read_parquet(spark, raw)
+
+
 def q_pipe_dim_teams(spark, sf):
     dim = scratch_dir(spark, "dim-teams")
     jobs.teams_to_dim(spark, standins.raw_team_goals(spark, sf), dim)
