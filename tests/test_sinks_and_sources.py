@@ -106,3 +106,24 @@ def test_mixed_folder_reads_each_format_once(spark, scratch):
     write_text(spark, ["k,v", "1,a"], f"{scratch}/x")
     csv_df, json_df = read_mixed_format(spark, scratch)
     assert json_df is None and csv_df is None  # text writer files are *.txt: neither format
+
+
+def test_single_file_replaces_existing_target(spark, scratch):
+    write_single_parquet(spark.range(5), f"{scratch}/t")
+    write_single_parquet(spark.range(3), f"{scratch}/t")
+    assert spark.read.parquet(f"{scratch}/t").count() == 3
+    assert len(data_files(spark, f"{scratch}/t", ".parquet")) == 1
+    from zoneflow.sinks.writers import _fs
+
+    fs, root = _fs(spark, scratch)
+    assert [st.getPath().getName() for st in fs.listStatus(root)] == ["t"]  # no staging folders left
+
+
+def test_stage_on_empty_source_leaves_target_alone(spark, scratch):
+    from zoneflow.plans import jobs
+
+    write_parquet(spark.createDataFrame([(1, "2020-21")], "v int, season string"), f"{scratch}/dst",
+                  partition_by=("season",))
+    assert jobs.match_dates_job(spark, f"{scratch}/missing", f"{scratch}/dst") is None
+    assert jobs.fact_matches_job(spark, f"{scratch}/missing", f"{scratch}/dst") is None
+    assert spark.read.parquet(f"{scratch}/dst").count() == 1

@@ -70,7 +70,7 @@ def landing_to_raw(spark: SparkSession, landing: str, raw: str) -> str | None:
 def _stage(spark: SparkSession, src: str, dst: str, transform) -> str | None:
     """Row-preserving stage: probe the (cheap) input for a row, then write once."""
     rows = read_season_table(spark, src)
-    if rows.isEmpty():
+    if rows is None or rows.isEmpty():
         return None
     return replace_partitions(transform(rows), dst, ("season",))
 
@@ -93,12 +93,15 @@ def match_enrich_job(spark: SparkSession, src: str, dst: str, skip_seasons: Iter
 
 # -- W5 ---------------------------------------------------------------------
 
-def fact_matches_job(spark: SparkSession, building: str, master: str) -> str:
+def fact_matches_job(spark: SparkSession, building: str, master: str) -> str | None:
     """All season partitions (unlike column sets merged) -> the fact table.
 
     Only ``season=`` folders are read; other folders of the zone are not facts.
+    An empty building zone leaves the fact table as it is.
     """
     facts = read_season_table(spark, building, merge_schema=True)
+    if facts is None:
+        return None
     return write_parquet(facts, master, partition_by=("season",))
 
 
@@ -200,7 +203,8 @@ def general_dims_job(spark: SparkSession, raw_general: str, master: str,
 
 def all_seasons_csv_job(spark: SparkSession, building: str, dest: str) -> str | None:
     """Every season of a building table -> one CSV export with header."""
-    return export_single_csv(read_season_table(spark, building, merge_schema=True), dest)
+    rows = read_season_table(spark, building, merge_schema=True)
+    return None if rows is None else export_single_csv(rows, dest)
 
 
 def serve_table_job(spark: SparkSession, table: str, dest: str) -> str:

@@ -123,22 +123,27 @@ def write_single_file(df: DataFrame, path: str, fmt: str = "parquet", max_bytes:
 
     The data is written once in parallel to a staging folder next to ``path``.
     If it is at most ``max_bytes`` the small staged copy is rewritten by a
-    single task into ``path``; otherwise the staged folder itself becomes
-    ``path``.  A large table is therefore never funnelled through one task and
-    the upstream plan is evaluated exactly once.
+    single task into a second staging folder; otherwise the parallel parts are
+    kept.  The finished folder then replaces ``path`` by a rename, so a failed
+    job never leaves ``path`` empty, a large table is never funnelled through
+    one task, and the upstream plan is evaluated exactly once.
     """
     spark = df.sparkSession
-    staging = f"{path.rstrip('/')}._staging-{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").format(fmt).options(**options).save(staging)
-    if data_bytes(spark, staging) <= max_bytes:
-        staged = spark.read.format(fmt).schema(df.schema).options(**options).load(staging)
-        staged.repartition(1).write.mode("overwrite").format(fmt).options(**options).save(path)
-        remove_path(spark, staging)
+    tag = uuid.uuid4().hex[:8]
+    parts = f"{path.rstrip('/')}._parts-{tag}"
+    df.write.mode("overwrite").format(fmt).options(**options).save(parts)
+    size = data_bytes(spark, parts)
+    if size <= max_bytes:
+        single = f"{path.rstrip('/')}._single-{tag}"
+        staged = spark.read.format(fmt).schema(df.schema).options(**options).load(parts)
+        staged.repartition(1).write.mode("overwrite").format(fmt).options(**options).save(single)
+        remove_path(spark, parts)
+        ready = single
     else:
-        log.warning("%s: %d bytes exceed the single-file bound; keeping part files", path,
-                    data_bytes(spark, staging))
-        remove_path(spark, path)
-        move_path(spark, staging, path)
+        log.warning("%s: %d bytes exceed the single-file bound; keeping part files", path, size)
+        ready = parts
+    remove_path(spark, path)
+    move_path(spark, ready, path)
     return path
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,7 +80,15 @@ def exclude_seasons(df: DataFrame, *seasons: str, column: str = "season") -> Dat
     return df.filter(~F.col(column).isin(list(seasons)))
 
 
-def read_season_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """A ``season=yyyy-yy`` partitioned parquet table; other sub-folders are ignored."""
-    return (spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower())
-            .parquet(f"{path.rstrip('/')}/season={SEASON_GLOB}"))
+def read_season_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
+    """A ``season=yyyy-yy`` partitioned parquet table; other sub-folders are ignored.
+
+    ``None`` when the table has no season partition (nothing to process).
+    """
+    try:
+        return (spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower())
+                .parquet(f"{path.rstrip('/')}/season={SEASON_GLOB}"))
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" in str(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
+            return None
+        raise
