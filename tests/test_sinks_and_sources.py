@@ -127,3 +127,15 @@ def test_stage_on_empty_source_leaves_target_alone(spark, scratch):
     assert jobs.match_dates_job(spark, f"{scratch}/missing", f"{scratch}/dst") is None
     assert jobs.fact_matches_job(spark, f"{scratch}/missing", f"{scratch}/dst") is None
     assert spark.read.parquet(f"{scratch}/dst").count() == 1
+
+
+def test_tolerant_scan_skips_unreadable_files(spark, scratch):
+    from pathlib import Path
+
+    write_text(spark, ["a,b", "1,2"], f"{scratch}/ok")
+    broken = Path(scratch.replace("file:", "", 1)) / "ok" / "broken.csv.gz"
+    broken.write_bytes(b"\x1f\x8b\x08\x00 this is not gzip data")
+    schema = StructType([StructField("a", IntegerType()), StructField("b", IntegerType())])
+    good, bad = tolerant_scan(spark, scratch, schema)
+    assert [(r.a, r.b) for r in good.collect()] == [(1, 2)]
+    assert bad.count() == 0
