@@ -93,8 +93,9 @@ def tolerant_scan(spark: SparkSession, path: str, schema: StructType, fmt: str =
     """Read with malformed records split off instead of failing the job.
 
     Returns ``(good_rows, bad_rows)``; unreadable files are skipped.  ``bad_rows``
-    keeps the partly parsed fields plus the raw text in ``_bad_record`` (Spark
-    rejects scans that reference the raw-text column alone).
+    keeps the partly parsed fields plus the raw text in ``_bad_record``.  Spark
+    rejects a scan that needs the raw-text column alone (e.g. ``bad.count()``);
+    write ``bad_rows`` out, or select a parsed field with it.
     """
     full = StructType(list(schema.fields) + [StructField(BAD_RECORD_COLUMN, StringType())])
     reader = (spark.read.format(fmt).schema(full).option("mode", "PERMISSIVE")
