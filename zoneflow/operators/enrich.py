@@ -47,14 +47,12 @@ def row_counts(df: DataFrame, by: str = "season") -> DataFrame:
 def fill_plan(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """Per (key, order) present in ``df``: latest real value at or before ``order``.
 
-    First the distinct (key, order, real value) triples -- a hash aggregate
-    with no buffers, collapsed map-side, so no sort of the input rows -- then
-    the per-period maximum and the running window on that small table, which
-    holds one row per key and period however many rows a key has.
+    One aggregate to (key, order) -- partial aggregation runs map-side, so a
+    key holding many rows reaches the shuffle as one row per period per task --
+    then the running "last known" window on that small table.
     """
-    triples = df.select(F.col(key).alias("_fill_key"), F.col(order).alias("_fill_order"),
-                        F.when(_real(value), F.col(value)).alias("_known")).distinct()
-    per_period = triples.groupBy("_fill_key", "_fill_order").agg(F.max("_known").alias("_known"))
+    per_period = df.groupBy(F.col(key).alias("_fill_key"), F.col(order).alias("_fill_order")).agg(
+        F.max(F.when(_real(value), F.col(value))).alias("_known"))
     upto = (Window.partitionBy("_fill_key").orderBy("_fill_order")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return per_period.select("_fill_key", "_fill_order", F.last("_known", ignorenulls=True).over(upto).alias("_fill"))
