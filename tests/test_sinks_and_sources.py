@@ -113,9 +113,9 @@ def test_single_file_replaces_existing_target(spark, scratch):
     write_single_parquet(spark.range(3), f"{scratch}/t")
     assert spark.read.parquet(f"{scratch}/t").count() == 3
     assert len(data_files(spark, f"{scratch}/t", ".parquet")) == 1
-    from zoneflow.sinks.writers import _fs
+    from zoneflow.sinks.writers import filesystem
 
-    fs, root = _fs(spark, scratch)
+    fs, root = filesystem(spark, scratch)
     assert [st.getPath().getName() for st in fs.listStatus(root)] == ["t"]  # no staging folders left
 
 

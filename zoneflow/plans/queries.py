@@ -86,10 +86,6 @@ SUPPLIER_SCHEMA = StructType([
     StructField("s_nationkey", IntegerType()), StructField("s_acctbal", DoubleType())])
 
 
-def _strings(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-
-
 def _entities(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three sources keyed by a shared ``name``, with gaps in the shared columns."""
     c = table(spark, sf, "customer")
@@ -490,13 +486,13 @@ def q_stream_season_raw(spark, sf):
 
 
 def _flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Landing CSV seasons -> raw (W1) -> dates cleaned (W2) -> rows per season."""
+    """Landing CSV seasons -> raw (W1) -> text dates cleaned (W2) -> rows per dated season."""
     raw = scratch_dir(spark, "flagship-raw")
     building = scratch_dir(spark, "flagship-building")
-    jobs.landing_to_raw(spark, standins.landing_orders(spark, sf, date_column="datetime"), raw)
+    jobs.landing_to_raw(spark, standins.landing_orders(spark, sf, date_column="Date", date_as_text=True), raw)
     jobs.match_dates_job(spark, raw, building)
-    return row_counts(read_season_table(spark, building), "season").withColumn(
-        "season", F.col("season").cast("string"))
+    cleaned = read_season_table(spark, building).filter(F.col("dateonly").isNotNull())
+    return row_counts(cleaned, "season").withColumn("season", F.col("season").cast("string"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.functions.dates import ISO_DATE_FORMAT
 from zoneflow.functions.names import TEAM_SYNONYM_RULES
 from zoneflow.session import scratch_dir
-from zoneflow.sinks.writers import _fs, move_path, write_parquet
+from zoneflow.sinks.writers import filesystem, move_path, write_parquet
 
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
                "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
@@ -82,7 +81,7 @@ def write_json_arrays(df: DataFrame, path: str, chunk_key: str, rows_per_file: i
     # the text writer names files *.txt; JSON folders are selected by extension
     spark = df.sparkSession
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs, root = _fs(spark, path)
+    fs, root = filesystem(spark, path)
     files = fs.listFiles(root, True)
     renames = []
     while files.hasNext():
@@ -122,10 +121,16 @@ def add_landing_noise(spark: SparkSession, sf_dir: str, base: str) -> None:
 
 # -- stand-in zones ---------------------------------------------------------------
 
-def landing_orders(spark: SparkSession, sf_dir: str, date_column: str = "o_orderdate") -> str:
-    """Orders as landing CSV season folders, plus noise folders."""
+def landing_orders(spark: SparkSession, sf_dir: str, date_column: str = "o_orderdate",
+                   date_as_text: bool = False) -> str:
+    """Orders as landing CSV season folders, plus noise folders.
+
+    ``date_as_text`` writes the order date as ``(Tue) 14 Sep 2021 (W37)`` text.
+    """
     base = scratch_dir(spark, "landing")
     orders = table(spark, sf_dir, "orders").withColumn("season", season_of("o_orderdate"))
+    if date_as_text:
+        orders = orders.withColumn("o_orderdate", text_date("o_orderdate"))
     land_by_season(spark, orders.withColumnRenamed("o_orderdate", date_column), base)
     add_landing_noise(spark, sf_dir, base)
     return base
@@ -285,7 +290,7 @@ def raw_countries(spark: SparkSession, sf_dir: str) -> str:
 
 
 __all__ = [
-    "EXCLUDED_SEASON", "ISO_DATE_FORMAT", "REPLACED_SEASON", "add_landing_noise", "building_mixed",
+    "EXCLUDED_SEASON", "REPLACED_SEASON", "add_landing_noise", "building_mixed",
     "land_by_season", "landing_countries", "landing_mixed", "landing_orders", "landing_teams",
     "letters", "match_frame", "orders_by_season", "pick_team", "raw_countries", "raw_general",
     "raw_match_dates", "raw_match_scores", "raw_match_teams", "raw_team_goals", "season_of",

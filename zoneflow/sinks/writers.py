@@ -28,26 +28,27 @@ SINGLE_FILE_MAX_BYTES = 512 * 1024 * 1024
 
 # -- filesystem helpers (metadata operations only) ---------------------------
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop FileSystem and Path objects for ``path`` (metadata operations only)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     return bool(fs.exists(p))
 
 
 def data_bytes(spark: SparkSession, path: str) -> int:
     """Total bytes below ``path`` (a metadata call, no data read)."""
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     return int(fs.getContentSummary(p).getLength())
 
 
 def data_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     """Visible data files directly in ``path`` (names not starting with ``_``/``.``)."""
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     out = []
     for status in fs.listStatus(p):
         name = status.getPath().getName()
@@ -58,15 +59,15 @@ def data_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
 
 def move_path(spark: SparkSession, src: str, dst: str) -> None:
     """Rename ``src`` to ``dst`` (parent folders are created)."""
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
+    fs, s = filesystem(spark, src)
+    _, d = filesystem(spark, dst)
     fs.mkdirs(d.getParent())
     if not fs.rename(s, d):
         raise OSError(f"could not move {src} to {dst}")
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
 
@@ -193,7 +194,7 @@ def serve_page(df: DataFrame, order_by: str | Sequence[str], limit: int = 1000)
 
 
 __all__ = [
-    "SINGLE_FILE_MAX_BYTES", "append_parquet", "data_bytes", "data_files", "export_single_csv",
+    "SINGLE_FILE_MAX_BYTES", "append_parquet", "data_bytes", "data_files", "export_single_csv", "filesystem",
     "json_rows", "move_path", "path_exists", "preview_rows", "remove_path", "replace_partitions",
     "serve_page", "write_if_nonempty", "write_json_rows", "write_parquet", "write_single_file",
     "write_single_parquet",
