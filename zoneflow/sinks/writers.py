@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from zoneflow.functions.render import row_as_json_array
 
 log = logging.getLogger(__name__)
@@ -176,7 +177,8 @@ def write_json_rows(df: DataFrame, path: str) -> str:
     """
     spark = df.sparkSession
     json_rows(df).write.mode("overwrite").text(path)
-    header = spark.createDataFrame([(json.dumps(df.columns),)], "value string")
+    # one row built on the JVM side (no Python worker, one partition)
+    header = spark.range(1, numPartitions=1).select(F.lit(json.dumps(df.columns)).alias("value"))
     header.write.mode("overwrite").text(f"{path.rstrip('/')}/_columns")
     return path
 
