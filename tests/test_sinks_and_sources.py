@@ -139,3 +139,19 @@ def test_tolerant_scan_skips_unreadable_files(spark, scratch):
     good, bad = tolerant_scan(spark, scratch, schema)
     assert [(r.a, r.b) for r in good.collect()] == [(1, 2)]
     assert bad.collect() == []
+
+
+def test_season_scan_glob_mode_takes_season_from_path(spark, scratch):
+    write_text(spark, ["v", "1"], f"{scratch}/2020-21/deep/er")
+    write_text(spark, ["v", "2"], f"{scratch}/2021-22")
+    write_text(spark, ["v", "9"], f"{scratch}/COUNTRIES")
+    got = sorted((r.v, r.season) for r in season_folder_scan(spark, scratch, per_season_header=False).collect())
+    assert got == [("1", "2020-21"), ("2", "2021-22")]
+
+
+def test_tolerant_scan_json_lines(spark, scratch):
+    write_text(spark, ['{"a": 1, "b": 2}', '{"a": "x", "b": 3}', "not json", '{"a": 4}'], scratch)
+    schema = StructType([StructField("a", IntegerType()), StructField("b", IntegerType())])
+    good, bad = tolerant_scan(spark, scratch, schema, fmt="json")
+    assert sorted((r.a, r.b) for r in good.collect()) == [(1, 2), (4, None)]
+    assert sorted(r._bad_record for r in bad.collect()) == ["not json", '{"a": "x", "b": 3}']
