@@ -162,3 +162,19 @@ def test_match_stages_are_idempotent(spark):
 def test_lowercase_date_column_is_processed(spark):
     df = spark.createDataFrame([("(Tue) 14 Sep 2021 (W37)",)], "date string")
     assert clean_match_dates(df).first().dateonly == "2021-09-14"
+
+
+def test_known_pairs_keeps_na_drops_null(spark):
+    from zoneflow.operators import known_pairs
+
+    df = spark.createDataFrame([("A", "ES"), ("A", "ES"), ("A", None), ("B", "NA")], "team string, country string")
+    assert sorted(tuple(r) for r in known_pairs(df, "team", "country").collect()) == [("A", "ES"), ("B", "NA")]
+
+
+def test_preview_is_a_top_k_not_a_global_sort(spark):
+    from zoneflow.sinks import preview_rows
+
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
+    plan = preview_rows(df, "k", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+    assert [r.k for r in preview_rows(df, "k", 5).collect()] == [0, 1, 2, 3, 4]
