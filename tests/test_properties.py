@@ -77,3 +77,17 @@ def test_canonicalize_by_join(spark):
     rules = spark.createDataFrame([("PSG", "Paris Saint-Germain"), ("Barça", "Barcelona")], "source string, target string")
     got = sorted((r.team or "") for r in canonicalize_by_join(df, "team", rules).collect())
     assert got == ["", "Barcelona", "Paris Saint-Germain", "other"]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(TEAMS, SEASONS, COUNTRIES), min_size=1, max_size=30), SEASONS)
+def test_incremental_fill_equals_full(spark, rows, split):
+    from zoneflow.operators import fill_with_state
+
+    schema = "team string, season string, country string"
+    old = spark.createDataFrame([r for r in rows if r[1] < split] or [], schema)
+    new = spark.createDataFrame([r for r in rows if r[1] >= split] or [], schema)
+    first, state = fill_with_state(old, None, "team", "country", "season")
+    second, _ = fill_with_state(new, state, "team", "country", "season")
+    got = sorted(((r.team, r.season, r.country) for r in first.unionByName(second).collect()), key=repr)
+    assert got == brute_fill(rows)

@@ -3,6 +3,7 @@
 from zoneflow.operators.enrich import (
     fill_from_latest_known,
     fill_plan,
+    fill_with_state,
     known_pairs,
     latest_known_value,
     row_counts,
@@ -29,7 +30,7 @@ from zoneflow.operators.schema import (
 __all__ = [
     "COACH_FIELDS", "STANDARD_MATCH_COLUMNS", "STANDING_CSV_SCHEMA", "STANDING_RENAMES",
     "SUBJECT_SCHEMAS", "align_to_schema", "cast_all_to_string", "drop_columns",
-    "fill_from_latest_known", "fill_plan", "flatten_struct", "known_pairs", "latest_known_value",
+    "fill_from_latest_known", "fill_plan", "fill_with_state", "flatten_struct", "known_pairs", "latest_known_value",
     "merge_grouped", "merge_joined", "merge_sources", "rename_columns", "resolve", "row_counts",
     "standardize_columns", "unify_schemas", "union_by_name_lenient", "union_by_name_strict",
 ]

@@ -101,5 +101,25 @@ def fill_from_latest_known(df: DataFrame, key: str, value: str, order: str,
     return keep.unionByName(todo)
 
 
-__all__ = ["NULL_TOKENS", "UNKNOWN", "fill_from_latest_known", "fill_plan", "known_pairs",
+def fill_with_state(df: DataFrame, state: DataFrame | None, key: str, value: str, order: str,
+                    default: str = UNKNOWN) -> tuple[DataFrame, DataFrame]:
+    """Incremental fill: new periods in ``df`` plus the knowledge carried in ``state``.
+
+    ``state`` holds one row per key -- ``(key, order, value)``, the output of
+    ``latest_known_value`` over every earlier period -- so a run touches only
+    the new periods and a table with one row per key, never the whole history.
+    Returns ``(filled_rows, new_state)``.  Equal to the full recomputation when
+    periods arrive in order; re-processing an old period after newer ones must
+    use the full ``fill_from_latest_known``.
+    """
+    if state is None:
+        return fill_from_latest_known(df, key, value, order, default), latest_known_value(df, key, value, order)
+    flag = "_zf_from_state"
+    carried = state.select(key, order, value).withColumn(flag, F.lit(True))
+    tagged = df.withColumn(flag, F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    filled = fill_from_latest_known(tagged, key, value, order, default).filter(~F.col(flag)).drop(flag)
+    return filled, latest_known_value(tagged.drop(flag), key, value, order)
+
+
+__all__ = ["NULL_TOKENS", "UNKNOWN", "fill_from_latest_known", "fill_plan", "fill_with_state", "known_pairs",
            "latest_known_value", "row_counts"]

@@ -20,7 +20,7 @@ from zoneflow.functions.dates import (
 )
 from zoneflow.functions.names import TEAM_SYNONYM_RULES, canonicalize
 from zoneflow.functions.scores import backfill_int, null_token_default
-from zoneflow.operators.enrich import fill_from_latest_known
+from zoneflow.operators.enrich import fill_from_latest_known, fill_with_state
 from zoneflow.operators.schema import (
     STANDARD_MATCH_COLUMNS,
     drop_columns,
@@ -90,3 +90,16 @@ def enrich_matches(df: DataFrame, skip_seasons: Iterable[str] = (SKIPPED_SEASON,
         return work
     untouched = df.filter(F.col(season).isin(skip))
     return work.unionByName(untouched)
+
+
+def enrich_matches_incremental(df: DataFrame, state: DataFrame | None,
+                               rules: Iterable[tuple[str, str]] = TEAM_SYNONYM_RULES,
+                               team: str = "team_name_1", country: str = "country_1",
+                               season: str = "season") -> tuple[DataFrame, DataFrame]:
+    """W4 body for new seasons only: synonyms, then the fill from carried team knowledge.
+
+    Returns ``(enriched_rows, new_state)``; ``state`` is the previous run's
+    ``new_state`` (one row per team) or ``None`` for the first run.
+    """
+    work = df.withColumn(team, canonicalize(team, rules))
+    return fill_with_state(work, state, team, country, season)

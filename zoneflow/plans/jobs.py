@@ -16,7 +16,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from zoneflow.functions.names import TEAM_SYNONYM_RULES, normalize_name
 from zoneflow.functions.scores import split_pair_to_ints
-from zoneflow.operators.matches import clean_match_dates, clean_match_scores, enrich_matches
+from zoneflow.operators.matches import (
+    clean_match_dates,
+    clean_match_scores,
+    enrich_matches,
+    enrich_matches_incremental,
+)
 from zoneflow.operators.merge import merge_sources
 from zoneflow.operators.schema import (
     COACH_FIELDS,
@@ -91,6 +96,31 @@ def match_enrich_job(spark: SparkSession, src: str, dst: str, skip_seasons: Iter
     return _stage(spark, src, dst, lambda df: enrich_matches(df, skip_seasons, rules))
 
 
+def match_enrich_incremental_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str],
+                                 state_in: str | None, state_out: str,
+                                 rules: Iterable[tuple[str, str]] = TEAM_SYNONYM_RULES) -> str | None:
+    """W4 for newly arrived seasons only, carrying team knowledge in a small state table.
+
+    Reads just the given season partitions of ``src`` plus ``state_in`` (one
+    row per team), replaces those seasons in ``dst`` and writes the next state
+    to ``state_out`` -- a different path from ``state_in``, so no plan reads
+    what it overwrites.  Seasons must arrive in order; re-running an older
+    season after newer ones needs the full ``match_enrich_job``.
+    """
+    wanted = list(seasons)
+    rows = read_season_table(spark, src)
+    if rows is None or not wanted:
+        return None
+    rows = rows.filter(F.col("season").isin(wanted))
+    if rows.isEmpty():
+        return None
+    state = read_parquet(spark, state_in) if state_in else None
+    enriched, new_state = enrich_matches_incremental(rows, state, rules)
+    replace_partitions(enriched, dst, ("season",))
+    write_parquet(new_state, state_out)
+    return dst
+
+
 # -- W5 ---------------------------------------------------------------------
 
 def fact_matches_job(spark: SparkSession, building: str, master: str) -> str | None:

@@ -193,6 +193,7 @@ SELECT o.o_orderkey, {pick_team('c.c_custkey')} AS team_name_1,
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE {season('o.o_orderdate')} <> '{EXCLUDED_SEASON}'"""
 ENRICH_FRAME = sequential_synonyms(ENRICH_BASE, "team_name_1")
+ENRICH_ALL_FRAME = sequential_synonyms(ENRICH_BASE[:ENRICH_BASE.index("WHERE")], "team_name_1")
 
 ENRICH_SKIPPED = f"""
 SELECT o.o_orderkey, {pick_team('c.c_custkey')} AS team_name_1,
@@ -310,6 +311,7 @@ ORACLES: dict[str, str] = {
     "pipe_match_dates": MATCH_DATES,
     "pipe_match_scores": MATCH_SCORES,
     "pipe_match_enrich": f"SELECT * FROM ({fill_sql(ENRICH_FRAME)}) UNION ALL BY NAME SELECT * FROM ({ENRICH_SKIPPED})",
+    "pipe_match_enrich_incremental": fill_sql(ENRICH_ALL_FRAME),
     "pipe_fact_matches": f"""
         SELECT *, 'dates' AS source FROM ({MATCH_DATES})
         UNION ALL BY NAME

@@ -72,6 +72,7 @@ from zoneflow.sources import (
     read_season_table,
     register_table,
     season_folder_scan,
+    season_partitions,
     tolerant_scan,
 )
 
@@ -416,6 +417,18 @@ def q_pipe_match_enrich(spark, sf):
     return read_season_table(spark, dst).withColumn("season", F.col("season").cast("string"))
 
 
+def q_pipe_match_enrich_incremental(spark, sf):
+    """W4 run twice on consecutive halves of the seasons, carrying the team state."""
+    src = standins.raw_match_teams(spark, sf)
+    dst = scratch_dir(spark, "building-enriched-incremental")
+    seasons = season_partitions(spark, src)
+    half = len(seasons) // 2
+    first_state = scratch_dir(spark, "team-state")
+    jobs.match_enrich_incremental_job(spark, src, dst, seasons[:half], None, first_state)
+    jobs.match_enrich_incremental_job(spark, src, dst, seasons[half:], first_state, scratch_dir(spark, "team-state"))
+    return read_season_table(spark, dst).withColumn("season", F.col("season").cast("string"))
+
+
 def q_pipe_fact_matches(spark, sf):
     master = scratch_dir(spark, "master-facts")
     jobs.fact_matches_job(spark, standins.building_mixed(spark, sf), master)

@@ -17,11 +17,12 @@ from zoneflow.sources.seasons import (
     read_season_table,
     season_folder_scan,
     season_of_path,
+    season_partitions,
 )
 
 __all__ = [
     "BAD_RECORD_COLUMN", "SKIPPED_SEASON", "catalog_select_all", "exclude_seasons",
     "read_csv_strings", "read_csv_with_schema", "read_json_multiline", "read_mixed_format",
     "read_parquet", "read_parquet_recursive_merged", "read_season_table", "register_table",
-    "season_folder_scan", "season_of_path", "tolerant_scan",
+    "season_folder_scan", "season_of_path", "season_partitions", "tolerant_scan",
 ]

@@ -42,6 +42,15 @@ def season_folders(spark: SparkSession, base: str) -> list[tuple[str, str]]:
     return sorted(f for f in folders if re.fullmatch(SEASON_REGEX, f[0]))
 
 
+def season_partitions(spark: SparkSession, table_path: str) -> list[str]:
+    """Seasons present in a ``season=yyyy-yy`` partitioned table (metadata listing only)."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/season={SEASON_GLOB}")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    return sorted(st.getPath().getName().split("=", 1)[1] for st in found if st.isDirectory())
+
+
 def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_season_header: bool = True,
                        **options: str) -> DataFrame | None:
     """All files under every ``<base>/<yyyy-yy>/`` folder, plus a ``season`` column.
