@@ -38,6 +38,7 @@ COMMANDS = {
     "match-dates": (jobs.match_dates_job, ["src", "dst"]),
     "match-scores": (jobs.match_scores_job, ["src", "dst"]),
     "match-enrich": (jobs.match_enrich_job, ["src", "dst"]),
+    "match-enrich-incremental": (jobs.match_enrich_incremental_job, ["src", "dst", "seasons", "state_in", "state_out"]),
     "fact-matches": (jobs.fact_matches_job, ["building", "master"]),
     "teams-to-raw": (jobs.teams_to_raw, ["landing_subject", "raw"]),
     "teams-to-dim": (jobs.teams_to_dim, ["raw_teams", "dim"]),
@@ -68,7 +69,12 @@ def main(argv: list[str] | None = None) -> int:
         kwargs["skip_seasons"] = tuple(args.skip_season)
     if args.command == "teams-to-raw":
         kwargs["subject"] = args.subject
-    result = fn(_session(), *[getattr(args, p) for p in params], **kwargs)
+    values = [getattr(args, p) for p in params]
+    if args.command == "match-enrich-incremental":
+        # seasons as a comma-separated list; "-" for no previous state
+        values[2] = [x for x in values[2].split(",") if x]
+        values[3] = None if values[3] == "-" else values[3]
+    result = fn(_session(), *values, **kwargs)
     print(json.dumps({"command": args.command, "result": result}))
     return 0
 
