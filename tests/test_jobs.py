@@ -34,3 +34,24 @@ def test_team_merge_modes_agree(spark, scratch):
     j = spark.read.parquet(f"{scratch}/join")
     assert g.columns == j.columns
     assert g.exceptAll(j).isEmpty() and j.exceptAll(g).isEmpty()
+
+
+def test_season_limited_stages_touch_only_those_seasons(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from zoneflow.sources import season_partitions
+
+    raw = standins.raw_match_dates(spark, SMOKE_DIR)
+    seasons = season_partitions(spark, raw)
+    jobs.match_dates_job(spark, raw, f"{scratch}/b", seasons=seasons[:2])
+    assert season_partitions(spark, f"{scratch}/b") == seasons[:2]
+    jobs.match_dates_job(spark, raw, f"{scratch}/b", seasons=seasons[2:])
+    jobs.fact_matches_job(spark, f"{scratch}/b", f"{scratch}/fact", seasons=seasons[:3])
+    jobs.fact_matches_job(spark, f"{scratch}/b", f"{scratch}/fact", seasons=seasons[3:])
+    full = f"{scratch}/full"
+    jobs.match_dates_job(spark, raw, full)
+    a = read_season_table(spark, f"{scratch}/fact")
+    b = read_season_table(spark, full)
+    assert season_partitions(spark, f"{scratch}/fact") == seasons
+    assert a.exceptAll(b.select(*a.columns)).isEmpty() and b.select(*a.columns).exceptAll(a).isEmpty()
+    assert a.filter(F.col("dateonly").isNull()).isEmpty()

@@ -50,6 +50,9 @@ COMMANDS = {
 }
 
 
+SEASON_LIMITED = ("match-dates", "match-scores", "fact-matches")
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="zoneflow")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -62,6 +65,9 @@ def main(argv: list[str] | None = None) -> int:
                            help=f"season to leave untouched (default {SKIPPED_SEASON})")
         if name == "teams-to-raw":
             p.add_argument("--subject", default="TEAMS", choices=["TEAMS", "PLAYERS"])
+        if name in SEASON_LIMITED:
+            p.add_argument("--season", action="append", default=None,
+                           help="process and replace only this season (repeatable)")
     args = parser.parse_args(argv)
     fn, params = COMMANDS[args.command]
     kwargs = {}
@@ -69,6 +75,8 @@ def main(argv: list[str] | None = None) -> int:
         kwargs["skip_seasons"] = tuple(args.skip_season)
     if args.command == "teams-to-raw":
         kwargs["subject"] = args.subject
+    if args.command in SEASON_LIMITED and args.season is not None:
+        kwargs["seasons"] = tuple(args.season)
     values = [getattr(args, p) for p in params]
     if args.command == "match-enrich-incremental":
         # seasons as a comma-separated list; "-" for no previous state

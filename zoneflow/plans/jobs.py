@@ -72,27 +72,42 @@ def landing_to_raw(spark: SparkSession, landing: str, raw: str) -> str | None:
 
 # -- W2 / W3 / W4 -------------------------------------------------------------
 
-def _stage(spark: SparkSession, src: str, dst: str, transform) -> str | None:
-    """Row-preserving stage: probe the (cheap) input for a row, then write once."""
+def _season_rows(spark: SparkSession, src: str, seasons: Iterable[str] | None) -> DataFrame | None:
+    """The season table, limited to ``seasons`` when given (a partition filter)."""
     rows = read_season_table(spark, src)
+    if rows is not None and seasons is not None:
+        rows = rows.filter(F.col("season").isin(list(seasons)))
+    return rows
+
+
+def _stage(spark: SparkSession, src: str, dst: str, transform, seasons: Iterable[str] | None = None) -> str | None:
+    """Row-preserving stage: probe the (cheap) input for a row, then write once.
+
+    With ``seasons`` only those partitions are read and replaced, so a newly
+    arrived season is processed without touching the history.
+    """
+    rows = _season_rows(spark, src, seasons)
     if rows is None or rows.isEmpty():
         return None
     return replace_partitions(transform(rows), dst, ("season",))
 
 
-def match_dates_job(spark: SparkSession, src: str, dst: str) -> str | None:
+def match_dates_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None) -> str | None:
     """Date normalisation + standard columns, season partitions replaced."""
-    return _stage(spark, src, dst, clean_match_dates)
+    return _stage(spark, src, dst, clean_match_dates, seasons)
 
 
-def match_scores_job(spark: SparkSession, src: str, dst: str) -> str | None:
+def match_scores_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None) -> str | None:
     """Score back-fill + round type + standard columns."""
-    return _stage(spark, src, dst, clean_match_scores)
+    return _stage(spark, src, dst, clean_match_scores, seasons)
 
 
 def match_enrich_job(spark: SparkSession, src: str, dst: str, skip_seasons: Iterable[str] = (SKIPPED_SEASON,),
                      rules: Iterable[tuple[str, str]] = TEAM_SYNONYM_RULES) -> str | None:
-    """Team synonyms + country fill; skipped seasons copied unchanged."""
+    """Team synonyms + country fill over the whole history; skipped seasons copied unchanged.
+
+    For newly arrived seasons use ``match_enrich_incremental_job``.
+    """
     return _stage(spark, src, dst, lambda df: enrich_matches(df, skip_seasons, rules))
 
 
@@ -108,11 +123,8 @@ def match_enrich_incremental_job(spark: SparkSession, src: str, dst: str, season
     season after newer ones needs the full ``match_enrich_job``.
     """
     wanted = list(seasons)
-    rows = read_season_table(spark, src)
-    if rows is None or not wanted:
-        return None
-    rows = rows.filter(F.col("season").isin(wanted))
-    if rows.isEmpty():
+    rows = _season_rows(spark, src, wanted)
+    if rows is None or not wanted or rows.isEmpty():
         return None
     state = read_parquet(spark, state_in) if state_in else None
     enriched, new_state = enrich_matches_incremental(rows, state, rules)
@@ -123,15 +135,19 @@ def match_enrich_incremental_job(spark: SparkSession, src: str, dst: str, season
 
 # -- W5 ---------------------------------------------------------------------
 
-def fact_matches_job(spark: SparkSession, building: str, master: str) -> str | None:
+def fact_matches_job(spark: SparkSession, building: str, master: str,
+                     seasons: Iterable[str] | None = None) -> str | None:
     """All season partitions (unlike column sets merged) -> the fact table.
 
     Only ``season=`` folders are read; other folders of the zone are not facts.
-    An empty building zone leaves the fact table as it is.
+    An empty building zone leaves the fact table as it is.  With ``seasons``
+    only those partitions of the fact table are replaced.
     """
-    facts = read_season_table(spark, building, merge_schema=True)
+    facts = _season_rows(spark, building, seasons)
     if facts is None:
         return None
+    if seasons is not None:
+        return replace_partitions(facts, master, ("season",))
     return write_parquet(facts, master, partition_by=("season",))
 
 
