@@ -155,3 +155,12 @@ def test_tolerant_scan_json_lines(spark, scratch):
     good, bad = tolerant_scan(spark, scratch, schema, fmt="json")
     assert sorted((r.a, r.b) for r in good.collect()) == [(1, 2), (4, None)]
     assert sorted(r._bad_record for r in bad.collect()) == ["not json", '{"a": "x", "b": 3}']
+
+
+def test_season_scan_limited_to_named_seasons(spark, scratch):
+    write_text(spark, ["v", "1"], f"{scratch}/2020-21")
+    write_text(spark, ["v", "2"], f"{scratch}/2021-22")
+    for glob_mode in (False, True):
+        got = [(r.v, r.season) for r in season_folder_scan(spark, scratch, per_season_header=not glob_mode,
+                                                           seasons=["2021-22"]).collect()]
+        assert got == [("2", "2021-22")]

@@ -50,7 +50,7 @@ COMMANDS = {
 }
 
 
-SEASON_LIMITED = ("match-dates", "match-scores", "fact-matches")
+SEASON_LIMITED = ("landing-to-raw", "match-dates", "match-scores", "fact-matches")
 
 
 def main(argv: list[str] | None = None) -> int:

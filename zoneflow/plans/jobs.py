@@ -58,13 +58,13 @@ TEAM_JSON_SCHEMA = StructType([
 
 # -- W1 ---------------------------------------------------------------------
 
-def landing_to_raw(spark: SparkSession, landing: str, raw: str) -> str | None:
+def landing_to_raw(spark: SparkSession, landing: str, raw: str, seasons: Iterable[str] | None = None) -> str | None:
     """Every ``<landing>/<yyyy-yy>/`` CSV folder -> ``<raw>/season=yyyy-yy/`` parquet.
 
-    Only the seasons present in the landing zone are replaced; nothing is
-    touched when there is no season folder.
+    Only the seasons present in the landing zone (or the given ``seasons``)
+    are replaced; nothing is touched when there is no season folder.
     """
-    rows = season_folder_scan(spark, landing)
+    rows = season_folder_scan(spark, landing, seasons=seasons)
     if rows is None:
         return None
     return replace_partitions(rows, raw, ("season",))

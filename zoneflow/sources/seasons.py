@@ -10,6 +10,7 @@ that season filters prune partitions at planning time.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -52,7 +53,7 @@ def season_partitions(spark: SparkSession, table_path: str) -> list[str]:
 
 
 def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_season_header: bool = True,
-                       **options: str) -> DataFrame | None:
+                       seasons: Iterable[str] | None = None, **options: str) -> DataFrame | None:
     """All files under every ``<base>/<yyyy-yy>/`` folder, plus a ``season`` column.
 
     CSV is read with header and every column as text (no inference pass).
@@ -62,8 +63,8 @@ def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_sea
     header -- seasons may differ in columns -- and unions them by name (missing
     columns null) into one plan, so the write is still a single job.  With
     ``False`` one read over the glob takes every file's columns from the first
-    header; use it only when all seasons share one layout.  Returns ``None``
-    when there is no season folder.
+    header; use it only when all seasons share one layout.  ``seasons`` limits
+    the scan to those folders.  Returns ``None`` when there is no season folder.
     """
     def reader():
         r = spark.read.format(fmt).option("recursiveFileLookup", "true")
@@ -73,10 +74,13 @@ def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_sea
             r = r.option(k, v)
         return r
 
+    wanted = set(seasons) if seasons is not None else None
     if not per_season_header:
         df = reader().load(f"{base.rstrip('/')}/{SEASON_GLOB}")
-        return df.select("*", season_of_path(base).alias("season"))
-    parts = [reader().load(path).withColumn("season", F.lit(season)) for season, path in season_folders(spark, base)]
+        df = df.select("*", season_of_path(base).alias("season"))
+        return df if wanted is None else df.filter(F.col("season").isin(sorted(wanted)))
+    folders = [(s, p) for s, p in season_folders(spark, base) if wanted is None or s in wanted]
+    parts = [reader().load(path).withColumn("season", F.lit(season)) for season, path in folders]
     if not parts:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
