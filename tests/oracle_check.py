@@ -41,6 +41,21 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "float": "FLOAT", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(sdf, rel) -> list[str]:
+    spark_types = dict(sdf.dtypes)
+    out = []
+    for col, dtype in zip(rel.columns, rel.types):
+        want = SPARK_TO_DUCK.get(spark_types.get(col, "?"), spark_types.get(col, "?"))
+        if str(dtype) != want:
+            out.append(f"{col}: spark {spark_types.get(col)} vs duck {dtype}")
+    return out
+
+
 def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None) -> tuple[bool, str]:
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -54,6 +69,9 @@ def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None) -> tuple[bo
     drows = rel.fetchall()
     if sorted(cols) != sorted(dcols):
         return False, f"columns differ: spark={cols} duck={dcols}"
+    bad_types = type_mismatches(sdf, rel)
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     order = sorted(cols)
     si = [cols.index(c) for c in order]
     di = [dcols.index(c) for c in order]

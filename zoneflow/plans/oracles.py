@@ -180,8 +180,8 @@ SUPPLIER_TEXT = """SELECT cast(s_suppkey AS VARCHAR) AS s_suppkey, s_name, cast(
 CUSTOMER_TEXT = """SELECT cast(c_custkey AS VARCHAR) AS c_custkey, c_name, cast(c_nationkey AS VARCHAR) AS c_nationkey,
        cast(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer"""
 
-SUPPLIER_JSON = """SELECT to_json([cast(s_suppkey AS VARCHAR), s_name, cast(s_nationkey AS VARCHAR),
-       cast(s_acctbal AS VARCHAR)]) AS data FROM supplier"""
+SUPPLIER_JSON = """SELECT cast(to_json([cast(s_suppkey AS VARCHAR), s_name, cast(s_nationkey AS VARCHAR),
+       cast(s_acctbal AS VARCHAR)]) AS VARCHAR) AS data FROM supplier"""
 
 ENRICH_BASE = f"""
 SELECT o.o_orderkey, {pick_team('c.c_custkey')} AS team_name_1,
