@@ -23,7 +23,12 @@ from zoneflow.operators import (  # noqa: E402
     merge_joined,
     row_counts,
 )
-from zoneflow.operators.matches import clean_match_dates, clean_match_scores, enrich_matches  # noqa: E402
+from zoneflow.operators.matches import (  # noqa: E402
+    clean_match_dates,
+    clean_match_scores,
+    enrich_matches,
+    enrich_matches_incremental,
+)
 from zoneflow.plans import jobs, queries, standins  # noqa: E402
 from zoneflow.session import build_session  # noqa: E402
 from zoneflow.sources import read_mixed_format, read_season_table, season_folder_scan  # noqa: E402
@@ -62,6 +67,9 @@ def main(argv):
         "W3 scores cleaning": clean_match_scores(scores_raw),
         "W4 synonyms + country fill (preagg)": enrich_matches(teams_raw),
         "W4 with strategy=window": enrich_matches(teams_raw, strategy="window"),
+        "W4 incremental (new seasons + team state)": enrich_matches_incremental(
+            teams_raw.filter(F.col("season") >= "1999-00"),
+            latest_known_value(teams_raw.filter(F.col("season") < "1999-00"), "team_name_1", "country_1", "season"))[0],
         "W6 merge of CSV + JSON teams (grouped)": w6,
         "W7 team dimension": jobs.team_dimension(spark.read.parquet(standins.raw_team_goals(spark, sf))),
         "J1 merge_grouped (3 sources)": merge_grouped(entities),
