@@ -30,7 +30,8 @@ from zoneflow.operators.matches import (  # noqa: E402
     enrich_matches_incremental,
 )
 from zoneflow.plans import jobs, queries, standins  # noqa: E402
-from zoneflow.session import build_session  # noqa: E402
+from zoneflow.session import build_session, scratch_dir  # noqa: E402
+from zoneflow.sinks import write_parquet  # noqa: E402
 from zoneflow.sources import read_mixed_format, read_season_table, season_folder_scan  # noqa: E402
 
 
@@ -60,6 +61,8 @@ def main(argv):
                                         json_schema=jobs.TEAM_JSON_SCHEMA)
     w6 = merge_grouped([jobs.conform_standing(csv_df), jobs.conform_team_json(json_df)], "name")
     match = read_season_table(spark, standins.raw_match_teams(spark, sf))
+    state = write_parquet(latest_known_value(teams_raw.filter(F.col("season") < "1999-00"), "team_name_1",
+                                             "country_1", "season"), scratch_dir(spark, "plan-report-state"))
     entities = list(queries._entities(spark, sf))
     plans = {
         "W1 landing -> raw (season_folder_scan)": season_folder_scan(spark, landing),
@@ -68,8 +71,7 @@ def main(argv):
         "W4 synonyms + country fill (preagg)": enrich_matches(teams_raw),
         "W4 with strategy=window": enrich_matches(teams_raw, strategy="window"),
         "W4 incremental (new seasons + team state)": enrich_matches_incremental(
-            teams_raw.filter(F.col("season") >= "1999-00"),
-            latest_known_value(teams_raw.filter(F.col("season") < "1999-00"), "team_name_1", "country_1", "season"))[0],
+            teams_raw.filter(F.col("season") >= "1999-00"), spark.read.parquet(state))[0],
         "W6 merge of CSV + JSON teams (grouped)": w6,
         "W7 team dimension": jobs.team_dimension(spark.read.parquet(standins.raw_team_goals(spark, sf))),
         "J1 merge_grouped (3 sources)": merge_grouped(entities),
