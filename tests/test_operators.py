@@ -36,7 +36,7 @@ FILL_ROWS = [
 ]
 
 
-@pytest.mark.parametrize("strategy", ["preagg", "window"])
+@pytest.mark.parametrize("strategy", ["auto", "preagg", "window"])
 def test_country_fill(spark, strategy):
     df = spark.createDataFrame([r[:3] for r in FILL_ROWS], "team string, season string, country string")
     out = fill_from_latest_known(df, "team", "country", "season", strategy=strategy)
@@ -48,7 +48,7 @@ def test_country_fill(spark, strategy):
 def test_country_fill_same_season_and_null_team(spark):
     rows = [("A", "s1", "B1"), ("A", "s1", "A1"), ("A", "s1", None), (None, "s1", "Z"), (None, "s2", None)]
     df = spark.createDataFrame(rows, "team string, season string, country string")
-    for strategy in ("preagg", "window"):
+    for strategy in ("auto", "preagg", "window"):
         got = sorted(((r.team or ""), r.season, r.country)
                      for r in fill_from_latest_known(df, "team", "country", "season", strategy=strategy).collect())
         assert got == [("", "s1", "Z"), ("", "s2", "Z"), ("A", "s1", "A1"), ("A", "s1", "B1"), ("A", "s1", "B1")]
@@ -178,3 +178,17 @@ def test_preview_is_a_top_k_not_a_global_sort(spark):
     plan = preview_rows(df, "k", 5)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
     assert [r.k for r in preview_rows(df, "k", 5).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_auto_fill_broadcasts_only_under_the_bound(spark, monkeypatch):
+    from zoneflow.operators import enrich
+
+    df = spark.createDataFrame([r[:3] for r in FILL_ROWS], "team string, season string, country string")
+    small = fill_from_latest_known(df, "team", "country", "season")
+    assert "Union" not in small._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(enrich, "FILL_BROADCAST_MAX_ROWS", 3)
+    large = fill_from_latest_known(df, "team", "country", "season")
+    assert "Union" in large._jdf.queryExecution().optimizedPlan().toString()
+    want = {(r[0], r[1]): r[3] for r in FILL_ROWS}
+    for out in (small, large):
+        assert {(r.team, r.season): r.country for r in out.collect()} == want

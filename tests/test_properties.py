@@ -35,7 +35,7 @@ def brute_fill(rows):
 def test_fill_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "team string, season string, country string")
     want = brute_fill(rows)
-    for strategy in ("preagg", "window"):
+    for strategy in ("auto", "preagg", "window"):
         got = sorted(((r.team, r.season, r.country) for r in
                       fill_from_latest_known(df, "team", "country", "season", strategy=strategy).collect()), key=repr)
         assert got == want, strategy
