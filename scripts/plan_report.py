@@ -68,7 +68,8 @@ def main(argv):
         "W1 landing -> raw (season_folder_scan)": season_folder_scan(spark, landing),
         "W2 dates cleaning": clean_match_dates(dates_raw),
         "W3 scores cleaning": clean_match_scores(scores_raw),
-        "W4 synonyms + country fill (preagg)": enrich_matches(teams_raw),
+        "W4 synonyms + country fill (auto: fill table checked, broadcast)": enrich_matches(teams_raw),
+        "W4 synonyms + country fill (preagg split plan)": enrich_matches(teams_raw, strategy="preagg"),
         "W4 with strategy=window": enrich_matches(teams_raw, strategy="window"),
         "W4 incremental (new seasons + team state)": enrich_matches_incremental(
             teams_raw.filter(F.col("season") >= "1999-00"), spark.read.parquet(state))[0],
@@ -76,7 +77,8 @@ def main(argv):
         "W7 team dimension": jobs.team_dimension(spark.read.parquet(standins.raw_team_goals(spark, sf))),
         "J1 merge_grouped (3 sources)": merge_grouped(entities),
         "J1 merge_joined (3 sources)": merge_joined(entities),
-        "J2 fill, preagg": fill_from_latest_known(match, "team_name_1", "country_1", "season"),
+        "J2 fill, auto": fill_from_latest_known(match, "team_name_1", "country_1", "season"),
+        "J2 fill, preagg": fill_from_latest_known(match, "team_name_1", "country_1", "season", strategy="preagg"),
         "J2 fill, window": fill_from_latest_known(match, "team_name_1", "country_1", "season", strategy="window"),
         "A1 known_pairs": known_pairs(match, "team_name_1", "country_1"),
         "A3 latest_known_value": latest_known_value(match, "team_name_1", "country_1", "season"),
