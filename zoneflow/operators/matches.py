@@ -77,7 +77,7 @@ def clean_match_scores(df: DataFrame, columns: Sequence[tuple[str, str]] = STAND
 def enrich_matches(df: DataFrame, skip_seasons: Iterable[str] = (SKIPPED_SEASON,),
                    rules: Iterable[tuple[str, str]] = TEAM_SYNONYM_RULES,
                    team: str = "team_name_1", country: str = "country_1", season: str = "season",
-                   strategy: str = "preagg") -> DataFrame:
+                   strategy: str = "auto") -> DataFrame:
     """W4 body: canonical team names, then countries filled from earlier knowledge.
 
     Rows of skipped seasons pass through untouched and teach nothing.
