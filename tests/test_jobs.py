@@ -55,3 +55,18 @@ def test_season_limited_stages_touch_only_those_seasons(spark, scratch):
     assert season_partitions(spark, f"{scratch}/fact") == seasons
     assert a.exceptAll(b.select(*a.columns)).isEmpty() and b.select(*a.columns).exceptAll(a).isEmpty()
     assert a.filter(F.col("dateonly").isNull()).isEmpty()
+
+
+def test_cli_incremental_enrich_chain(spark, scratch):
+    from zoneflow.plans.cli import main
+    from zoneflow.sources import season_partitions
+
+    src = standins.raw_match_teams(spark, SMOKE_DIR)
+    seasons = season_partitions(spark, src)
+    first, rest = ",".join(seasons[:3]), ",".join(seasons[3:])
+    assert main(["match-enrich-incremental", src, f"{scratch}/dst", first, "-", f"{scratch}/s1"]) == 0
+    assert main(["match-enrich-incremental", src, f"{scratch}/dst", rest, f"{scratch}/s1", f"{scratch}/s2"]) == 0
+    jobs.match_enrich_job(spark, src, f"{scratch}/full", skip_seasons=())
+    a = read_season_table(spark, f"{scratch}/dst")
+    b = read_season_table(spark, f"{scratch}/full").select(*a.columns)
+    assert a.count() == b.count() and a.exceptAll(b).isEmpty()
