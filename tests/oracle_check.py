@@ -56,9 +56,10 @@ def type_mismatches(sdf, rel) -> list[str]:
     return out
 
 
-def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None) -> tuple[bool, str]:
+def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None, sdf=None) -> tuple[bool, str]:
     t0 = time.time()
-    sdf = fn(spark, sf_dir)
+    if sdf is None:
+        sdf = fn(spark, sf_dir)
     cols = sdf.columns
     rows = sdf.collect()
     t1 = time.time()

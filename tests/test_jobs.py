@@ -70,3 +70,24 @@ def test_cli_incremental_enrich_chain(spark, scratch):
     a = read_season_table(spark, f"{scratch}/dst")
     b = read_season_table(spark, f"{scratch}/full").select(*a.columns)
     assert a.count() == b.count() and a.exceptAll(b).isEmpty()
+
+
+def test_job_bodies_stay_on_the_jvm(spark):
+    from zoneflow.operators import merge_grouped
+    from zoneflow.operators.matches import clean_match_dates, clean_match_scores, enrich_matches
+
+    teams = read_season_table(spark, standins.raw_match_teams(spark, SMOKE_DIR))
+    landing = standins.landing_teams(spark, SMOKE_DIR)
+    csv_df, json_df = jobs.read_mixed_format(spark, landing, csv_schema=jobs.STANDING_CSV_SCHEMA,
+                                             json_schema=jobs.TEAM_JSON_SCHEMA)
+    bodies = [
+        clean_match_dates(read_season_table(spark, standins.raw_match_dates(spark, SMOKE_DIR))),
+        clean_match_scores(read_season_table(spark, standins.raw_match_scores(spark, SMOKE_DIR))),
+        enrich_matches(teams), enrich_matches(teams, strategy="preagg"),
+        merge_grouped([jobs.conform_standing(csv_df), jobs.conform_team_json(json_df)]),
+        jobs.team_dimension(spark.read.parquet(standins.raw_team_goals(spark, SMOKE_DIR))),
+    ]
+    for df in bodies:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -22,16 +22,12 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, con, name):
-    ok, msg = compare(spark, con, SMOKE_DIR, name, QUERIES[name], ORACLES.get(name))
-    assert ok, msg
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_plan_has_no_python_udf(spark, name):
+def test_query_matches_oracle_without_python_udfs(spark, con, name):
     df = QUERIES[name](spark, SMOKE_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    ok, msg = compare(spark, con, SMOKE_DIR, name, QUERIES[name], ORACLES.get(name), sdf=df)
+    assert ok, msg
 
 
 def test_entry_smoke(spark):
