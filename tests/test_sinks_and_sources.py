@@ -164,3 +164,16 @@ def test_season_scan_limited_to_named_seasons(spark, scratch):
         got = [(r.v, r.season) for r in season_folder_scan(spark, scratch, per_season_header=not glob_mode,
                                                            seasons=["2021-22"]).collect()]
         assert got == [("2", "2021-22")]
+
+
+def test_csv_header_mismatch_fails_instead_of_shifting(spark, scratch):
+    import pytest
+
+    from zoneflow.sources import read_csv_strings
+
+    write_text(spark, ["a,b", "1,2"], f"{scratch}/x")
+    write_text(spark, ["b,a", "3,4"], f"{scratch}/y")
+    with pytest.raises(Exception):
+        read_csv_strings(spark, scratch).collect()
+    write_text(spark, ["a,b", "5,6"], f"{scratch}/y")
+    assert sorted((r.a, r.b) for r in read_csv_strings(spark, scratch).collect()) == [("1", "2"), ("5", "6")]

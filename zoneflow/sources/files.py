@@ -14,8 +14,14 @@ BAD_RECORD_COLUMN = "_bad_record"
 
 
 def read_csv_strings(spark: SparkSession, path: str, recursive: bool = True, **options: str) -> DataFrame:
-    """CSV with header; every column is text."""
-    reader = spark.read.option("header", "true").option("recursiveFileLookup", str(recursive).lower())
+    """CSV with header; every column is text.
+
+    Column names come from the header; every file's header is checked against
+    them (``enforceSchema=false``), so a file with another column order fails
+    the read instead of being assigned by position.
+    """
+    reader = (spark.read.option("header", "true").option("enforceSchema", "false")
+              .option("recursiveFileLookup", str(recursive).lower()))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.csv(path)
@@ -72,6 +78,9 @@ def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | N
     def csv_reader(p: str) -> DataFrame:
         r = (spark.read.option("header", "true").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv"))
+        if csv_schema is None:
+            # names from the header: check every file's header instead of trusting positions
+            r = r.option("enforceSchema", "false")
         for k, v in csv_options.items():
             r = r.option(k, v)
         if csv_schema is not None:

@@ -69,7 +69,8 @@ def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_sea
     def reader():
         r = spark.read.format(fmt).option("recursiveFileLookup", "true")
         if fmt == "csv":
-            r = r.option("header", "true")
+            # names from the header; files whose header differs fail instead of shifting columns
+            r = r.option("header", "true").option("enforceSchema", "false")
         for k, v in options.items():
             r = r.option(k, v)
         return r
