@@ -177,3 +177,16 @@ def test_csv_header_mismatch_fails_instead_of_shifting(spark, scratch):
         read_csv_strings(spark, scratch).collect()
     write_text(spark, ["a,b", "5,6"], f"{scratch}/y")
     assert sorted((r.a, r.b) for r in read_csv_strings(spark, scratch).collect()) == [("1", "2"), ("5", "6")]
+
+
+def test_mixed_folder_reads_each_csv_layout_by_name(spark, scratch):
+    from pathlib import Path
+
+    base = Path(scratch.replace("file:", "", 1))
+    (base / "a").mkdir(parents=True)
+    (base / "a" / "one.csv").write_text("code,name\n1,x\n")
+    (base / "two.csv").write_text("name,code\ny,2\n")
+    (base / "skip.txt").write_text("name,code\nz,3\n")
+    csv_df, json_df = read_mixed_format(spark, scratch)
+    assert json_df is None
+    assert sorted((r.code, r.name) for r in csv_df.collect()) == [("1", "x"), ("2", "y")]

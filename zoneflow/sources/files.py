@@ -6,12 +6,18 @@ extra inference pass over the data that an untyped CSV/JSON read costs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 BAD_RECORD_COLUMN = "_bad_record"
 
+# Up to this many CSV files, a folder's files are grouped by header line so each
+# layout is read with its own header; beyond it one validated read is used.
+MAX_HEADER_GROUPED_FILES = 2000
+
 
 def read_csv_strings(spark: SparkSession, path: str, recursive: bool = True, **options: str) -> DataFrame:
     """CSV with header; every column is text.
@@ -65,6 +71,38 @@ def _read_or_none(reader, path: str) -> DataFrame | None:
         raise
 
 
+def csv_files_by_header(spark: SparkSession, folder: str, limit: int = MAX_HEADER_GROUPED_FILES
+                        ) -> dict[str, list[str]] | None:
+    """Visible ``*.csv`` files below ``folder`` grouped by their first line.
+
+    Reads one line per file (metadata-sized I/O); ``None`` when there are more
+    than ``limit`` files.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    groups: dict[str, list[str]] = {}
+    files = fs.listFiles(root, True)
+    count = 0
+    while files.hasNext():
+        path = files.next().getPath()
+        name = path.getName()
+        if not name.endswith(".csv") or name.startswith(("_", ".")):
+            continue
+        count += 1
+        if count > limit:
+            return None
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(path), "UTF-8"))
+        try:
+            header = reader.readLine() or ""
+        finally:
+            reader.close()
+        groups.setdefault(header, []).append(path.toString())
+    return groups
+
+
 def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | None = None,
                       json_schema: StructType | None = None, csv_options: dict | None = None
                       ) -> tuple[DataFrame | None, DataFrame | None]:
@@ -72,6 +110,9 @@ def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | N
 
     One read per format over the whole folder -- not one read per file.  A
     format with no files gives ``None`` when its schema has to be inferred.
+    Without a CSV schema, CSV files whose header lines differ (another column
+    order) are read once per distinct header and unioned by name; up to
+    ``MAX_HEADER_GROUPED_FILES`` files, beyond which a differing header fails.
     """
     csv_options = dict(csv_options or {})
 
@@ -84,8 +125,13 @@ def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | N
         for k, v in csv_options.items():
             r = r.option(k, v)
         if csv_schema is not None:
-            r = r.schema(csv_schema)
-        return r.csv(p)
+            return r.schema(csv_schema).csv(p)
+        groups = csv_files_by_header(spark, p)
+        if groups is None or len(groups) <= 1:
+            return r.csv(p)
+        # files differ in layout: one read per header, matched by name (like per-file reads)
+        parts = [r.csv(paths) for paths in groups.values()]
+        return reduce(lambda a, b: a.unionByName(b), parts)
 
     def json_reader(p: str) -> DataFrame:
         r = (spark.read.option("multiLine", "true").option("recursiveFileLookup", "true")
