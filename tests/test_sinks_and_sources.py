@@ -190,3 +190,14 @@ def test_mixed_folder_reads_each_csv_layout_by_name(spark, scratch):
     csv_df, json_df = read_mixed_format(spark, scratch)
     assert json_df is None
     assert sorted((r.code, r.name) for r in csv_df.collect()) == [("1", "x"), ("2", "y")]
+
+
+def test_season_folder_with_two_layouts_is_read_by_name(spark, scratch):
+    from pathlib import Path
+
+    base = Path(scratch.replace("file:", "", 1)) / "2020-21"
+    base.mkdir(parents=True)
+    (base / "one.csv").write_text("a,b\n1,2\n")
+    (base / "two.csv").write_text("b,a\n4,3\n")
+    got = sorted((r.a, r.b, r.season) for r in season_folder_scan(spark, scratch).collect())
+    assert got == [("1", "2", "2020-21"), ("3", "4", "2020-21")]

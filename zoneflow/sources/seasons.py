@@ -61,7 +61,8 @@ def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_sea
 
     ``per_season_header=True`` (default) reads each season folder with its own
     header -- seasons may differ in columns -- and unions them by name (missing
-    columns null) into one plan, so the write is still a single job.  With
+    columns null) into one plan, so the write is still a single job.  Inside a
+    season, CSV files with different header lines are read per layout.  With
     ``False`` one read over the glob takes every file's columns from the first
     header; use it only when all seasons share one layout.  ``seasons`` limits
     the scan to those folders.  Returns ``None`` when there is no season folder.
@@ -81,12 +82,24 @@ def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_sea
         df = df.select("*", season_of_path(base).alias("season"))
         return df if wanted is None else df.filter(F.col("season").isin(sorted(wanted)))
     folders = [(s, p) for s, p in season_folders(spark, base) if wanted is None or s in wanted]
-    parts = [reader().load(path).withColumn("season", F.lit(season)) for season, path in folders]
+    parts = [season_reader(reader, spark, path, fmt).withColumn("season", F.lit(season)) for season, path in folders]
     if not parts:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def season_reader(reader, spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """One season folder; CSV files with different header lines are read per layout, by name."""
+    if fmt == "csv":
+        from zoneflow.sources.files import csv_files_by_header
+
+        groups = csv_files_by_header(spark, path)
+        if groups and len(groups) > 1:
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                          [reader().load(paths) for paths in groups.values()])
+    return reader().load(path)
+
+
 def exclude_seasons(df: DataFrame, *seasons: str, column: str = "season") -> DataFrame:
     """Drop the given seasons; on a ``season=`` partitioned table this prunes folders."""
     if not seasons:
