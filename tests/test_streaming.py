@@ -30,3 +30,19 @@ def test_cli_runs_a_job(spark, scratch):
     land(spark, f"{scratch}/landing/2020-21", ["v", "1"])
     assert main(["landing-to-raw", f"{scratch}/landing", f"{scratch}/raw"]) == 0
     assert [(r.v, str(r.season)) for r in spark.read.parquet(f"{scratch}/raw").collect()] == [("1", "2020-21")]
+
+
+def test_cli_serve_table_and_season_limit(spark, scratch):
+    import json
+
+    from zoneflow.plans.cli import main
+    from zoneflow.sinks import write_parquet
+
+    write_parquet(spark.createDataFrame([(1, "x", "2020-21"), (2, None, "2021-22")], "k int, v string, season string"),
+                  f"{scratch}/t", partition_by=("season",))
+    assert main(["serve-table", f"{scratch}/t", "zf_cli_t", f"{scratch}/served"]) == 0
+    rows = sorted(r.value for r in spark.read.text(f"{scratch}/served").collect())
+    assert rows == ['["1","x","2020-21"]', '["2",null,"2021-22"]']
+    assert json.loads(spark.read.text(f"{scratch}/served/_columns").first().value) == ["k", "v", "season"]
+    assert main(["match-dates", f"{scratch}/t", f"{scratch}/dates", "--season", "2021-22"]) == 0
+    assert [str(r.season) for r in spark.read.parquet(f"{scratch}/dates").collect()] == ["2021-22"]
