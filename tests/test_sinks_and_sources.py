@@ -201,3 +201,16 @@ def test_season_folder_with_two_layouts_is_read_by_name(spark, scratch):
     (base / "two.csv").write_text("b,a\n4,3\n")
     got = sorted((r.a, r.b, r.season) for r in season_folder_scan(spark, scratch).collect())
     assert got == [("1", "2", "2020-21"), ("3", "4", "2020-21")]
+
+
+def test_season_grouping_never_drops_other_files(spark, scratch):
+    import gzip
+    from pathlib import Path
+
+    base = Path(scratch.replace("file:", "", 1)) / "2020-21"
+    base.mkdir(parents=True)
+    (base / "one.csv").write_text("a,b\n1,2\n")
+    (base / "two.csv").write_text("a,b\n3,4\n")
+    (base / "three.csv.gz").write_bytes(gzip.compress(b"a,b\n5,6\n"))
+    got = sorted((r.a, r.b) for r in season_folder_scan(spark, scratch).collect())
+    assert got == [("1", "2"), ("3", "4"), ("5", "6")]

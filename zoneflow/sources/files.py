@@ -71,12 +71,13 @@ def _read_or_none(reader, path: str) -> DataFrame | None:
         raise
 
 
-def csv_files_by_header(spark: SparkSession, folder: str, limit: int = MAX_HEADER_GROUPED_FILES
-                        ) -> dict[str, list[str]] | None:
+def csv_files_by_header(spark: SparkSession, folder: str, limit: int = MAX_HEADER_GROUPED_FILES,
+                        only_csv: bool = False) -> dict[str, list[str]] | None:
     """Visible ``*.csv`` files below ``folder`` grouped by their first line.
 
     Reads one line per file (metadata-sized I/O); ``None`` when there are more
-    than ``limit`` files.
+    than ``limit`` files, or -- with ``only_csv`` -- when the folder also holds
+    other visible files (e.g. compressed CSV), which a grouped read would miss.
     """
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(folder)
@@ -89,7 +90,11 @@ def csv_files_by_header(spark: SparkSession, folder: str, limit: int = MAX_HEADE
     while files.hasNext():
         path = files.next().getPath()
         name = path.getName()
-        if not name.endswith(".csv") or name.startswith(("_", ".")):
+        if name.startswith(("_", ".")):
+            continue
+        if not name.endswith(".csv"):
+            if only_csv:
+                return None
             continue
         count += 1
         if count > limit:

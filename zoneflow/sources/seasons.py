@@ -93,7 +93,7 @@ def season_reader(reader, spark: SparkSession, path: str, fmt: str) -> DataFrame
     if fmt == "csv":
         from zoneflow.sources.files import csv_files_by_header
 
-        groups = csv_files_by_header(spark, path)
+        groups = csv_files_by_header(spark, path, only_csv=True)
         if groups and len(groups) > 1:
             return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                           [reader().load(paths) for paths in groups.values()])
