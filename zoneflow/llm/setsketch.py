@@ -231,37 +231,38 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ok = []
             for k in range(batch.num_rows):
-                x, y = elements(a[k], batch.column(2)[k].as_py()), elements(b[k], batch.column(3)[k].as_py())
-                common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                ok.append(100 * common >= percent * (len(x) + len(y) - common))
+                ok.append(_reaches(elements(a[k], batch.column(2)[k].as_py()),
+                                   elements(b[k], batch.column(3)[k].as_py()), percent))
             yield gather({"a": batch.column(0).filter(pa.array(ok, pa.bool_())),
                           "b": batch.column(1).filter(pa.array(ok, pa.bool_()))}, schema)
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def _strangers(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one bucket in different components, compared in blocks.
+def _strangers(members: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between different components of one bucket, found in blocks.
 
     ``members``: ``(band, node, component)`` of the buckets still open.  Per bucket
     the members outside its largest component form the left side; every member is
     on the right side.  Both are dealt into blocks of about ``BLOCK`` members by a
     hash, and each pair of blocks is one group, so memory is bounded and no pair is
-    left out.  Only pairs that pass the estimate leave a group.
+    left out.  A pair that meets in several bands is looked at in the first of them;
+    only confirmed links leave a group, and none between members already linked there.
     """
     sizes = (members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
              .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")))
     sizes = sizes.select("band", F.col("top.component").alias("main"),
                          F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks_r"),
                          F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("blocks_l"))
-    rows = members.join(sizes, "band").join(classes.select("node", "n_shingles", "registers"), "node")
+    facts = classes.select("node", "n_shingles", "registers").join(texts, "node")
+    rows = members.join(sizes, "band").join(facts, "node")
 
     def side(frame: DataFrame, own: str, other: str, left: bool) -> DataFrame:
         mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col(own)).cast("int")
         theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         x, y = ("i", "j") if left else ("j", "i")
         return frame.select("band", mine.alias(x), theirs.alias(y), F.lit(left).alias("is_left"), "node",
-                            "component", "n_shingles", "registers")
+                            "component", "n_shingles", "registers", "z")
 
     both = side(rows.filter("component != main"), "blocks_l", "blocks_r", True).unionByName(
         side(rows, "blocks_r", "blocks_l", False))
@@ -270,21 +271,43 @@ def _strangers(members: DataFrame, classes: DataFrame, percent: int) -> DataFram
     def compare(group: pa.Table) -> pa.Table:
         lefts = np.flatnonzero(group["is_left"].to_numpy())
         rights = np.flatnonzero(~group["is_left"].to_numpy())
-        node, comp, n = (group[c].to_numpy() for c in ("node", "component", "n_shingles"))
+        node, n = (group[c].to_numpy() for c in ("node", "n_shingles"))
+        component = group["component"].to_numpy().copy()
         regs = _matrix(group["registers"].combine_chunks())
+        bands = _bands(regs)
+        here = int((bands[0] == group["band"][0].as_py()).argmax())
+        unpack, sets = zstandard.ZstdDecompressor(), {}
+
+        def elements(i: int) -> np.ndarray:
+            if i not in sets:
+                words = WordCodes([unpack.decompress(group["z"][i].as_py())])
+                sets[i] = np.unique(shingle_hashes(words.codes, words.hashes(), size))
+            return sets[i]
+
         found = []
         for i in lefts:
-            others = rights[comp[rights] != comp[i]]
-            if len(others):
-                ok = _similar(np.broadcast_to(regs[i], (len(others), REGISTERS)), regs[others],
-                              np.full(len(others), n[i]), n[others], percent)
-                found += [(min(node[i], node[o]), max(node[i], node[o])) for o in others[ok]]
+            others = rights[component[rights] != component[i]]
+            others = others[(bands[others] == bands[i]).argmax(1) == here]
+            if not len(others):
+                continue
+            ok = _similar(np.broadcast_to(regs[i], (len(others), REGISTERS)), regs[others],
+                          np.full(len(others), n[i]), n[others], percent)
+            for o in others[ok]:
+                if component[o] != component[i] and _reaches(elements(i), elements(o), percent):
+                    found.append((min(node[i], node[o]), max(node[i], node[o])))
+                    component[component == component[o]] = component[i]
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}, schema=schema)
 
     return both.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
+def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two full sets (sorted, distinct) reach the similarity."""
+    common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 # -- the operator --------------------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -323,13 +346,10 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
         "a", F.col("node").alias("b"))
     state, tested = members.select("node", F.col("node").alias("component")).distinct(), None
     members = members.select("band", "node", "n")
-    for turn in range(1, PIVOT_ROUNDS + 2):
+    for turn in range(1, PIVOT_ROUNDS + 1):
         tried = materialise(_estimated(pairs, classes, percent), "tried")
-        links = materialise(_confirmed(tried, texts, size, percent), "links")
         tested = tried if tested is None else tested.unionByName(tried)
-        state = _merged(state, links)
-        if turn > PIVOT_ROUNDS:
-            break
+        state = _merged(state, materialise(_confirmed(tried, texts, size, percent), "links"))
         now = members.join(state, "node")
         open_ = now.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                         F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("pivot"))
@@ -339,9 +359,10 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
         if turn < PIVOT_ROUNDS:
             pairs = now.filter("component != pivot.component").select(
                 F.least("pivot.node", "node").alias("a"), F.greatest("pivot.node", "node").alias("b")).distinct()
-        else:
-            pairs = _strangers(now.filter("n > 2").select("band", "node", "component"), classes, percent)
-        pairs = pairs.join(tested.select("a", "b").distinct(), ["a", "b"], "left_anti")
+            pairs = pairs.join(tested.select("a", "b").distinct(), ["a", "b"], "left_anti")
+        else:  # buckets of two have been tested in full
+            rest = now.filter("n > 2").select("band", "node", "component")
+            state = _merged(state, materialise(_strangers(rest, classes, texts, size, percent), "links"))
 
     first = (state.join(classes.select("node", "rep"), "node").groupBy("component")
              .agg(F.min("rep").alias("component_id")))
