@@ -19,8 +19,8 @@ A logistic function fitted on labelled rows that the models have not seen maps t
 to 0..1.
 
 Learning uses a bounded sample: at most ``SAMPLE_PER_CLASS`` labelled rows of each
-class, the ones of least id hash, and the ``MAX_NGRAMS`` most frequent n-grams of
-them.  So the model has a bounded size and may be broadcast; scoring is one narrow
+class, the ones of least id hash, and at most ``MAX_NGRAMS`` n-grams of each order,
+the more frequent ones.  So the model has a bounded size and may be broadcast; scoring is one narrow
 pass over the whole texts.
 """
 
@@ -49,7 +49,7 @@ ORDER = 6                    # characters of an n-gram of the top order
 DISCOUNT = 0.75              # of the shared orders
 WINDOW = 10                  # words
 SAMPLE_PER_CLASS = 4000      # labelled rows of each class
-MAX_NGRAMS = 1 << 20
+MAX_NGRAMS = 1 << 19          # of each order
 CACHED_WORDS = 300_000       # per Python worker
 FEATURES = 3
 
@@ -236,12 +236,12 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_rest: int = 0, folds: int =
     sample = materialise(labelled_sample(docs, labels, held_out_rest, folds, per_class), "toxic-sample")
     last = (held_out_rest - 1) % folds
     counts = materialise(ngram_counts(sample.filter(F.col("fold") != last)), "toxic-ngrams")
+    least = _least_counts(counts)
     tables = []
     for k in range(ORDER):
-        # the bound on n-grams of each order is a parameter; the sort is a top-k
-        rows = (counts.filter(F.col("k") == k).orderBy((F.col("n0") + F.col("n1")).desc(), "gram")
-                .limit(MAX_NGRAMS).select("gram", "context", "shorter", "n0", "n1").toPandas())
-        tables.append({c: rows[c].to_numpy() for c in rows.columns})
+        rows = counts.filter((F.col("k") == k) & (F.col("n0") + F.col("n1") >= least[k])).select(
+            "gram", "context", "shorter", "n0", "n1").toArrow()
+        tables.append({c: rows[c].to_numpy() for c in rows.column_names})
     model = _kneser_ney(tables)
     context = docs.sparkSession.sparkContext.broadcast(model)
     held = sample.filter(F.col("fold") == last).select("toxic", "text").mapInArrow(
@@ -256,6 +256,22 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_rest: int = 0, folds: int =
 _FEATURE_DDL = "toxic int, peak double, mean double, second double"
 
 
+def _least_counts(counts: DataFrame) -> list[int]:
+    """Per order the least count that leaves at most ``MAX_NGRAMS`` n-grams (found by a histogram of counts)."""
+    rows = counts.groupBy("k", F.least(F.col("n0") + F.col("n1"), F.lit(1000)).alias("n")).agg(
+        F.count(F.lit(1)).alias("grams")).collect()
+    found = []
+    for k in range(ORDER):
+        total, least = 0, 1001
+        for n, grams in sorted(((r["n"], r["grams"]) for r in rows if r["k"] == k), reverse=True):
+            total += grams
+            if total > MAX_NGRAMS:
+                break
+            least = n
+        found.append(least)
+    return found
+
+
 def _feature_rows(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("toxic", pa.int32()), *[(f, pa.float64()) for f in ("peak", "mean", "second")]])
     for batch in batches:
