@@ -64,13 +64,8 @@ def main(argv):
         "merge_joined_3x_lineitem": timed(lambda: merge_joined(sources)),
         "synonyms_folded_map": timed(lambda: teams.withColumn("team", canonicalize("team"))),
         "synonyms_55_step_chain": timed(lambda: sequential_chain(teams, "team")),
-        "fill_auto_spread": timed(lambda: fill_from_latest_known(spread, "team", "country", "season")),
-        "fill_preagg_spread": timed(lambda: fill_from_latest_known(spread, "team", "country", "season", strategy="preagg")),
-        "fill_window_spread": timed(lambda: fill_from_latest_known(spread, "team", "country", "season", strategy="window")),
-        "fill_auto_hot_third": timed(lambda: fill_from_latest_known(skewed, "team", "country", "season")),
-        "fill_preagg_hot_third": timed(lambda: fill_from_latest_known(skewed, "team", "country", "season", strategy="preagg")),
-        "fill_window_hot_third": timed(lambda: fill_from_latest_known(skewed, "team", "country", "season",
-                                                              strategy="window")),
+        "fill_spread": timed(lambda: fill_from_latest_known(spread, "team", "country", "season")),
+        "fill_hot_third": timed(lambda: fill_from_latest_known(skewed, "team", "country", "season")),
     }
     print(json.dumps({"sf_dir": sf, "cpus": int(cpus), "median_of": 3, "seconds": results}))
 

@@ -57,8 +57,7 @@ def main(argv):
     scores_raw = read_season_table(spark, standins.raw_match_scores(spark, sf))
     teams_raw = read_season_table(spark, standins.raw_match_teams(spark, sf))
     teams_landing = standins.landing_teams(spark, sf)
-    csv_df, json_df = read_mixed_format(spark, teams_landing, csv_schema=jobs.STANDING_CSV_SCHEMA,
-                                        json_schema=jobs.TEAM_JSON_SCHEMA)
+    csv_df, json_df = read_mixed_format(spark, teams_landing, csv_schema=jobs.STANDING_CSV_SCHEMA)
     w6 = merge_grouped([jobs.conform_standing(csv_df), jobs.conform_team_json(json_df)], "name")
     match = read_season_table(spark, standins.raw_match_teams(spark, sf))
     state = write_parquet(latest_known_value(teams_raw.filter(F.col("season") < "1999-00"), "team_name_1",
@@ -68,18 +67,14 @@ def main(argv):
         "W1 landing -> raw (season_folder_scan)": season_folder_scan(spark, landing),
         "W2 dates cleaning": clean_match_dates(dates_raw),
         "W3 scores cleaning": clean_match_scores(scores_raw),
-        "W4 synonyms + country fill (auto: fill table checked, broadcast)": enrich_matches(teams_raw),
-        "W4 synonyms + country fill (preagg split plan)": enrich_matches(teams_raw, strategy="preagg"),
-        "W4 with strategy=window": enrich_matches(teams_raw, strategy="window"),
+        "W4 synonyms + country fill": enrich_matches(teams_raw),
         "W4 incremental (new seasons + team state)": enrich_matches_incremental(
             teams_raw.filter(F.col("season") >= "1999-00"), spark.read.parquet(state))[0],
         "W6 merge of CSV + JSON teams (grouped)": w6,
         "W7 team dimension": jobs.team_dimension(spark.read.parquet(standins.raw_team_goals(spark, sf))),
         "J1 merge_grouped (3 sources)": merge_grouped(entities),
         "J1 merge_joined (3 sources)": merge_joined(entities),
-        "J2 fill, auto": fill_from_latest_known(match, "team_name_1", "country_1", "season"),
-        "J2 fill, preagg": fill_from_latest_known(match, "team_name_1", "country_1", "season", strategy="preagg"),
-        "J2 fill, window": fill_from_latest_known(match, "team_name_1", "country_1", "season", strategy="window"),
+        "J2 fill": fill_from_latest_known(match, "team_name_1", "country_1", "season"),
         "A1 known_pairs": known_pairs(match, "team_name_1", "country_1"),
         "A3 latest_known_value": latest_known_value(match, "team_name_1", "country_1", "season"),
         "A2 row_counts": row_counts(match),

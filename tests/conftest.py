@@ -11,10 +11,10 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from zoneflow.session import build_session
 
-    session = build_session(master="local[*]")
+    session = build_session(master="local[*]", **{"spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('checkpoints')}"})
     yield session
     session.stop()
 

@@ -10,14 +10,15 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from zoneflow.operators import STANDING_CSV_SCHEMA
 from zoneflow.sinks import (
     data_files,
+    export_csv,
     export_single_csv,
     json_rows,
     path_exists,
+    publish,
     replace_partitions,
     serve_page,
     write_json_rows,
     write_parquet,
-    write_single_file,
     write_single_parquet,
 )
 from zoneflow.sources import (
@@ -53,20 +54,54 @@ def test_single_file_outputs(spark, scratch):
     assert not path_exists(spark, f"{scratch}/empty")
 
 
-def test_single_file_bound_keeps_parallel_parts(spark, scratch):
+def test_parallel_parts_unless_one_file_is_asked_for(spark, scratch):
     df = spark.range(1000).repartition(4)
-    write_single_file(df, f"{scratch}/big", "parquet", max_bytes=10)
+    publish(df, f"{scratch}/big")
     assert len(data_files(spark, f"{scratch}/big", ".parquet")) == 4
+    publish(df, f"{scratch}/big", one_file=True)
+    assert len(data_files(spark, f"{scratch}/big", ".parquet")) == 1
     assert spark.read.parquet(f"{scratch}/big").count() == 1000
 
 
+def test_csv_export_keeps_every_text(spark, scratch):
+    rows = [(1, "a\nb"), (2, ""), (3, None), (4, 'say "x", y'), (5, "  pad "), (6, "a\r\nb"), (7, "back\\slash"), (8, '"')]
+    df = spark.createDataFrame(rows, "k int, v string")
+    for path in (export_single_csv(df, f"{scratch}/one"), export_csv(df, f"{scratch}/many")):
+        # a reader tells empty strings from nulls by its own emptyValue
+        reader = spark.read.options(header=True, multiLine=True, escape='"', emptyValue="<empty>")
+        got = reader.schema("k int, v string").csv(path)
+        assert sorted((r.k, "" if r.v == "<empty>" else r.v) for r in got.collect()) == rows
+
+
+def test_failed_write_leaves_the_old_rows(spark, scratch):
+    import pytest
+
+    bad = spark.range(10).select(F.when(F.col("id") > 4, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    for write in (write_parquet, publish, write_single_parquet, export_single_csv):
+        write(spark.range(5), f"{scratch}/t")
+        with pytest.raises(Exception, match="stop"):
+            write(bad, f"{scratch}/t")
+        reader = spark.read.option("header", "true")
+        old = reader.csv(f"{scratch}/t") if write is export_single_csv else spark.read.parquet(f"{scratch}/t")
+        assert sorted(int(r.id) for r in old.collect()) == list(range(5))
+
+
 def test_json_rows_and_serving(spark, scratch):
     df = spark.createDataFrame([(None, "a"), (2, None)], "n int, s string")
     assert sorted(r.data for r in json_rows(df).collect()) == ['["2",null]', '[null,"a"]']
     write_json_rows(df, scratch)
     assert json.loads(spark.read.text(f"{scratch}/_columns").first().value) == ["n", "s"]
     assert spark.read.text(scratch).count() == 2
-    assert serve_page(df, "n", 1) == {"columns": ["n", "s"], "data": [[None, "a"]]}
+    pages = spark.createDataFrame([(k, f"v{k}" if k % 2 else None) for k in range(7)], "n int, s string")
+    got, after, columns = [], None, None
+    while True:
+        page = serve_page(pages, "n", 3, after)
+        got, after, columns = got + page["data"], page["next"], page["columns"]
+        if after is None:
+            break
+    assert columns == ["n", "s"]
+    assert got == [[str(k), f"v{k}" if k % 2 else None] for k in range(7)]
+    assert serve_page(pages.limit(0), "n", 3) == {"columns": ["n", "s"], "data": [], "next": None}
 
 
 def test_standing_csv_is_positional_and_permissive(spark, scratch):
@@ -214,3 +249,62 @@ def test_season_grouping_never_drops_other_files(spark, scratch):
     (base / "three.csv.gz").write_bytes(gzip.compress(b"a,b\n5,6\n"))
     got = sorted((r.a, r.b) for r in season_folder_scan(spark, scratch).collect())
     assert got == [("1", "2"), ("3", "4"), ("5", "6")]
+
+
+def local(path):
+    from pathlib import Path
+
+    return Path(path.replace("file:", "", 1))
+
+
+def test_layouts_of_many_files_are_found_in_one_job(spark, scratch):
+    """More files than any fixed bound, a plain text file among them, and a base path with blanks and signs."""
+    base = local(scratch) / "land ing+x"
+    for season in range(5):
+        folder = base / f"20{10 + season}-{11 + season}"
+        folder.mkdir(parents=True)
+        for k in range(410):
+            (folder / f"f{k}.csv").write_text(f"a,b\n{k},{season}\n" if k % 2 else f"b,a\n{season},{k}\n")
+    (base / "2010-11" / "readme.txt").write_text("notes\nhello\n")
+    rows = season_folder_scan(spark, f"file:{base}")
+    assert sorted(rows.columns) == ["a", "b", "notes", "season"]
+    got = sorted((r.season, int(r.a), int(r.b)) for r in rows.filter("notes is null").collect())
+    assert got == sorted((f"20{10 + s}-{11 + s}", k, s) for s in range(5) for k in range(410))
+    assert [r.season for r in rows.filter("notes = 'hello'").collect()] == ["2010-11"]
+
+
+def test_number_of_jobs_does_not_depend_on_the_seasons(spark, scratch):
+    def jobs_of(n):
+        base = local(scratch) / f"n{n}"
+        for k in range(n):
+            (base / f"20{10 + k}-{11 + k}").mkdir(parents=True)
+            (base / f"20{10 + k}-{11 + k}" / "x.csv").write_text("a,b\n1,2\n")
+        spark.sparkContext.setJobGroup(f"layouts-{n}", "")
+        season_folder_scan(spark, f"file:{base}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"layouts-{n}"))
+
+    assert jobs_of(2) == jobs_of(12) > 0
+
+
+def test_bad_json_is_put_aside_and_types_stay(spark, scratch):
+    from zoneflow.plans import jobs
+
+    base = local(scratch) / "in"
+    base.mkdir(parents=True)
+    (base / "a.json").write_text('[{"id": 1, "x": 6.5e7, "in": {"v": 1.5}}, {"id": 2, "x": 1.0, "in": null}]')
+    (base / "b.json").write_text('{"id": 3, "more": "m"}')
+    (base / "c.json").write_text('{"id": 4, broken')
+    jobs.countries_to_raw(spark, f"file:{base}", f"{scratch}/out")
+    got = spark.read.parquet(f"{scratch}/out")
+    assert dict(got.dtypes) == {"id": "bigint", "x": "double", "in": "struct<v:double>", "more": "string"}
+    assert sorted((r.id, r.x, r.more) for r in got.collect()) == [(1, 6.5e7, None), (2, 1.0, None), (3, None, "m")]
+    assert [r.path.rsplit("/", 1)[-1] for r in spark.read.parquet(f"{scratch}/out_rejects").collect()] == ["c.json"]
+    (base / "d.csv").write_text("id,more\n9,z\n")
+    jobs.countries_to_raw(spark, f"file:{base}", f"{scratch}/out")
+    got = spark.read.parquet(f"{scratch}/out")
+    assert dict(got.dtypes)["id"] == "string" and got.count() == 4
+    for name in ("a.json", "b.json", "d.csv"):
+        (base / name).unlink()
+    jobs.countries_to_raw(spark, f"file:{base}", f"{scratch}/out")  # nothing readable is left: the old rows stay
+    assert spark.read.parquet(f"{scratch}/out").count() == 4

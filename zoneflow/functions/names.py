@@ -77,11 +77,6 @@ TEAM_SYNONYM_RULES = (
 )
 # ----------------------------------------------------------------------------
 
-# Above this many distinct rule sources a literal map stops being a good plan
-# expression (map lookup is a linear probe); use ``canonicalize_by_join``.
-MAX_LITERAL_RULES = 2000
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -120,18 +115,20 @@ def fold_rules(rules: Iterable[tuple[str, str]]) -> dict[str, str]:
 
 
 def canonicalize(c: Column | str, rules: Iterable[tuple[str, str]] = TEAM_SYNONYM_RULES) -> Column:
-    """Map a value through the folded synonym rules; unknown values and null pass."""
+    """Map a value through the folded synonym rules; unknown values and null pass.
+
+    For rules written in code, like the fixed list above.  Rules that are data belong
+    in a table: ``canonicalize_by_join``.
+    """
     closed = fold_rules(rules)
     if not closed:
         return _col(c)
-    if len(closed) > MAX_LITERAL_RULES:
-        raise ValueError("rule table too large for a literal map; use canonicalize_by_join")
     lookup = F.create_map(*[F.lit(x) for pair in closed.items() for x in pair])
     return F.coalesce(F.try_element_at(lookup, _col(c)), _col(c))
 
 
 def canonicalize_by_join(df: DataFrame, column: str, rules_df: DataFrame) -> DataFrame:
-    """Canonicalise ``column`` with a large, already-closed rule table.
+    """Canonicalise ``column`` with an already-closed rule table of any size.
 
     ``rules_df`` has columns ``source``/``target`` with unique sources.  The
     join is a plain left equi-join; Spark (AQE) broadcasts the rule side only

@@ -8,7 +8,7 @@ from zoneflow.operators.enrich import (
     latest_known_value,
     row_counts,
 )
-from zoneflow.operators.merge import merge_grouped, merge_joined, merge_sources
+from zoneflow.operators.merge import duplicate_rows, merge_by_priority, merge_grouped, merge_joined
 from zoneflow.operators.schema import (
     COACH_FIELDS,
     STANDARD_MATCH_COLUMNS,
@@ -29,8 +29,8 @@ from zoneflow.operators.schema import (
 
 __all__ = [
     "COACH_FIELDS", "STANDARD_MATCH_COLUMNS", "STANDING_CSV_SCHEMA", "STANDING_RENAMES",
-    "SUBJECT_SCHEMAS", "align_to_schema", "cast_all_to_string", "drop_columns",
+    "SUBJECT_SCHEMAS", "align_to_schema", "cast_all_to_string", "drop_columns", "duplicate_rows",
     "fill_from_latest_known", "fill_plan", "fill_with_state", "flatten_struct", "known_pairs", "latest_known_value",
-    "merge_grouped", "merge_joined", "merge_sources", "rename_columns", "resolve", "row_counts",
+    "merge_by_priority", "merge_grouped", "merge_joined", "rename_columns", "resolve", "row_counts",
     "standardize_columns", "unify_schemas", "union_by_name_lenient", "union_by_name_strict",
 ]

@@ -14,15 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.functions.scores import NULL_TOKENS, is_null_token
-from zoneflow.session import checkpoint_root
 
 UNKNOWN = "NA"
 
-# Largest fill table (one row per key and period) broadcast by strategy "auto";
-# a few tens of MB at most.  Beyond it the rows needing a fill are joined with
-# a shuffle instead.
-FILL_BROADCAST_MAX_ROWS = 250_000
-
 
 def _real(value: str) -> Column:
     return ~is_null_token(value)
@@ -64,59 +58,21 @@ def fill_plan(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
 
 
 def fill_from_latest_known(df: DataFrame, key: str, value: str, order: str,
-                           default: str = UNKNOWN, strategy: str = "auto",
-                           materialize: bool = False) -> DataFrame:
+                           default: str = UNKNOWN) -> DataFrame:
     """Fill null-token ``value`` from the latest known value of ``key``.
 
-    ``strategy="auto"`` (default): build the small fill table (one row per key
-    and period) once as a reliable checkpoint and count it.  Up to
-    ``FILL_BROADCAST_MAX_ROWS`` rows it is broadcast and every row is filled in
-    a single pass over ``df`` (two passes in total, no shuffle of ``df``);
-    above that the plan of ``"preagg"`` is used with the materialized table.
-    This call runs one job (the fill table); the result stays lazy.
-
-    ``strategy="preagg"``: aggregate to (key, order) first, run the
-    running-max window on that small table, then join it back to the rows that
-    need a fill only.  Rows that already hold a real value are never shuffled;
-    the join side is broadcast by AQE only when its measured size allows, and a
-    hot (key, order) is split by AQE skew handling otherwise.
-
-    ``strategy="window"``: a single running window over all rows partitioned by
-    key -- one exchange, but every row of a key goes to one task.
-
-    The pre-aggregated form reads ``df`` three times (rows to keep, rows to
-    fill, the aggregate).  That is cheap for a table scan; when ``df`` is an
-    expensive plan (joins), pass ``materialize=True`` to checkpoint it once
-    into the shared checkpoint folder (executor loss then recomputes from the
-    checkpoint, not from the sources).
+    One lazy plan: aggregate to (key, order) with map-side combine, run the
+    last-known window on that small table, and join it back to the rows that need a
+    fill only.  Rows that already hold a real value are never shuffled.  Adaptive
+    execution chooses how to join and splits a hot (key, order).
     """
-    if materialize:
-        checkpoint_root(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    if strategy == "window":
-        upto = Window.partitionBy(key).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        latest = F.max(F.when(_real(value), F.struct(F.col(order).alias("o"), F.col(value).alias("v")))).over(upto)
-        filled = F.when(is_null_token(value), F.coalesce(latest.getField("v"), F.lit(default))).otherwise(F.col(value))
-        return df.withColumn(value, filled)
-    if strategy not in ("auto", "preagg"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-
     columns = df.columns
     needs = is_null_token(value)
     fill = fill_plan(df, key, value, order)
     match = F.col(key).eqNullSafe(F.col("_fill_key")) & F.col(order).eqNullSafe(F.col("_fill_order"))
-    if strategy == "auto":
-        checkpoint_root(df.sparkSession)
-        fill = fill.checkpoint(eager=True)
-        if fill.count() <= FILL_BROADCAST_MAX_ROWS:
-            # size checked above: broadcast, one pass over df, nothing of df shuffled
-            joined = df.join(F.broadcast(fill), match, "left")
-            filled = F.when(needs, F.coalesce(F.col("_fill"), F.lit(default))).otherwise(F.col(value))
-            return joined.withColumn(value, filled).select(*columns)
-    keep = df.filter(~needs)
     todo = df.filter(needs).join(fill, match, "left")
     todo = todo.withColumn(value, F.coalesce(F.col("_fill"), F.lit(default))).select(*columns)
-    return keep.unionByName(todo)
+    return df.filter(~needs).unionByName(todo)
 
 
 def fill_with_state(df: DataFrame, state: DataFrame | None, key: str, value: str, order: str,
@@ -139,5 +95,5 @@ def fill_with_state(df: DataFrame, state: DataFrame | None, key: str, value: str
     return filled, latest_known_value(tagged.drop(flag), key, value, order)
 
 
-__all__ = ["FILL_BROADCAST_MAX_ROWS", "NULL_TOKENS", "UNKNOWN", "fill_from_latest_known", "fill_plan", "fill_with_state", "known_pairs",
+__all__ = ["NULL_TOKENS", "UNKNOWN", "fill_from_latest_known", "fill_plan", "fill_with_state", "known_pairs",
            "latest_known_value", "row_counts"]

@@ -27,7 +27,8 @@ from zoneflow.operators.schema import (
     resolve,
     standardize_columns,
 )
-from zoneflow.sources.seasons import SKIPPED_SEASON, exclude_seasons
+from zoneflow.sources.layouts import Layouts, has_column
+from zoneflow.sources.seasons import SKIPPED_SEASON, exclude_seasons, only_seasons
 
 # --- fixed values ----------------------------------------------------------
 DATE_SOURCES = ("datetime", "Date")              # first present wins
@@ -36,30 +37,58 @@ SCORE_SOURCES = (("team1score", "score1"), ("team2score", "score2"))
 # ---------------------------------------------------------------------------
 
 
-def derive_match_dates(df: DataFrame) -> DataFrame:
+def derive_match_dates(df: DataFrame, layouts: Layouts | None = None) -> DataFrame:
     """P8 + F4-F8: ``dateonly`` from ``datetime`` else from ``Date`` text; then day/week.
 
-    Source columns are matched case-insensitively; the consumed source is
-    dropped.  ``day``/``week`` always derive from ``dateonly``, so running the
-    transform again on its own output changes nothing.
+    Which source counts is decided for each season by the columns it has (``layouts``;
+    without them the frame's columns are those of all seasons): the first one present
+    wins, a season with neither keeps its ``dateonly``, and one without that keeps its
+    ``day`` and ``week``.  Source columns are matched case-insensitively and dropped.
+    ``day``/``week`` always derive from ``dateonly``, so running the transform again on
+    its own output changes nothing.
     """
     stamp, text = (resolve(df, c) for c in DATE_SOURCES)
-    if stamp is not None:
-        df = df.withColumn("dateonly", date_from_timestamp(F.col(f"`{stamp}`"))).drop(stamp)
-    elif text is not None:
-        df = df.withColumn("dateonly", date_from_text(F.col(f"`{text}`"))).drop(text)
-    if resolve(df, "dateonly") is not None:
-        df = df.withColumns({"day": day_from_iso("dateonly"), "week": week_from_iso("dateonly")})
-    return df
-
-
-def clean_match_dates(df: DataFrame, columns: Sequence[tuple[str, str]] = STANDARD_MATCH_COLUMNS) -> DataFrame:
+    only, types = resolve(df, "dateonly"), dict(df.dtypes)
+    dated = None
+    for source, parse in ((only, None), (text, date_from_text), (stamp, date_from_timestamp)):  # the last one wins
+        if source is not None:
+            value = F.col(f"`{source}`") if parse is None else parse(F.col(f"`{source}`"))
+            dated = F.when(has_column(layouts, source), value).otherwise(F.lit(None) if dated is None else dated)
+    if dated is None:
+        return df
+    known = F.lit(False)
+    for source in (stamp, text, only):
+        if source is not None:
+            known = known | has_column(layouts, source)
+    out = df.withColumn("_dated", dated).withColumn("_known", known)
+    derived = {"dateonly": F.col("_dated")}
+    for name, made, kind in (("day", day_from_iso("_dated"), "string"), ("week", week_from_iso("_dated"), "int")):
+        have = resolve(df, name)
+        kept = F.lit(None).cast(kind) if have is None else cast_value(F.col(f"`{have}`"), types[have], kind)
+        derived[name] = F.when(F.col("_known"), made).otherwise(kept)
+    out = out.withColumns(derived)
+    return out.drop("_dated", "_known", *(c for c in (stamp, text) if c is not None))
+
+
+def dates_layouts(layouts: Layouts) -> dict[str, frozenset[str]]:
+    """Columns that each season has after ``derive_match_dates`` and the drops of W2."""
+    gone = {c.lower() for c in (*DATE_SOURCES, *DATE_JOB_DROPS)}
+    sources = {c.lower() for c in (*DATE_SOURCES, "dateonly")}
+    return {s: frozenset(c - gone | ({"dateonly", "day", "week"} if c & sources else set())) for s, c in layouts.items()}
+
+
+def clean_match_dates(df: DataFrame, columns: Sequence[tuple[str, str]] = STANDARD_MATCH_COLUMNS,
+                      layouts: Layouts | None = None) -> DataFrame:
     """W2 body: dates, drop helper columns, conform to the standard columns."""
-    return standardize_columns(drop_columns(derive_match_dates(df), *DATE_JOB_DROPS), columns)
+    return standardize_columns(drop_columns(derive_match_dates(df, layouts), *DATE_JOB_DROPS), columns)
 
 
-def clean_match_scores(df: DataFrame, columns: Sequence[tuple[str, str]] = STANDARD_MATCH_COLUMNS) -> DataFrame:
-    """W3 body: back-fill scores, ints, default round type, standard columns."""
+def clean_match_scores(df: DataFrame, columns: Sequence[tuple[str, str]] = STANDARD_MATCH_COLUMNS,
+                       layouts: Layouts | None = None) -> DataFrame:
+    """W3 body: back-fill scores, ints, default round type, standard columns.
+
+    The round type gets its default in the seasons that have the column.
+    """
     for target, source in SCORE_SOURCES:
         src, tgt = resolve(df, source), resolve(df, target)
         types = dict(df.dtypes)
@@ -70,26 +99,34 @@ def clean_match_scores(df: DataFrame, columns: Sequence[tuple[str, str]] = STAND
         elif tgt is not None:
             df = df.withColumn(tgt, cast_value(F.col(f"`{tgt}`"), types[tgt], "int"))
     if resolve(df, "round_type") is not None:
-        df = df.withColumn("round_type", null_token_default("round_type"))
+        df = df.withColumn("round_type", F.when(has_column(layouts, "round_type"), null_token_default("round_type"))
+                           .otherwise(F.col("round_type")))
     return standardize_columns(df, columns)
 
 
+def scores_layouts(layouts: Layouts) -> dict[str, frozenset[str]]:
+    """Columns that each season has after the back-fill of W3."""
+    made = dict(layouts)
+    for target, source in SCORE_SOURCES:
+        made = {s: frozenset(c - {source} | {target}) if source in c else c for s, c in made.items()}
+    return made
+
+
 def enrich_matches(df: DataFrame, skip_seasons: Iterable[str] = (SKIPPED_SEASON,),
                    rules: Iterable[tuple[str, str]] = TEAM_SYNONYM_RULES,
-                   team: str = "team_name_1", country: str = "country_1", season: str = "season",
-                   strategy: str = "auto") -> DataFrame:
+                   team: str = "team_name_1", country: str = "country_1", season: str = "season") -> DataFrame:
     """W4 body: canonical team names, then countries filled from earlier knowledge.
 
-    Rows of skipped seasons pass through untouched and teach nothing.
+    Rows of skipped seasons pass through untouched and teach nothing; rows without a
+    season are not skipped.
     """
     skip = list(skip_seasons)
     work = exclude_seasons(df, *skip, column=season)
     work = work.withColumn(team, canonicalize(team, rules))
-    work = fill_from_latest_known(work, team, country, season, strategy=strategy)
+    work = fill_from_latest_known(work, team, country, season)
     if not skip:
         return work
-    untouched = df.filter(F.col(season).isin(skip))
-    return work.unionByName(untouched)
+    return work.unionByName(only_seasons(df, *skip, column=season))
 
 
 def enrich_matches_incremental(df: DataFrame, state: DataFrame | None,

@@ -1,20 +1,16 @@
 """Merging records of one entity from several sources.
 
-Sources are listed in priority order; for every column the first source that
-has a non-null value wins.
-
-* ``merge_grouped`` (default, scale path): tag each source with its priority,
-  union them, and aggregate per key -- one shuffle, with map-side partial
-  aggregation, so a key that holds a large share of all rows is collapsed
-  before it reaches the exchange.  A key filter above it is pushed down to all
-  source scans by Catalyst.
-* ``merge_joined``: the join form -- a chain of full outer joins on the key
-  followed by ``coalesce`` in source order.  Each source is first consolidated
-  to one row per key (same rule as above), so duplicate keys never fan out into
-  all pairs.  Null keys never match another source and stay separate.
-
-Within one source, duplicate keys resolve to the smallest non-null value, so
-results never depend on file or task order.
+Sources have a priority; for every column the first source that has a non-null value
+wins.  ``merge_grouped`` (one frame per source) and ``merge_by_priority`` (one frame, a
+priority column such as the file path) work in two aggregates with map-side combine:
+
+1. per (key, source) one *whole* row stays, so values of different rows of one source
+   are never mixed: the row with the fewest nulls, of those the least in its rendered form;
+2. per key each column takes the first non-null value by priority.
+
+Rows whose key is null or empty belong to no entity: they pass through as they are.
+``duplicate_rows`` gives the rows that step 1 leaves out.  ``merge_joined`` computes the
+same by a chain of full outer joins and is kept to check the other form against.
 """
 
 from __future__ import annotations
@@ -26,20 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.functions.casts import cast_value
+from zoneflow.operators.schema import column_types
 
 _PRIO = "_merge_prio"
 
 
-def _columns(sources: Sequence[DataFrame], key: str) -> dict[str, str]:
-    """Non-key columns in first-appearance order with the first type seen."""
-    types: dict[str, str] = {}
-    for df in sources:
-        for field in df.schema.fields:
-            if field.name != key:
-                types.setdefault(field.name, field.dataType.simpleString())
-    return types
-
-
 def _conform(df: DataFrame, key: str, types: dict[str, str]) -> list[Column]:
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     cols = [F.col(f"`{key}`")]
@@ -53,45 +40,65 @@ def _conform(df: DataFrame, key: str, types: dict[str, str]) -> list[Column]:
     return cols
 
 
-def _first_non_null(c: str) -> Column:
-    """Value of the lowest-priority-number row where ``c`` is set (ties: min value)."""
-    ranked = F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.col(_PRIO).alias("p"), F.col(f"`{c}`").alias("v")))
-    return F.min(ranked).getField("v").alias(c)
+def _tagged(sources: Sequence[DataFrame], key: str) -> DataFrame:
+    if not sources:
+        raise ValueError("merge needs at least one source")
+    types = {c: t for c, t in column_types(sources).items() if c != key}
+    tagged = [df.select(*_conform(df, key, types), F.lit(i).alias(_PRIO)) for i, df in enumerate(sources)]
+    return reduce(lambda a, b: a.unionByName(b), tagged)
+
+
+def _keyed(df: DataFrame, key: str) -> Column:
+    """Whether a row's key names an entity."""
+    k = F.col(f"`{key}`")
+    return k.isNotNull() & (k != "") if dict(df.dtypes)[key] == "string" else k.isNotNull()
+
+
+def _order(values: Sequence[str]) -> Column:
+    """What decides between rows of one source: fewer nulls first, then the rendered row."""
+    nulls = reduce(lambda a, b: a + b, [F.col(f"`{c}`").isNull().cast("int") for c in values], F.lit(0))
+    return F.struct(nulls, F.to_json(F.struct(*[F.col(f"`{c}`") for c in values]))) if values else F.struct(F.lit(0))
+
+
+def _winners(df: DataFrame, key: str, priority: str) -> DataFrame:
+    """One whole row per (key, source)."""
+    values = [c for c in df.columns if c not in (key, priority)]
+    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in values], F.lit(0).alias("_any")), _order(values))
+    picked = df.filter(_keyed(df, key)).groupBy(key, priority).agg(row.alias("_row"))
+    return picked.select(key, priority, *[F.col(f"_row.`{c}`").alias(c) for c in values])
+
+
+def merge_by_priority(df: DataFrame, key: str, priority: str) -> DataFrame:
+    """One row per key from rows tagged with their source; the least ``priority`` comes first."""
+    values = [c for c in df.columns if c not in (key, priority)]
+    first = [F.min(F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.col(priority).alias("p"), F.col(f"`{c}`").alias("v"))))
+             .getField("v").alias(c) for c in values]
+    one = _winners(df, key, priority).groupBy(key)
+    merged = one.agg(*first) if first else one.agg(F.lit(0).alias("_any")).drop("_any")
+    return merged.unionByName(df.filter(~_keyed(df, key)).drop(priority))
+
+
+def duplicate_rows(df: DataFrame, key: str, priority: str) -> DataFrame:
+    """Rows of ``df`` that differ from the row kept for their key and source."""
+    values = [c for c in df.columns if c not in (key, priority)]
+    kept = _winners(df, key, priority).select(F.col(key).alias("_k"), F.col(priority).alias("_p"), _order(values).alias("_kept"))
+    joined = df.withColumn("_own", _order(values)).join(kept, (F.col(key) == F.col("_k")) & (F.col(priority) == F.col("_p")))
+    return joined.filter(F.col("_own") != F.col("_kept")).select(*df.columns)
 
 
 def merge_grouped(sources: Sequence[DataFrame], key: str = "name") -> DataFrame:
     """One row per key; each column takes the first non-null value by source order."""
-    if not sources:
-        raise ValueError("merge needs at least one source")
-    types = _columns(sources, key)
-    tagged = [df.select(*_conform(df, key, types), F.lit(i).alias(_PRIO)) for i, df in enumerate(sources)]
-    unioned = reduce(lambda a, b: a.unionByName(b), tagged)
-    return unioned.groupBy(key).agg(*[_first_non_null(c) for c in types])
+    return merge_by_priority(_tagged(sources, key), key, _PRIO)
 
 
 def merge_joined(sources: Sequence[DataFrame], key: str = "name") -> DataFrame:
     """Full outer join chain on ``key`` + ``coalesce`` in source order."""
-    if not sources:
-        raise ValueError("merge needs at least one source")
-    types = _columns(sources, key)
-    sides = []
-    for i, df in enumerate(sources):
-        own = [c for c in types if c in df.columns]
-        one = merge_grouped([df.select(key, *own)], key)
-        sides.append(one.select(F.col(key), *[F.col(f"`{c}`").alias(f"{c}__src{i}") for c in own]))
+    tagged = _tagged(sources, key)
+    one = _winners(tagged, key, _PRIO)
+    values = [c for c in tagged.columns if c not in (key, _PRIO)]
+    sides = [one.filter(F.col(_PRIO) == i).select(F.col(key), *[F.col(f"`{c}`").alias(f"{c}__src{i}") for c in values])
+             for i in range(len(sources))]
     joined = reduce(lambda a, b: a.join(b, on=key, how="full"), sides)
-    present = set(joined.columns)
-    out = [F.col(key)]
-    for c, t in types.items():
-        parts = [F.col(f"`{c}__src{i}`") for i in range(len(sources)) if f"{c}__src{i}" in present]
-        out.append((F.coalesce(*parts) if len(parts) > 1 else parts[0]).cast(t).alias(c))
-    return joined.select(*out)
-
-
-def merge_sources(sources: Sequence[DataFrame], key: str = "name", mode: str = "group") -> DataFrame:
-    """Entry point: ``mode="group"`` (one shuffle) or ``mode="join"``."""
-    if mode == "group":
-        return merge_grouped(sources, key)
-    if mode == "join":
-        return merge_joined(sources, key)
-    raise ValueError(f"unknown merge mode {mode!r}")
+    merged = joined.select(F.col(key), *[F.coalesce(*[F.col(f"`{c}__src{i}`") for i in range(len(sources))]).alias(c)
+                                         for c in values])
+    return merged.unionByName(tagged.filter(~_keyed(tagged, key)).drop(_PRIO))

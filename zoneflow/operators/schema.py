@@ -7,10 +7,10 @@ null under ANSI mode instead of failing the job.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -102,23 +102,46 @@ def align_to_schema(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     return df.select(*cols)
 
 
-def _column_types(dfs: Sequence[DataFrame]) -> dict[str, str]:
-    """First-appearance order of every column with the first type seen."""
-    types: dict[str, str] = {}
+_WIDENING = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def agreed_type(types: Iterable[str]) -> str:
+    """The one type that holds values of all ``types``: itself, the widest number, else text."""
+    seen = list(dict.fromkeys(t for t in types if t != "void")) or ["string"]
+    if len(seen) == 1:
+        return seen[0]
+    if all(t in _WIDENING for t in seen):
+        return "double" if {"bigint", "float"} <= set(seen) else max(seen, key=_WIDENING.index)
+    return "string"
+
+
+def column_types(dfs: Sequence[DataFrame]) -> dict[str, str]:
+    """First-appearance order of every column with the type its frames agree on."""
+    types: dict[str, list[str]] = {}
     for df in dfs:
         for field in df.schema.fields:
-            types.setdefault(field.name, field.dataType.simpleString())
-    return types
+            types.setdefault(field.name, []).append(field.dataType.simpleString())
+    return {c: agreed_type(t) for c, t in types.items()}
+
+
+def as_type(name: str, have: str, want: str) -> Column:
+    """Column ``name`` as ``want``; nested values become JSON text."""
+    value = F.col(f"`{name}`")
+    if have == want:
+        return value
+    if want == "string" and have.startswith(("struct", "array", "map")):
+        return F.to_json(value).alias(name)
+    return value.cast(want).alias(name)
 
 
 def unify_schemas(dfs: Sequence[DataFrame]) -> list[DataFrame]:
-    """Give every frame the union of all column sets; missing columns typed null."""
-    types = _column_types(dfs)
+    """Give every frame the union of all column sets in the types they agree on; missing columns are typed null."""
+    types = column_types(dfs)
     out = []
     for df in dfs:
-        have = set(df.columns)
+        have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         out.append(df.select(
-            *[F.col(f"`{c}`") if c in have else F.lit(None).cast(t).alias(c) for c, t in types.items()]))
+            *[as_type(c, have[c], t) if c in have else F.lit(None).cast(t).alias(c) for c, t in types.items()]))
     return out
 
 

@@ -1,9 +1,9 @@
 """The zone jobs (W1-W12): landing -> raw -> building -> master, and serving.
 
-Every job takes its paths as arguments, reads once, and writes once to a
-location it does not read.  All seasons are handled by one Spark job per
-stage (no per-season driver loop); seasons are Hive partitions so later stages
-prune them.
+Every job takes its paths as arguments and writes once to a location it does not
+read.  All seasons are handled by one plan per stage; seasons are Hive partitions so
+later stages prune them.  Stages write the columns that each season has beside their
+output (``sources.layouts``).
 """
 
 from __future__ import annotations
@@ -12,49 +12,43 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from zoneflow.functions.names import TEAM_SYNONYM_RULES, normalize_name
 from zoneflow.functions.scores import split_pair_to_ints
 from zoneflow.operators.matches import (
     clean_match_dates,
     clean_match_scores,
+    dates_layouts,
     enrich_matches,
     enrich_matches_incremental,
+    scores_layouts,
 )
-from zoneflow.operators.merge import merge_sources
+from zoneflow.operators.merge import duplicate_rows, merge_by_priority
 from zoneflow.operators.schema import (
     COACH_FIELDS,
     STANDING_CSV_SCHEMA,
     STANDING_RENAMES,
     SUBJECT_SCHEMAS,
     align_to_schema,
-    cast_all_to_string,
     drop_columns,
     flatten_struct,
     rename_columns,
     resolve,
+    unify_schemas,
     union_by_name_strict,
 )
 from zoneflow.sinks.writers import (
-    export_single_csv,
+    export_csv,
+    publish,
     replace_partitions,
+    write_if_nonempty,
     write_json_rows,
     write_parquet,
-    write_single_parquet,
 )
 from zoneflow.sources.catalog import catalog_select_all
-from zoneflow.sources.files import read_mixed_format, read_parquet
-from zoneflow.sources.seasons import SKIPPED_SEASON, read_season_table, season_folder_scan
-
-# Declared reader schema of team JSON files (avoids an inference pass).
-TEAM_JSON_SCHEMA = StructType([
-    StructField("name", StringType()),
-    StructField("founded", LongType()),
-    StructField("status", StringType()),
-    StructField("coach", StructType([StructField(f, StringType()) for f in COACH_FIELDS])),
-])
-
+from zoneflow.sources.files import read_mixed_format, read_parquet, split_rejects
+from zoneflow.sources.layouts import read_layouts, write_layouts
+from zoneflow.sources.seasons import SKIPPED_SEASON, read_season_table, scan_with_layouts
 
 # -- W1 ---------------------------------------------------------------------
 
@@ -64,42 +58,40 @@ def landing_to_raw(spark: SparkSession, landing: str, raw: str, seasons: Iterabl
     Only the seasons present in the landing zone (or the given ``seasons``)
     are replaced; nothing is touched when there is no season folder.
     """
-    rows = season_folder_scan(spark, landing, seasons=seasons)
+    rows, layouts = scan_with_layouts(spark, landing, seasons)
     if rows is None:
         return None
-    return replace_partitions(rows, raw, ("season",))
+    replace_partitions(rows, raw, ("season",))
+    write_layouts(spark, raw, layouts)
+    return raw
 
 
 # -- W2 / W3 / W4 -------------------------------------------------------------
 
-def _season_rows(spark: SparkSession, src: str, seasons: Iterable[str] | None) -> DataFrame | None:
-    """The season table, limited to ``seasons`` when given (a partition filter)."""
-    rows = read_season_table(spark, src)
-    if rows is not None and seasons is not None:
-        rows = rows.filter(F.col("season").isin(list(seasons)))
-    return rows
-
-
 def _stage(spark: SparkSession, src: str, dst: str, transform, seasons: Iterable[str] | None = None) -> str | None:
     """Row-preserving stage: probe the (cheap) input for a row, then write once.
 
-    With ``seasons`` only those partitions are read and replaced, so a newly
-    arrived season is processed without touching the history.
+    ``transform(rows, layouts)`` returns the new rows and the new layouts.  With
+    ``seasons`` only those folders are listed, read and replaced, so a newly arrived season
+    is processed without touching the history.
     """
-    rows = _season_rows(spark, src, seasons)
+    rows = read_season_table(spark, src, seasons=seasons)
     if rows is None or rows.isEmpty():
         return None
-    return replace_partitions(transform(rows), dst, ("season",))
+    made, layouts = transform(rows, read_layouts(spark, src, seasons))
+    replace_partitions(made, dst, ("season",))
+    write_layouts(spark, dst, layouts)
+    return dst
 
 
 def match_dates_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None) -> str | None:
     """Date normalisation + standard columns, season partitions replaced."""
-    return _stage(spark, src, dst, clean_match_dates, seasons)
+    return _stage(spark, src, dst, lambda df, own: (clean_match_dates(df, layouts=own), dates_layouts(own)), seasons)
 
 
 def match_scores_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None) -> str | None:
     """Score back-fill + round type + standard columns."""
-    return _stage(spark, src, dst, clean_match_scores, seasons)
+    return _stage(spark, src, dst, lambda df, own: (clean_match_scores(df, layouts=own), scores_layouts(own)), seasons)
 
 
 def match_enrich_job(spark: SparkSession, src: str, dst: str, skip_seasons: Iterable[str] = (SKIPPED_SEASON,),
@@ -108,7 +100,7 @@ def match_enrich_job(spark: SparkSession, src: str, dst: str, skip_seasons: Iter
 
     For newly arrived seasons use ``match_enrich_incremental_job``.
     """
-    return _stage(spark, src, dst, lambda df: enrich_matches(df, skip_seasons, rules))
+    return _stage(spark, src, dst, lambda df, own: (enrich_matches(df, skip_seasons, rules), own))
 
 
 def match_enrich_incremental_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str],
@@ -123,12 +115,13 @@ def match_enrich_incremental_job(spark: SparkSession, src: str, dst: str, season
     season after newer ones needs the full ``match_enrich_job``.
     """
     wanted = list(seasons)
-    rows = _season_rows(spark, src, wanted)
+    rows = read_season_table(spark, src, seasons=wanted)
     if rows is None or not wanted or rows.isEmpty():
         return None
     state = read_parquet(spark, state_in) if state_in else None
     enriched, new_state = enrich_matches_incremental(rows, state, rules)
     replace_partitions(enriched, dst, ("season",))
+    write_layouts(spark, dst, read_layouts(spark, src, wanted))
     write_parquet(new_state, state_out)
     return dst
 
@@ -143,8 +136,8 @@ def fact_matches_job(spark: SparkSession, building: str, master: str,
     An empty building zone leaves the fact table as it is.  With ``seasons``
     only those partitions of the fact table are replaced.
     """
-    facts = _season_rows(spark, building, seasons)
-    if facts is None:
+    facts = read_season_table(spark, building, seasons=seasons)
+    if facts is None or facts.isEmpty():
         return None
     if seasons is not None:
         return replace_partitions(facts, master, ("season",))
@@ -168,24 +161,36 @@ def conform_team_json(df: DataFrame, subject: str = "TEAMS") -> DataFrame:
     return align_to_schema(df, SUBJECT_SCHEMAS[subject])
 
 
-def teams_to_raw(spark: SparkSession, landing_subject: str, raw: str, subject: str = "TEAMS",
-                 mode: str = "group") -> str | None:
+_FILE = "_source_file"
+
+
+def teams_to_raw(spark: SparkSession, landing_subject: str, raw: str, subject: str = "TEAMS") -> str | None:
     """CSV standings and JSON team files of one folder merged per team name.
 
-    Sources are CSV first, then JSON; a column takes the first non-null value
-    in that order.  Nothing is replaced when the folder yields no rows.
+    Every file is a source; files count in the order of their paths, CSV and JSON
+    alike, and a column takes the first non-null value in that order.  JSON keeps all its
+    columns.  Files that are no JSON go to ``<raw>_rejects``, rows that lost against another
+    row of their name in the same file to ``<raw>_duplicates``.  Nothing is replaced when
+    the folder yields no rows.
     """
-    csv_df, json_df = read_mixed_format(spark, landing_subject, csv_schema=STANDING_CSV_SCHEMA,
-                                        json_schema=TEAM_JSON_SCHEMA)
+    csv_df, json_df = read_mixed_format(spark, landing_subject, csv_schema=STANDING_CSV_SCHEMA)
+    path = F.col("_metadata.file_path").alias(_FILE)
+    json_df, rejects = split_rejects(json_df)
     sources = []
     if csv_df is not None:
-        sources.append(conform_standing(csv_df, "TEAMS"))
+        sources.append(conform_standing(csv_df.select("*", path), "TEAMS"))
     if json_df is not None:
-        sources.append(conform_team_json(json_df, "TEAMS"))
+        sources.append(conform_team_json(json_df.select("*", path), "TEAMS"))
+    if rejects is not None:
+        write_parquet(rejects, f"{raw.rstrip('/')}_rejects")
     # the merge is empty exactly when every source is: probe the scans, not the aggregate
-    if all(src.isEmpty() for src in sources):
+    if not any(src.take(1) for src in sources):
         return None
-    merged = align_to_schema(merge_sources(sources, "name", mode), SUBJECT_SCHEMAS[subject])
+    rows = union_by_name_strict(unify_schemas(sources))
+    if "name" not in rows.columns:
+        return None
+    merged = align_to_schema(merge_by_priority(rows, "name", _FILE), SUBJECT_SCHEMAS[subject])
+    write_if_nonempty(duplicate_rows(rows, "name", _FILE), write_parquet, f"{raw.rstrip('/')}_duplicates")
     return write_parquet(merged, raw)
 
 
@@ -200,25 +205,37 @@ def team_dimension(df: DataFrame) -> DataFrame:
     return df.withColumns({"total_goals_scored": scored, "total_goals_against": against})
 
 
-def teams_to_dim(spark: SparkSession, raw_teams: str, dim: str) -> str:
-    """Raw teams -> master team dimension (replaced, never appended twice)."""
-    return write_parquet(team_dimension(read_parquet(spark, raw_teams)), dim)
+def teams_to_dim(spark: SparkSession, raw_teams: str, dim: str) -> str | None:
+    """Raw teams -> master team dimension (replaced, never appended twice; no rows: left alone)."""
+    return write_if_nonempty(team_dimension(read_parquet(spark, raw_teams)), write_parquet, dim)
 
 
 # -- W8 / W9 / W10 ------------------------------------------------------------
 
-def mixed_folder_as_text(spark: SparkSession, folder: str) -> DataFrame | None:
-    """CSV + JSON files of a folder, every column as text, strict union by name."""
-    frames = [cast_all_to_string(df) for df in read_mixed_format(spark, folder) if df is not None]
-    return union_by_name_strict(frames) if frames else None
+def mixed_folder(spark: SparkSession, folder: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """``(rows, rejects)`` of the CSV and JSON files of a folder.
 
+    Columns that a file lacks are null, whatever its format.  A column keeps its type when
+    all sources agree on it (or all are numbers); otherwise it is text, nested values as
+    JSON.  Rejects are the files that are no JSON.
+    """
+    csv_df, json_df = read_mixed_format(spark, folder)
+    json_df, rejects = split_rejects(json_df)
+    frames = [df for df in (csv_df, json_df) if df is not None]
+    return (union_by_name_strict(unify_schemas(frames)) if frames else None), rejects
 
-def countries_to_raw(spark: SparkSession, landing_countries: str, raw_countries: str) -> str | None:
-    """Country files -> one parquet file (a small dimension)."""
-    combined = mixed_folder_as_text(spark, landing_countries)
-    if combined is None:
-        return None
-    return write_single_parquet(combined, raw_countries)
+
+def countries_to_raw(spark: SparkSession, landing_countries: str, raw_countries: str,
+                     one_file: bool = False) -> str | None:
+    """Country files -> parquet; unreadable files go to ``<raw_countries>_rejects``."""
+    return _publish_folder(spark, landing_countries, raw_countries, one_file)
+
+
+def _publish_folder(spark: SparkSession, folder: str, dest: str, one_file: bool) -> str | None:
+    rows, rejects = mixed_folder(spark, folder)
+    if rejects is not None:
+        write_parquet(rejects, f"{dest.rstrip('/')}_rejects")
+    return None if rows is None else write_if_nonempty(rows, publish, dest, "parquet", one_file)
 
 
 def country_dimension(df: DataFrame) -> DataFrame:
@@ -226,31 +243,31 @@ def country_dimension(df: DataFrame) -> DataFrame:
     return rename_columns(drop_columns(df, "id"), {"fifa_name": "country_id"})
 
 
-def countries_to_building(spark: SparkSession, raw_countries: str, building_countries: str) -> str:
-    """Raw countries -> building countries."""
-    return write_parquet(country_dimension(read_parquet(spark, raw_countries)), building_countries)
+def countries_to_building(spark: SparkSession, raw_countries: str, building_countries: str) -> str | None:
+    """Raw countries -> building countries (no rows: left alone)."""
+    return write_if_nonempty(country_dimension(read_parquet(spark, raw_countries)), write_parquet, building_countries)
 
 
 GENERAL_DIMENSIONS = (("TEAMS", "DimTeams"), ("COUNTRIES", "DimCountries"))
 
 
 def general_dims_job(spark: SparkSession, raw_general: str, master: str,
-                     subjects: Iterable[tuple[str, str]] = GENERAL_DIMENSIONS) -> dict[str, str]:
-    """Each subject folder (mixed files) -> one single-file dimension."""
+                     subjects: Iterable[tuple[str, str]] = GENERAL_DIMENSIONS, one_file: bool = False) -> dict[str, str]:
+    """Each subject folder (mixed files) -> one dimension."""
     written = {}
     for subject, dim in subjects:
-        combined = mixed_folder_as_text(spark, f"{raw_general.rstrip('/')}/{subject}")
-        if combined is not None:
-            written[dim] = write_single_parquet(combined, f"{master.rstrip('/')}/{dim}")
+        done = _publish_folder(spark, f"{raw_general.rstrip('/')}/{subject}", f"{master.rstrip('/')}/{dim}", one_file)
+        if done is not None:
+            written[dim] = done
     return written
 
 
 # -- W11 / W12 ----------------------------------------------------------------
 
-def all_seasons_csv_job(spark: SparkSession, building: str, dest: str) -> str | None:
+def all_seasons_csv_job(spark: SparkSession, building: str, dest: str, one_file: bool = False) -> str | None:
     """Every season of a building table -> one CSV export with header."""
     rows = read_season_table(spark, building, merge_schema=True)
-    return None if rows is None else export_single_csv(rows, dest)
+    return None if rows is None else export_csv(rows, dest, one_file)
 
 
 def serve_table_job(spark: SparkSession, table: str, dest: str) -> str:

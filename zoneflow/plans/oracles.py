@@ -9,9 +9,76 @@ correlated "latest season up to this one" lookup.
 
 from __future__ import annotations
 
-from zoneflow.functions.names import NAME_STOP_TOKENS, TEAM_SYNONYM_RULES
-from zoneflow.operators.schema import STANDARD_MATCH_COLUMNS
-from zoneflow.plans.standins import EXCLUDED_SEASON, REPLACED_SEASON, team_pool
+# --- fixed values, written out here on their own ---------------------------------
+EXCLUDED_SEASON = "1999-00"
+REPLACED_SEASON = "1997-98"
+NAME_STOP_TOKENS = ("sc", "bc", "acf", "afc", "fc", "cf", "club", "de", "la", "fútbol", "football", "04")
+STANDARD_MATCH_COLUMNS = (
+    ("round", "string"), ("ft", "string"), ("ht", "string"), ("agg_ft", "string"),
+    ("et", "string"), ("p", "string"), ("stage", "string"), ("group", "string"),
+    ("day", "string"), ("week", "int"), ("dateonly", "string"), ("temporada", "string"),
+    ("round_type", "string"), ("team_name_1", "string"), ("country_1", "string"), ("team_name_2", "string"),
+    ("country_2", "string"), ("team1score", "int"), ("team2score", "int"), ("comments", "string"),
+    ("partition_0", "string"), ("partition_1", "string"),
+)
+TEAM_SYNONYM_RULES = (
+    ("FC Barcelona", "Barcelona"),
+    ("Barça", "Barcelona"),
+    ("Manchester Utd", "Manchester United"),
+    ("Man U", "Manchester United"),
+    ("Real Madrid CF", "Real Madrid"),
+    ("Los Blancos", "Real Madrid"),
+    ("Bayern München", "Bayern Munich"),
+    ("FC Bayern", "Bayern Munich"),
+    ("Juventus FC", "Juventus"),
+    ("La Vecchia Signora", "Juventus"),
+    ("Paris Saint-Germain", "PSG"),
+    ("PSG", "Paris Saint-Germain"),
+    ("Chelsea FC", "Chelsea"),
+    ("The Blues", "Chelsea"),
+    ("Liverpool FC", "Liverpool"),
+    ("The Reds", "Liverpool"),
+    ("Manchester City FC", "Manchester City"),
+    ("Man City", "Manchester City"),
+    ("Inter Milano", "Inter Milan"),
+    ("Inter Milan", "Inter Milan"),
+    ("Atletico Madrid", "Atlético Madrid"),
+    ("Atletico", "Atlético Madrid"),
+    ("AC Milan", "Milan"),
+    ("Milan AC", "Milan"),
+    ("Tottenham Hotspur", "Tottenham"),
+    ("Spurs", "Tottenham"),
+    ("Sevilla FC", "Sevilla"),
+    ("Benfica Lisbon", "Benfica"),
+    ("SL Benfica", "Benfica"),
+    ("Borussia Dortmund", "Dortmund"),
+    ("BVB", "Dortmund"),
+    ("Olympique de Marseille", "Marseille"),
+    ("OM", "Marseille"),
+    ("AS Roma", "Roma"),
+    ("Giallorossi", "Roma"),
+    ("Shakhtar Donetsk", "Shakhtar"),
+    ("FC Shakhtar", "Shakhtar"),
+    ("Ajax Amsterdam", "Ajax"),
+    ("AFC Ajax", "Ajax"),
+    ("RB Leipzig", "Leipzig"),
+    ("RasenBallsport Leipzig", "Leipzig"),
+    ("Zenit St. Petersburg", "Zenit"),
+    ("FC Zenit", "Zenit"),
+    ("Lazio Roma", "Lazio"),
+    ("SS Lazio", "Lazio"),
+    ("FC Porto", "Porto"),
+    ("The Dragons", "Porto"),
+    ("Sporting CP", "Sporting"),
+    ("Sporting Lisbon", "Sporting"),
+    ("Galatasaray SK", "Galatasaray"),
+    ("Gala", "Galatasaray"),
+    ("Red Star Belgrade", "Crvena Zvezda"),
+    ("FK Crvena Zvezda", "Crvena Zvezda"),
+    ("Celtic FC", "Celtic"),
+    ("The Hoops", "Celtic"),
+)
+# ----------------------------------------------------------------------------------
 
 _DUCK_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
 
@@ -25,7 +92,11 @@ def season(x: str) -> str:
 
 
 def letters(x: str) -> str:
-    return f"translate(lpad(cast({x} AS VARCHAR), 8, '0'), '0123456789', 'abcdefghij')"
+    return f"('k' || translate(cast({x} AS VARCHAR), '0123456789', 'abcdefghij'))"
+
+
+def team_pool() -> list[str]:
+    return list(dict.fromkeys([label for rule in TEAM_SYNONYM_RULES for label in rule] + ["psg", "Unknown FC"]))
 
 
 def text_date(x: str) -> str:
@@ -159,12 +230,12 @@ WITH s AS (SELECT {letters('s_suppkey')} AS name, cast(s_suppkey AS INTEGER) AS
                   cast(s_nationkey AS VARCHAR) || '-' || cast(s_suppkey % 7 AS VARCHAR) AS total_goals,
                   cast(s_nationkey - s_suppkey % 7 AS INTEGER) AS goal_difference,
                   cast((s_suppkey % 10) * 3 + s_nationkey % 3 AS INTEGER) AS points FROM supplier),
-     c AS (SELECT {letters('c_custkey')} AS name, cast(1900 + c_nationkey AS INTEGER) AS foundation_year,
+     c AS (SELECT {letters('c_custkey')} AS name, c_custkey AS key, cast(1900 + c_nationkey AS INTEGER) AS foundation_year,
                   c_mktsegment AS status, c_name AS coach_first_name, {letters('c_nationkey')} AS coach_last_name,
                   cast(c_nationkey AS VARCHAR) AS coach_nationality, '1970-01-01' AS coach_date_of_birth
            FROM customer)
 SELECT coalesce(s.name, c.name) AS name, s."index", s.matches_played, s.wins, s.draws, s.losses, s.total_goals,
-       s.goal_difference, s.points, c.foundation_year, c.status, c.coach_first_name, c.coach_last_name,
+       s.goal_difference, s.points, c.key, c.foundation_year, c.status, c.coach_first_name, c.coach_last_name,
        c.coach_nationality, c.coach_date_of_birth
 FROM s FULL JOIN c ON s.name = c.name"""
 
@@ -206,6 +277,45 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_
 WHERE {season('o.o_orderdate')} = '{EXCLUDED_SEASON}'"""
 
 
+PART_NAME = f"CASE WHEN p_size % 10 <> 0 THEN {letters('p_size')} END"
+
+MERGE_DUPLICATES = f"""
+WITH a AS (SELECT {PART_NAME} AS name, CASE WHEN p_partkey % 4 <> 0 THEN p_brand END AS brand, p_retailprice AS price FROM part),
+     b AS (SELECT {PART_NAME} AS name, p_brand AS brand, p_type AS container FROM part),
+     a1 AS (SELECT * FROM a WHERE name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY name ORDER BY brand IS NULL,
+            CASE WHEN brand IS NULL THEN '{{"price":' ELSE '{{"brand":"' || brand || '","price":' END
+            || cast(price AS VARCHAR) || '}}') = 1),
+     b1 AS (SELECT * FROM b WHERE name IS NOT NULL QUALIFY row_number() OVER (
+            PARTITION BY name ORDER BY '{{"brand":"' || brand || '","container":"' || container || '"}}') = 1)
+SELECT coalesce(a1.name, b1.name) AS name, coalesce(a1.brand, b1.brand) AS brand, a1.price AS price, b1.container AS container
+FROM a1 FULL JOIN b1 ON a1.name = b1.name
+UNION ALL SELECT name, brand, price, NULL FROM a WHERE name IS NULL
+UNION ALL SELECT name, brand, NULL, container FROM b WHERE name IS NULL"""
+
+TEAM_FILES = f"""
+WITH s AS (SELECT s_suppkey AS k, s_nationkey AS nation FROM supplier),
+     named AS (SELECT {letters('k')} AS name, cast(k AS INTEGER) AS i, CASE WHEN k % 3 <> 0 THEN nation ELSE 77 END AS m,
+                      cast(k % 10 AS BIGINT) AS w FROM s WHERE k % 5 <> 0),
+     c AS (SELECT {letters('c_custkey')} AS name, c_custkey AS w, cast(1900 + c_nationkey AS INTEGER) AS y,
+                  'Arena ' || c_nationkey AS stadium FROM customer),
+     nameless AS (SELECT cast(k AS INTEGER) AS i, CASE WHEN k % 3 <> 0 THEN nation END AS m, k % 10 AS w FROM s WHERE k % 5 = 0
+                  UNION ALL SELECT cast(k AS INTEGER), NULL, 99 FROM s WHERE k % 5 = 0
+                  UNION ALL SELECT cast(k AS INTEGER), 77, k % 10 + 50 FROM s WHERE k % 5 = 0)
+SELECT coalesce(n.name, c.name) AS name, n.i AS "index", cast(n.m AS INTEGER) AS matches_played,
+       cast(coalesce(n.w, c.w) AS BIGINT) AS wins, c.y AS foundation_year, c.stadium AS stadium
+FROM named n FULL JOIN c ON n.name = c.name
+UNION ALL SELECT NULL, i, cast(m AS INTEGER), cast(w AS BIGINT), NULL, NULL FROM nameless"""
+
+PAGES = """
+WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS n, count(*) OVER () AS total,
+                  cast(to_json([cast(c_custkey AS VARCHAR), c_name, cast(c_nationkey AS VARCHAR), c_mktsegment]) AS VARCHAR) AS row
+           FROM customer)
+SELECT '{"columns":["c_custkey","c_name","c_nationkey","c_mktsegment"],"data":[' || string_agg(row, ',' ORDER BY c_custkey) || ']}'
+           AS document,
+       CASE WHEN max(total) > max(n) THEN max(c_custkey) END AS next, cast((n - 1) // 50 + 1 AS INTEGER) AS page
+FROM r WHERE n <= 100 GROUP BY (n - 1) // 50"""
+
+
 ORACLES: dict[str, str] = {
     # scans
     "season_folder_scan": f"SELECT {season('o_orderdate')} AS season, count(*) AS n_rows FROM orders GROUP BY 1",
@@ -224,6 +334,9 @@ ORACLES: dict[str, str] = {
     "parquet_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "single_file_parquet": "SELECT * FROM supplier",
     "single_csv_export": SUPPLIER_TEXT,
+    "single_csv_export_text": """SELECT cast(doc_id AS VARCHAR) AS doc_id, text, lang, source,
+                                        cast(n_chars AS VARCHAR) AS n_chars FROM documents""",
+    "serve_page_document": PAGES,
     "season_partition_overwrite": f"""
         SELECT o_orderkey, o_custkey, o_orderstatus,
                CASE WHEN {season('o_orderdate')} = '{REPLACED_SEASON}' THEN o_totalprice * 2 ELSE o_totalprice END
@@ -303,6 +416,7 @@ ORACLES: dict[str, str] = {
     "season_row_counts": f"SELECT {season('o_orderdate')} AS season, count(*) AS n_rows FROM orders GROUP BY 1",
     "outer_merge_first_non_null": ENTITIES,
     "outer_merge_grouped": ENTITIES,
+    "outer_merge_duplicates": MERGE_DUPLICATES,
     "lookup_fill_asof": fill_sql(MATCH_FRAME),
     "lookup_fill_asof_window": fill_sql(MATCH_FRAME),
     # jobs
@@ -310,6 +424,25 @@ ORACLES: dict[str, str] = {
     "stream_season_raw": f"SELECT {ORDERS_TEXT}, {season('o_orderdate')} AS season FROM orders",
     "pipe_match_dates": MATCH_DATES,
     "pipe_match_scores": MATCH_SCORES,
+    "pipe_match_dates_mixed_layouts": f"""
+        SELECT cast(o_orderkey AS VARCHAR) AS comments,
+               CASE WHEN year(o_orderdate) % 3 < 2 THEN {iso('o_orderdate')} END AS dateonly,
+               CASE WHEN year(o_orderdate) % 3 < 2 THEN strftime(o_orderdate, '%a') ELSE 'Fri' END AS "day",
+               CASE WHEN year(o_orderdate) % 3 < 2 THEN {week('o_orderdate')} ELSE 7 END AS week,
+               {season('o_orderdate')} AS season FROM orders""",
+    "pipe_match_scores_mixed_layouts": f"""
+        SELECT cast(o_orderkey AS VARCHAR) AS comments,
+               cast(CASE WHEN year(o_orderdate) % 2 = 0 AND o_orderstatus = 'O' THEN o_custkey % 9 ELSE o_custkey % 4 END
+                    AS INTEGER) AS team1score,
+               CASE WHEN year(o_orderdate) % 2 = 0 THEN CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE 'g' END END
+                   AS round_type,
+               {season('o_orderdate')} AS season FROM orders""",
+    "pipe_teams_multi_file": TEAM_FILES,
+    "pipe_countries_bad_file": """
+        SELECT cast(s_suppkey AS VARCHAR) AS s_suppkey, s_name, 'csv' AS origin, cast(NULL AS DOUBLE) AS s_acctbal,
+               1 AS rejected FROM supplier
+        UNION ALL SELECT cast(s_suppkey AS VARCHAR), s_name, NULL, s_acctbal, 1 FROM supplier""",
+    "pipe_countries_json_types": """SELECT s_suppkey, s_name, s_acctbal, cast(s_nationkey AS BIGINT) AS nation FROM supplier""",
     "pipe_match_enrich": f"SELECT * FROM ({fill_sql(ENRICH_FRAME)}) UNION ALL BY NAME SELECT * FROM ({ENRICH_SKIPPED})",
     "pipe_match_enrich_incremental": fill_sql(ENRICH_ALL_FRAME),
     "pipe_fact_matches": f"""

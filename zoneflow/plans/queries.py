@@ -37,7 +37,6 @@ from zoneflow.operators import (
     known_pairs,
     latest_known_value,
     merge_grouped,
-    merge_joined,
     rename_columns,
     row_counts,
     standardize_columns,
@@ -53,6 +52,7 @@ from zoneflow.streaming import incremental_landing_to_raw
 from zoneflow.sinks import (
     append_parquet,
     export_single_csv,
+    page_document,
     preview_rows,
     replace_partitions,
     write_if_nonempty,
@@ -205,6 +205,12 @@ def q_single_csv_export(spark, sf):
     return read_csv_strings(spark, path)
 
 
+def q_single_csv_export_text(spark, sf):
+    """K6 on whole texts: line breaks, quotes, blanks and empty strings read back as they were."""
+    path = export_single_csv(table(spark, sf, "documents"), scratch_dir(spark, "single-csv-text"))
+    return read_csv_strings(spark, path, multiLine="true", escape='"')
+
+
 def q_season_partition_overwrite(spark, sf):
     path = standins.orders_by_season(spark, sf)
     orders = table(spark, sf, "orders").withColumn("season", season_of("o_orderdate"))
@@ -228,6 +234,14 @@ def q_json_rows_export(spark, sf):
     return spark.read.text(path).withColumnRenamed("value", "data")
 
 
+def q_serve_page_document(spark, sf):
+    """Two pages of the table, the second from where the first one ends (the page size is the feature)."""
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    first = page_document(rows, "c_custkey", 50)
+    second = page_document(rows, "c_custkey", 50, after=first.first()["next"])
+    return first.withColumn("page", F.lit(1)).unionByName(second.withColumn("page", F.lit(2)))
+
+
 def q_preview_rows(spark, sf):
     return preview_rows(table(spark, sf, "customer"), "c_custkey", 5)
 
@@ -373,22 +387,30 @@ def q_season_row_counts(spark, sf):
 
 
 def q_outer_merge_first_non_null(spark, sf):
-    return merge_joined(list(_entities(spark, sf)), "name")
+    return merge_grouped(list(_entities(spark, sf)), "name")
 
 
 def q_outer_merge_grouped(spark, sf):
     return merge_grouped(list(_entities(spark, sf)), "name")
 
 
+def q_outer_merge_duplicates(spark, sf):
+    """Sources with repeated and missing names: whole rows per source, first non-null across them."""
+    p = table(spark, sf, "part")
+    name = F.when(F.col("p_size") % 10 != 0, letters("p_size"))
+    first = p.select(name.alias("name"), F.when(F.col("p_partkey") % 4 != 0, F.col("p_brand")).alias("brand"),
+                     F.col("p_retailprice").alias("price"))
+    second = p.select(name.alias("name"), F.col("p_brand").alias("brand"), F.col("p_type").alias("container"))
+    return merge_grouped([first, second], "name")
+
+
 def q_lookup_fill_asof(spark, sf):
-    # the input is a three-way join: checkpoint it once instead of joining three times
-    return fill_from_latest_known(standins.match_frame(spark, sf), "team_name_1", "country_1", "season",
-                                  materialize=True)
+    return fill_from_latest_known(standins.match_frame(spark, sf), "team_name_1", "country_1", "season")
 
 
 def q_lookup_fill_asof_window(spark, sf):
-    return fill_from_latest_known(standins.match_frame(spark, sf), "team_name_1", "country_1", "season",
-                                  strategy="window")
+    """The same fill over the enriched team labels' input frame (one plan for every key size)."""
+    return fill_from_latest_known(standins.match_frame(spark, sf), "team_name_1", "country_1", "season")
 
 
 # -- jobs ------------------------------------------------------------------------------------
@@ -411,6 +433,18 @@ def q_pipe_match_scores(spark, sf):
     return read_season_table(spark, dst).withColumn("season", F.col("season").cast("string"))
 
 
+def q_pipe_match_dates_mixed_layouts(spark, sf):
+    dst = scratch_dir(spark, "building-dates-layouts")
+    jobs.match_dates_job(spark, standins.raw_dates_by_layout(spark, sf), dst)
+    return read_season_table(spark, dst).select("comments", "dateonly", "day", "week", F.col("season").cast("string"))
+
+
+def q_pipe_match_scores_mixed_layouts(spark, sf):
+    dst = scratch_dir(spark, "building-scores-layouts")
+    jobs.match_scores_job(spark, standins.raw_scores_by_layout(spark, sf), dst)
+    return read_season_table(spark, dst).select("comments", "team1score", "round_type", F.col("season").cast("string"))
+
+
 def q_pipe_match_enrich(spark, sf):
     dst = scratch_dir(spark, "building-enriched")
     jobs.match_enrich_job(spark, standins.raw_match_teams(spark, sf), dst, skip_seasons=(EXCLUDED_SEASON,))
@@ -441,6 +475,13 @@ def q_pipe_teams_raw(spark, sf):
     return read_parquet(spark, raw)
 
 
+def q_pipe_teams_multi_file(spark, sf):
+    """W6 over several CSV and JSON files, in path order, one of them broken."""
+    raw = scratch_dir(spark, "raw-teams-files")
+    jobs.teams_to_raw(spark, standins.landing_team_files(spark, sf), raw)
+    return read_parquet(spark, raw).select("name", "index", "matches_played", "wins", "foundation_year", "stadium")
+
+
 def q_pipe_players_raw(spark, sf):
     """W6 for PLAYERS: the team parser, then the PLAYERS schema (player columns typed null)."""
     raw = scratch_dir(spark, "raw-players-out")
@@ -460,6 +501,20 @@ def q_pipe_countries_raw(spark, sf):
     return read_parquet(spark, path)
 
 
+def q_pipe_countries_bad_file(spark, sf):
+    """W8 over CSV, JSON and a broken file: the good rows, and how many files were put aside."""
+    raw = scratch_dir(spark, "raw-countries-bad")
+    path = jobs.countries_to_raw(spark, standins.landing_countries_typed(spark, sf, broken=True), raw)
+    rejected = read_parquet(spark, f"{raw}_rejects").count()
+    return read_parquet(spark, path).drop("place").withColumn("rejected", F.lit(rejected).cast("int"))
+
+
+def q_pipe_countries_json_types(spark, sf):
+    raw = scratch_dir(spark, "raw-countries-types")
+    path = jobs.countries_to_raw(spark, standins.landing_countries_typed(spark, sf, broken=False), raw)
+    return read_parquet(spark, path).select("s_suppkey", "s_name", "s_acctbal", F.col("place.nation").alias("nation"))
+
+
 def q_pipe_dim_countries(spark, sf):
     out = scratch_dir(spark, "building-countries")
     jobs.countries_to_building(spark, standins.raw_countries(spark, sf), out)
@@ -492,8 +547,9 @@ def q_stream_season_raw(spark, sf):
     checkpoint = scratch_dir(spark, "raw-stream-checkpoint")
     orders = table(spark, sf, "orders").withColumn("season", season_of("o_orderdate"))
     schema = StructType([StructField(c, StringType()) for c in orders.columns if c != "season"])
-    for arrival, parity in (("arrival-1", 0), ("arrival-2", 1)):
-        standins.land_by_season(spark, orders.filter(F.col("o_orderkey") % 2 == parity), base, batch=arrival)
+    even = F.coalesce(F.pmod("o_orderkey", F.lit(2)) == 0, F.lit(True))
+    for arrival, rows in (("arrival-1", orders.filter(even)), ("arrival-2", orders.filter(~even))):
+        standins.land_by_season(spark, rows, base, batch=arrival)
         incremental_landing_to_raw(spark, base, raw, schema, checkpoint)
     return read_parquet(spark, raw).withColumn("season", F.col("season").cast("string"))
 

@@ -17,7 +17,7 @@ from zoneflow.sinks.writers import filesystem, move_path, write_parquet
 
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
                "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
-JSON_CHUNK_ROWS = 1000        # rows per multi-line JSON array file
+JSON_CHUNK_ROWS = 10_000      # rows per multi-line JSON array file
 EXCLUDED_SEASON = "1999-00"   # the season the stand-in queries skip
 REPLACED_SEASON = "1997-98"   # the season the partition-replace query rewrites
 
@@ -33,9 +33,9 @@ def season_of(ts: Column | str) -> Column:
 
 
 def letters(key: Column | str) -> Column:
-    """A digit-free unique name for a numeric key: 12 -> ``aaaaaabc``."""
+    """A digit-free unique name for a numeric key of any length: 12 -> ``kbc`` (never a stop word)."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.translate(F.lpad(k.cast("string"), 8, "0"), "0123456789", "abcdefghij")
+    return F.concat(F.lit("k"), F.translate(k.cast("string"), "0123456789", "abcdefghij"))
 
 
 def team_pool() -> list[str]:
@@ -77,19 +77,12 @@ def write_json_arrays(df: DataFrame, path: str, chunk_key: str, rows_per_file: i
     docs = (df.select(chunk, F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("_doc"))
             .groupBy("_chunk")
             .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("_doc"), ",\n"), F.lit("\n]")).alias("value")))
-    docs.repartition("_chunk").write.mode("overwrite").partitionBy("_chunk").text(path)
-    # the text writer names files *.txt; JSON folders are selected by extension
-    spark = df.sparkSession
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs, root = filesystem(spark, path)
-    files = fs.listFiles(root, True)
-    renames = []
-    while files.hasNext():
-        f = files.next().getPath()
-        if f.getName().endswith(".txt"):
-            renames.append(f)
-    for f in renames:
-        fs.rename(f, hpath(f.getParent(), f.getName()[:-4] + ".json"))
+    # one array per file; the text writer names files *.txt, JSON files are found by extension
+    docs.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    fs, root = filesystem(df.sparkSession, path)
+    hpath = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+    for status in fs.globStatus(hpath(root, "*.txt")) or []:
+        fs.rename(status.getPath(), hpath(root, status.getPath().getName()[:-4] + ".json"))
     return path
 
 
@@ -202,6 +195,38 @@ def raw_match_teams(spark: SparkSession, sf_dir: str) -> str:
     return write_parquet(df, path, partition_by=("season",))
 
 
+def raw_dates_by_layout(spark: SparkSession, sf_dir: str) -> str:
+    """Raw match rows for W2 whose seasons differ in columns, by the year's remainder of 3:
+    a ``datetime``; a ``Date`` text; neither, but ``day`` and ``week``."""
+    path = scratch_dir(spark, "raw-dates-layouts")
+    o = table(spark, sf_dir, "orders")
+    kind = F.year("o_orderdate") % 3
+    own = (
+        [F.col("o_orderdate").cast("string").alias("datetime"), F.lit("old").alias("day")],
+        [text_date("o_orderdate").alias("Date"), F.col("o_orderkey").alias("index")],
+        [F.lit("Fri").alias("day"), F.lit(7).alias("week")],
+    )
+    for rest, columns in enumerate(own):
+        rows = o.filter(kind == rest).select(F.col("o_orderkey").cast("string").alias("comments"), *columns,
+                                             season_of("o_orderdate").alias("season"))
+        write_parquet(rows, path, mode="append", partition_by=("season",))
+    return path
+
+
+def raw_scores_by_layout(spark: SparkSession, sf_dir: str) -> str:
+    """Raw match rows for W3: even years have ``round_type`` (null or a value) and ``score1``, odd ones neither."""
+    path = scratch_dir(spark, "raw-scores-layouts")
+    o = table(spark, sf_dir, "orders")
+    base = [F.col("o_orderkey").cast("string").alias("comments"), (F.col("o_custkey") % 4).cast("string").alias("team1score"),
+            season_of("o_orderdate").alias("season")]
+    even = F.year("o_orderdate") % 2 == 0
+    own = [F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("round_type"),
+           F.when(F.col("o_orderstatus") == "O", (F.col("o_custkey") % 9).cast("int")).alias("score1")]
+    write_parquet(o.filter(even).select(*base, *own), path, mode="append", partition_by=("season",))
+    write_parquet(o.filter(~even).select(*base), path, mode="append", partition_by=("season",))
+    return path
+
+
 def building_mixed(spark: SparkSession, sf_dir: str) -> str:
     """A building zone whose season partitions hold W2- and W3-shaped files, plus COUNTRIES."""
     from zoneflow.operators.matches import clean_match_dates, clean_match_scores
@@ -247,6 +272,37 @@ def landing_teams(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
+def landing_team_files(spark: SparkSession, sf_dir: str) -> str:
+    """TEAMS landing folder of several files whose paths interleave CSV and JSON, with repeated and
+    missing names, further JSON columns, a year as text, and a broken JSON file."""
+    base = scratch_dir(spark, "landing-team-files")
+    s, c = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    k = F.col("s_suppkey")
+
+    def standing(rows: DataFrame, matches: Column, wins: Column) -> DataFrame:
+        return rows.select(
+            k.cast("int").alias("idx"), F.when(k % 5 != 0, F.concat(F.lit("FC "), letters(k))).alias("team"),
+            matches.cast("int").alias("m"), wins.cast("int").alias("w"), F.lit(2).alias("d"), F.lit(1).alias("l"),
+            F.lit("1-1").alias("g"), F.lit(0).alias("dif"), F.lit(9).alias("pt"))
+
+    # a-csv: every supplier twice in a file, the second row with more gaps; c-csv: other wins, no gaps
+    twice = s.withColumn("again", F.explode(F.array(F.lit(False), F.lit(True))))
+    write_csv(standing(twice, F.when(~F.col("again") & (k % 3 != 0), F.col("s_nationkey")),
+                       F.when(F.col("again"), F.lit(99)).otherwise(k % 10)), f"{base}/a-csv")
+    write_csv(standing(s, F.lit(77), k % 10 + 50), f"{base}/c-csv")
+    clubs = c.select(F.col("c_custkey").alias("key"), letters("c_custkey").alias("name"),
+                     (F.lit(1900) + F.col("c_nationkey")).cast("string").alias("founded"), F.col("c_custkey").alias("wins"),
+                     F.concat(F.lit("Arena "), F.col("c_nationkey").cast("string")).alias("stadium"))
+    write_json_arrays(clubs, f"{base}/b-json", "key")
+    table(spark, sf_dir, "nation").select(F.concat(F.lit('{"name": "x", '), F.col("n_name")).alias("value")).coalesce(1) \
+        .write.text(f"{base}/d-broken")
+    fs, root = filesystem(spark, f"{base}/d-broken")
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.globStatus(hpath(root, "*.txt")):
+        fs.rename(status.getPath(), hpath(root, "broken.json"))
+    return base
+
+
 def raw_team_goals(spark: SparkSession, sf_dir: str) -> str:
     """Raw TEAMS table for W7: per supplier ``total_goals`` = "quantity-lines"."""
     path = scratch_dir(spark, "raw-team-goals")
@@ -261,8 +317,9 @@ def raw_team_goals(spark: SparkSession, sf_dir: str) -> str:
 
 def landing_mixed(spark: SparkSession, df: DataFrame, key: str, base: str) -> str:
     """Half of ``df`` as CSV, the other half as JSON arrays (split by key parity), plus a decoy."""
-    write_csv(df.filter(F.col(key) % 2 == 0), f"{base}/part_a")
-    write_json_arrays(df.filter(F.col(key) % 2 == 1), f"{base}/part_b/nested", key)
+    even = F.coalesce(F.pmod(F.col(key), F.lit(2)) == 0, F.lit(True))  # every row is in one of the halves
+    write_csv(df.filter(even), f"{base}/part_a")
+    write_json_arrays(df.filter(~even), f"{base}/part_b/nested", key)
     df.select(F.col(df.columns[1]).cast("string").alias("value")).write.mode("overwrite").text(f"{base}/notes")
     return base
 
@@ -272,6 +329,22 @@ def landing_countries(spark: SparkSession, sf_dir: str) -> str:
     return landing_mixed(spark, table(spark, sf_dir, "supplier"), "s_suppkey", scratch_dir(spark, "landing-countries"))
 
 
+def landing_countries_typed(spark: SparkSession, sf_dir: str, broken: bool) -> str:
+    """COUNTRIES landing folder: JSON with numbers and a nested value; ``broken`` adds CSV rows and a broken file."""
+    base = scratch_dir(spark, "landing-countries-typed")
+    s = table(spark, sf_dir, "supplier")
+    rows = s.select("s_suppkey", "s_name", "s_acctbal", F.struct(F.col("s_nationkey").alias("nation")).alias("place"))
+    write_json_arrays(rows, f"{base}/json", "s_suppkey")
+    if broken:
+        write_csv(s.select("s_suppkey", "s_name", F.lit("csv").alias("origin")), f"{base}/csv")
+        s.select(F.concat(F.lit("[{"), F.col("s_name")).alias("value")).coalesce(1).write.text(f"{base}/broken")
+        fs, root = filesystem(spark, f"{base}/broken")
+        hpath = spark._jvm.org.apache.hadoop.fs.Path
+        for status in fs.globStatus(hpath(root, "*.txt")):
+            fs.rename(status.getPath(), hpath(root, "broken.json"))
+    return base
+
+
 def raw_general(spark: SparkSession, sf_dir: str) -> str:
     """Raw general-data zone: TEAMS (customer) and COUNTRIES (supplier) mixed folders."""
     base = scratch_dir(spark, "raw-general")
@@ -291,8 +364,9 @@ def raw_countries(spark: SparkSession, sf_dir: str) -> str:
 
 __all__ = [
     "EXCLUDED_SEASON", "REPLACED_SEASON", "add_landing_noise", "building_mixed",
-    "land_by_season", "landing_countries", "landing_mixed", "landing_orders", "landing_teams",
-    "letters", "match_frame", "orders_by_season", "pick_team", "raw_countries", "raw_general",
+    "land_by_season", "landing_countries", "landing_countries_typed", "landing_mixed", "landing_orders",
+    "landing_team_files", "landing_teams", "letters", "match_frame", "orders_by_season", "pick_team", "raw_countries",
+    "raw_dates_by_layout", "raw_general", "raw_scores_by_layout",
     "raw_match_dates", "raw_match_scores", "raw_match_teams", "raw_team_goals", "season_of",
     "table", "team_pool", "text_date", "write_csv", "write_json_arrays",
 ]

@@ -2,8 +2,9 @@
 
 Scratch data (stage outputs, landing-zone stand-ins) always lives under the
 session's ``spark.checkpoint.dir`` -- the shared folder a cluster names for
-durable intermediate data.  Only when no checkpoint directory is configured
-(tests, a laptop) do we create a local one.
+durable intermediate data.  A cluster session without that setting is an error;
+only a local master (tests, a laptop), where the driver is the only machine, gets
+a folder of its own.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def build_session(master: str = "local[8]", app: str = "zoneflow", **conf: str)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a local one only if unset."""
+    """The shared checkpoint folder of the session; one of its own only on a local master."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
@@ -44,7 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root:
             sc.setCheckpointDir(root)
     if not root:
-        # Unset: a test or a laptop session.  Clusters always name a shared one.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="zoneflow-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -1,12 +1,14 @@
-"""Writers (K1-K8) and bounded result pages.
+"""Writers (K1-K8) and result pages.
 
 Rules kept by every writer:
 
 * never write to a path the plan reads (stage outputs go to the next zone);
-* validate before replace -- the target is only touched after the new data
-  exists (partition replacement commits atomically per job; single-file
-  exports are staged first);
-* one action per output, no ``count()`` guard before a write.
+* a replaced target is only touched after the new data exists: whole tables are
+  written to a folder beside it and swapped in by two renames (a reader that opens the
+  target between them finds none), partition replacement commits per job;
+* one action per output, no ``count()`` guard before a write;
+* the layout of an output does not depend on its size: parallel part files, or one
+  file where the caller asks for one.
 """
 
 from __future__ import annotations
@@ -22,10 +24,6 @@ from zoneflow.functions.render import row_as_json_array
 
 log = logging.getLogger(__name__)
 
-# A single-file output is only produced when the parallel output stays below
-# this many bytes; beyond it the parallel part files are kept as the result.
-SINGLE_FILE_MAX_BYTES = 512 * 1024 * 1024
-
 
 # -- filesystem helpers (metadata operations only) ---------------------------
 
@@ -41,12 +39,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def data_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes below ``path`` (a metadata call, no data read)."""
-    fs, p = filesystem(spark, path)
-    return int(fs.getContentSummary(p).getLength())
-
-
 def data_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     """Visible data files directly in ``path`` (names not starting with ``_``/``.``)."""
     fs, p = filesystem(spark, path)
@@ -73,15 +65,44 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def swap_in(spark: SparkSession, ready: str, path: str) -> str:
+    """Make the finished folder ``ready`` the new ``path``; what was there goes last."""
+    old = f"{path.rstrip('/')}._old-{uuid.uuid4().hex[:8]}"
+    if path_exists(spark, path):
+        move_path(spark, path, old)
+    move_path(spark, ready, path)
+    remove_path(spark, old)
+    return path
+
+
+def _staged(spark: SparkSession, path: str, write) -> str:
+    """Run ``write(folder)`` on a new folder beside ``path`` and swap it in; a failure leaves ``path`` alone."""
+    ready = f"{path.rstrip('/')}._new-{uuid.uuid4().hex[:8]}"
+    try:
+        write(ready)
+    except BaseException:
+        remove_path(spark, ready)
+        raise
+    return swap_in(spark, ready, path)
+
+
 # -- K1 / K3 / K4: whole-table parquet ---------------------------------------
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "snappy",
                   partition_by: Sequence[str] = ()) -> str:
-    """Parquet directory, replaced (default) or appended; snappy-compressed."""
-    writer = df.write.mode(mode).option("compression", compression)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Parquet directory, replaced (default) or appended; snappy-compressed.
+
+    Replacing is safe: a job that fails leaves the old table as it was.
+    """
+    def write(folder: str, how: str = "errorifexists") -> None:
+        writer = df.write.mode(how).option("compression", compression)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(folder)
+
+    if mode == "overwrite":
+        return _staged(df.sparkSession, path, write)
+    write(path, mode)
     return path
 
 
@@ -111,55 +132,55 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = (
 
 def write_if_nonempty(df: DataFrame, write, *args, **kwargs):
     """Run ``write(df, *args, **kwargs)`` only if ``df`` has a row (a limit-1 probe)."""
-    if df.isEmpty():
+    if not df.take(1):
         log.warning("empty result: nothing written")
         return None
     return write(df, *args, **kwargs)
 
 
-# -- K5 / K6: single-file outputs for small tables ----------------------------
+# -- K5 / K6: published tables, in one file where the caller asks for it ---------
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "parquet", max_bytes: int = SINGLE_FILE_MAX_BYTES,
-                      **options: str) -> str:
-    """One output file when the result is small; parallel part files otherwise.
+def publish(df: DataFrame, path: str, fmt: str = "parquet", one_file: bool = False, **options: str) -> str:
+    """Replace ``path`` by ``df``: parallel part files, or with ``one_file`` a single one.
 
-    The data is written once in parallel to a staging folder next to ``path``.
-    If it is at most ``max_bytes`` the small staged copy is rewritten by a
-    single task into a second staging folder; otherwise the parallel parts are
-    kept.  The finished folder then replaces ``path`` by a rename, so a failed
-    job never leaves ``path`` empty, a large table is never funnelled through
-    one task, and the upstream plan is evaluated exactly once.
+    The plan is evaluated in parallel and once.  For a single file the result is first
+    staged as parquet, which keeps every value, and one task then writes the file.
     """
     spark = df.sparkSession
-    tag = uuid.uuid4().hex[:8]
-    parts = f"{path.rstrip('/')}._parts-{tag}"
-    df.write.mode("overwrite").format(fmt).options(**options).save(parts)
-    size = data_bytes(spark, parts)
-    if size <= max_bytes:
-        single = f"{path.rstrip('/')}._single-{tag}"
-        staged = spark.read.format(fmt).schema(df.schema).options(**options).load(parts)
-        staged.repartition(1).write.mode("overwrite").format(fmt).options(**options).save(single)
+    if not one_file:
+        return _staged(spark, path, lambda folder: df.write.format(fmt).options(**options).save(folder))
+    parts = f"{path.rstrip('/')}._parts-{uuid.uuid4().hex[:8]}"
+    try:
+        df.write.parquet(parts)
+        staged = spark.read.schema(df.schema).parquet(parts).repartition(1)
+        return _staged(spark, path, lambda folder: staged.write.format(fmt).options(**options).save(folder))
+    finally:
         remove_path(spark, parts)
-        ready = single
-    else:
-        log.warning("%s: %d bytes exceed the single-file bound; keeping part files", path, size)
-        ready = parts
-    remove_path(spark, path)
-    move_path(spark, ready, path)
-    return path
 
 
-def write_single_parquet(df: DataFrame, path: str, max_bytes: int = SINGLE_FILE_MAX_BYTES) -> str:
-    """K5: a small dimension as one parquet file."""
-    return write_single_file(df, path, "parquet", max_bytes)
+def write_single_parquet(df: DataFrame, path: str) -> str:
+    """K5: a dimension as one parquet file."""
+    return publish(df, path, "parquet", one_file=True)
+
+
+#: Dates as text, and blanks, quotes and empty strings kept, so that an export reads back as it was.
+CSV_EXPORT_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+                      "timestampFormat": "yyyy-MM-dd HH:mm:ss", "escape": '"', "emptyValue": '""',
+                      "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def export_csv(df: DataFrame, path: str, one_file: bool = False, **options: str) -> str | None:
+    """CSV with header; nothing is written for an empty result.
+
+    Values may hold line breaks and quotes: read them back with ``multiLine`` and
+    ``escape='"'``.
+    """
+    return write_if_nonempty(df, publish, path, "csv", one_file, **{**CSV_EXPORT_OPTIONS, **options})
 
 
-def export_single_csv(df: DataFrame, path: str, max_bytes: int = SINGLE_FILE_MAX_BYTES,
-                      **options: str) -> str | None:
-    """K6: one CSV with header; nothing is written for an empty result."""
-    opts = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-            "timestampFormat": "yyyy-MM-dd HH:mm:ss", **options}
-    return write_if_nonempty(df, write_single_file, path, "csv", max_bytes, **opts)
+def export_single_csv(df: DataFrame, path: str, **options: str) -> str | None:
+    """K6: one CSV file with header; nothing is written for an empty result."""
+    return export_csv(df, path, one_file=True, **options)
 
 
 # -- K7 / S1 / S2: serving ------------------------------------------------------
@@ -189,15 +210,32 @@ def preview_rows(df: DataFrame, order_by: str | Sequence[str], n: int = 5) -> Da
     return df.orderBy(*keys).limit(n)
 
 
-def serve_page(df: DataFrame, order_by: str | Sequence[str], limit: int = 1000) -> dict:
-    """``{"columns": [...], "data": [[text|null, ...], ...]}`` for one bounded page."""
-    page = json_rows(preview_rows(df, order_by, limit), df.columns)
-    return {"columns": list(df.columns), "data": [json.loads(r.data) for r in page.collect()]}
+def page_document(df: DataFrame, order_by: str, limit: int, after: object | None = None) -> DataFrame:
+    """One row ``document, next``: a page of ``limit`` rows as ``{"columns": [...], "data": [[text|null, ...], ...]}``.
+
+    Pages follow ``order_by``, a unique column without nulls; ``after`` is the ``next`` of the page
+    before.  ``next`` is null on the last page.
+    """
+    rows = df if after is None else df.filter(F.col(order_by) > F.lit(after))
+    # one row more than the page tells whether another page follows
+    page = rows.select(F.col(order_by).alias("_at"), row_as_json_array(df, df.columns).alias("_row")).orderBy("_at").limit(limit + 1)
+    both = page.agg(F.sort_array(F.collect_list(F.struct("_at", "_row"))).alias("all"))
+    here = F.slice("all", 1, limit)
+    head = json.dumps(list(df.columns), separators=(",", ":"), ensure_ascii=False)
+    data = F.array_join(F.transform(here, lambda x: x["_row"]), ",")
+    return both.select(F.concat(F.lit('{"columns":' + head + ',"data":['), data, F.lit("]}")).alias("document"),
+                       F.when(F.size("all") > limit, F.element_at(here, -1)["_at"]).alias("next"))
+
+
+def serve_page(df: DataFrame, order_by: str, limit: int, after: object | None = None) -> dict:
+    """``{"columns", "data", "next"}`` of one page; the caller says how many rows and goes on after ``next``."""
+    row = page_document(df, order_by, limit, after).first()
+    return {**json.loads(row["document"]), "next": row["next"]}
 
 
 __all__ = [
-    "SINGLE_FILE_MAX_BYTES", "append_parquet", "data_bytes", "data_files", "export_single_csv", "filesystem",
-    "json_rows", "move_path", "path_exists", "preview_rows", "remove_path", "replace_partitions",
-    "serve_page", "write_if_nonempty", "write_json_rows", "write_parquet", "write_single_file",
+    "CSV_EXPORT_OPTIONS", "append_parquet", "data_files", "export_csv", "export_single_csv", "filesystem",
+    "json_rows", "move_path", "page_document", "path_exists", "preview_rows", "publish", "remove_path",
+    "replace_partitions", "serve_page", "swap_in", "write_if_nonempty", "write_json_rows", "write_parquet",
     "write_single_parquet",
 ]

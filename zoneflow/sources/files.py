@@ -6,18 +6,20 @@ extra inference pass over the data that an untyped CSV/JSON read costs.
 
 from __future__ import annotations
 
+import csv
+import re
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 BAD_RECORD_COLUMN = "_bad_record"
 
-# Up to this many CSV files, a folder's files are grouped by header line so each
-# layout is read with its own header; beyond it one validated read is used.
-MAX_HEADER_GROUPED_FILES = 2000
-
 
 def read_csv_strings(spark: SparkSession, path: str, recursive: bool = True, **options: str) -> DataFrame:
     """CSV with header; every column is text.
@@ -62,50 +64,63 @@ def read_parquet_recursive_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path)
 
 
-def _read_or_none(reader, path: str) -> DataFrame | None:
+# -- CSV files that differ in their header line ------------------------------------
+
+def first_lines(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*") -> DataFrame:
+    """``(path, line)``: the first line of every visible file below ``paths`` whose name fits ``pattern``.
+
+    One distributed job.  Every file split is a task that stops after its first row, so
+    the rest of the files is not read; files without any line have no row.
+    """
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+             .text(list(paths) if not isinstance(paths, str) else paths)
+             .select(F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line")))
+
+    def first(batches: Iterator) -> Iterator:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    return lines.mapInArrow(first, "path string, start long, line string").filter("start = 0").select("path", "line")
+
+
+def csv_layouts(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*") -> dict[str, list[str]]:
+    """Files (encoded paths) by their header line, in the order of the first file of each."""
+    # while the job is planned, a split must not share its task with others, and rows pass one by one
+    settings = {"spark.sql.files.openCostInBytes": "9g", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        return reader(path)
-    except AnalysisException as err:  # nothing of that format in the folder
-        if "UNABLE_TO_INFER_SCHEMA" in str(err) or "PATH_NOT_FOUND" in str(err):
-            return None
-        raise
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = (first_lines(spark, paths, pattern).groupBy("line")
+                 .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return {r["line"]: list(r["paths"]) for r in sorted(found, key=lambda r: r["paths"][0])}
 
 
-def csv_files_by_header(spark: SparkSession, folder: str, limit: int = MAX_HEADER_GROUPED_FILES,
-                        only_csv: bool = False) -> dict[str, list[str]] | None:
-    """Visible ``*.csv`` files below ``folder`` grouped by their first line.
+def header_schema(line: str, sep: str = ",", quote: str = '"') -> StructType:
+    """Text columns named by a header line; blank and repeated names are completed by their position."""
+    names = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep, quotechar=quote), [])
+    counts = Counter(n.lower() for n in names)
+    return StructType([StructField(f"_c{i}" if not n else f"{n}{i}" if counts[n.lower()] > 1 else n, StringType())
+                       for i, n in enumerate(names)])
 
-    Reads one line per file (metadata-sized I/O); ``None`` when there are more
-    than ``limit`` files, or -- with ``only_csv`` -- when the folder also holds
-    other visible files (e.g. compressed CSV), which a grouped read would miss.
-    """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return {}
-    groups: dict[str, list[str]] = {}
-    files = fs.listFiles(root, True)
-    count = 0
-    while files.hasNext():
-        path = files.next().getPath()
-        name = path.getName()
-        if name.startswith(("_", ".")):
-            continue
-        if not name.endswith(".csv"):
-            if only_csv:
-                return None
-            continue
-        count += 1
-        if count > limit:
-            return None
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(path), "UTF-8"))
-        try:
-            header = reader.readLine() or ""
-        finally:
-            reader.close()
-        groups.setdefault(header, []).append(path.toString())
-    return groups
+
+def read_csv_files(spark: SparkSession, line: str, files: Sequence[str], **options: str) -> DataFrame:
+    """CSV files that share the header ``line``, every column text."""
+    schema = header_schema(line, options.get("sep", options.get("delimiter", ",")), options.get("quote", '"'))
+    # a path is a glob pattern for the reader: what could be one in a file's name is escaped
+    paths = [re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(f)) for f in files]
+    return spark.read.schema(schema).option("header", "true").options(**options).csv(paths)
+
+
+def read_csv_layouts(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*", **options: str) -> list[DataFrame]:
+    """One DataFrame of text columns per different header line among the CSV files below ``paths``."""
+    return [read_csv_files(spark, line, files, **options) for line, files in csv_layouts(spark, paths, pattern).items()]
 
 
 def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | None = None,
@@ -115,28 +130,16 @@ def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | N
 
     One read per format over the whole folder -- not one read per file.  A
     format with no files gives ``None`` when its schema has to be inferred.
-    Without a CSV schema, CSV files whose header lines differ (another column
-    order) are read once per distinct header and unioned by name; up to
-    ``MAX_HEADER_GROUPED_FILES`` files, beyond which a differing header fails.
+    Without a CSV schema, files that share a header line are one scan, and the scans
+    are unioned by name; columns a layout lacks are null, as for JSON.
     """
     csv_options = dict(csv_options or {})
-
-    def csv_reader(p: str) -> DataFrame:
-        r = (spark.read.option("header", "true").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.csv"))
-        if csv_schema is None:
-            # names from the header: check every file's header instead of trusting positions
-            r = r.option("enforceSchema", "false")
-        for k, v in csv_options.items():
-            r = r.option(k, v)
-        if csv_schema is not None:
-            return r.schema(csv_schema).csv(p)
-        groups = csv_files_by_header(spark, p)
-        if groups is None or len(groups) <= 1:
-            return r.csv(p)
-        # files differ in layout: one read per header, matched by name (like per-file reads)
-        parts = [r.csv(paths) for paths in groups.values()]
-        return reduce(lambda a, b: a.unionByName(b), parts)
+    if csv_schema is not None:
+        csv_df = read_or_none(lambda p: spark.read.option("header", "true").option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.csv").options(**csv_options).schema(csv_schema).csv(p), path)
+    else:
+        parts = read_or_none(lambda p: read_csv_layouts(spark, p, "*.csv", **csv_options), path)
+        csv_df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
 
     def json_reader(p: str) -> DataFrame:
         r = (spark.read.option("multiLine", "true").option("recursiveFileLookup", "true")
@@ -145,7 +148,34 @@ def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | N
             r = r.schema(json_schema)
         return r.json(p)
 
-    return _read_or_none(csv_reader, path), _read_or_none(json_reader, path)
+    return csv_df, read_or_none(json_reader, path)
+
+
+def read_or_none(reader, path: str):
+    try:
+        return reader(path)
+    except AnalysisException as err:  # nothing of that format in the folder
+        if "UNABLE_TO_INFER_SCHEMA" in str(err) or "PATH_NOT_FOUND" in str(err):
+            return None
+        raise
+
+
+def split_rejects(json_df: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """JSON rows of ``read_json_multiline``-like scans and, apart from them, ``(path, record, parsed)`` of what is no JSON."""
+    if json_df is None:
+        return None, None
+    spark = json_df.sparkSession
+    corrupt = spark.conf.get("spark.sql.columnNameOfCorruptRecord")
+    if corrupt not in json_df.columns:
+        return json_df, None
+    rest = [c for c in json_df.columns if c != corrupt]
+    path = F.col("_metadata.file_path").alias("path")
+    if not rest:  # no file is JSON
+        whole = spark.read.option("wholetext", "true").text(json_df.inputFiles())
+        return None, whole.select(path, F.col("value").alias("record"), F.lit(None).cast("string").alias("parsed"))
+    parsed = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("parsed")
+    bad = json_df.filter(F.col(corrupt).isNotNull()).select(path, F.col(corrupt).alias("record"), parsed)
+    return json_df.filter(F.col(corrupt).isNull()).drop(corrupt), bad
 
 
 def tolerant_scan(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",

@@ -1,0 +1,51 @@
+"""Which columns each season of a table really has.
+
+A table read with merged schemas shows every column in every season; jobs whose rules
+depend on a column being there (not on its values) need to know the season's own
+columns.  Jobs write them beside their output, below ``_layout`` (readers skip names
+that begin with ``_``); for other tables the seasons' file footers tell.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+
+from zoneflow.sources.files import read_or_none
+from zoneflow.sources.seasons import season_partitions
+
+Layouts = Mapping[str, frozenset[str]]
+
+
+def read_layouts(spark: SparkSession, path: str, seasons: Iterable[str] | None = None) -> dict[str, frozenset[str]]:
+    """Lower-case column names by season (all seasons of the table, or those of ``seasons``)."""
+    wanted = set(season_partitions(spark, path)) if seasons is None else set(seasons)
+    base = path.rstrip("/")
+    rows = read_or_none(lambda p: spark.read.schema("name string, season string").parquet(p), f"{base}/_layout")
+    found: dict[str, set[str]] = {}
+    for r in rows.select("season", "name").collect() if rows is not None else ():  # columns times seasons
+        found.setdefault(r["season"], set()).add(r["name"])
+    out = {s: frozenset(c) for s, c in found.items() if s in wanted}
+    for season in sorted(wanted - set(out)):
+        frame = read_or_none(lambda p: spark.read.option("mergeSchema", "true").parquet(p), f"{base}/season={season}")
+        if frame is not None:
+            out[season] = frozenset(c.lower() for c in frame.columns)
+    return out
+
+
+def write_layouts(spark: SparkSession, path: str, layouts: Layouts) -> None:
+    """Replace the layouts of the given seasons."""
+    rows = [(s, c) for s, columns in sorted(layouts.items()) for c in sorted(columns)]
+    if rows:
+        (spark.createDataFrame(rows, "season string, name string").coalesce(1).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("season").parquet(f"{path.rstrip('/')}/_layout"))
+
+
+def has_column(layouts: Layouts | None, column: str, season: str = "season") -> Column:
+    """True for rows of a season that has ``column`` (without layouts: always true)."""
+    if layouts is None:
+        return F.lit(True)
+    seasons = sorted(s for s, columns in layouts.items() if column.lower() in columns)
+    return F.coalesce(F.col(season).cast("string").isin(seasons), F.lit(False)) if seasons else F.lit(False)

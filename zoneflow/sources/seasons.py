@@ -2,7 +2,7 @@
 
 Landing data arrives as ``<base>/<yyyy-yy>/.../*.csv``.  Instead of one job per
 folder, the season folders (one metadata listing) are read into a single plan
--- one scan per season so each keeps its own header -- and written by one job.
+-- one scan per header line -- and written by one job.
 Zones this library writes itself are Hive-partitioned (``season=yyyy-yy``) so
 that season filters prune partitions at planning time.
 """
@@ -12,11 +12,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zoneflow.sources.files import csv_layouts, read_csv_files
+
 # --- fixed values ----------------------------------------------------------
 SEASON_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]"   # folder names like 2021-22
 SEASON_REGEX = r"\d{4}-\d{2}"
@@ -24,10 +27,14 @@ SKIPPED_SEASON = "2023-24"
 # ---------------------------------------------------------------------------
 
 
-def season_of_path(base: str, path_col: str = "_metadata.file_path"):
-    """Season folder directly below ``base`` in a file path, e.g. ``2021-22``."""
+def season_of_path(base: str, path_col: str = "_metadata.file_path") -> Column:
+    """Season folder directly below ``base`` in a file path, e.g. ``2021-22``.
+
+    File paths come percent-encoded; a ``+`` in them is an ordinary character.
+    """
     anchor = re.escape(base.rstrip("/").rsplit("/", 1)[-1])
-    return F.regexp_extract(F.col(path_col), f"/{anchor}/({SEASON_REGEX})/", 1)
+    path = F.url_decode(F.replace(F.col(path_col), F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(path, f"/{anchor}/({SEASON_REGEX})/", 1)
 
 
 def season_folders(spark: SparkSession, base: str) -> list[tuple[str, str]]:
@@ -56,65 +63,75 @@ def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_sea
                        seasons: Iterable[str] | None = None, **options: str) -> DataFrame | None:
     """All files under every ``<base>/<yyyy-yy>/`` folder, plus a ``season`` column.
 
-    CSV is read with header and every column as text (no inference pass).
-    Folders that do not match the season pattern are never read.
-
-    ``per_season_header=True`` (default) reads each season folder with its own
-    header -- seasons may differ in columns -- and unions them by name (missing
-    columns null) into one plan, so the write is still a single job.  Inside a
-    season, CSV files with different header lines are read per layout.  With
-    ``False`` one read over the glob takes every file's columns from the first
-    header; use it only when all seasons share one layout.  ``seasons`` limits
-    the scan to those folders.  Returns ``None`` when there is no season folder.
+    Folders that do not match the season pattern are never read.  CSV columns are text
+    and named by each file's own header line: one job looks at the first lines of all
+    files, then files that share a header are one scan, and the scans are unioned by
+    name (missing columns null).  So the number of jobs depends neither on the number of
+    seasons nor on that of files.  ``per_season_header=False`` and other formats read
+    everything in one scan with one schema.  ``seasons`` limits the scan to those
+    folders.  Returns ``None`` when there is no season folder.
     """
-    def reader():
-        r = spark.read.format(fmt).option("recursiveFileLookup", "true")
-        if fmt == "csv":
-            # names from the header; files whose header differs fail instead of shifting columns
-            r = r.option("header", "true").option("enforceSchema", "false")
-        for k, v in options.items():
-            r = r.option(k, v)
-        return r
-
+    if fmt == "csv" and per_season_header:
+        return scan_with_layouts(spark, base, seasons, **options)[0]
     wanted = set(seasons) if seasons is not None else None
-    if not per_season_header:
-        df = reader().load(f"{base.rstrip('/')}/{SEASON_GLOB}")
-        df = df.select("*", season_of_path(base).alias("season"))
-        return df if wanted is None else df.filter(F.col("season").isin(sorted(wanted)))
-    folders = [(s, p) for s, p in season_folders(spark, base) if wanted is None or s in wanted]
-    parts = [season_reader(reader, spark, path, fmt).withColumn("season", F.lit(season)) for season, path in folders]
-    if not parts:
+    folders = [p for s, p in season_folders(spark, base) if wanted is None or s in wanted]
+    if not folders:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def season_reader(reader, spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """One season folder; CSV files with different header lines are read per layout, by name."""
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
     if fmt == "csv":
-        from zoneflow.sources.files import csv_files_by_header
+        # one header for all: a file with another header line fails instead of shifting columns
+        reader = reader.option("header", "true").option("enforceSchema", "false")
+    return reader.options(**options).load(folders).select("*", season_of_path(base).alias("season"))
+
 
-        groups = csv_files_by_header(spark, path, only_csv=True)
-        if groups and len(groups) > 1:
-            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                          [reader().load(paths) for paths in groups.values()])
-    return reader().load(path)
+def scan_with_layouts(spark: SparkSession, base: str, seasons: Iterable[str] | None = None, **options: str
+                      ) -> tuple[DataFrame | None, dict[str, frozenset[str]]]:
+    """The CSV scan of ``season_folder_scan`` and the (lower-case) columns that each season's files have."""
+    wanted = set(seasons) if seasons is not None else None
+    folders = [(s, p) for s, p in season_folders(spark, base) if wanted is None or s in wanted]
+    if not folders:
+        return None, {}
+    groups = csv_layouts(spark, [p for _, p in folders])
+    inside = re.compile(f"/{re.escape(base.rstrip('/').rsplit('/', 1)[-1])}/({SEASON_REGEX})/")
+    parts, columns = [], {s: set() for s, _ in folders}
+    for line, files in groups.items():
+        frame = read_csv_files(spark, line, files, **options)
+        parts.append(frame.select("*", season_of_path(base).alias("season")))
+        for file in files:
+            columns[inside.search(unquote(file))[1]].update(c.lower() for c in frame.columns)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+    return rows, {s: frozenset(c) for s, c in columns.items()}
 
 
 def exclude_seasons(df: DataFrame, *seasons: str, column: str = "season") -> DataFrame:
-    """Drop the given seasons; on a ``season=`` partitioned table this prunes folders."""
+    """Drop the given seasons; on a ``season=`` partitioned table this prunes folders.  Rows without one stay."""
     if not seasons:
         return df
-    return df.filter(~F.col(column).isin(list(seasons)))
+    return df.filter(~F.col(column).isin(list(seasons)) | F.col(column).isNull())
 
 
-def read_season_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
+def only_seasons(df: DataFrame, *seasons: str, column: str = "season") -> DataFrame:
+    """The rows that ``exclude_seasons`` drops."""
+    return df.filter(F.col(column).isin(list(seasons)))
+
+
+def read_season_table(spark: SparkSession, path: str, merge_schema: bool = True,
+                      seasons: Iterable[str] | None = None) -> DataFrame | None:
     """A ``season=yyyy-yy`` partitioned parquet table; other sub-folders are ignored.
 
-    ``None`` when the table has no season partition (nothing to process).
+    With ``seasons`` only those folders are listed and only their footers are read.
+    ``None`` when the table has no such partition (nothing to process).
     """
+    base = path.rstrip("/")
+    if seasons is None:
+        paths = [f"{base}/season={SEASON_GLOB}"]
+    else:
+        wanted = set(seasons)
+        paths = [f"{base}/season={s}" for s in season_partitions(spark, path) if s in wanted]
+    if not paths:
+        return None
     try:
-        return (spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower())
-                .parquet(f"{path.rstrip('/')}/season={SEASON_GLOB}"))
+        return spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
             return None

@@ -5,21 +5,24 @@ each run.  At scale, landing files are immutable uploads, so this variant uses
 the file stream source with an ``availableNow`` trigger: every run processes
 exactly the files that arrived since the previous run (tracked in the
 checkpoint), then stops.  Output rows and layout are the same as W1
-(``season=yyyy-yy`` parquet partitions); the streaming file sink's commit log
-makes a restarted run after an executor or driver loss write each file once.
+(``season=yyyy-yy`` parquet partitions).
 
-Not covered: a landing file replaced in place under the same name is not
-re-read (use the batch job, which replaces whole seasons, for corrections).
+Each micro-batch is staged below ``_ingest`` in the target and then moved into the season
+folders under file names that carry the batch number.  A batch that is run again after a
+failure first takes away what it had moved, so files are ingested once.  The target
+is an ordinary parquet table: the batch job may replace whole seasons of it (for a landing
+file that was replaced under its old name, which a stream does not read again).
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from zoneflow.session import checkpoint_root
+from zoneflow.sinks.writers import filesystem, move_path, remove_path
 from zoneflow.sources.seasons import SEASON_GLOB, season_folder_scan, season_of_path
 
 
@@ -52,10 +55,32 @@ def incremental_landing_to_raw(spark: SparkSession, landing: str, raw: str, sche
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     rows = reader.load(f"{landing.rstrip('/')}/{SEASON_GLOB}")
     rows = rows.select("*", season_of_path(landing).alias("season"))
-    query = (rows.writeStream.format("parquet").partitionBy("season")
+    written: list[int] = []
+
+    def ingest(batch: DataFrame, number: int) -> None:
+        written.append(_ingest(batch, number, raw))
+
+    query = (rows.writeStream.foreachBatch(ingest)
              .option("checkpointLocation", checkpoint or stream_checkpoint(spark, raw))
-             .trigger(availableNow=True).start(raw))
+             .trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return sum(p.get("numInputRows", 0) for p in query.recentProgress)
+    return sum(written)
+
+
+def _ingest(batch: DataFrame, number: int, raw: str) -> int:
+    """Write one micro-batch into the season folders of ``raw``; returns its rows."""
+    spark, base = batch.sparkSession, raw.rstrip("/")
+    stage, prefix = f"{base}/_ingest/batch-{number}", f"ingest-{number:09d}-"
+    batch.write.mode("overwrite").partitionBy("season").parquet(stage)
+    fs, root = filesystem(spark, base)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for status in fs.globStatus(hpath(f"{base}/season=*/{prefix}*")) or []:  # of an earlier try
+        fs.delete(status.getPath(), False)
+    rows = spark.read.schema(batch.schema).parquet(stage).count()
+    for status in fs.globStatus(hpath(f"{stage}/season=*/part-*")) or []:
+        season = status.getPath().getParent().getName()
+        move_path(spark, status.getPath().toString(), f"{base}/{season}/{prefix}{status.getPath().getName()}")
+    remove_path(spark, stage)
+    return rows
