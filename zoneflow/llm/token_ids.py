@@ -30,7 +30,7 @@ ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
 }
-CACHED_WORDS = 400_000  # per Python worker
+CACHED_WORDS = 1_500_000  # per Python worker, some 300 MB
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
