@@ -257,6 +257,17 @@ def test_long_passages_of_two_texts_go_and_copies_stay_whole(documents):
     assert got == {1: a, 2: b, 3: c, 4: c, 5: c + "\nshort end", 6: None, 7: ""}
 
 
+def words(prefix, n):
+    return " ".join(f"{prefix}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(n))
+
+
+def test_short_texts_made_mostly_of_a_shared_passage_lose_it(documents):
+    passage = words("p", 60)
+    rows = [(k, f"{passage}\n{words(chr(97 + k), 20)}") for k in range(3)] + [(None, f"{passage}\n{words('z', 20)}")]
+    got = {r.doc_id: r.text for r in templates.drop_recurring_lines(documents(rows)).collect()}
+    assert got == {0: words("a", 20), 1: words("b", 20), 2: words("c", 20), None: words("z", 20)}
+
+
 def test_lines_of_odd_rows_stay(odd, empty):
     got = templates.drop_recurring_lines(odd)
     assert got.columns == odd.columns

@@ -103,7 +103,7 @@ def op10_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines of recurring templates."""
     from zoneflow.llm.templates import drop_recurring_lines
 
-    clean = drop_recurring_lines(table(spark, sf_dir, "documents"), report=True)
+    clean = drop_recurring_lines(table(spark, sf_dir, "documents"), report=True, sql_rules=True)
     return clean.select("doc_id", "lines_before", "lines_dropped", F.length("text").cast("long").alias("kept_chars"),
                         F.sha2("text", 256).alias("kept_sha256"))
 
