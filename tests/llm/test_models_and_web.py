@@ -205,6 +205,24 @@ def test_stages_decide_as_their_operators_do_by_brute_force(lspark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
 
 
+def test_near_copies_with_few_equal_lines_keep_one_whole_text(lspark, documents):
+    def line(name, n, other=()):
+        return " ".join(f"{name}{chr(97 + k % 26)}{chr(97 + k // 26)}" + ("x" if k in other else "") for k in range(n))
+
+    # 50, 70 and 90 of 200 words in equal lines, one word of the third line differs
+    rows = []
+    for k, n in enumerate((20, 40, 60)):
+        texts = ["\n".join([line(f"{x}q", 30), line(x, n), line(f"{x}r", 70 - n + 100, other)])
+                 for x, other in ((chr(97 + k), ()), (chr(97 + k), (1,)))]
+        rows += [(2 * k, texts[0]), (2 * k + 1, texts[1])]
+    docs = documents(rows)
+    stages = dict(corpus_pipeline.STAGES)
+    stripped = stages["line_dedup"](lspark, docs, SMOKE_DIR)
+    assert {r.doc_id: r.text for r in stripped.collect()} == dict(rows)
+    kept = stages["near_dedup"](lspark, stripped, SMOKE_DIR).collect()
+    assert {r.doc_id: r.text for r in kept} == {i: t for i, t in rows if i % 2 == 0}
+
+
 def test_pipeline_runs_on_an_empty_table(lspark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         lspark.read.parquet(f"{SMOKE_DIR}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
