@@ -268,6 +268,14 @@ def test_short_texts_made_mostly_of_a_shared_passage_lose_it(documents):
     assert got == {0: words("a", 20), 1: words("b", 20), 2: words("c", 20), None: words("z", 20)}
 
 
+@pytest.mark.parametrize("sql_rules", [False, True])
+def test_rows_of_numbers_recur_only_where_they_are_equal(documents, sql_rules):
+    rows = [(k, f"{words(chr(97 + k), 40)}\n{k}1 {k}2 {k}3 {k}4\n" + " ".join(str(100 * k + j) for j in range(30))
+             + "\n5 6 7 8") for k in range(12)]
+    got = {r.doc_id: r.text for r in templates.drop_recurring_lines(documents(rows), sql_rules=sql_rules).collect()}
+    assert got == {k: t.removesuffix("\n5 6 7 8") for k, t in rows}
+
+
 def test_lines_of_odd_rows_stay(odd, empty):
     got = templates.drop_recurring_lines(odd)
     assert got.columns == odd.columns
