@@ -276,6 +276,17 @@ def test_rows_of_numbers_recur_only_where_they_are_equal(documents, sql_rules):
     assert got == {k: t.removesuffix("\n5 6 7 8") for k, t in rows}
 
 
+def test_frequent_values_of_fields_do_not_split_a_template(documents):
+    names, cities = (words(x, 10).split() for x in ("n", "c"))
+    rows = [(100 * k + 10 * i + j, f"{words(chr(97 + i) + chr(97 + j) + chr(97 + k), 12)}\n"
+             f"Article was posted by {names[i]} in {cities[j]} news") for k in range(2) for i in range(10) for j in range(10)]
+    long, own = words("p", 30), [words(x, 40) for x in "abc"]
+    rows += [(1000 + k, f"{own[k]}\n{long} {a} {b}") for k, (a, b) in enumerate((("na", "ca"), ("na", "cb"), ("nb", "cb")))]
+    got = templates.drop_recurring_lines(documents(rows), report=True).collect()
+    assert {r.lines_dropped for r in got} == {1}
+    assert {r.text for r in got if r.doc_id >= 1000} == set(own)
+
+
 def test_lines_of_odd_rows_stay(odd, empty):
     got = templates.drop_recurring_lines(odd)
     assert got.columns == odd.columns
