@@ -287,6 +287,16 @@ def test_frequent_values_of_fields_do_not_split_a_template(documents):
     assert {r.text for r in got if r.doc_id >= 1000} == set(own)
 
 
+def test_passages_broken_into_short_lines_go_from_two_texts(documents):
+    verse = "\n".join(words(x, n) for x, n in zip("pqrstu", (8, 20, 20, 1, 5, 2), strict=True))
+    few = words("v", 8) + "\n" + words("w", 8)
+    rows = [(1, f"{words('a', 60)}\n{verse}\n{words('b', 4)}\n{few}"), (2, f"{few}\n{words('c', 50)}"),
+            (3, f"{words('d', 60)}\n\n{verse}\n{words('e', 9)}\n{words('p', 8)}")]
+    got = {r.doc_id: r.text for r in templates.drop_recurring_lines(documents(rows)).collect()}
+    assert got == {1: f"{words('a', 60)}\n{words('b', 4)}\n{few}", 2: rows[1][1],
+                   3: f"{words('d', 60)}\n\n{words('e', 9)}\n{words('p', 8)}"}
+
+
 def test_lines_of_odd_rows_stay(odd, empty):
     got = templates.drop_recurring_lines(odd)
     assert got.columns == odd.columns
