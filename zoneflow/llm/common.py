@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.session import scratch_dir
+from zoneflow.sinks.writers import remove_path
 
 #: Texts are worked on in pieces of about this many bytes, so that a task's Python
 #: memory does not depend on the size of an Arrow batch.
@@ -50,6 +51,36 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class WorkTables:
+    """Tables that one operator writes below the shared checkpoint folder while it works.
+
+    ``result`` writes the last table and removes all others; the result itself stays, as its
+    reader comes later.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, tag: str) -> DataFrame:
+        """Write ``df`` and read it back (cuts lineage)."""
+        path = scratch_dir(self.spark, tag)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Remove the tables kept so far; nothing may read them any more."""
+        for path in self.paths:
+            remove_path(self.spark, path)
+        self.paths.clear()
+
+    def result(self, df: DataFrame, tag: str) -> DataFrame:
+        done = materialise(df, tag)
+        self.drop()
+        return done
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """64-bit key of a row's id and text: rows repeated in full share it, null ids have one."""
     return F.xxhash64(F.col(id_col), F.col(text_col))

@@ -96,3 +96,45 @@ SELECT d.doc_id, coalesce(c.lines_before, 0) AS lines_before, coalesce(c.lines_d
        length(c.kept) AS kept_chars, sha256(c.kept) AS kept_sha256
 FROM documents d LEFT JOIN clean c ON d.text = c.text
 """
+
+# the crc32 of "<doc_id>:<word>" is folded over its UTF-8 bytes; near words share a form with one code point left out
+ORACLES["op13_qchunk_spelling"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT c AS byte, c AS r, 0 AS k FROM range(256) t(c)
+  UNION ALL
+  SELECT byte, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(r ORDER BY byte) AS tab FROM steps WHERE k = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents) WHERE length(run) >= 7
+  GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+    string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+                   ELSE [CAST(195 AS BIGINT), CAST(unicode(c) - 64 AS BIGINT)] END))),
+    lambda s, b: xor(s >> 8, tab[(xor(s, b) & 255) + 1]))) AS h FROM runs, crc),
+made AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (
+  SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS part, i FROM (
+    SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.part = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.part = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS near_n, min_by(near, (-near_n, near)) AS near FROM pairs GROUP BY word),
+found AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form,
+         CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n FROM words w LEFT JOIN best b ON w.word = b.word),
+chain AS (
+  SELECT word, word AS root, 0 AS steps FROM found
+  UNION ALL
+  SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN found f ON c.root = f.word WHERE f.form IS NOT NULL),
+last AS (SELECT word, max_by(root, steps) AS root FROM chain GROUP BY word)
+SELECT f.word, f.form, l.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM found f JOIN last l ON f.word = l.word
+"""
