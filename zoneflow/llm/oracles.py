@@ -138,3 +138,22 @@ chain AS (
 last AS (SELECT word, max_by(root, steps) AS root FROM chain GROUP BY word)
 SELECT f.word, f.form, l.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM found f JOIN last l ON f.word = l.word
 """
+
+ORACLES["op12_int8_near_vectors"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, len(embedding) AS dim,
+         coalesce(label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+                  AND len(list_filter(embedding, x -> x <> 0)) > 0, false) AS fine FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.dim = b.dim AND a.vec_id <> b.vec_id
+  WHERE a.fine AND b.fine
+    AND list_dot_product(a.e, b.e) >= 0.98 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
+reach AS (
+  SELECT vec_id, vec_id AS there FROM v
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.there = l.a),
+least AS (SELECT vec_id, min(there) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(c.n_links, 0) AS BIGINT) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
+FROM v JOIN least l ON v.vec_id = l.vec_id LEFT JOIN counts c ON v.vec_id = c.vec_id
+"""

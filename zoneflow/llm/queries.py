@@ -108,6 +108,13 @@ def op10_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_int8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate embeddings of equal label at cosine 0.98."""
+    from zoneflow.llm.embeddings import near_duplicate_vectors
+
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op13_qchunk_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents (some damaged here, by the contract's rule) with the form they are a variant of."""
     from zoneflow.llm.spelling import spelling_variants, word_counts
@@ -127,5 +134,6 @@ def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 QUERIES = {q.__name__: _registered(q) for q in (
     op1_best_fit_packing, op2_warc_merkle_audit, op3_token_ids_orc, op4_winnowing_fingerprints,
     op5_setsketch_near_duplicates, op6_toxicity_kneser_ney, op7_url_rules, op8_brown_class_lm,
-    op9_string_tiling_leaks, op10_log_template_lines, op13_qchunk_spelling,
+    op9_string_tiling_leaks, op10_log_template_lines, op12_int8_near_vectors,
+    op13_qchunk_spelling,
 )}
