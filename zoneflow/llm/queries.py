@@ -108,6 +108,14 @@ def op10_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged here by the contract's rule, and their cheapest repairs."""
+    from zoneflow.llm.transcripts import damage, repaired_digests
+
+    rows = table(spark, sf_dir, "conversations")
+    return repaired_digests(damage(rows), rows)
+
+
 def op12_int8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate embeddings of equal label at cosine 0.98."""
     from zoneflow.llm.embeddings import near_duplicate_vectors
@@ -134,6 +142,6 @@ def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 QUERIES = {q.__name__: _registered(q) for q in (
     op1_best_fit_packing, op2_warc_merkle_audit, op3_token_ids_orc, op4_winnowing_fingerprints,
     op5_setsketch_near_duplicates, op6_toxicity_kneser_ney, op7_url_rules, op8_brown_class_lm,
-    op9_string_tiling_leaks, op10_log_template_lines, op12_int8_near_vectors,
-    op13_qchunk_spelling,
+    op9_string_tiling_leaks, op10_log_template_lines, op11_repair_conversations,
+    op12_int8_near_vectors, op13_qchunk_spelling,
 )}
