@@ -6,9 +6,9 @@ Each is a pure ``DataFrame -> DataFrame`` function; the jobs in
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.functions.casts import cast_value
@@ -27,9 +27,16 @@ from zoneflow.operators.schema import (
     resolve,
     standardize_columns,
 )
-from zoneflow.sources.layouts import Layouts, has_column
 from zoneflow.sources.seasons import SKIPPED_SEASON, exclude_seasons, only_seasons
 
+Has = Callable[[str], Column]
+
+
+def everywhere(_: str) -> Column:
+    """The ``has`` of a frame whose columns are those of all its rows."""
+    return F.lit(True)
+
+
 # --- fixed values ----------------------------------------------------------
 DATE_SOURCES = ("datetime", "Date")              # first present wins
 DATE_JOB_DROPS = ("∑ft", "matchday", "index")
@@ -37,15 +44,14 @@ SCORE_SOURCES = (("team1score", "score1"), ("team2score", "score2"))
 # ---------------------------------------------------------------------------
 
 
-def derive_match_dates(df: DataFrame, layouts: Layouts | None = None) -> DataFrame:
+def derive_match_dates(df: DataFrame, has: Has = everywhere) -> DataFrame:
     """P8 + F4-F8: ``dateonly`` from ``datetime`` else from ``Date`` text; then day/week.
 
-    Which source counts is decided for each season by the columns it has (``layouts``;
-    without them the frame's columns are those of all seasons): the first one present
-    wins, a season with neither keeps its ``dateonly``, and one without that keeps its
-    ``day`` and ``week``.  Source columns are matched case-insensitively and dropped.
-    ``day``/``week`` always derive from ``dateonly``, so running the transform again on
-    its own output changes nothing.
+    Which source counts is decided by the columns of each row's file (``has``, see ``TableScan.has``;
+    without it the frame's columns are those of all rows): the first one present wins, and a row whose file
+    has neither keeps its ``dateonly``.  ``day`` and ``week`` derive from the date; a row whose file has no
+    source and that has no ``dateonly`` keeps them.  Source columns are matched case-insensitively and
+    dropped.  Running the transform again on its own output changes nothing.
     """
     stamp, text = (resolve(df, c) for c in DATE_SOURCES)
     only, types = resolve(df, "dateonly"), dict(df.dtypes)
@@ -53,13 +59,13 @@ def derive_match_dates(df: DataFrame, layouts: Layouts | None = None) -> DataFra
     for source, parse in ((only, None), (text, date_from_text), (stamp, date_from_timestamp)):  # the last one wins
         if source is not None:
             value = F.col(f"`{source}`") if parse is None else parse(F.col(f"`{source}`"))
-            dated = F.when(has_column(layouts, source), value).otherwise(F.lit(None) if dated is None else dated)
+            dated = F.when(has(source), value).otherwise(F.lit(None) if dated is None else dated)
     if dated is None:
         return df
-    known = F.lit(False)
-    for source in (stamp, text, only):
+    known = F.col("_dated").isNotNull()
+    for source in (stamp, text):
         if source is not None:
-            known = known | has_column(layouts, source)
+            known = known | has(source)
     out = df.withColumn("_dated", dated).withColumn("_known", known)
     derived = {"dateonly": F.col("_dated")}
     for name, made, kind in (("day", day_from_iso("_dated"), "string"), ("week", week_from_iso("_dated"), "int")):
@@ -70,24 +76,17 @@ def derive_match_dates(df: DataFrame, layouts: Layouts | None = None) -> DataFra
     return out.drop("_dated", "_known", *(c for c in (stamp, text) if c is not None))
 
 
-def dates_layouts(layouts: Layouts) -> dict[str, frozenset[str]]:
-    """Columns that each season has after ``derive_match_dates`` and the drops of W2."""
-    gone = {c.lower() for c in (*DATE_SOURCES, *DATE_JOB_DROPS)}
-    sources = {c.lower() for c in (*DATE_SOURCES, "dateonly")}
-    return {s: frozenset(c - gone | ({"dateonly", "day", "week"} if c & sources else set())) for s, c in layouts.items()}
-
-
 def clean_match_dates(df: DataFrame, columns: Sequence[tuple[str, str]] = STANDARD_MATCH_COLUMNS,
-                      layouts: Layouts | None = None) -> DataFrame:
+                      has: Has = everywhere) -> DataFrame:
     """W2 body: dates, drop helper columns, conform to the standard columns."""
-    return standardize_columns(drop_columns(derive_match_dates(df, layouts), *DATE_JOB_DROPS), columns)
+    return standardize_columns(drop_columns(derive_match_dates(df, has), *DATE_JOB_DROPS), columns)
 
 
 def clean_match_scores(df: DataFrame, columns: Sequence[tuple[str, str]] = STANDARD_MATCH_COLUMNS,
-                       layouts: Layouts | None = None) -> DataFrame:
+                       has: Has = everywhere) -> DataFrame:
     """W3 body: back-fill scores, ints, default round type, standard columns.
 
-    The round type gets its default in the seasons that have the column.
+    The round type gets its default where the row's file has the column.
     """
     for target, source in SCORE_SOURCES:
         src, tgt = resolve(df, source), resolve(df, target)
@@ -99,19 +98,11 @@ def clean_match_scores(df: DataFrame, columns: Sequence[tuple[str, str]] = STAND
         elif tgt is not None:
             df = df.withColumn(tgt, cast_value(F.col(f"`{tgt}`"), types[tgt], "int"))
     if resolve(df, "round_type") is not None:
-        df = df.withColumn("round_type", F.when(has_column(layouts, "round_type"), null_token_default("round_type"))
+        df = df.withColumn("round_type", F.when(has("round_type"), null_token_default("round_type"))
                            .otherwise(F.col("round_type")))
     return standardize_columns(df, columns)
 
 
-def scores_layouts(layouts: Layouts) -> dict[str, frozenset[str]]:
-    """Columns that each season has after the back-fill of W3."""
-    made = dict(layouts)
-    for target, source in SCORE_SOURCES:
-        made = {s: frozenset(c - {source} | {target}) if source in c else c for s, c in made.items()}
-    return made
-
-
 def enrich_matches(df: DataFrame, skip_seasons: Iterable[str] = (SKIPPED_SEASON,),
                    rules: Iterable[tuple[str, str]] = TEAM_SYNONYM_RULES,
                    team: str = "team_name_1", country: str = "country_1", season: str = "season") -> DataFrame:

@@ -4,13 +4,13 @@ Sources have a priority; for every column the first source that has a non-null v
 wins.  ``merge_grouped`` (one frame per source) and ``merge_by_priority`` (one frame, a
 priority column such as the file path) work in two aggregates with map-side combine:
 
-1. per (key, source) one *whole* row stays, so values of different rows of one source
+1. ``picked_rows``: per (key, source) one *whole* row stays, so values of different rows of one source
    are never mixed: the row with the fewest nulls, of those the least in its rendered form;
-2. per key each column takes the first non-null value by priority.
+2. ``merge_picked``: per key each column takes the first non-null value by priority.
 
-Rows whose key is null or empty belong to no entity: they pass through as they are.
-``duplicate_rows`` gives the rows that step 1 leaves out.  ``merge_joined`` computes the
-same by a chain of full outer joins and is kept to check the other form against.
+Rows whose key is null or empty belong to no entity: they pass through as they are (equal ones
+as one group with a count).  ``duplicate_rows`` gives the rows that step 1 leaves out.  ``merge_joined`` computes
+the same by a chain of full outer joins on the key.
 """
 
 from __future__ import annotations
@@ -60,28 +60,43 @@ def _order(values: Sequence[str]) -> Column:
     return F.struct(nulls, F.to_json(F.struct(*[F.col(f"`{c}`") for c in values]))) if values else F.struct(F.lit(0))
 
 
-def _winners(df: DataFrame, key: str, priority: str) -> DataFrame:
-    """One whole row per (key, source)."""
-    values = [c for c in df.columns if c not in (key, priority)]
-    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in values], F.lit(0).alias("_any")), _order(values))
-    picked = df.filter(_keyed(df, key)).groupBy(key, priority).agg(row.alias("_row"))
-    return picked.select(key, priority, *[F.col(f"_row.`{c}`").alias(c) for c in values])
+ROWS = "_rows"
+_ALONE = "_alone"
 
 
-def merge_by_priority(df: DataFrame, key: str, priority: str) -> DataFrame:
-    """One row per key from rows tagged with their source; the least ``priority`` comes first."""
+def picked_rows(df: DataFrame, key: str, priority: str) -> DataFrame:
+    """One whole row per (key, source), and each different row without a key; ``ROWS`` counts the rows it stands for."""
     values = [c for c in df.columns if c not in (key, priority)]
+    row = F.struct(*[F.col(f"`{c}`") for c in values], F.lit(0).alias("_any"))
+    alone = F.when(~_keyed(df, key), F.coalesce(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), F.lit("")))
+    picked = df.withColumn(_ALONE, alone).groupBy(key, priority, _ALONE).agg(
+        F.min_by(row, _order(values)).alias("_row"), F.count(F.lit(1)).alias(ROWS))
+    return picked.select(key, priority, *[F.col(f"_row.`{c}`").alias(c) for c in values], ROWS, _ALONE)
+
+
+def merge_picked(picked: DataFrame, key: str, priority: str) -> DataFrame:
+    """One row per key of ``picked_rows``; the least ``priority`` comes first.  Rows without a key come back one by one."""
+    values = [c for c in picked.columns if c not in (key, priority, ROWS, _ALONE)]
     first = [F.min(F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.col(priority).alias("p"), F.col(f"`{c}`").alias("v"))))
              .getField("v").alias(c) for c in values]
-    one = _winners(df, key, priority).groupBy(key)
-    merged = one.agg(*first) if first else one.agg(F.lit(0).alias("_any")).drop("_any")
-    return merged.unionByName(df.filter(~_keyed(df, key)).drop(priority))
+    # rows without a key of different sources stay apart
+    source = F.when(F.col(_ALONE).isNotNull(), F.col(priority)).alias("_source")
+    merged = picked.groupBy(key, _ALONE, source).agg(*first, F.sum(ROWS).alias(ROWS))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.when(F.col(_ALONE).isNull(), 1).otherwise(F.col(ROWS)))).alias("_copy")
+    return merged.select("*", copies).select(key, *[F.col(f"`{c}`") for c in values])
+
+
+def merge_by_priority(df: DataFrame, key: str, priority: str) -> DataFrame:
+    """One row per key from rows tagged with their source; the least ``priority`` comes first."""
+    return merge_picked(picked_rows(df, key, priority), key, priority)
 
 
-def duplicate_rows(df: DataFrame, key: str, priority: str) -> DataFrame:
-    """Rows of ``df`` that differ from the row kept for their key and source."""
+def duplicate_rows(df: DataFrame, key: str, priority: str, picked: DataFrame | None = None) -> DataFrame:
+    """Rows of ``df`` that differ from the row kept for their key and source (``picked``: what ``picked_rows`` gave)."""
     values = [c for c in df.columns if c not in (key, priority)]
-    kept = _winners(df, key, priority).select(F.col(key).alias("_k"), F.col(priority).alias("_p"), _order(values).alias("_kept"))
+    picked = picked_rows(df, key, priority) if picked is None else picked
+    kept = picked.filter(F.col(_ALONE).isNull() & (F.col(ROWS) > 1)).select(
+        F.col(key).alias("_k"), F.col(priority).alias("_p"), _order(values).alias("_kept"))
     joined = df.withColumn("_own", _order(values)).join(kept, (F.col(key) == F.col("_k")) & (F.col(priority) == F.col("_p")))
     return joined.filter(F.col("_own") != F.col("_kept")).select(*df.columns)
 
@@ -94,7 +109,7 @@ def merge_grouped(sources: Sequence[DataFrame], key: str = "name") -> DataFrame:
 def merge_joined(sources: Sequence[DataFrame], key: str = "name") -> DataFrame:
     """Full outer join chain on ``key`` + ``coalesce`` in source order."""
     tagged = _tagged(sources, key)
-    one = _winners(tagged, key, _PRIO)
+    one = picked_rows(tagged.filter(_keyed(tagged, key)), key, _PRIO)
     values = [c for c in tagged.columns if c not in (key, _PRIO)]
     sides = [one.filter(F.col(_PRIO) == i).select(F.col(key), *[F.col(f"`{c}`").alias(f"{c}__src{i}") for c in values])
              for i in range(len(sources))]

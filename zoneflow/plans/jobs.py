@@ -2,28 +2,28 @@
 
 Every job takes its paths as arguments and writes once to a location it does not
 read.  All seasons are handled by one plan per stage; seasons are Hive partitions so
-later stages prune them.  Stages write the columns that each season has beside their
-output (``sources.layouts``).
+later stages prune them.  What can't be read -- CSV records that do not fit their header, files that
+are no JSON or no parquet -- goes to ``<target>_rejects``, which every run replaces (also by nothing);
+the rest is written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from zoneflow.functions.names import TEAM_SYNONYM_RULES, normalize_name
 from zoneflow.functions.scores import split_pair_to_ints
 from zoneflow.operators.matches import (
     clean_match_dates,
     clean_match_scores,
-    dates_layouts,
     enrich_matches,
     enrich_matches_incremental,
-    scores_layouts,
 )
-from zoneflow.operators.merge import duplicate_rows, merge_by_priority
+from zoneflow.operators.merge import ROWS, duplicate_rows, merge_picked, picked_rows
 from zoneflow.operators.schema import (
     COACH_FIELDS,
     STANDING_CSV_SCHEMA,
@@ -35,20 +35,34 @@ from zoneflow.operators.schema import (
     rename_columns,
     resolve,
     unify_schemas,
+    union_by_name_lenient,
     union_by_name_strict,
 )
 from zoneflow.sinks.writers import (
     export_csv,
     publish,
     replace_partitions,
+    replace_side_table,
     write_if_nonempty,
     write_json_rows,
     write_parquet,
 )
 from zoneflow.sources.catalog import catalog_select_all
-from zoneflow.sources.files import read_mixed_format, read_parquet, split_rejects
-from zoneflow.sources.layouts import read_layouts, write_layouts
-from zoneflow.sources.seasons import SKIPPED_SEASON, read_season_table, scan_with_layouts
+from zoneflow.sources.files import (
+    BAD_RECORD_COLUMN,
+    RAGGED,
+    ragged_records,
+    read_csv_by_header,
+    read_json_folder,
+    read_mixed_format,
+    read_or_none,
+    read_parquet,
+    split_rejects,
+    well_formed,
+)
+from zoneflow.sources.manifests import file_path, written
+from zoneflow.sources.seasons import PATH, SKIPPED_SEASON, season_folder_records
+from zoneflow.sources.tables import SOURCE_COLUMNS, scan_season_table, untagged
 
 # -- W1 ---------------------------------------------------------------------
 
@@ -56,42 +70,54 @@ def landing_to_raw(spark: SparkSession, landing: str, raw: str, seasons: Iterabl
     """Every ``<landing>/<yyyy-yy>/`` CSV folder -> ``<raw>/season=yyyy-yy/`` parquet.
 
     Only the seasons present in the landing zone (or the given ``seasons``)
-    are replaced; nothing is touched when there is no season folder.
+    are replaced; nothing is touched when there is no season folder.  Records with more or fewer cells than
+    their file's header are counted while the others are written, and listed if there are any.  Where files differ
+    in their columns, rows note their own (``tables.SOURCE_COLUMNS``).
     """
-    rows, layouts = scan_with_layouts(spark, landing, seasons)
-    if rows is None:
+    records = season_folder_records(spark, landing, seasons, with_source=True)
+    if records is None:
         return None
-    replace_partitions(rows, raw, ("season",))
-    write_layouts(spark, raw, layouts)
+    seen = Observation()
+    counted = records.observe(seen, F.count(RAGGED).alias("ragged"))
+    replace_partitions(well_formed(counted.drop(PATH)), raw, ("season",))
+    _list_rejects(spark, raw, ragged_records(records.drop(SOURCE_COLUMNS), PATH, "season") if seen.get["ragged"] else None)
     return raw
 
 
+def _list_rejects(spark: SparkSession, target: str, *found: DataFrame | None) -> None:
+    """Replace ``<target>_rejects`` by what this run found, also by nothing."""
+    rows = [df for df in found if df is not None]
+    replace_side_table(spark, union_by_name_lenient(rows) if rows else None, f"{target.rstrip('/')}_rejects")
+
+
 # -- W2 / W3 / W4 -------------------------------------------------------------
 
-def _stage(spark: SparkSession, src: str, dst: str, transform, seasons: Iterable[str] | None = None) -> str | None:
-    """Row-preserving stage: probe the (cheap) input for a row, then write once.
+def _stage(spark: SparkSession, src: str, dst: str, transform, seasons: Iterable[str] | None = None,
+           tagged: bool = False) -> str | None:
+    """Row-preserving stage: nothing to do when the footers count no row, else one write.
 
-    ``transform(rows, layouts)`` returns the new rows and the new layouts.  With
-    ``seasons`` only those folders are listed, read and replaced, so a newly arrived season
+    ``transform(rows, has)`` returns the new rows; with ``tagged``, ``has(column)`` tells of each row whether its file has
+    the column.  With ``seasons`` only those folders are listed, read and replaced, so a newly arrived season
     is processed without touching the history.
     """
-    rows = read_season_table(spark, src, seasons=seasons)
-    if rows is None or rows.isEmpty():
+    scan = scan_season_table(spark, src, seasons, tagged)
+    if scan is None:
         return None
-    made, layouts = transform(rows, read_layouts(spark, src, seasons))
-    replace_partitions(made, dst, ("season",))
-    write_layouts(spark, dst, layouts)
+    _list_rejects(spark, dst, scan.rejects() if scan.broken else None)
+    if not scan.n_rows:
+        return None
+    replace_partitions(untagged(transform(scan.rows, scan.has)), dst, ("season",))
     return dst
 
 
 def match_dates_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None) -> str | None:
     """Date normalisation + standard columns, season partitions replaced."""
-    return _stage(spark, src, dst, lambda df, own: (clean_match_dates(df, layouts=own), dates_layouts(own)), seasons)
+    return _stage(spark, src, dst, lambda df, has: clean_match_dates(df, has=has), seasons, tagged=True)
 
 
 def match_scores_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None) -> str | None:
     """Score back-fill + round type + standard columns."""
-    return _stage(spark, src, dst, lambda df, own: (clean_match_scores(df, layouts=own), scores_layouts(own)), seasons)
+    return _stage(spark, src, dst, lambda df, has: clean_match_scores(df, has=has), seasons, tagged=True)
 
 
 def match_enrich_job(spark: SparkSession, src: str, dst: str, skip_seasons: Iterable[str] = (SKIPPED_SEASON,),
@@ -100,7 +126,7 @@ def match_enrich_job(spark: SparkSession, src: str, dst: str, skip_seasons: Iter
 
     For newly arrived seasons use ``match_enrich_incremental_job``.
     """
-    return _stage(spark, src, dst, lambda df, own: (enrich_matches(df, skip_seasons, rules), own))
+    return _stage(spark, src, dst, lambda df, _: enrich_matches(df, skip_seasons, rules))
 
 
 def match_enrich_incremental_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str],
@@ -115,13 +141,13 @@ def match_enrich_incremental_job(spark: SparkSession, src: str, dst: str, season
     season after newer ones needs the full ``match_enrich_job``.
     """
     wanted = list(seasons)
-    rows = read_season_table(spark, src, seasons=wanted)
-    if rows is None or not wanted or rows.isEmpty():
+    scan = scan_season_table(spark, src, wanted)
+    if scan is None or not scan.n_rows:
         return None
+    _list_rejects(spark, dst, scan.rejects() if scan.broken else None)
     state = read_parquet(spark, state_in) if state_in else None
-    enriched, new_state = enrich_matches_incremental(rows, state, rules)
+    enriched, new_state = enrich_matches_incremental(scan.rows, state, rules)
     replace_partitions(enriched, dst, ("season",))
-    write_layouts(spark, dst, read_layouts(spark, src, wanted))
     write_parquet(new_state, state_out)
     return dst
 
@@ -133,15 +159,19 @@ def fact_matches_job(spark: SparkSession, building: str, master: str,
     """All season partitions (unlike column sets merged) -> the fact table.
 
     Only ``season=`` folders are read; other folders of the zone are not facts.
+    A column that seasons hold in different types gets the type they agree on.
     An empty building zone leaves the fact table as it is.  With ``seasons``
     only those partitions of the fact table are replaced.
     """
-    facts = read_season_table(spark, building, seasons=seasons)
-    if facts is None or facts.isEmpty():
+    scan = scan_season_table(spark, building, seasons)
+    if scan is None:
+        return None
+    _list_rejects(spark, master, scan.rejects() if scan.broken else None)
+    if not scan.n_rows:
         return None
     if seasons is not None:
-        return replace_partitions(facts, master, ("season",))
-    return write_parquet(facts, master, partition_by=("season",))
+        return replace_partitions(scan.rows, master, ("season",))
+    return write_parquet(scan.rows, master, partition_by=("season",))
 
 
 # -- W6 / W7 ----------------------------------------------------------------
@@ -169,28 +199,39 @@ def teams_to_raw(spark: SparkSession, landing_subject: str, raw: str, subject: s
 
     Every file is a source; files count in the order of their paths, CSV and JSON
     alike, and a column takes the first non-null value in that order.  JSON keeps all its
-    columns.  Files that are no JSON go to ``<raw>_rejects``, rows that lost against another
-    row of their name in the same file to ``<raw>_duplicates``.  Nothing is replaced when
-    the folder yields no rows.
+    columns.  Files that are no JSON go to ``<raw>_rejects``, and so do CSV records with cells that do not fit the
+    schema (they are merged with nulls in those places); rows that lost against another row of their name in the
+    same file go to ``<raw>_duplicates``.  Nothing is replaced when the folder yields no rows.
+
+    The files are read once: the rows picked per name and file are a work table, which also says whether there
+    is anything to list.
     """
-    csv_df, json_df = read_mixed_format(spark, landing_subject, csv_schema=STANDING_CSV_SCHEMA)
-    path = F.col("_metadata.file_path").alias(_FILE)
+    csv_schema = StructType([*STANDING_CSV_SCHEMA.fields, StructField(BAD_RECORD_COLUMN, StringType())])
+    csv_df, json_df = read_mixed_format(spark, landing_subject, csv_schema=csv_schema, csv_options={
+        "columnNameOfCorruptRecord": BAD_RECORD_COLUMN, "columnPruning": "false"})
+    path = file_path().alias(_FILE)
     json_df, rejects = split_rejects(json_df)
-    sources = []
+    sources, seen, bad_records = [], Observation(), None
     if csv_df is not None:
-        sources.append(conform_standing(csv_df.select("*", path), "TEAMS"))
+        tagged = csv_df.select("*", path)
+        cells = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in STANDING_CSV_SCHEMA.fields]))
+        bad_records = tagged.filter(F.col(BAD_RECORD_COLUMN).isNotNull()).select(
+            F.col(_FILE).alias("path"), F.col(BAD_RECORD_COLUMN).alias("record"), cells.alias("parsed"))
+        counted = tagged.observe(seen, F.count(BAD_RECORD_COLUMN).alias("bad"))
+        sources.append(conform_standing(counted.drop(BAD_RECORD_COLUMN), "TEAMS"))
     if json_df is not None:
         sources.append(conform_team_json(json_df.select("*", path), "TEAMS"))
-    if rejects is not None:
-        write_parquet(rejects, f"{raw.rstrip('/')}_rejects")
-    # the merge is empty exactly when every source is: probe the scans, not the aggregate
-    if not any(src.take(1) for src in sources):
+    rows = union_by_name_strict(unify_schemas(sources)) if sources else None
+    if rows is None or "name" not in rows.columns:
+        _list_rejects(spark, raw, rejects)
         return None
-    rows = union_by_name_strict(unify_schemas(sources))
-    if "name" not in rows.columns:
+    picked = written(picked_rows(rows, "name", _FILE), spark, "picked-teams")
+    _list_rejects(spark, raw, rejects, bad_records if csv_df is not None and seen.get["bad"] else None)
+    if picked.isEmpty():
         return None
-    merged = align_to_schema(merge_by_priority(rows, "name", _FILE), SUBJECT_SCHEMAS[subject])
-    write_if_nonempty(duplicate_rows(rows, "name", _FILE), write_parquet, f"{raw.rstrip('/')}_duplicates")
+    merged = align_to_schema(merge_picked(picked, "name", _FILE), SUBJECT_SCHEMAS[subject])
+    repeated = not picked.filter(F.col(ROWS) > 1).isEmpty()
+    replace_side_table(spark, duplicate_rows(rows, "name", _FILE, picked) if repeated else None, f"{raw.rstrip('/')}_duplicates")
     return write_parquet(merged, raw)
 
 
@@ -217,12 +258,14 @@ def mixed_folder(spark: SparkSession, folder: str) -> tuple[DataFrame | None, Da
 
     Columns that a file lacks are null, whatever its format.  A column keeps its type when
     all sources agree on it (or all are numbers); otherwise it is text, nested values as
-    JSON.  Rejects are the files that are no JSON.
+    JSON.  Rejects are the files that are no JSON and the CSV records that do not fit their header.
     """
-    csv_df, json_df = read_mixed_format(spark, folder)
-    json_df, rejects = split_rejects(json_df)
+    records = read_or_none(lambda p: read_csv_by_header(spark, p, "*.csv", {PATH: file_path()}), folder)
+    csv_df = None if records is None else well_formed(records.drop(PATH))
+    json_df, bad_files = split_rejects(read_json_folder(spark, folder))
     frames = [df for df in (csv_df, json_df) if df is not None]
-    return (union_by_name_strict(unify_schemas(frames)) if frames else None), rejects
+    rejects = [df for df in (None if records is None else ragged_records(records, PATH), bad_files) if df is not None]
+    return (union_by_name_strict(unify_schemas(frames)) if frames else None), (union_by_name_strict(rejects) if rejects else None)
 
 
 def countries_to_raw(spark: SparkSession, landing_countries: str, raw_countries: str,
@@ -233,8 +276,7 @@ def countries_to_raw(spark: SparkSession, landing_countries: str, raw_countries:
 
 def _publish_folder(spark: SparkSession, folder: str, dest: str, one_file: bool) -> str | None:
     rows, rejects = mixed_folder(spark, folder)
-    if rejects is not None:
-        write_parquet(rejects, f"{dest.rstrip('/')}_rejects")
+    _list_rejects(spark, dest, rejects)
     return None if rows is None else write_if_nonempty(rows, publish, dest, "parquet", one_file)
 
 
@@ -265,9 +307,15 @@ def general_dims_job(spark: SparkSession, raw_general: str, master: str,
 # -- W11 / W12 ----------------------------------------------------------------
 
 def all_seasons_csv_job(spark: SparkSession, building: str, dest: str, one_file: bool = False) -> str | None:
-    """Every season of a building table -> one CSV export with header."""
-    rows = read_season_table(spark, building, merge_schema=True)
-    return None if rows is None else export_csv(rows, dest, one_file)
+    """Every season of a building table -> one CSV export with header.
+
+    Seasons may hold a column in different types; files that are no parquet are left out and listed.
+    """
+    scan = scan_season_table(spark, building)
+    if scan is None:
+        return None
+    _list_rejects(spark, dest, scan.rejects() if scan.broken else None)
+    return None if scan.rows is None else export_csv(scan.rows, dest, one_file)
 
 
 def serve_table_job(spark: SparkSession, table: str, dest: str) -> str:

@@ -138,6 +138,14 @@ def write_if_nonempty(df: DataFrame, write, *args, **kwargs):
     return write(df, *args, **kwargs)
 
 
+def replace_side_table(spark: SparkSession, df: DataFrame | None, path: str) -> str | None:
+    """Make ``path`` hold the rows of ``df``, or nothing at all where there are none: it tells of the last run only."""
+    if df is not None and df.take(1):
+        return write_parquet(df, path)
+    remove_path(spark, path)
+    return None
+
+
 # -- K5 / K6: published tables, in one file where the caller asks for it ---------
 
 def publish(df: DataFrame, path: str, fmt: str = "parquet", one_file: bool = False, **options: str) -> str:
@@ -197,11 +205,14 @@ def write_json_rows(df: DataFrame, path: str) -> str:
     returns the data rows only.
     """
     spark = df.sparkSession
-    json_rows(df).write.mode("overwrite").text(path)
     # one row built on the JVM side (no Python worker, one partition)
     header = spark.range(1, numPartitions=1).select(F.lit(json.dumps(df.columns)).alias("value"))
-    header.write.mode("overwrite").text(f"{path.rstrip('/')}/_columns")
-    return path
+
+    def write(folder: str) -> None:
+        json_rows(df).write.text(folder)
+        header.write.text(f"{folder}/_columns")
+
+    return _staged(spark, path, write)
 
 
 def preview_rows(df: DataFrame, order_by: str | Sequence[str], n: int = 5) -> DataFrame:
@@ -236,6 +247,6 @@ def serve_page(df: DataFrame, order_by: str, limit: int, after: object | None =
 __all__ = [
     "CSV_EXPORT_OPTIONS", "append_parquet", "data_files", "export_csv", "export_single_csv", "filesystem",
     "json_rows", "move_path", "page_document", "path_exists", "preview_rows", "publish", "remove_path",
-    "replace_partitions", "serve_page", "swap_in", "write_if_nonempty", "write_json_rows", "write_parquet",
+    "replace_partitions", "replace_side_table", "serve_page", "swap_in", "write_if_nonempty", "write_json_rows", "write_parquet",
     "write_single_parquet",
 ]

@@ -3,6 +3,8 @@
 from zoneflow.sources.catalog import catalog_select_all, register_table
 from zoneflow.sources.files import (
     BAD_RECORD_COLUMN,
+    ragged_records,
+    read_csv_by_header,
     read_csv_strings,
     read_csv_with_schema,
     read_json_multiline,
@@ -10,7 +12,9 @@ from zoneflow.sources.files import (
     read_parquet,
     read_parquet_recursive_merged,
     tolerant_scan,
+    well_formed,
 )
+from zoneflow.sources.manifests import footer_manifest, header_manifest
 from zoneflow.sources.seasons import (
     SKIPPED_SEASON,
     exclude_seasons,
@@ -19,10 +23,12 @@ from zoneflow.sources.seasons import (
     season_of_path,
     season_partitions,
 )
+from zoneflow.sources.tables import TableScan, scan_parquet, scan_season_table
 
 __all__ = [
-    "BAD_RECORD_COLUMN", "SKIPPED_SEASON", "catalog_select_all", "exclude_seasons",
-    "read_csv_strings", "read_csv_with_schema", "read_json_multiline", "read_mixed_format",
+    "BAD_RECORD_COLUMN", "SKIPPED_SEASON", "TableScan", "catalog_select_all", "exclude_seasons", "footer_manifest",
+    "header_manifest", "ragged_records", "read_csv_by_header", "read_csv_strings", "read_csv_with_schema", "read_json_multiline", "read_mixed_format",
     "read_parquet", "read_parquet_recursive_merged", "read_season_table", "register_table",
-    "season_folder_scan", "season_of_path", "season_partitions", "tolerant_scan",
+    "scan_parquet", "scan_season_table", "season_folder_scan", "season_of_path", "season_partitions", "tolerant_scan",
+    "well_formed",
 ]

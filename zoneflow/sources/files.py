@@ -7,17 +7,17 @@ extra inference pass over the data that an untyped CSV/JSON read costs.
 from __future__ import annotations
 
 import csv
-import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
-from functools import reduce
-from urllib.parse import unquote
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from zoneflow.sources.manifests import file_key, for_join, header_manifest
+from zoneflow.sources.tables import SOURCE_COLUMNS, scan_parquet, source_columns
+
 BAD_RECORD_COLUMN = "_bad_record"
 
 
@@ -60,67 +60,109 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parquet_recursive_merged(spark: SparkSession, path: str) -> DataFrame:
-    """Every parquet file below ``path``, column sets unioned."""
-    return spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path)
-
-
-# -- CSV files that differ in their header line ------------------------------------
-
-def first_lines(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*") -> DataFrame:
-    """``(path, line)``: the first line of every visible file below ``paths`` whose name fits ``pattern``.
+    """Every parquet file below ``path``, column sets unioned.
 
-    One distributed job.  Every file split is a task that stops after its first row, so
-    the rest of the files is not read; files without any line have no row.
+    A column that files hold in different types gets the type they agree on: the widest number, else text
+    (``tables.scan_parquet``).
     """
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-             .text(list(paths) if not isinstance(paths, str) else paths)
-             .select(F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line")))
+    found = scan_parquet(spark, path, recursive=True)
+    if found.broken:
+        raise ValueError(f"{found.broken} files below {path} are no parquet, such as {found.rejects().first()['path']}")
+    if found.rows is None:
+        raise ValueError(f"no parquet file below {path}")
+    return found.rows
 
-    def first(batches: Iterator) -> Iterator:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
 
-    return lines.mapInArrow(first, "path string, start long, line string").filter("start = 0").select("path", "line")
+# -- CSV files that differ in their header line ------------------------------------
 
+#: follows the last cell of a line while it is parsed, so that its place tells the number of cells
+LINE_END = "\x01end"
+RAGGED = "_ragged"
 
-def csv_layouts(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*") -> dict[str, list[str]]:
-    """Files (encoded paths) by their header line, in the order of the first file of each."""
-    # while the job is planned, a split must not share its task with others, and rows pass one by one
-    settings = {"spark.sql.files.openCostInBytes": "9g", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        found = (first_lines(spark, paths, pattern).groupBy("line")
-                 .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return {r["line"]: list(r["paths"]) for r in sorted(found, key=lambda r: r["paths"][0])}
-
-
-def header_schema(line: str, sep: str = ",", quote: str = '"') -> StructType:
-    """Text columns named by a header line; blank and repeated names are completed by their position."""
+
+def header_names(line: str, sep: str = ",", quote: str = '"') -> list[str]:
+    """Column names of a header line; blank and repeated names are completed by their position."""
     names = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep, quotechar=quote), [])
     counts = Counter(n.lower() for n in names)
-    return StructType([StructField(f"_c{i}" if not n else f"{n}{i}" if counts[n.lower()] > 1 else n, StringType())
-                       for i, n in enumerate(names)])
+    return [f"_c{i}" if not n else f"{n}{i}" if counts[n.lower()] > 1 else n for i, n in enumerate(names)]
 
 
-def read_csv_files(spark: SparkSession, line: str, files: Sequence[str], **options: str) -> DataFrame:
-    """CSV files that share the header ``line``, every column text."""
-    schema = header_schema(line, options.get("sep", options.get("delimiter", ",")), options.get("quote", '"'))
-    # a path is a glob pattern for the reader: what could be one in a file's name is escaped
-    paths = [re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(f)) for f in files]
-    return spark.read.schema(schema).option("header", "true").options(**options).csv(paths)
+def read_csv_by_header(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*",
+                       extra: Mapping[str, Column] | None = None, with_source: bool = False, **options: str) -> DataFrame | None:
+    """All CSV files below ``paths`` in one scan, every cell under its own file's header name.
 
+    Columns are text, in the order in which the files' headers first name them (case does not tell names
+    apart); a file's missing columns are null.  ``extra`` names more columns, expressions over the scan such as
+    the file's path.  ``RAGGED`` holds the text of a record that has more or fewer cells than its header, null for
+    all others: split them with ``well_formed`` and ``ragged_records``.  Where files differ in their columns,
+    ``with_source`` adds ``tables.SOURCE_COLUMNS``.  ``None`` when no file has a header.
 
-def read_csv_layouts(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*", **options: str) -> list[DataFrame]:
-    """One DataFrame of text columns per different header line among the CSV files below ``paths``."""
-    return [read_csv_files(spark, line, files, **options) for line, files in csv_layouts(spark, paths, pattern).items()]
+    A manifest job looks at each file's head (``header_manifest``).  Only the different headers come to the
+    driver.  With one header the scan is a plain CSV scan.  With more, lines are cut into cells by
+    position and each row takes its file's layout from the manifest, so the plan has one scan for any number of
+    files and headers.
+    """
+    sep, quote = options.get("sep", options.get("delimiter", ",")), options.get("quote", '"')
+    manifest = header_manifest(spark, paths, pattern, options.get("comment", ""))
+    heads = manifest.groupBy("line").agg(F.min("path").alias("first"), F.count(F.lit(1)).alias("files")).orderBy("first").collect()
+    if not heads:
+        return None
+    layouts = [header_names(h["line"], sep, quote) for h in heads]
+    names: dict[str, str] = {}
+    for layout in layouts:
+        for name in layout:
+            names.setdefault(name.lower(), name)
+    extra = dict(extra or {})
+    more = [c.alias(n) for n, c in extra.items()]
+    reader = spark.read.option("header", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    where = paths if isinstance(paths, str) else list(paths)
+    if len(layouts) == 1:
+        schema = StructType([StructField(n, StringType()) for n in (*layouts[0], RAGGED)])
+        # all cells are parsed whatever columns are asked for, so that a record's cells are counted
+        rows = reader.schema(schema).option("mode", "PERMISSIVE").option("columnPruning", "false").option(
+            "columnNameOfCorruptRecord", RAGGED).options(**options).csv(where)
+        return rows.select(*[F.col(f"`{n}`") for n in layouts[0]], *more, RAGGED)
+
+    width = max(map(len, layouts))
+    cells = StructType([StructField(f"c{i}", StringType()) for i in range(width + 1)])
+    as_array = lambda prefix: F.array(*[F.col(f"{prefix}c{i}") for i in range(width + 1)])
+    if options.get("multiLine", "false").lower() == "true":  # records of several lines are cut by the scan itself
+        rows = reader.schema(StructType([*cells.fields, StructField("_raw", StringType())])).option(
+            "columnNameOfCorruptRecord", "_raw").options(**options).csv(where)
+        rows = rows.select(as_array("").alias("_cells"), F.coalesce("_raw", F.lit("")).alias("_line"), file_key().alias("_file"), *more)
+        ended = F.get("_cells", "_width").isNull()
+    else:
+        # lines as the CSV scan gives them, without each file's header; a line that holds the separator is kept whole in _raw
+        whole = {k: v for k, v in options.items() if k in ("encoding", "charset", "lineSep", "comment")}
+        rows = reader.schema("_one string, _raw string").option("sep", LINE_END[0]).option("quote", "").option(
+            "columnNameOfCorruptRecord", "_raw").options(**whole).csv(where)
+        rows = rows.select(F.coalesce("_raw", "_one").alias("_line"), file_key().alias("_file"), *more)
+        parsed = F.from_csv(F.concat("_line", F.lit(sep + LINE_END)), ", ".join(f"c{i} string" for i in range(width + 1)), options)
+        rows = rows.withColumn("_parsed", parsed).select(as_array("_parsed.").alias("_cells"), "_line", "_file", *extra)
+        ended = F.get("_cells", "_width") == LINE_END
+    slots = [[{n.lower(): i for i, n in enumerate(layout)}.get(n, -1) for n in names] for layout in layouts]
+    known = spark.createDataFrame([(h["line"], k) for k, h in enumerate(heads)], "line string, _layout int")
+    files = manifest.join(F.broadcast(known), "line").select(F.col("key").alias("_file"), "_layout")
+    shapes = spark.createDataFrame([(k, len(layout), slots[k], source_columns(layout)) for k, layout in enumerate(layouts)],
+                                   f"_layout int, _width int, _slots array<int>, `{SOURCE_COLUMNS}` string")
+    rows = rows.join(for_join(files, sum(h["files"] for h in heads)), "_file").join(F.broadcast(shapes), "_layout")
+    values = [F.get("_cells", F.get("_slots", F.lit(k))).alias(n) for k, n in enumerate(names.values())]
+    if with_source and len({frozenset(n.lower() for n in layout) for layout in layouts}) > 1:
+        extra[SOURCE_COLUMNS] = F.col(SOURCE_COLUMNS)
+    return rows.select(*values, *extra, F.when(~F.coalesce(ended, F.lit(False)), F.col("_line")).alias(RAGGED))
+
+
+def well_formed(rows: DataFrame) -> DataFrame:
+    """The rows of ``read_csv_by_header`` that have the cells their header names."""
+    return rows.filter(F.col(RAGGED).isNull()).drop(RAGGED)
+
+
+def ragged_records(rows: DataFrame, path: str, *keep: str) -> DataFrame:
+    """``(path, record, parsed)`` of the others (and columns to ``keep``): the file's path (column ``path``), the record's
+    text, and as JSON the cells that were read under a name."""
+    cells = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in (path, RAGGED, *keep)]))
+    return rows.filter(F.col(RAGGED).isNotNull()).select(*keep, F.col(path).alias("path"), F.col(RAGGED).alias("record"),
+                                                         cells.alias("parsed"))
 
 
 def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | None = None,
@@ -130,17 +172,21 @@ def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | N
 
     One read per format over the whole folder -- not one read per file.  A
     format with no files gives ``None`` when its schema has to be inferred.
-    Without a CSV schema, files that share a header line are one scan, and the scans
-    are unioned by name; columns a layout lacks are null, as for JSON.
+    Without a CSV schema, cells are named by their own file's header (``read_csv_by_header``); columns
+    that a file lacks are null, as for JSON, and records that don't fit their header are left out.
     """
     csv_options = dict(csv_options or {})
     if csv_schema is not None:
         csv_df = read_or_none(lambda p: spark.read.option("header", "true").option("recursiveFileLookup", "true").option(
             "pathGlobFilter", "*.csv").options(**csv_options).schema(csv_schema).csv(p), path)
     else:
-        parts = read_or_none(lambda p: read_csv_layouts(spark, p, "*.csv", **csv_options), path)
-        csv_df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+        rows = read_or_none(lambda p: read_csv_by_header(spark, p, "*.csv", **csv_options), path)
+        csv_df = None if rows is None else well_formed(rows)
+    return csv_df, read_json_folder(spark, path, json_schema)
+
 
+def read_json_folder(spark: SparkSession, path: str, json_schema: StructType | None = None) -> DataFrame | None:
+    """The ``*.json`` files below a folder, each one document or an array of them; ``None`` when there are none."""
     def json_reader(p: str) -> DataFrame:
         r = (spark.read.option("multiLine", "true").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.json"))
@@ -148,7 +194,7 @@ def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | N
             r = r.schema(json_schema)
         return r.json(p)
 
-    return csv_df, read_or_none(json_reader, path)
+    return read_or_none(json_reader, path)
 
 
 def read_or_none(reader, path: str):

@@ -1,8 +1,8 @@
 """Season-folder scans (O1, O2).
 
 Landing data arrives as ``<base>/<yyyy-yy>/.../*.csv``.  Instead of one job per
-folder, the season folders (one metadata listing) are read into a single plan
--- one scan per header line -- and written by one job.
+folder, the season folders (one metadata listing) are read by a single scan and
+written by one job, however many files, headers and seasons there are.
 Zones this library writes itself are Hive-partitioned (``season=yyyy-yy``) so
 that season filters prune partitions at planning time.
 """
@@ -11,19 +11,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.sources.files import csv_layouts, read_csv_files
+from zoneflow.sources.files import read_csv_by_header, well_formed
+from zoneflow.sources.manifests import file_path
+from zoneflow.sources.tables import SOURCE_COLUMNS
 
 # --- fixed values ----------------------------------------------------------
 SEASON_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]"   # folder names like 2021-22
 SEASON_REGEX = r"\d{4}-\d{2}"
 SKIPPED_SEASON = "2023-24"
+PATH = "_path"
 # ---------------------------------------------------------------------------
 
 
@@ -63,18 +64,16 @@ def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_sea
                        seasons: Iterable[str] | None = None, **options: str) -> DataFrame | None:
     """All files under every ``<base>/<yyyy-yy>/`` folder, plus a ``season`` column.
 
-    Folders that do not match the season pattern are never read.  CSV columns are text
-    and named by each file's own header line: one job looks at the first lines of all
-    files, then files that share a header are one scan, and the scans are unioned by
-    name (missing columns null).  So the number of jobs depends neither on the number of
-    seasons nor on that of files.  ``per_season_header=False`` and other formats read
-    everything in one scan with one schema.  ``seasons`` limits the scan to those
-    folders.  Returns ``None`` when there is no season folder.
+    Folders that do not match the season pattern are never read.  CSV columns are text and named by each
+    file's own header (``read_csv_by_header``: one scan, missing columns null); records that do not fit their
+    header are left out (``season_folder_records`` has them).  ``per_season_header=False`` and other formats read
+    everything with one schema.  ``seasons`` limits the scan to those folders.  Returns ``None`` when there
+    is no season folder.
     """
     if fmt == "csv" and per_season_header:
-        return scan_with_layouts(spark, base, seasons, **options)[0]
-    wanted = set(seasons) if seasons is not None else None
-    folders = [p for s, p in season_folders(spark, base) if wanted is None or s in wanted]
+        rows = season_folder_records(spark, base, seasons, **options)
+        return None if rows is None else well_formed(rows.drop(PATH))
+    folders = _wanted_folders(spark, base, seasons)
     if not folders:
         return None
     reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
@@ -84,23 +83,20 @@ def season_folder_scan(spark: SparkSession, base: str, fmt: str = "csv", per_sea
     return reader.options(**options).load(folders).select("*", season_of_path(base).alias("season"))
 
 
-def scan_with_layouts(spark: SparkSession, base: str, seasons: Iterable[str] | None = None, **options: str
-                      ) -> tuple[DataFrame | None, dict[str, frozenset[str]]]:
-    """The CSV scan of ``season_folder_scan`` and the (lower-case) columns that each season's files have."""
+def _wanted_folders(spark: SparkSession, base: str, seasons: Iterable[str] | None) -> list[str]:
     wanted = set(seasons) if seasons is not None else None
-    folders = [(s, p) for s, p in season_folders(spark, base) if wanted is None or s in wanted]
+    return [p for s, p in season_folders(spark, base) if wanted is None or s in wanted]
+
+
+def season_folder_records(spark: SparkSession, base: str, seasons: Iterable[str] | None = None, with_source: bool = False,
+                          **options: str) -> DataFrame | None:
+    """The CSV scan of ``season_folder_scan`` with every record: columns, ``season``, ``PATH`` and ``RAGGED``
+    (``with_source``: as in ``read_csv_by_header``)."""
+    folders = _wanted_folders(spark, base, seasons)
     if not folders:
-        return None, {}
-    groups = csv_layouts(spark, [p for _, p in folders])
-    inside = re.compile(f"/{re.escape(base.rstrip('/').rsplit('/', 1)[-1])}/({SEASON_REGEX})/")
-    parts, columns = [], {s: set() for s, _ in folders}
-    for line, files in groups.items():
-        frame = read_csv_files(spark, line, files, **options)
-        parts.append(frame.select("*", season_of_path(base).alias("season")))
-        for file in files:
-            columns[inside.search(unquote(file))[1]].update(c.lower() for c in frame.columns)
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
-    return rows, {s: frozenset(c) for s, c in columns.items()}
+        return None
+    return read_csv_by_header(spark, folders, extra={"season": season_of_path(base), PATH: file_path()},
+                              with_source=with_source, **options)
 
 
 def exclude_seasons(df: DataFrame, *seasons: str, column: str = "season") -> DataFrame:
@@ -131,7 +127,8 @@ def read_season_table(spark: SparkSession, path: str, merge_schema: bool = True,
     if not paths:
         return None
     try:
-        return spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+        rows = spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+        return rows.drop(SOURCE_COLUMNS)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
             return None
