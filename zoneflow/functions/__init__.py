@@ -13,6 +13,7 @@ from zoneflow.functions.names import (
     TEAM_SYNONYM_RULES,
     canonicalize,
     canonicalize_by_join,
+    close_rules,
     fold_rules,
     normalize_name,
 )
@@ -27,7 +28,7 @@ from zoneflow.functions.scores import (
 
 __all__ = [
     "NAME_STOP_TOKENS", "TEAM_SYNONYM_RULES", "as_text", "backfill_int", "canonicalize",
-    "canonicalize_by_join", "date_from_text", "date_from_timestamp", "day_from_iso",
+    "canonicalize_by_join", "close_rules", "date_from_text", "date_from_timestamp", "day_from_iso",
     "day_from_text", "fold_rules", "is_null_token", "normalize_name", "null_token_default",
     "pair_part", "row_as_json_array", "split_pair_to_ints", "week_from_iso", "week_from_text",
 ]

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zoneflow.session import scratch_dir
+
 # --- fixed values (must equal the reference for identical results) ---------
 # Whole words removed by name normalisation, in this order inside one
 # alternation: sc bc acf afc fc cf club de la fútbol football 04
@@ -127,8 +129,44 @@ def canonicalize(c: Column | str, rules: Iterable[tuple[str, str]] = TEAM_SYNONY
     return F.coalesce(F.try_element_at(lookup, _col(c)), _col(c))
 
 
+def close_rules(rules_df: DataFrame) -> DataFrame:
+    """``(source, target)`` of every value that the ordered rules ``(position, source, target)`` change in the end.
+
+    Rules apply one after another, so after a rule only later positions can fire on its target.  Every rule
+    points to the next one that does, and the pointers are doubled until each is at the end of its chain: about
+    log2 of the longest chain many joins of the rule table with itself, each written below the checkpoint folder.
+    Equal positions apply in the order of source, then target; rules with a null are left out.
+    """
+    spark = rules_df.sparkSession
+
+    def kept(df: DataFrame, tag: str) -> DataFrame:
+        path = scratch_dir(spark, tag)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    at = F.struct("position", "source", "target")
+    rules = kept(rules_df.select("position", "source", "target").dropna().distinct().withColumn("rule", at), "rules")
+    # per value, from the last position back: the rule nearest ahead that fires on it
+    fires = rules.select(F.col("source").alias("value"), "rule", F.lit(0).alias("fired"))
+    fired = rules.select(F.col("target").alias("value"), "rule", F.lit(1).alias("fired"))
+    ahead = Window.partitionBy("value").orderBy(F.desc("rule"), F.desc("fired")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    following = F.last(F.when(F.col("fired") == 0, F.col("rule")), ignorenulls=True).over(ahead)
+    now = fires.unionByName(fired).withColumn("next", following).filter("fired = 1").select("rule", "next")
+    now = kept(now, "rule-pointers")
+    while True:
+        beyond = now.filter("next is not null").select(F.col("rule").alias("r"), F.col("next").alias("n"))
+        joined = now.join(beyond, F.col("next") == F.col("r"), "left")
+        now = kept(joined.select("rule", F.coalesce("n", "next").alias("next"), F.col("n").isNotNull().alias("moved")), "rule-pointers")
+        if now.filter("moved").isEmpty():
+            break
+        now = now.select("rule", "next")
+    first = rules.groupBy("source").agg(F.min("rule").alias("rule"))
+    last = first.join(now, "rule").select("source", F.coalesce("next", "rule").getField("target").alias("target"))
+    return last.filter("source != target")
+
+
 def canonicalize_by_join(df: DataFrame, column: str, rules_df: DataFrame) -> DataFrame:
-    """Canonicalise ``column`` with an already-closed rule table of any size.
+    """Canonicalise ``column`` with an already-closed rule table of any size (``close_rules`` makes one).
 
     ``rules_df`` has columns ``source``/``target`` with unique sources.  The
     join is a plain left equi-join; Spark (AQE) broadcasts the rule side only

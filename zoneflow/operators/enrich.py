@@ -95,5 +95,56 @@ def fill_with_state(df: DataFrame, state: DataFrame | None, key: str, value: str
     return filled, latest_known_value(tagged.drop(flag), key, value, order)
 
 
-__all__ = ["NULL_TOKENS", "UNKNOWN", "fill_from_latest_known", "fill_plan", "fill_with_state", "known_pairs",
-           "latest_known_value", "row_counts"]
+# -- knowledge as a table: late and corrected periods ------------------------------
+
+KNOWN, GAPS = "known", "gaps"
+
+
+def period_knowledge(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """``(key, order, KNOWN, GAPS)``: what each period says of each key.
+
+    ``KNOWN`` is the real value (of several the greatest), null where there is none; a known value holds from
+    its period until the next one that knows another.  ``GAPS`` tells whether rows of the period need a fill.
+    One row per key and period, whatever the number of rows behind it.
+    """
+    return df.groupBy(key, order).agg(F.max(F.when(_real(value), F.col(value))).alias(KNOWN),
+                                      F.max(is_null_token(value)).alias(GAPS))
+
+
+def fills_of(knowledge: DataFrame, key: str, order: str) -> DataFrame:
+    """``(key, order, GAPS, fill)``: the value known of a key at or before each of its periods."""
+    upto = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return knowledge.select(key, order, GAPS, F.last(KNOWN, ignorenulls=True).over(upto).alias("fill"))
+
+
+def fill_from_knowledge(df: DataFrame, knowledge: DataFrame, key: str, value: str, order: str, default: str = UNKNOWN) -> DataFrame:
+    """``fill_from_latest_known`` of ``df``'s periods with the knowledge of all periods (not of ``df`` alone)."""
+    fill = fills_of(knowledge, key, order).select(F.col(key).alias("_k"), F.col(order).alias("_o"), F.col("fill").alias("_fill"))
+    needs = is_null_token(value)
+    match = F.col(key).eqNullSafe(F.col("_k")) & F.col(order).eqNullSafe(F.col("_o"))
+    todo = df.filter(needs).join(fill, match, "left")
+    todo = todo.withColumn(value, F.coalesce(F.col("_fill"), F.lit(default))).select(*df.columns)
+    return df.filter(~needs).unionByName(todo)
+
+
+def periods_that_move(before: DataFrame, after: DataFrame, key: str, order: str) -> DataFrame:
+    """``(order)``: the periods with rows whose fill is not what it was, when ``before`` (knowledge) becomes ``after``.
+
+    Only keys of which some period's knowledge changed are looked at.
+    """
+    old = before.select(F.col(key).alias("_k"), F.col(order).alias("_o"), F.col(KNOWN).alias("_was"))
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(order).eqNullSafe(F.col("_o"))
+    changed = after.join(old, same, "full").filter(~F.col(KNOWN).eqNullSafe(F.col("_was"))).select(
+        F.when(F.col("_o").isNull(), F.col(key)).otherwise(F.col("_k")).alias("_key")).distinct()
+
+    def fills(knowledge: DataFrame) -> DataFrame:
+        some = knowledge.join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        return fills_of(some, key, order)
+
+    was = fills(before).select(F.col(key).alias("_k"), F.col(order).alias("_o"), F.col("fill").alias("_was"))
+    now = fills(after).filter(GAPS).join(was, same, "left")
+    return now.filter(~F.col("fill").eqNullSafe(F.col("_was"))).select(order).distinct()
+
+
+__all__ = ["GAPS", "KNOWN", "NULL_TOKENS", "UNKNOWN", "fill_from_knowledge", "fill_from_latest_known", "fill_plan", "fill_with_state",
+           "fills_of", "known_pairs", "latest_known_value", "period_knowledge", "periods_that_move", "row_counts"]

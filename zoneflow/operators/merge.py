@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.casts import cast_value
 from zoneflow.operators.schema import column_types
+from zoneflow.session import scratch_dir
 
 _PRIO = "_merge_prio"
 
@@ -117,3 +118,39 @@ def merge_joined(sources: Sequence[DataFrame], key: str = "name") -> DataFrame:
     merged = joined.select(F.col(key), *[F.coalesce(*[F.col(f"`{c}__src{i}`") for i in range(len(sources))]).alias(c)
                                          for c in values])
     return merged.unionByName(tagged.filter(~_keyed(tagged, key)).drop(_PRIO))
+
+
+# -- merge of sources stored by key -------------------------------------------------
+
+def store_by_key(sources: Sequence[DataFrame], key: str, path: str, name: str, buckets: int) -> list[DataFrame]:
+    """The sources as tables ``<name>_0`` ..., one row per key each, bucketed and sorted by ``key`` below ``path``, and
+    their keys as ``<name>_keys``; returns the keys and the sources.
+
+    Rows move once, when they are stored; ``merge_stored`` then reads matching buckets side by side.  A source
+    that changes is stored again without the others.  Rows without a key are not stored.
+    """
+    tagged = _tagged(sources, key)
+    spark = tagged.sparkSession
+    one = picked_rows(tagged.filter(_keyed(tagged, key)), key, _PRIO).drop(ROWS, _ALONE)
+    place = scratch_dir(spark, "picked")
+    one.write.parquet(place)
+    one = spark.read.schema(one.schema).parquet(place)
+
+    def store(df: DataFrame, tag: str) -> DataFrame:
+        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite").option(
+            "path", f"{path.rstrip('/')}/{tag}").saveAsTable(f"{name}_{tag}")
+        return spark.table(f"{name}_{tag}")
+
+    # the keys come from the work table: Spark 4.1 takes a union of bucketed scans for one that is dealt by the key
+    return [store(one.select(key).distinct(), "keys"),
+            *[store(one.filter(F.col(_PRIO) == i).drop(_PRIO), str(i)) for i in range(len(sources))]]
+
+
+def merge_stored(stored: Sequence[DataFrame], key: str) -> DataFrame:
+    """``merge_joined`` of what ``store_by_key`` returned, without an exchange: a full outer join of all sources
+    as left joins from their keys, which keep the buckets' partitioning (a chain of full joins would lose it)."""
+    keys, sources = stored[0], stored[1:]
+    values = [c for c in sources[0].columns if c != key]
+    sides = [s.select(F.col(key), *[F.col(f"`{c}`").alias(f"{c}__src{i}") for c in values]) for i, s in enumerate(sources)]
+    joined = reduce(lambda a, b: a.join(b.hint("merge"), on=key, how="left"), sides, keys)
+    return joined.select(key, *[F.coalesce(*[F.col(f"`{c}__src{i}`") for i in range(len(sources))]).alias(c) for c in values])

@@ -39,6 +39,7 @@ COMMANDS = {
     "match-scores": (jobs.match_scores_job, ["src", "dst"]),
     "match-enrich": (jobs.match_enrich_job, ["src", "dst"]),
     "match-enrich-incremental": (jobs.match_enrich_incremental_job, ["src", "dst", "seasons", "state_in", "state_out"]),
+    "match-enrich-late": (jobs.match_enrich_late_job, ["src", "dst", "seasons", "knowledge"]),
     "fact-matches": (jobs.fact_matches_job, ["building", "master"]),
     "teams-to-raw": (jobs.teams_to_raw, ["landing_subject", "raw"]),
     "teams-to-dim": (jobs.teams_to_dim, ["raw_teams", "dim"]),
@@ -50,6 +51,7 @@ COMMANDS = {
 }
 
 
+ONLY_CHANGED = ("landing-to-raw", "match-dates", "match-scores")
 SEASON_LIMITED = ("landing-to-raw", "match-dates", "match-scores", "fact-matches")
 
 
@@ -68,6 +70,8 @@ def main(argv: list[str] | None = None) -> int:
         if name in SEASON_LIMITED:
             p.add_argument("--season", action="append", default=None,
                            help="process and replace only this season (repeatable)")
+        if name in ONLY_CHANGED:
+            p.add_argument("--only-changed", action="store_true", help="leave out seasons whose input files did not change")
     args = parser.parse_args(argv)
     fn, params = COMMANDS[args.command]
     kwargs = {}
@@ -77,7 +81,11 @@ def main(argv: list[str] | None = None) -> int:
         kwargs["subject"] = args.subject
     if args.command in SEASON_LIMITED and args.season is not None:
         kwargs["seasons"] = tuple(args.season)
+    if args.command in ONLY_CHANGED and args.only_changed:
+        kwargs["only_changed"] = True
     values = [getattr(args, p) for p in params]
+    if args.command == "match-enrich-late":
+        values[2] = [x for x in values[2].split(",") if x]
     if args.command == "match-enrich-incremental":
         # seasons as a comma-separated list; "-" for no previous state
         values[2] = [x for x in values[2].split(",") if x]

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from zoneflow.functions.names import TEAM_SYNONYM_RULES, normalize_name
+from zoneflow.functions.names import TEAM_SYNONYM_RULES, canonicalize, normalize_name
 from zoneflow.functions.scores import split_pair_to_ints
+from zoneflow.operators.enrich import GAPS, KNOWN, fill_from_knowledge, period_knowledge, periods_that_move
 from zoneflow.operators.matches import (
     clean_match_dates,
     clean_match_scores,
@@ -40,6 +41,7 @@ from zoneflow.operators.schema import (
 )
 from zoneflow.sinks.writers import (
     export_csv,
+    path_exists,
     publish,
     replace_partitions,
     replace_side_table,
@@ -61,19 +63,28 @@ from zoneflow.sources.files import (
     well_formed,
 )
 from zoneflow.sources.manifests import file_path, written
-from zoneflow.sources.seasons import PATH, SKIPPED_SEASON, season_folder_records
+from zoneflow.sources.changes import changed_seasons, note_inputs
+from zoneflow.sources.seasons import PATH, SKIPPED_SEASON, read_season_table, season_folder_records, season_folders, season_partitions
 from zoneflow.sources.tables import SOURCE_COLUMNS, scan_season_table, untagged
 
 # -- W1 ---------------------------------------------------------------------
 
-def landing_to_raw(spark: SparkSession, landing: str, raw: str, seasons: Iterable[str] | None = None) -> str | None:
+def landing_to_raw(spark: SparkSession, landing: str, raw: str, seasons: Iterable[str] | None = None,
+                   only_changed: bool = False) -> str | None:
     """Every ``<landing>/<yyyy-yy>/`` CSV folder -> ``<raw>/season=yyyy-yy/`` parquet.
 
     Only the seasons present in the landing zone (or the given ``seasons``)
     are replaced; nothing is touched when there is no season folder.  Records with more or fewer cells than
     their file's header are counted while the others are written, and listed if there are any.  Where files differ
     in their columns, rows note their own (``tables.SOURCE_COLUMNS``).
+
+    ``only_changed`` leaves out seasons whose files are those of the last such run (``sources.changes``).
     """
+    if only_changed:
+        folders = {s: p for s, p in season_folders(spark, landing) if seasons is None or s in set(seasons)}
+        seasons, inputs = changed_seasons(spark, folders, landing, raw)
+        if not seasons:
+            return None
     records = season_folder_records(spark, landing, seasons, with_source=True)
     if records is None:
         return None
@@ -81,6 +92,8 @@ def landing_to_raw(spark: SparkSession, landing: str, raw: str, seasons: Iterabl
     counted = records.observe(seen, F.count(RAGGED).alias("ragged"))
     replace_partitions(well_formed(counted.drop(PATH)), raw, ("season",))
     _list_rejects(spark, raw, ragged_records(records.drop(SOURCE_COLUMNS), PATH, "season") if seen.get["ragged"] else None)
+    if only_changed:
+        note_inputs(spark, inputs, raw)
     return raw
 
 
@@ -93,13 +106,20 @@ def _list_rejects(spark: SparkSession, target: str, *found: DataFrame | None) ->
 # -- W2 / W3 / W4 -------------------------------------------------------------
 
 def _stage(spark: SparkSession, src: str, dst: str, transform, seasons: Iterable[str] | None = None,
-           tagged: bool = False) -> str | None:
+           tagged: bool = False, only_changed: bool = False) -> str | None:
     """Row-preserving stage: nothing to do when the footers count no row, else one write.
 
     ``transform(rows, has)`` returns the new rows; with ``tagged``, ``has(column)`` tells of each row whether its file has
     the column.  With ``seasons`` only those folders are listed, read and replaced, so a newly arrived season
-    is processed without touching the history.
+    is processed without touching the history; ``only_changed`` leaves out seasons whose files are those of the last
+    such run (``sources.changes``).
     """
+    if only_changed:
+        wanted = None if seasons is None else set(seasons)
+        folders = {s: f"{src.rstrip('/')}/season={s}" for s in season_partitions(spark, src) if wanted is None or s in wanted}
+        seasons, inputs = changed_seasons(spark, folders, src, dst)
+        if not seasons:
+            return None
     scan = scan_season_table(spark, src, seasons, tagged)
     if scan is None:
         return None
@@ -107,17 +127,21 @@ def _stage(spark: SparkSession, src: str, dst: str, transform, seasons: Iterable
     if not scan.n_rows:
         return None
     replace_partitions(untagged(transform(scan.rows, scan.has)), dst, ("season",))
+    if only_changed:
+        note_inputs(spark, inputs, dst)
     return dst
 
 
-def match_dates_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None) -> str | None:
+def match_dates_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None,
+                    only_changed: bool = False) -> str | None:
     """Date normalisation + standard columns, season partitions replaced."""
-    return _stage(spark, src, dst, lambda df, has: clean_match_dates(df, has=has), seasons, tagged=True)
+    return _stage(spark, src, dst, lambda df, has: clean_match_dates(df, has=has), seasons, True, only_changed)
 
 
-def match_scores_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None) -> str | None:
+def match_scores_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str] | None = None,
+                     only_changed: bool = False) -> str | None:
     """Score back-fill + round type + standard columns."""
-    return _stage(spark, src, dst, lambda df, has: clean_match_scores(df, has=has), seasons, tagged=True)
+    return _stage(spark, src, dst, lambda df, has: clean_match_scores(df, has=has), seasons, True, only_changed)
 
 
 def match_enrich_job(spark: SparkSession, src: str, dst: str, skip_seasons: Iterable[str] = (SKIPPED_SEASON,),
@@ -152,6 +176,40 @@ def match_enrich_incremental_job(spark: SparkSession, src: str, dst: str, season
     return dst
 
 
+def match_enrich_late_job(spark: SparkSession, src: str, dst: str, seasons: Iterable[str], knowledge: str,
+                          rules: Iterable[tuple[str, str]] = TEAM_SYNONYM_RULES, team: str = "team_name_1",
+                          country: str = "country_1") -> list[str]:
+    """W4 for seasons that arrive in any order, late or corrected; returns the seasons it rewrote.
+
+    ``knowledge`` is a table with one row per team and season (``period_knowledge``, partitioned by season) that
+    this job keeps; a new one is begun where there is none.  The given seasons of ``src`` are read, their knowledge is
+    compared with what the table held, and of all other seasons only those are read and rewritten in which
+    a fill changes.  The result equals ``match_enrich_job`` over the whole history (no season skipped).
+
+    ``knowledge`` is replaced last: a job that fails half-way is run again with the same seasons.
+    """
+    wanted = sorted(set(seasons))
+    scan = scan_season_table(spark, src, wanted)
+    if scan is None or scan.rows is None:
+        return []
+    season = F.col("season").cast("string").alias("season")
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({team: canonicalize(team, rules), "season": season})
+
+    fresh = written(period_knowledge(labelled(scan.rows), team, country, "season"), spark, "late-knowledge")
+    before = read_season_table(spark, knowledge) if path_exists(spark, knowledge) else None
+    before = fresh.limit(0) if before is None else before.select(team, season, KNOWN, GAPS)
+    after = before.filter(~F.col("season").isin(wanted)).unionByName(fresh.select(team, "season", KNOWN, GAPS))
+    moved = sorted(r["season"] for r in periods_that_move(before, after, team, "season").collect())  # seasons, not rows
+    rewrite = sorted(set(wanted) | set(moved))
+    touched = scan if rewrite == wanted else scan_season_table(spark, src, rewrite)
+    _list_rejects(spark, dst, touched.rejects() if touched.broken else None)
+    replace_partitions(fill_from_knowledge(labelled(touched.rows), after, team, country, "season"), dst, ("season",))
+    replace_partitions(fresh, knowledge, ("season",))
+    return rewrite
+
+
 # -- W5 ---------------------------------------------------------------------
 
 def fact_matches_job(spark: SparkSession, building: str, master: str,

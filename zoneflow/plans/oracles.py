@@ -326,6 +326,10 @@ ORACLES: dict[str, str] = {
     "json_multiline_scan": "SELECT * FROM customer",
     "parquet_scan": "SELECT * FROM part",
     "parquet_recursive_merge": CUST_SUPP_UNION,
+    "parquet_merge_conflicting_types": """
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) ELSE 'n' || c_nationkey END AS c_nationkey,
+       CASE WHEN c_custkey % 2 = 0 THEN c_acctbal ELSE floor(c_acctbal) END AS c_acctbal,
+       CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment FROM customer""",
     "mixed_format_scan": "SELECT * FROM customer",
     "tolerant_scan": "SELECT * FROM supplier",
     "catalog_select_all": "SELECT * FROM customer",
@@ -421,6 +425,35 @@ ORACLES: dict[str, str] = {
     "lookup_fill_asof_window": fill_sql(MATCH_FRAME),
     # jobs
     "pipe_season_raw": f"SELECT {ORDERS_TEXT}, {season('o_orderdate')} AS season FROM orders",
+    "pipe_season_raw_layouts": f"""
+WITH o AS (SELECT *, {season('o_orderdate')} AS season FROM orders),
+     bad AS (SELECT season, CAST(count(*) AS INTEGER) AS rejected FROM o WHERE o_orderkey % 50 = 7 GROUP BY season)
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 3 <> 1 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,
+       CASE WHEN o_orderkey % 3 <> 2 THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority, o.season, bad.rejected
+FROM o LEFT JOIN bad ON o.season = bad.season""",
+    "pipe_season_raw_changed": f"""
+SELECT * REPLACE (CASE WHEN season = '{REPLACED_SEASON}' THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
+FROM (SELECT {ORDERS_TEXT}, {season('o_orderdate')} AS season FROM orders)""",
+    "pipe_match_enrich_late": fill_sql(ENRICH_ALL_FRAME),
+    "pipe_all_seasons_csv_broken": f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN year(o_orderdate) % 2 = 0 THEN '' ELSE 'c' END || o_custkey AS code,
+       CASE WHEN year(o_orderdate) % 2 = 1 THEN o_orderstatus END AS o_orderstatus, {season('o_orderdate')} AS season,
+       CAST(1 AS INTEGER) AS rejected FROM orders""",
+    "synonym_rules_closed": """
+WITH RECURSIVE rules AS (
+  SELECT o_orderkey AS position, 'v' || (o_custkey % 997) AS source, 'v' || (o_orderkey * 31 % 1009) AS target FROM orders),
+following AS (
+  SELECT a.position, a.source, a.target, min(b.position) AS next FROM rules a LEFT JOIN rules b
+    ON b.source = a.target AND b.position > a.position GROUP BY ALL),
+starts AS (SELECT source, min(position) AS position FROM rules GROUP BY source),
+chain AS (
+  SELECT s.source, f.target, f.next FROM starts s JOIN following f ON s.position = f.position
+  UNION ALL
+  SELECT c.source, f.target, f.next FROM chain c JOIN following f ON c.next = f.position),
+closed AS (SELECT source, target FROM chain WHERE next IS NULL)
+SELECT c_custkey, coalesce(target, 'v' || (c_custkey % 1200)) AS team
+FROM customer LEFT JOIN closed ON source = 'v' || (c_custkey % 1200)""",
     "stream_season_raw": f"SELECT {ORDERS_TEXT}, {season('o_orderdate')} AS season FROM orders",
     "pipe_match_dates": MATCH_DATES,
     "pipe_match_scores": MATCH_SCORES,

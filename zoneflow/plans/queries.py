@@ -17,6 +17,8 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from zoneflow.functions import (
     canonicalize,
+    canonicalize_by_join,
+    close_rules,
     date_from_text,
     date_from_timestamp,
     day_from_iso,
@@ -32,14 +34,18 @@ from zoneflow.operators import (
     STANDARD_MATCH_COLUMNS,
     align_to_schema,
     drop_columns,
+    fill_from_knowledge,
     fill_from_latest_known,
     flatten_struct,
     known_pairs,
     latest_known_value,
     merge_grouped,
+    merge_stored,
+    period_knowledge,
     rename_columns,
     row_counts,
     standardize_columns,
+    store_by_key,
     unify_schemas,
     union_by_name_lenient,
     union_by_name_strict,
@@ -71,6 +77,7 @@ from zoneflow.sources import (
     read_parquet_recursive_merged,
     read_season_table,
     register_table,
+    row_counts_from_footers,
     season_folder_scan,
     season_partitions,
     tolerant_scan,
@@ -157,6 +164,17 @@ def q_parquet_recursive_merge(spark, sf):
     return read_parquet_recursive_merged(spark, base)
 
 
+def q_parquet_merge_conflicting_types(spark, sf):
+    """O8 where files hold a column as number or text, and another as whole or broken number."""
+    base = scratch_dir(spark, "conflicting")
+    c = table(spark, sf, "customer")
+    even = F.coalesce(F.pmod("c_custkey", F.lit(2)) == 0, F.lit(True))
+    write_parquet(c.filter(even).select("c_custkey", "c_nationkey", "c_acctbal"), f"{base}/a")
+    write_parquet(c.filter(~even).select("c_custkey", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("c_nationkey"),
+                                         F.floor("c_acctbal").cast("bigint").alias("c_acctbal"), "c_mktsegment"), f"{base}/b/nested")
+    return read_parquet_recursive_merged(spark, base)
+
+
 def q_mixed_format_scan(spark, sf):
     base = standins.landing_mixed(spark, table(spark, sf, "customer"), "c_custkey", scratch_dir(spark, "mixed"))
     csv_df, json_df = read_mixed_format(spark, base, csv_schema=CUSTOMER_SCHEMA, json_schema=CUSTOMER_SCHEMA)
@@ -343,6 +361,15 @@ def q_synonym_canonicalize(spark, sf):
     return c.select("c_custkey", "team", canonicalize("team").alias("canonical"))
 
 
+def q_synonym_rules_closed(spark, sf):
+    """Ordered rules that are data (one per order), closed into a lookup table and joined."""
+    o = table(spark, sf, "orders")
+    rules = o.select(F.col("o_orderkey").alias("position"), F.concat(F.lit("v"), (F.col("o_custkey") % 997).cast("string")).alias("source"),
+                     F.concat(F.lit("v"), (F.col("o_orderkey") * 31 % 1009).cast("string")).alias("target"))
+    c = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("v"), (F.col("c_custkey") % 1200).cast("string")).alias("team"))
+    return canonicalize_by_join(c, "team", close_rules(rules))
+
+
 def q_split_pair_to_ints(spark, sf):
     o = table(spark, sf, "orders")
     a = (o.o_custkey % 10).cast("string")
@@ -383,11 +410,16 @@ def q_latest_known_value(spark, sf):
 
 
 def q_season_row_counts(spark, sf):
-    return _flagship(spark, sf)
+    """Rows with a date per season of the cleaned table, counted from file footers."""
+    return row_counts_from_footers(spark, _dated_building(spark, sf), "season", filled="dateonly").withColumn(
+        "season", F.col("season").cast("string"))
 
 
 def q_outer_merge_first_non_null(spark, sf):
-    return merge_grouped(list(_entities(spark, sf)), "name")
+    """The join form of the merge: sources stored in buckets of their key, then joined without an exchange."""
+    path = scratch_dir(spark, "stored-by-key")
+    name = f"zf_{path.rsplit('-', 1)[-1]}"
+    return merge_stored(store_by_key(list(_entities(spark, sf)), "name", path, name, buckets=16), "name")
 
 
 def q_outer_merge_grouped(spark, sf):
@@ -409,8 +441,10 @@ def q_lookup_fill_asof(spark, sf):
 
 
 def q_lookup_fill_asof_window(spark, sf):
-    """The same fill over the enriched team labels' input frame (one plan for every key size)."""
-    return fill_from_latest_known(standins.match_frame(spark, sf), "team_name_1", "country_1", "season")
+    """The fill from a table of what each season knows of each team, which late seasons can change."""
+    rows = standins.match_frame(spark, sf)
+    knowledge = period_knowledge(rows, "team_name_1", "country_1", "season")
+    return fill_from_knowledge(rows, knowledge, "team_name_1", "country_1", "season")
 
 
 # -- jobs ------------------------------------------------------------------------------------
@@ -421,6 +455,25 @@ def q_pipe_season_raw(spark, sf):
     return read_season_table(spark, raw).withColumn("season", F.col("season").cast("string"))
 
 
+def q_pipe_season_raw_layouts(spark, sf):
+    """W1 over files that differ in their columns within a season, and how many records did not fit their header."""
+    raw = scratch_dir(spark, "raw-layouts")
+    jobs.landing_to_raw(spark, standins.landing_layouts(spark, sf), raw)
+    rejected = read_parquet(spark, f"{raw}_rejects").groupBy("season").agg(F.count(F.lit(1)).cast("int").alias("rejected"))
+    rows = read_season_table(spark, raw).withColumn("season", F.col("season").cast("string"))
+    return rows.join(rejected.withColumn("season", F.col("season").cast("string")), "season", "left")
+
+
+def q_pipe_season_raw_changed(spark, sf):
+    """W1 run twice for changed seasons only: between the runs one season's files are replaced."""
+    landing, raw = standins.landing_orders(spark, sf), scratch_dir(spark, "raw-changed")
+    jobs.landing_to_raw(spark, landing, raw, only_changed=True)
+    orders = table(spark, sf, "orders").withColumn("season", season_of("o_orderdate")).filter(F.col("season") == REPLACED_SEASON)
+    standins.write_csv(orders.drop("season").withColumn("o_orderstatus", F.lit("X")), f"{landing}/{REPLACED_SEASON}/batch")
+    jobs.landing_to_raw(spark, landing, raw, only_changed=True)
+    return read_season_table(spark, raw).withColumn("season", F.col("season").cast("string"))
+
+
 def q_pipe_match_dates(spark, sf):
     dst = scratch_dir(spark, "building-dates")
     jobs.match_dates_job(spark, standins.raw_match_dates(spark, sf), dst)
@@ -463,6 +516,21 @@ def q_pipe_match_enrich_incremental(spark, sf):
     return read_season_table(spark, dst).withColumn("season", F.col("season").cast("string"))
 
 
+def q_pipe_match_enrich_late(spark, sf):
+    """W4 with one season late and another first delivered wrong, then corrected: equal to one run over all."""
+    src, dst, knowledge = standins.raw_match_teams(spark, sf), scratch_dir(spark, "building-late"), scratch_dir(spark, "knowledge")
+    seasons = season_partitions(spark, src)
+    wrong, late = seasons[0], seasons[len(seasons) // 2]
+    rows = read_season_table(spark, src)
+    right = write_parquet(rows.filter(F.col("season") == wrong), scratch_dir(spark, "right-season"))
+    replace_partitions(read_parquet(spark, right).withColumn("country_1", F.lit("WRONG")), src, ("season",))
+    jobs.match_enrich_late_job(spark, src, dst, [s for s in seasons if s != late], knowledge)
+    replace_partitions(read_parquet(spark, right), src, ("season",))
+    jobs.match_enrich_late_job(spark, src, dst, [late], knowledge)
+    jobs.match_enrich_late_job(spark, src, dst, [wrong], knowledge)
+    return read_season_table(spark, dst).withColumn("season", F.col("season").cast("string"))
+
+
 def q_pipe_fact_matches(spark, sf):
     master = scratch_dir(spark, "master-facts")
     jobs.fact_matches_job(spark, standins.building_mixed(spark, sf), master)
@@ -534,6 +602,14 @@ def q_pipe_all_seasons_csv(spark, sf):
     return read_csv_strings(spark, dest)
 
 
+def q_pipe_all_seasons_csv_broken(spark, sf):
+    """W11 over seasons of differing types with a broken file among them: the export, and how many files were left out."""
+    dest = scratch_dir(spark, "combined-csv-broken")
+    jobs.all_seasons_csv_job(spark, standins.building_conflicting(spark, sf), dest)
+    rejected = read_parquet(spark, f"{dest}_rejects").count()
+    return read_csv_strings(spark, dest).withColumn("rejected", F.lit(rejected).cast("int"))
+
+
 def q_pipe_serve_table(spark, sf):
     register_table(table(spark, sf, "supplier"), "zf_supplier")
     path = jobs.serve_table_job(spark, "zf_supplier", scratch_dir(spark, "served"))
@@ -554,13 +630,18 @@ def q_stream_season_raw(spark, sf):
     return read_parquet(spark, raw).withColumn("season", F.col("season").cast("string"))
 
 
-def _flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Landing CSV seasons -> raw (W1) -> text dates cleaned (W2) -> rows per dated season."""
+def _dated_building(spark: SparkSession, sf: str) -> str:
+    """Landing CSV seasons -> raw (W1) -> text dates cleaned (W2); returns the cleaned table's path."""
     raw = scratch_dir(spark, "flagship-raw")
     building = scratch_dir(spark, "flagship-building")
     jobs.landing_to_raw(spark, standins.landing_orders(spark, sf, date_column="Date", date_as_text=True), raw)
     jobs.match_dates_job(spark, raw, building)
-    cleaned = read_season_table(spark, building).filter(F.col("dateonly").isNotNull())
+    return building
+
+
+def _flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned table's rows with a date, per season."""
+    cleaned = read_season_table(spark, _dated_building(spark, sf)).filter(F.col("dateonly").isNotNull())
     return row_counts(cleaned, "season").withColumn("season", F.col("season").cast("string"))
 
 

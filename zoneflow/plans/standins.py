@@ -129,6 +129,58 @@ def landing_orders(spark: SparkSession, sf_dir: str, date_column: str = "o_order
     return base
 
 
+def rename_text_files(spark: SparkSession, folder: str, suffix: str) -> None:
+    """``*.txt`` files of a folder get another suffix (metadata only)."""
+    fs, root = filesystem(spark, folder)
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.globStatus(hpath(root, "*.txt")) or []:
+        fs.rename(status.getPath(), hpath(root, status.getPath().getName()[:-4] + suffix))
+
+
+def landing_layouts(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as landing season folders whose files differ in columns and their order (by the key's remainder
+    of 3), with records that have too few or too many cells among them."""
+    base = scratch_dir(spark, "landing-layouts")
+    orders = table(spark, sf_dir, "orders").withColumn("season", season_of("o_orderdate"))
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "season")
+    rest = F.pmod("o_orderkey", F.lit(3))
+    for k, columns in enumerate((["o_orderkey", "o_custkey", "o_orderstatus"], ["o_orderstatus", "o_orderkey"],
+                                 ["o_orderpriority", "o_custkey", "O_ORDERKEY"])):
+        land_by_season(spark, orders.filter(rest == k).select(*columns, "season"), base, batch=f"layout-{k}")
+    odd = orders.filter(F.pmod("o_orderkey", F.lit(50)) == 7).select(
+        F.concat_ws(",", F.col("o_orderkey").cast("string"), F.lit("x"), F.lit("y"), F.lit("z")).alias("value"),
+        "o_orderkey", "season")
+    odd = odd.select(F.when(F.col("o_orderkey") % 4 < 2, "short").otherwise(F.col("value")).alias("value"), "season")
+    stage = f"{base}/_odd"
+    # blank lines before the header
+    head = odd.select("season").distinct().select(F.lit("\n\no_orderkey,o_custkey,o_orderstatus").alias("value"), "season")
+    lines = head.withColumn("n", F.lit(0)).unionByName(odd.withColumn("n", F.lit(1)))
+    lines.repartition("season").sortWithinPartitions("season", "n").drop("n").write.partitionBy("season").text(stage)
+    fs, root = filesystem(spark, stage)
+    for status in fs.listStatus(root):
+        if status.isDirectory():
+            move_path(spark, status.getPath().toString(), f"{base}/{status.getPath().getName().split('=', 1)[1]}/odd")
+    return base
+
+
+def building_conflicting(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as a ``season=`` table whose seasons hold a status as text, a price as number or text, and a broken file."""
+    path = scratch_dir(spark, "building-conflicting")
+    o = table(spark, sf_dir, "orders").withColumn("season", season_of("o_orderdate"))
+    even = F.year("o_orderdate") % 2 == 0
+    base = ["o_orderkey", "season"]
+    write_parquet(o.filter(even).select(*base, F.col("o_custkey").alias("code")), path, mode="append", partition_by=("season",))
+    write_parquet(o.filter(~even).select(*base, F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("code"), "o_orderstatus"),
+                  path, mode="append", partition_by=("season",))
+    table(spark, sf_dir, "nation").select(F.col("n_name").alias("value")).coalesce(1).write.text(f"{path}/_broken")
+    rename_text_files(spark, f"{path}/_broken", ".parquet")
+    fs, root = filesystem(spark, f"{path}/_broken")
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.globStatus(hpath(root, "*.parquet")):
+        move_path(spark, status.getPath().toString(), f"{path}/season={REPLACED_SEASON}/{status.getPath().getName()}")
+    return path
+
+
 def orders_by_season(spark: SparkSession, sf_dir: str) -> str:
     """Orders as a ``season=`` partitioned parquet table."""
     path = scratch_dir(spark, "orders-by-season")
@@ -363,8 +415,8 @@ def raw_countries(spark: SparkSession, sf_dir: str) -> str:
 
 
 __all__ = [
-    "EXCLUDED_SEASON", "REPLACED_SEASON", "add_landing_noise", "building_mixed",
-    "land_by_season", "landing_countries", "landing_countries_typed", "landing_mixed", "landing_orders",
+    "EXCLUDED_SEASON", "REPLACED_SEASON", "add_landing_noise", "building_conflicting", "building_mixed",
+    "land_by_season", "landing_countries", "landing_countries_typed", "landing_layouts", "landing_mixed", "landing_orders",
     "landing_team_files", "landing_teams", "letters", "match_frame", "orders_by_season", "pick_team", "raw_countries",
     "raw_dates_by_layout", "raw_general", "raw_scores_by_layout",
     "raw_match_dates", "raw_match_scores", "raw_match_teams", "raw_team_goals", "season_of",

@@ -29,13 +29,13 @@ PATH = "_path"
 
 
 def season_of_path(base: str, path_col: str = "_metadata.file_path") -> Column:
-    """Season folder directly below ``base`` in a file path, e.g. ``2021-22``.
+    """Season folder directly below ``base`` in a file path, ``2021-22`` or ``season=2021-22``.
 
     File paths come percent-encoded; a ``+`` in them is an ordinary character.
     """
     anchor = re.escape(base.rstrip("/").rsplit("/", 1)[-1])
     path = F.url_decode(F.replace(F.col(path_col), F.lit("+"), F.lit("%2B")))
-    return F.regexp_extract(path, f"/{anchor}/({SEASON_REGEX})/", 1)
+    return F.regexp_extract(path, f"/{anchor}/(?:season=)?({SEASON_REGEX})/", 1)
 
 
 def season_folders(spark: SparkSession, base: str) -> list[tuple[str, str]]:

@@ -139,3 +139,17 @@ def scan_season_table(spark: SparkSession, path: str, seasons: Iterable[str] | N
         if "PATH_NOT_FOUND" in str(err):
             return None
         raise
+
+
+def row_counts_from_footers(spark: SparkSession, path: str, by: str = "season", filled: str | None = None) -> DataFrame:
+    """``(by, n_rows)``: rows per partition of a parquet table (with ``filled``: those where that column is not null), A2.
+
+    Counted from file footers alone: parquet is read through Spark's version 2 source with aggregate push-down, in
+    a session of its own as both are session settings.
+    """
+    session = spark.newSession()
+    v1 = [s for s in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if s.strip() != "parquet"]
+    session.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counted = session.read.parquet(path).groupBy(by).agg(F.count(F.lit(1) if filled is None else F.col(filled)).alias("n_rows"))
+    return counted if filled is None else counted.filter("n_rows > 0")
