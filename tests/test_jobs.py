@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from tests.conftest import SMOKE_DIR
 from zoneflow.plans import jobs, standins
 from zoneflow.sources import read_season_table
@@ -87,7 +89,8 @@ def write_team_csv(path, rows):
     path.write_text("idx,team,m,w,d,l,g,dif,pt\n" + "".join(",".join(map(str, r)) + "\n" for r in rows))
 
 
-def test_files_of_one_team_count_in_path_order(spark, scratch):
+@pytest.mark.parametrize("split_json", [False, True])
+def test_files_of_one_team_count_in_path_order(spark, scratch, split_json):
     from pathlib import Path
 
     base = Path(scratch.replace("file:", "", 1)) / "TEAMS"
@@ -96,7 +99,7 @@ def test_files_of_one_team_count_in_path_order(spark, scratch):
     write_team_csv(base / "c.csv", [(7, "Alpha", 10, 3, 3, 4, "1-2", -1, 12), (8, "Beta", "", 1, 1, 1, "1-1", 0, 4)])
     (base / "b.json").write_text('[{"name": "Beta Club", "founded": "1899", "stadium": "S", "points": 99, "coach": {"last_name": "L"}}]')
     (base / "z.json").write_text("{not json")
-    jobs.teams_to_raw(spark, f"file:{base}", f"{scratch}/raw")
+    jobs.teams_to_raw(spark, f"file:{base}", f"{scratch}/raw", split_json=split_json)
     rows = spark.read.parquet(f"{scratch}/raw").collect()
     named = {r["name"]: r for r in rows if r["name"]}
     assert (named["alpha"]["wins"], named["alpha"]["losses"], named["alpha"]["points"], named["alpha"]["index"]) == (9, 1, 27, 1)
@@ -104,6 +107,15 @@ def test_files_of_one_team_count_in_path_order(spark, scratch):
     assert named["beta"]["coach_last_name"] == "L"
     assert sorted(r["wins"] for r in rows if not r["name"]) == [1, 2]
     assert spark.read.parquet(f"{scratch}/raw_rejects").count() == 1
+    # what the next run no longer finds is no longer listed
+    (base / "z.json").unlink()
+    write_team_csv(base / "c.csv", [(7, "Alpha", 10, 3, 3, 4, "1-2", -1, 12, 13), (8, "Beta", "x")])
+    jobs.teams_to_raw(spark, f"file:{base}", f"{scratch}/raw", split_json=split_json)
+    listed = spark.read.parquet(f"{scratch}/raw_rejects").collect()
+    assert sorted(r.record for r in listed) == ["7,Alpha,10,3,3,4,1-2,-1,12,13", "8,Beta,x"]
+    (base / "c.csv").unlink()
+    jobs.teams_to_raw(spark, f"file:{base}", f"{scratch}/raw", split_json=split_json)
+    assert not Path(f"{scratch}/raw_rejects".replace("file:", "", 1)).exists()
 
 
 def test_rows_that_lose_in_their_file_are_listed(spark, scratch):

@@ -55,6 +55,7 @@ from zoneflow.sources.files import (
     RAGGED,
     ragged_records,
     read_csv_by_header,
+    read_csv_folder,
     read_json_folder,
     read_mixed_format,
     read_or_none,
@@ -62,6 +63,7 @@ from zoneflow.sources.files import (
     split_rejects,
     well_formed,
 )
+from zoneflow.sources.json_arrays import SOURCE_FILE, read_json_arrays
 from zoneflow.sources.manifests import file_path, written
 from zoneflow.sources.changes import changed_seasons, note_inputs
 from zoneflow.sources.seasons import PATH, SKIPPED_SEASON, read_season_table, season_folder_records, season_folders, season_partitions
@@ -249,10 +251,10 @@ def conform_team_json(df: DataFrame, subject: str = "TEAMS") -> DataFrame:
     return align_to_schema(df, SUBJECT_SCHEMAS[subject])
 
 
-_FILE = "_source_file"
+_FILE = SOURCE_FILE
 
 
-def teams_to_raw(spark: SparkSession, landing_subject: str, raw: str, subject: str = "TEAMS") -> str | None:
+def teams_to_raw(spark: SparkSession, landing_subject: str, raw: str, subject: str = "TEAMS", split_json: bool = False) -> str | None:
     """CSV standings and JSON team files of one folder merged per team name.
 
     Every file is a source; files count in the order of their paths, CSV and JSON
@@ -265,20 +267,19 @@ def teams_to_raw(spark: SparkSession, landing_subject: str, raw: str, subject: s
     is anything to list.
     """
     csv_schema = StructType([*STANDING_CSV_SCHEMA.fields, StructField(BAD_RECORD_COLUMN, StringType())])
-    csv_df, json_df = read_mixed_format(spark, landing_subject, csv_schema=csv_schema, csv_options={
+    csv_df = read_csv_folder(spark, landing_subject, csv_schema, {
         "columnNameOfCorruptRecord": BAD_RECORD_COLUMN, "columnPruning": "false"})
-    path = file_path().alias(_FILE)
-    json_df, rejects = split_rejects(json_df)
+    json_df, rejects = _json_rows(spark, landing_subject, split_json)
     sources, seen, bad_records = [], Observation(), None
     if csv_df is not None:
-        tagged = csv_df.select("*", path)
+        tagged = csv_df.select("*", file_path().alias(_FILE))
         cells = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in STANDING_CSV_SCHEMA.fields]))
         bad_records = tagged.filter(F.col(BAD_RECORD_COLUMN).isNotNull()).select(
             F.col(_FILE).alias("path"), F.col(BAD_RECORD_COLUMN).alias("record"), cells.alias("parsed"))
         counted = tagged.observe(seen, F.count(BAD_RECORD_COLUMN).alias("bad"))
         sources.append(conform_standing(counted.drop(BAD_RECORD_COLUMN), "TEAMS"))
     if json_df is not None:
-        sources.append(conform_team_json(json_df.select("*", path), "TEAMS"))
+        sources.append(conform_team_json(json_df, "TEAMS"))
     rows = union_by_name_strict(unify_schemas(sources)) if sources else None
     if rows is None or "name" not in rows.columns:
         _list_rejects(spark, raw, rejects)
@@ -311,7 +312,20 @@ def teams_to_dim(spark: SparkSession, raw_teams: str, dim: str) -> str | None:
 
 # -- W8 / W9 / W10 ------------------------------------------------------------
 
-def mixed_folder(spark: SparkSession, folder: str) -> tuple[DataFrame | None, DataFrame | None]:
+def _json_rows(spark: SparkSession, folder: str, split_json: bool) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of the JSON files of a folder with their file (``SOURCE_FILE``), and what is no JSON.
+
+    ``split_json`` reads large arrays by many tasks (``read_json_arrays``) instead of a task per file.
+    """
+    if not split_json:
+        rows, bad = split_rejects(read_json_folder(spark, folder))
+        return (None if rows is None else rows.select("*", file_path().alias(SOURCE_FILE))), bad
+    rows, bad = read_json_arrays(spark, folder, pattern="*.json")
+    bad = bad.withColumn("parsed", F.lit(None).cast("string"))
+    return (rows if SOURCE_FILE in rows.columns else None), bad
+
+
+def mixed_folder(spark: SparkSession, folder: str, split_json: bool = False) -> tuple[DataFrame | None, DataFrame | None]:
     """``(rows, rejects)`` of the CSV and JSON files of a folder.
 
     Columns that a file lacks are null, whatever its format.  A column keeps its type when
@@ -320,20 +334,20 @@ def mixed_folder(spark: SparkSession, folder: str) -> tuple[DataFrame | None, Da
     """
     records = read_or_none(lambda p: read_csv_by_header(spark, p, "*.csv", {PATH: file_path()}), folder)
     csv_df = None if records is None else well_formed(records.drop(PATH))
-    json_df, bad_files = split_rejects(read_json_folder(spark, folder))
-    frames = [df for df in (csv_df, json_df) if df is not None]
+    json_df, bad_files = _json_rows(spark, folder, split_json)
+    frames = [df for df in (csv_df, None if json_df is None else json_df.drop(SOURCE_FILE)) if df is not None]
     rejects = [df for df in (None if records is None else ragged_records(records, PATH), bad_files) if df is not None]
     return (union_by_name_strict(unify_schemas(frames)) if frames else None), (union_by_name_strict(rejects) if rejects else None)
 
 
 def countries_to_raw(spark: SparkSession, landing_countries: str, raw_countries: str,
-                     one_file: bool = False) -> str | None:
+                     one_file: bool = False, split_json: bool = False) -> str | None:
     """Country files -> parquet; unreadable files go to ``<raw_countries>_rejects``."""
-    return _publish_folder(spark, landing_countries, raw_countries, one_file)
+    return _publish_folder(spark, landing_countries, raw_countries, one_file, split_json)
 
 
-def _publish_folder(spark: SparkSession, folder: str, dest: str, one_file: bool) -> str | None:
-    rows, rejects = mixed_folder(spark, folder)
+def _publish_folder(spark: SparkSession, folder: str, dest: str, one_file: bool, split_json: bool = False) -> str | None:
+    rows, rejects = mixed_folder(spark, folder, split_json)
     _list_rejects(spark, dest, rejects)
     return None if rows is None else write_if_nonempty(rows, publish, dest, "parquet", one_file)
 

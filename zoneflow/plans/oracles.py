@@ -324,6 +324,7 @@ ORACLES: dict[str, str] = {
     "csv_scan_strings": CUSTOMER_TEXT,
     "csv_scan_schema": "SELECT * FROM supplier",
     "json_multiline_scan": "SELECT * FROM customer",
+    "json_arrays_split": "SELECT * FROM customer",
     "parquet_scan": "SELECT * FROM part",
     "parquet_recursive_merge": CUST_SUPP_UNION,
     "parquet_merge_conflicting_types": """

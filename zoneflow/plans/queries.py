@@ -71,6 +71,7 @@ from zoneflow.sources import (
     exclude_seasons,
     read_csv_strings,
     read_csv_with_schema,
+    read_json_arrays,
     read_json_multiline,
     read_mixed_format,
     read_parquet,
@@ -83,6 +84,8 @@ from zoneflow.sources import (
     tolerant_scan,
 )
 
+from zoneflow.sources.json_arrays import SOURCE_FILE
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 CUSTOMER_SCHEMA = StructType([
@@ -152,6 +155,13 @@ def q_json_multiline_scan(spark, sf):
     return read_json_multiline(spark, path, CUSTOMER_SCHEMA)
 
 
+def q_json_arrays_split(spark, sf):
+    """O6 with arrays cut by byte ranges, so that a large file is read by many tasks."""
+    path = scratch_dir(spark, "json-arrays")
+    standins.write_json_arrays(table(spark, sf, "customer"), path, "c_custkey")
+    return read_json_arrays(spark, path, CUSTOMER_SCHEMA, "*.json")[0].drop(SOURCE_FILE)
+
+
 def q_parquet_scan(spark, sf):
     return read_parquet(spark, f"{sf.rstrip('/')}/part.parquet")
 

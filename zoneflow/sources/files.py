@@ -175,14 +175,17 @@ def read_mixed_format(spark: SparkSession, path: str, csv_schema: StructType | N
     Without a CSV schema, cells are named by their own file's header (``read_csv_by_header``); columns
     that a file lacks are null, as for JSON, and records that don't fit their header are left out.
     """
-    csv_options = dict(csv_options or {})
-    if csv_schema is not None:
-        csv_df = read_or_none(lambda p: spark.read.option("header", "true").option("recursiveFileLookup", "true").option(
-            "pathGlobFilter", "*.csv").options(**csv_options).schema(csv_schema).csv(p), path)
-    else:
-        rows = read_or_none(lambda p: read_csv_by_header(spark, p, "*.csv", **csv_options), path)
-        csv_df = None if rows is None else well_formed(rows)
-    return csv_df, read_json_folder(spark, path, json_schema)
+    return read_csv_folder(spark, path, csv_schema, csv_options), read_json_folder(spark, path, json_schema)
+
+
+def read_csv_folder(spark: SparkSession, path: str, schema: StructType | None = None, options: dict | None = None) -> DataFrame | None:
+    """The ``*.csv`` files below a folder, by a positional schema or by their own headers; ``None`` when there are none."""
+    options = dict(options or {})
+    if schema is not None:
+        return read_or_none(lambda p: spark.read.option("header", "true").option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.csv").options(**options).schema(schema).csv(p), path)
+    rows = read_or_none(lambda p: read_csv_by_header(spark, p, "*.csv", **options), path)
+    return None if rows is None else well_formed(rows)
 
 
 def read_json_folder(spark: SparkSession, path: str, json_schema: StructType | None = None) -> DataFrame | None:
