@@ -10,9 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import crc_mod, ship_package, table
+from zoneflow.llm.common import WorkTables, crc_mod, ship_package, table
 from zoneflow.llm.oracles import ORACLES
 from zoneflow.session import scratch_dir
+from zoneflow.sinks.writers import remove_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -39,7 +40,11 @@ def op2_warc_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.when(F.endswith("html", F.lit("~")), "!").otherwise("~")
     damaged = F.concat(F.expr("substring(html, 1, length(html) - 1)"), last)
     write_warc(pages.withColumn("html", F.when(hurt, damaged).otherwise(F.col("html"))), bad)
-    return audit(read_records(spark, good), read_records(spark, bad))
+    work = WorkTables(spark)
+    found = audit(read_records(spark, good, work), read_records(spark, bad, work), work)
+    for replica in (good, bad):
+        remove_path(spark, replica)
+    return found
 
 
 def op3_token_ids_orc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,25 +1,28 @@
 """Operator 2: Merkle fixity audit of WARC replicas.
 
-``write_warc`` writes pages as WARC files, one for every ``SEGMENT_IDS`` consecutive ids, so
-files are bounded and replicas of the same pages have the same files.  ``read_records``
-finds the records of a replica with their offsets and SHA-256.  ``merkle_levels`` hashes runs of
-``FANOUT`` neighbours, that is ordered offset ranges, level by level up to one root.
-``audit`` compares two roots and descends only into ranges whose hashes differ.
+``write_warc`` writes pages as gzipped WARC files: a folder for every ``SEGMENT_IDS`` consecutive ids, in it
+files of at most about ``PART_BYTES``, records in id order.  ``read_records`` finds the records of a replica with their
+offsets and SHA-256.  ``merkle_levels`` hashes runs of ``FANOUT`` neighbouring ids, which are ordered offset ranges,
+level by level up to one root.  ``audit`` compares two roots and descends only into ranges whose
+hashes differ.  As ranges are cut by id, a record that one replica lost leaves all others in their place.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import gather, materialise, shuffle_width
+from zoneflow.llm.common import WorkTables, byte_values, gather, shuffle_width
 
 SEGMENT_IDS = 2000
+PART_BYTES = 256 << 20          # of uncompressed records in a file
 FANOUT = 16
 DATE = "2020-01-01T00:00:00Z"   # of every record: replicas must not differ by their writing time
 GAP = b"\r\n\r\n"               # ends a header block and a record
@@ -29,7 +32,7 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``(segment, page_id, record)``: WARC resource records as text, without their final empty lines.
 
     Line breaks in urls become blanks; a null url is empty, a null page has length 0.
-    Rows without an id form segment -1.
+    Rows without an id are dealt over segments of their own, -1 to -``SEGMENT_IDS``, by a hash.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     page = F.col(id_col).cast("long")
@@ -39,17 +42,46 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.translate(F.coalesce(F.col(url_col).cast("string"), F.lit("")), "\r\n", "  "),
         F.lit("\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(html).cast("string"),
         F.lit("\r\n\r\n"), html)
-    return pages.select(F.coalesce(F.floor(page / SEGMENT_IDS), F.lit(-1)).cast("long").alias("segment"),
-                        page.alias("page_id"), record.alias("record"))
+    alone = -1 - F.pmod(F.xxhash64(html, F.col(url_col)), F.lit(SEGMENT_IDS))
+    negative = F.floor(page / SEGMENT_IDS) - SEGMENT_IDS   # below those of rows without an id
+    segment = F.when(page.isNull(), alone).when(page < 0, negative).otherwise(F.floor(page / SEGMENT_IDS))
+    return pages.select(segment.cast("long").alias("segment"), page.alias("page_id"), record.alias("record"))
 
 
 def write_warc(pages: DataFrame, path: str, **columns: str) -> str:
-    """Write ``path/segment=N/part-*`` files; records are in id order (equal ids: by their text)."""
+    """Write ``path/segment=N/part=M/*.txt.gz`` files; records are in id order (equal ids: by a hash of their text).
+
+    Records are compressed before they are dealt to segments.  A segment's records go to one task, which passes
+    them one by one; its files hold about ``PART_BYTES``, or one longer record.
+    """
     rows = records(pages, **columns)
-    rows = rows.repartition(shuffle_width(pages.sparkSession), "segment").sortWithinPartitions(
-        "segment", "page_id", "record")
+    packed = pa.schema([("segment", pa.int64()), ("page_id", pa.int64()), ("tie", pa.int64()), ("size", pa.int64()), ("z", pa.binary())])
+    plain = pa.schema([("segment", pa.int64()), ("part", pa.int64()), ("page_id", pa.int64()), ("tie", pa.int64()), ("record", pa.string())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = byte_values(batch.column(3))
+            yield gather({"segment": batch.column(0), "page_id": batch.column(1), "tie": batch.column(2),
+                          "size": [len(t) for t in texts], "z": [press.compress(t) for t in texts]}, packed)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                yield gather({"segment": some.column(0), "part": some.column(1), "page_id": some.column(2), "tie": some.column(3),
+                              "record": pa.array([press.decompress(z) for z in some.column(4).to_pylist()], pa.binary()).cast(pa.string())}, plain)
+
+    dealt = rows.withColumn("tie", F.xxhash64("record")).select("segment", "page_id", "tie", "record").mapInArrow(
+        pack, "segment long, page_id long, tie long, size long, z binary").repartition(shuffle_width(pages.sparkSession), "segment")
+    before = Window.partitionBy("segment").orderBy("page_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / PART_BYTES).cast("long")
+    texts = dealt.withColumn("part", part).select("segment", "part", "page_id", "tie", "z").mapInArrow(
+        unpack, "segment long, part long, page_id long, tie long, record string")
     # a record's text followed by this separator is exactly a WARC record
-    rows.select("segment", "record").write.mode("overwrite").option("lineSep", GAP.decode()).partitionBy("segment").text(path)
+    texts.sortWithinPartitions("segment", "part", "page_id", "tie").select("segment", "part", "record").write.mode("overwrite").option(
+        "lineSep", GAP.decode()).option("compression", "gzip").partitionBy("segment", "part").text(path)
     return path
 
 
@@ -75,109 +107,140 @@ def parse(data: bytes) -> Iterator[tuple[int, int, int | None, str]]:
         at = end + 4
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, work: WorkTables | None = None) -> DataFrame:
     """``(segment, position, offset, length, page_id, digest)`` of every record below ``path``.
 
-    Files of one segment follow each other in name order.
+    Positions and offsets count from the beginning of a segment, its files follow each other in the order of their
+    parts and names; offsets are those in the uncompressed text.  A file is read by one task.
     """
+    work = work or WorkTables(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     files = files.filter(F.col("length") > 0).select(
         F.regexp_extract("path", "segment=(-?[0-9]+)/", 1).cast("long").alias("segment"),
+        F.regexp_extract("path", "part=([0-9]+)/", 1).cast("long").alias("part"),
         F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "content")
-    schema = pa.schema([("segment", pa.int64()), ("file", pa.string()), ("number", pa.int64()), ("offset", pa.int64()),
+    schema = pa.schema([("segment", pa.int64()), ("part", pa.int64()), ("file", pa.string()), ("number", pa.int64()), ("offset", pa.int64()),
                         ("length", pa.int64()), ("page_id", pa.int64()), ("digest", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for segment, file, content in zip(*(batch.column(k) for k in range(3)), strict=True):
-                found = list(parse(content.as_py()))
-                yield gather({"segment": [segment.as_py()] * len(found), "file": [file.as_py()] * len(found),
-                              "number": list(range(len(found))), "offset": [r[0] for r in found],
+            for segment, part, file, content in zip(*(batch.column(k) for k in range(4)), strict=True):
+                data = content.as_py()
+                if data[:2] == b"\x1f\x8b":
+                    data = inflated(data)
+                found = list(parse(data))
+                yield gather({"segment": [segment.as_py()] * len(found), "part": [part.as_py()] * len(found),
+                              "file": [file.as_py()] * len(found), "number": list(range(len(found))), "offset": [r[0] for r in found],
                               "length": [r[1] for r in found], "page_id": [r[2] for r in found],
                               "digest": [r[3] for r in found]}, schema)
 
-    rows = materialise(files.mapInArrow(
-        run, "segment long, file string, number long, offset long, length long, page_id long, digest string"), "warc-records")
-    counts = rows.groupBy("segment", "file").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.alias("a").join(counts.alias("b"), (F.col("a.segment") == F.col("b.segment"))
-                                    & (F.col("b.file") < F.col("a.file")), "left").groupBy(
-        F.col("a.segment").alias("segment"), F.col("a.file").alias("file")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("base"))
-    return rows.join(before, ["segment", "file"]).select(
-        "segment", (F.col("base") + F.col("number")).alias("position"), "offset", "length", "page_id", "digest")
+    rows = work.keep(files.mapInArrow(run, "segment long, part long, file string, number long, offset long, length long, page_id long, "
+                                           "digest string"), "warc-records")
+    # of each file, what the files of its segment before it hold
+    sizes = rows.groupBy("segment", "part", "file").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("offset") + F.col("length") + len(GAP)).alias("bytes"))
+    before = Window.partitionBy("segment").orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select("segment", "part", "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"),
+                        F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes"))
+    return rows.join(base, ["segment", "part", "file"]).select(
+        "segment", (F.col("n") + F.col("number")).alias("position"), (F.col("bytes") + F.col("offset")).alias("offset"),
+        "length", "page_id", "digest")
+
+
+def inflated(data: bytes) -> bytes:
+    """The text of a gzip file of any number of members, as far as it can be read."""
+    out = []
+    while data:
+        member = zlib.decompressobj(wbits=31)
+        try:
+            for at in range(0, len(data), 1 << 16):
+                out.append(member.decompress(data[at:at + (1 << 16)]))
+                if member.eof:
+                    break
+        except zlib.error:
+            break
+        data = member.unused_data + data[at + (1 << 16):] if member.eof else b""
+    return b"".join(out)
+
+
+def _leaves(rows: DataFrame) -> DataFrame:
+    """``(kind, node, digest)``: one leaf per id (kind 0); records without an id are leaves of their content (kind 1).
+
+    Several records of one id make one leaf: the sums of their digests, which tasks add up before the exchange.
+    """
+    quarters = [F.conv(F.substring("digest", 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)") for k in range(4)]
+    sums = F.concat_ws(":", F.count(F.lit(1)).cast("string"), *[F.sum(q).cast("string") for q in quarters])
+    grouped = keyed(rows).groupBy("kind", "node").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("one"), sums.alias("sums"))
+    return grouped.select("kind", "node", F.when(F.col("n") == 1, F.col("one")).otherwise(F.sha2("sums", 256)).alias("digest"))
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """Records with the leaf they belong to: ``kind`` and ``node``."""
+    content = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
+    return rows.withColumns({"kind": F.when(F.col("page_id").isNull(), 1).otherwise(0), "node": F.coalesce("page_id", content)})
 
 
-def merkle_levels(leaves: DataFrame) -> tuple[list[DataFrame], tuple]:
-    """``(segment, position, digest)`` of each level, leaves first, the root last; with it the
-    level at which segments become neighbours and the least segment (one segment: nothing).
+def merkle_levels(leaves: DataFrame, height: int, work: WorkTables) -> list[DataFrame]:
+    """``(kind, node, digest)`` of each level, leaves first; level ``k`` has a node for every ``FANOUT ** k`` ids, in order.
 
-    Inside segments a parent hashes ``FANOUT`` neighbours in order; above them, segments
-    are the neighbours.  A group never has more than ``FANOUT`` members.
+    A parent hashes its children in order, at most ``FANOUT`` of them; ids of either sign have a top node of their own.
     """
-    levels = [materialise(leaves.select("segment", "position", "digest"), "merkle")]
-    inside, joint = True, ()
-    while True:
-        now = levels[-1]
-        top = now.agg(F.max("position"), F.min("segment"), F.max("segment"), F.count(F.lit(1))).first()
-        if not top[3] or (not inside and top[3] == 1 and top[0] == 0):
-            return levels, joint
-        if inside and top[0] == 0:  # one node per segment: they become the leaves of the upper tree
-            if top[3] == 1:
-                return levels, joint
-            inside, joint = False, (len(levels) - 1, top[1])
-            now = now.select(F.lit(0).cast("long").alias("segment"),
-                             (F.col("segment") - top[1]).alias("position"), "digest")
-            levels.append(materialise(now, "merkle"))
-            continue
-        group = now.groupBy("segment", F.floor(F.col("position") / FANOUT).cast("long").alias("parent")).agg(
-            F.array_sort(F.collect_list(F.struct("position", "digest"))).alias("children"))
-        levels.append(materialise(group.select("segment", F.col("parent").alias("position"), F.sha2(F.array_join(
-            F.transform("children", lambda c: F.concat_ws(":", c["position"].cast("string"), c["digest"])), ","), 256)
+    levels = [work.keep(leaves, "merkle")]
+    for _ in range(height):
+        group = levels[-1].groupBy("kind", F.floor(F.col("node") / FANOUT).cast("long").alias("parent")).agg(
+            F.array_sort(F.collect_list(F.struct("node", "digest"))).alias("children"))
+        levels.append(work.keep(group.select("kind", F.col("parent").alias("node"), F.sha2(F.array_join(
+            F.transform("children", lambda c: F.concat_ws(":", c["node"].cast("string"), c["digest"])), ","), 256)
             .alias("digest")), "merkle"))
+    return levels
 
 
-def audit(first: DataFrame, second: DataFrame) -> DataFrame:
+def audit(first: DataFrame, second: DataFrame, work: WorkTables | None = None) -> DataFrame:
     """Records in which two replicas (tables of ``read_records``) differ.
 
     Columns: ``page_id, segment, position, offset, length, digest_first, digest_second, status``
-    (``changed``, ``missing`` in the second replica, ``extra`` there).  Equal roots end the
-    audit after one comparison, else each level joins only the children of ranges that
-    differ.  Empty replicas are equal.
+    (``changed``, ``missing`` in the second replica, ``extra`` there).  Records are the same by their id; those without
+    one, and several of one id, by their content first, and what is left of one id in the order of its records.  Equal
+    roots end the audit after one comparison, else each level joins only the children of ranges that
+    differ.  Empty replicas are equal.  ``work`` holds the replicas' tables, which go when the result is written.
     """
-    (a, joint), (b, other) = merkle_levels(first), merkle_levels(second)
-    if len(a) == len(b) and joint == other:
-        suspects = None
-        for level in range(len(a) - 1, -1, -1):
-            left, right = a[level], b[level]
-            if suspects is not None:
-                keys = suspects.select(F.col("segment").alias("_s"), F.col("position").alias("_p"))
-                left, right = (_children(x, keys, level, joint) for x in (left, right))
-            suspects = materialise(_differing(left, right), "suspects")
-            if suspects.isEmpty():
-                break
-    else:  # replicas of different height share no ranges above the records
-        suspects = _differing(a[0], b[0])
-    one = first.select("segment", "position", F.col("page_id").alias("_pa"), F.col("offset").alias("_oa"),
-                       F.col("length").alias("_la"), F.col("digest").alias("digest_first"))
-    two = second.select("segment", "position", F.col("page_id").alias("_pb"), F.col("offset").alias("_ob"),
-                        F.col("length").alias("_lb"), F.col("digest").alias("digest_second"))
-    found = suspects.select("segment", "position").join(one, ["segment", "position"], "left").join(
-        two, ["segment", "position"], "left")
+    work = work or WorkTables(first.sparkSession)
+    first, second = (work.keep(keyed(r), "keyed") for r in (first, second))
+    top = first.select("node").unionByName(second.select("node")).agg(F.max(F.greatest(F.col("node"), -(F.col("node") + 1)))).first()[0]
+    height = 0
+    while top is not None and FANOUT ** height <= top:
+        height += 1
+    one, two = (merkle_levels(_leaves(r), height, work) for r in (first, second))
+    suspects = None
+    for level in range(height, -1, -1):
+        left, right = one[level], two[level]
+        if suspects is not None:
+            parents = suspects.select(F.col("kind").alias("_k"), F.col("node").alias("_n"))
+            below = (F.col("kind") == F.col("_k")) & (F.floor(F.col("node") / FANOUT) == F.col("_n"))
+            left, right = (x.join(parents, below, "left_semi") for x in (left, right))
+        suspects = work.keep(_differing(left, right), "suspects")
+        if suspects.isEmpty():
+            break
+    found = suspects.select("kind", "node")
+    # of the suspects' records, those that both hold drop out; the others pair up in order
+    nth = F.row_number().over(Window.partitionBy("kind", "node", "digest").orderBy("segment", "position"))
+    a, b = (r.join(found, ["kind", "node"], "left_semi").withColumn("_nth", nth) for r in (first, second))
+    same = ["kind", "node", "digest", "_nth"]
+    rank = F.row_number().over(Window.partitionBy("kind", "node").orderBy("segment", "position"))
+    a, b = (x.join(y.select(*same), same, "left_anti").withColumn("_rank", rank) for x, y in ((a, b), (b, a)))
+
+    def side(rows: DataFrame, name: str, mark: str) -> DataFrame:
+        return rows.select("kind", "node", "_rank", F.col("digest").alias(name),
+                           F.struct("page_id", "segment", "position", "offset", "length").alias(mark))
+
+    both = side(a, "digest_first", "_a").join(side(b, "digest_second", "_b"), ["kind", "node", "_rank"], "full")
     status = F.when(F.col("digest_second").isNull(), "missing").when(F.col("digest_first").isNull(), "extra").otherwise("changed")
-    return found.select(F.coalesce("_pa", "_pb").alias("page_id"), "segment", "position",
-                        F.coalesce("_oa", "_ob").alias("offset"), F.coalesce("_la", "_lb").alias("length"),
-                        "digest_first", "digest_second", status.alias("status"))
-
-
-def _children(level: DataFrame, parents: DataFrame, number: int, joint: tuple) -> DataFrame:
-    """Rows of a level below the given nodes of the next one."""
-    if joint and number == joint[0]:  # segments below their place in the upper tree
-        key = (F.lit(0) == F.col("_s")) & (F.col("segment") - joint[1] == F.col("_p"))
-    else:
-        key = (F.col("segment") == F.col("_s")) & (F.floor(F.col("position") / FANOUT) == F.col("_p"))
-    return level.join(parents, key, "left_semi")
+    at = F.coalesce("_a", "_b")
+    out = both.select(*[at[c].alias(c) for c in ("page_id", "segment", "position", "offset", "length")],
+                      "digest_first", "digest_second", status.alias("status"))
+    return work.result(out, "audit")
 
 
 def _differing(left: DataFrame, right: DataFrame) -> DataFrame:
-    x = left.select("segment", "position", F.col("digest").alias("_a"))
-    y = right.select("segment", "position", F.col("digest").alias("_b"))
-    return x.join(y, ["segment", "position"], "full").filter(~F.col("_a").eqNullSafe(F.col("_b"))).select("segment", "position")
+    x = left.select("kind", "node", F.col("digest").alias("_a"))
+    y = right.select("kind", "node", F.col("digest").alias("_b"))
+    return x.join(y, ["kind", "node"], "full").filter(~F.col("_a").eqNullSafe(F.col("_b"))).select("kind", "node")
