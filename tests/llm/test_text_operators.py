@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 
 from tests.conftest import SMOKE_DIR
-from zoneflow.llm import packing, templates, tiling, token_ids, winnowing
+from zoneflow.llm import packing, queries, templates, tiling, token_ids, winnowing
 from zoneflow.session import scratch_dir
 
 
@@ -268,11 +269,10 @@ def test_short_texts_made_mostly_of_a_shared_passage_lose_it(documents):
     assert got == {0: words("a", 20), 1: words("b", 20), 2: words("c", 20), None: words("z", 20)}
 
 
-@pytest.mark.parametrize("sql_rules", [False, True])
-def test_rows_of_numbers_recur_only_where_they_are_equal(documents, sql_rules):
+def test_rows_of_numbers_recur_only_where_they_are_equal(documents):
     rows = [(k, f"{words(chr(97 + k), 40)}\n{k}1 {k}2 {k}3 {k}4\n" + " ".join(str(100 * k + j) for j in range(30))
              + "\n5 6 7 8") for k in range(12)]
-    got = {r.doc_id: r.text for r in templates.drop_recurring_lines(documents(rows), sql_rules=sql_rules).collect()}
+    got = {r.doc_id: r.text for r in templates.drop_recurring_lines(documents(rows)).collect()}
     assert got == {k: t.removesuffix("\n5 6 7 8") for k, t in rows}
 
 
@@ -302,3 +302,107 @@ def test_lines_of_odd_rows_stay(odd, empty):
     assert got.columns == odd.columns
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, ((r.doc_id, r.text) for r in odd.collect())))
     assert templates.drop_recurring_lines(empty).collect() == []
+
+
+def brute_line_dedup(texts):
+    """The rules by definition over all texts at once: text -> what is left of it."""
+    from tests.llm.test_near_duplicates import brute
+
+    distinct = sorted({t for t in texts if t})
+    classes = {distinct[i]: component for i, (_, component, _) in brute(list(enumerate(distinct)), 5, 80).items()}
+    lines = {t: [[(b"<*>" if re.search(rb"[0-9]", w) else w, w) for w in x.encode().split()] for x in t.split("\n")] for t in distinct}
+
+    def own(line):
+        masked = tuple(m for m, _ in line)
+        return masked if sum(m != b"<*>" for m in masked) / len(masked) >= 0.6 else ("as it is", *(w for _, w in line))
+
+    def enough(n):
+        return 2 if n >= 25 else 8
+
+    leaf_of = lambda line: (len(line), tuple(m for m, _ in line[:3]))
+    leaf_texts = {}
+    for t in distinct:
+        for masked in {tuple(m for m, _ in x) for x in lines[t] if len(x) > 1}:
+            leaf = (len(masked), masked[:3])
+            leaf_texts[leaf] = leaf_texts.get(leaf, 0) + 1
+    open_leaves = {leaf for leaf, n in leaf_texts.items() if n >= enough(leaf[0])}
+    holders, shape, weight = {}, {}, {}
+    for t in distinct:
+        seen = set()
+        for x in lines[t]:
+            if len(x) > 1 and leaf_of(x) in open_leaves:
+                name, masked = own(x), tuple(m for m, _ in x)
+                holders.setdefault(name, set()).add(classes[t])
+                shape[name] = (leaf_of(x), masked)
+                # of lines equal but for their variable fields, the first one of a text counts
+                if name not in {n for n, _ in seen}:
+                    weight.setdefault(name, {})
+                    weight[name][classes[t]] = max(weight[name].get(classes[t], 0), int(masked not in {m for _, m in seen}))
+                seen.add((name, masked))
+    count = {}
+    for name, (leaf, masked) in shape.items():
+        for position, word in enumerate(masked):
+            key = (leaf, position, word)
+            count[key] = count.get(key, 0) + sum(weight[name].values())
+    templates_of, template_classes = {}, {}
+    for name, (leaf, masked) in shape.items():
+        docs = [count[leaf, p, w] if w != b"<*>" and count[leaf, p, w] >= enough(leaf[0]) else 0 for p, w in enumerate(masked)]
+        found = {("line", name)}
+        for level in {d for d in docs if d}:
+            constants = frozenset((p, w) for p, (w, d) in enumerate(zip(masked, docs, strict=True)) if d >= level)
+            if len(constants) / len(masked) >= 0.6:
+                found.add((leaf, constants))
+        templates_of[name] = found
+        for template in found:
+            template_classes.setdefault((template, leaf[0]), set()).update(holders[name])
+    recurring = {t for t, c in template_classes.items() if len(c) >= enough(t[1])}
+    gone = {name for name, found in templates_of.items() if any((t, shape[name][0][0]) in recurring for t in found)}
+
+    def spans(t):
+        full = [k for k, x in enumerate(lines[t]) if x]
+        sizes = [len(lines[t][k]) for k in full]
+        pairs = {(i, next(j for j in range(i + 1, len(full) + 1) if sum(sizes[i:j]) >= 25))
+                 for i in range(len(full)) if sum(sizes[i:]) >= 25}
+        pairs |= {(max(i for i in range(j) if sum(sizes[i:j]) >= 25), j) for j in range(1, len(full) + 1) if sum(sizes[:j]) >= 25}
+        return {(tuple(own(lines[t][k]) for k in full[i:j]), tuple(full[i:j])) for i, j in pairs if j - i > 1}
+
+    run_classes = {}
+    for t in distinct:
+        for run, _ in spans(t):
+            run_classes.setdefault(run, set()).add(classes[t])
+    out = {}
+    for t in distinct:
+        lost = {k for k, x in enumerate(lines[t]) if x and own(x) in gone}
+        lost |= {k for run, at in spans(t) if len(run_classes[run]) > 1 for k in at}
+        out[t] = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in lost)
+    return out
+
+
+def test_line_dedup_matches_brute_force(lspark):
+    docs = lspark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    want = brute_line_dedup([r.text for r in docs.collect()])
+    got = queries.QUERIES["op10_log_template_lines"](lspark, SMOKE_DIR).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert sum(r.lines_dropped for r in got) > 50
+    for r in got:
+        kept = want.get(texts[r.doc_id], texts[r.doc_id]) or ""
+        assert r.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest(), r.doc_id
+        assert r.lines_dropped == texts[r.doc_id].count("\n") - kept.count("\n") + (kept == "" and r.lines_dropped == r.lines_before)
+
+
+def test_query_and_pipeline_drop_the_same_lines(lspark):
+    import corpus_pipeline
+
+    docs = lspark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    staged = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in corpus_pipeline.line_dedup(lspark, docs, SMOKE_DIR).collect()}
+    assert staged == {r.doc_id: r.kept_sha256 for r in queries.QUERIES["op10_log_template_lines"](lspark, SMOKE_DIR).collect()}
+
+
+def test_key_bitmap_flags_every_key(lspark):
+    from zoneflow.llm.common import may_hold
+
+    rows = lspark.range(0, 20_000).selectExpr("xxhash64(id) AS key", "id")
+    keys = rows.filter("id % 10 = 0").select("key")
+    flagged = {r.id for r in may_hold(rows, "key", keys, "flag").filter("flag").collect()}
+    assert flagged >= set(range(0, 20_000, 10)) and len(flagged) < 2100
+    assert may_hold(rows, "key", keys.limit(0), "flag").filter("flag").isEmpty()

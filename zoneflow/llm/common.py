@@ -71,9 +71,12 @@ class WorkTables:
 
     def drop(self) -> None:
         """Remove the tables kept so far; nothing may read them any more."""
-        for path in self.paths:
-            remove_path(self.spark, path)
-        self.paths.clear()
+        self.drop_all_but(0)
+
+    def drop_all_but(self, latest: int) -> None:
+        """Remove the tables kept so far but for the ``latest`` ones."""
+        while len(self.paths) > latest:
+            remove_path(self.spark, self.paths.pop(0))
 
     def result(self, df: DataFrame, tag: str) -> DataFrame:
         done = materialise(df, tag)
@@ -81,6 +84,28 @@ class WorkTables:
         return done
 
 
+#: bits of a key bitmap: 8 MB, whatever the number of keys
+BITMAP_BITS, _BITMAP_PART = 1 << 26, 1 << 15
+
+
+def may_hold(rows: DataFrame, key: str, keys: DataFrame, flag: str) -> DataFrame:
+    """``rows`` with ``flag``: false only where ``key`` is not in ``keys`` (a table with the same column).
+
+    The keys become a bitmap of ``BITMAP_BITS`` hashed bits, which is broadcast: its size does not depend on
+    their number.  More keys raise the share of rows that are flagged without need, never the reverse.
+    """
+    def spot(part: Column) -> Column:
+        return F.pmod(part, F.lit(BITMAP_BITS))
+
+    bits = keys.select(spot(F.col(key)).alias("_spot")).groupBy(F.floor(F.col("_spot") / _BITMAP_PART).cast("int").alias("_part")).agg(
+        F.bitmap_construct_agg(F.col("_spot") % _BITMAP_PART).alias("_bits"))
+    marked = rows.withColumn("_spot", spot(F.col(key))).withColumn("_here", F.floor(F.col("_spot") / _BITMAP_PART).cast("int"))
+    joined = marked.join(F.broadcast(bits), F.col("_here") == F.col("_part"), "left")
+    byte = F.expr("cast(conv(hex(substring(_bits, cast(_spot % 32768 / 8 as int) + 1, 1)), 16, 10) as int)")
+    held = byte.bitwiseAND(F.expr("shiftleft(1, cast(_spot % 8 as int))")) != 0
+    return joined.withColumn(flag, F.coalesce(held, F.lit(False))).drop("_spot", "_here", "_part", "_bits")
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """64-bit key of a row's id and text: rows repeated in full share it, null ids have one."""
     return F.xxhash64(F.col(id_col), F.col(text_col))

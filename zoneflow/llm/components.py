@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import materialise
+from zoneflow.llm.common import WorkTables
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     ``component`` is the smallest node reachable.  Loops, repeated edges, either
     direction and nulls are allowed (edges with a null end say nothing).  No edge: no row.
     """
-    now = materialise(
+    work = WorkTables(edges.sparkSession)
+    now = work.keep(
         edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "cc")
     mark = _mark(now)
@@ -34,13 +35,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")),
             F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        now = materialise(small.filter("u != v").distinct(), "cc")
+        now = work.keep(small.filter("u != v").distinct(), "cc")
         before, mark = mark, _mark(now)
+        work.drop_all_but(1)
         if before == mark:
             break
     # stars: every edge leads to the smallest node, which belongs to itself
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return work.result(now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -47,56 +47,6 @@ SELECT page_id, host, path, rule, CASE
   ELSE 'allow' END AS verdict FROM c
 """
 
-ORACLES["op10_log_template_lines"] = r"""
-WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
-raw AS (
-  SELECT text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
-  FROM texts),
-split AS (
-  SELECT *, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
-                           lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS words FROM raw),
-every AS (
-  SELECT text, words, len(words) AS size, count(*) * len(words) AS total FROM split WHERE len(words) > 0
-  GROUP BY text, words),
-enough AS (SELECT *, CASE WHEN size >= 25 THEN 2 ELSE 8 END AS enough FROM every),
-leaves AS (
-  SELECT size, words[1:3] AS head FROM enough WHERE size >= 2 GROUP BY size, words[1:3], enough HAVING count(*) >= enough),
-held AS (
-  SELECT e.* FROM enough e JOIN leaves l ON e.size = l.size AND e.words[1:3] = l.head),
-lines AS (SELECT size, words, enough, count(*) AS n FROM held GROUP BY ALL),
-positions AS (
-  SELECT size, words, words[1:3] AS head, enough, n, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM lines),
-constant AS (
-  SELECT size, head, pos, word FROM positions WHERE word <> '<*>' GROUP BY size, head, pos, word, enough
-  HAVING sum(n) >= enough),
-marked AS (
-  SELECT p.size, p.words, p.pos, p.head, c.word FROM positions p LEFT JOIN constant c
-    ON p.size = c.size AND p.head = c.head AND p.pos = c.pos AND p.word = c.word),
-templates AS (
-  SELECT words, CASE WHEN count(word) >= 0.6 * count(*) THEN list(coalesce(word, '<*>') ORDER BY pos) ELSE words END AS template,
-         count(word) >= 0.6 * count(*) AS general, any_value(head) AS head FROM marked GROUP BY words),
-named AS (
-  SELECT h.*, t.template, t.general, CASE WHEN t.general THEN t.head END AS leaf FROM held h JOIN templates t ON h.words = t.words),
-recurring AS (
-  SELECT template, general, leaf, size FROM named GROUP BY template, general, leaf, size, enough
-  HAVING count(DISTINCT text) >= enough),
-dropped AS (
-  SELECT n.text, n.words, n.total FROM named n JOIN recurring r
-    ON n.template = r.template AND n.general = r.general AND n.leaf IS NOT DISTINCT FROM r.leaf),
-lost AS (SELECT text, sum(total) AS lost FROM dropped GROUP BY text),
-whole AS (SELECT text, sum(total) AS total FROM every GROUP BY text),
-gone AS (
-  SELECT d.text, d.words FROM dropped d JOIN lost l ON d.text = l.text JOIN whole w ON d.text = w.text
-  WHERE l.lost < 0.6 * w.total),
-clean AS (
-  SELECT s.text, count(*) AS lines_before, count(g.words) AS lines_dropped,
-         coalesce(string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (WHERE g.words IS NULL), '') AS kept
-  FROM split s LEFT JOIN gone g ON s.text = g.text AND s.words = g.words GROUP BY s.text)
-SELECT d.doc_id, coalesce(c.lines_before, 0) AS lines_before, coalesce(c.lines_dropped, 0) AS lines_dropped,
-       length(c.kept) AS kept_chars, sha256(c.kept) AS kept_sha256
-FROM documents d LEFT JOIN clean c ON d.text = c.text
-"""
-
 # the crc32 of "<doc_id>:<word>" is folded over its UTF-8 bytes; near words share a form with one code point left out
 ORACLES["op13_qchunk_spelling"] = r"""
 WITH RECURSIVE steps AS (

@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 from zoneflow.llm.common import (
     WordCodes,
+    WorkTables,
     byte_values,
     chunks,
     gather,
-    materialise,
     mix64,
     shingle_hashes,
 )
@@ -326,9 +326,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
 
 def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """``near_duplicates`` with the text's key."""
-    sketched = materialise(sketch(docs, size, id_col, text_col), "sketch")
-    classes = materialise(
+    """``near_duplicates`` with the text's key, as a table of its own; the work tables are gone."""
+    work = WorkTables(docs.sparkSession)
+    sketched = work.keep(sketch(docs, size, id_col, text_col), "sketch")
+    classes = work.keep(
         sketched.filter("node is not null").groupBy("node")
         .agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
              F.first("registers").alias("registers"))
@@ -337,9 +338,9 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
 
     bands = band_keys(classes)
     pivots = bands.groupBy("band").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialise(bands.join(pivots, "band").select("band", "node", "pivot", "n"), "members")
+    members = work.keep(bands.join(pivots, "band").select("band", "node", "pivot", "n"), "members")
     wanted = classes.join(members.select("node").distinct(), "node").select("node", "rep", "text_key")
-    texts = materialise(_texts(docs, wanted, id_col, text_col), "texts")
+    texts = work.keep(_texts(docs, wanted, id_col, text_col), "texts")
 
     # round 1: every class against the smallest pivot of its buckets
     pairs = members.groupBy("node").agg(F.min("pivot").alias("a")).filter("a != node").select(
@@ -347,13 +348,13 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
     state, tested = members.select("node", F.col("node").alias("component")).distinct(), None
     members = members.select("band", "node", "n")
     for turn in range(1, PIVOT_ROUNDS + 1):
-        tried = materialise(_estimated(pairs, classes, percent), "tried")
+        tried = work.keep(_estimated(pairs, classes, percent), "tried")
         tested = tried if tested is None else tested.unionByName(tried)
-        state = _merged(state, materialise(_confirmed(tried, texts, size, percent), "links"))
+        state = _merged(work, state, work.keep(_confirmed(tried, texts, size, percent), "links"))
         now = members.join(state, "node")
         open_ = now.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                         F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("pivot"))
-        now = materialise(now.join(open_.filter("lo != hi").select("band", "pivot"), "band"), "open")
+        now = work.keep(now.join(open_.filter("lo != hi").select("band", "pivot"), "band"), "open")
         if now.isEmpty():
             break
         if turn < PIVOT_ROUNDS:
@@ -362,7 +363,7 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
             pairs = pairs.join(tested.select("a", "b").distinct(), ["a", "b"], "left_anti")
         else:  # buckets of two have been tested in full
             rest = now.filter("n > 2").select("band", "node", "component")
-            state = _merged(state, materialise(_strangers(rest, classes, texts, size, percent), "links"))
+            state = _merged(work, state, work.keep(_strangers(rest, classes, texts, size, percent), "links"))
 
     first = (state.join(classes.select("node", "rep"), "node").groupBy("component")
              .agg(F.min("rep").alias("component_id")))
@@ -371,16 +372,16 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
         "node", F.coalesce("component_id", "rep").alias("component_id"))
     out = sketched.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left")
     out = out.select("doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return work.result(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near-duplicates")
 
 
-def _merged(state: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(work: WorkTables, state: DataFrame, links: DataFrame) -> DataFrame:
     """``state`` (node, component) after the links have joined components."""
     named = state.select(F.col("node").alias("a"), F.col("component").alias("x"))
     other = state.select(F.col("node").alias("b"), F.col("component").alias("y"))
     joined = connected_components(links.join(named, "a").join(other, "b").select("x", "y"), "x", "y")
     joined = joined.select(F.col("node").alias("component"), F.col("component").alias("joined"))
-    return materialise(state.join(joined, "component", "left").select(
+    return work.keep(state.join(joined, "component", "left").select(
         "node", F.coalesce("joined", "component").alias("component")), "state")
 
 

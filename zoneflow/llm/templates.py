@@ -11,7 +11,8 @@ digits: by its unmasked words, so rows of numbers recur only where they are equa
 recurring and their lines are dropped.  Enough is ``MIN_DOCS``, but ``LONG_DOCS`` for
 lines of ``LONG_WORDS`` words and more, which no two texts share by chance.  Documents
 of equal text count once.  Runs of consecutive lines that hold ``LONG_WORDS`` words
-together are dropped where ``LONG_DOCS`` holders have them (not with ``sql_rules``).
+together are dropped where ``LONG_DOCS`` holders have them.  Lines of fewer than ``MIN_WORDS`` words go
+only within such a run.
 
 Constants are decided by counts, not by the order lines arrive in, so the tree is
 grown by aggregates: leaves that too few lines reach are cut before any word is
@@ -19,9 +20,7 @@ looked at, equal lines count once with a weight, and no leaf is gathered anywher
 
 Holders of a line are classes of near copies (operator 5 over ``COPY_SHINGLE`` words at
 ``COPY_PERCENT``), so lines that only the copies of one text share do not recur and are
-left for document dedup; every text loses the lines that recur between classes.  With
-``sql_rules``, the rules that the query's SQL spells out, holders are texts, and a text of
-which recurring lines make up ``COPY_SHARE`` of the words or more is left whole.
+left for document dedup; every text loses the lines that recur between classes.
 """
 
 from __future__ import annotations
@@ -30,13 +29,14 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import byte_values, gather, materialise
+from zoneflow.llm.common import WorkTables, byte_values, gather, may_hold
 from zoneflow.llm.setsketch import near_duplicates
 
 LEADING = 3          # words that pick a leaf, after the word count
@@ -45,8 +45,8 @@ MIN_CONSTANT = 0.6   # share of constant positions in a template
 MIN_DOCS = 8         # documents that make a template recurring
 LONG_WORDS, LONG_DOCS = 25, 2
 COPY_SHINGLE, COPY_PERCENT = 5, 80   # near copies, as the pipeline's document dedup has them
-COPY_SHARE = 0.6     # only with sql_rules
 VARIABLE = b"<*>"
+VARIABLE_HASH = int(np.uint64(xxhash.xxh3_64_intdigest(VARIABLE)).view(np.int64))
 
 _DIGIT = re.compile(rb"[0-9]")
 
@@ -96,10 +96,10 @@ def runs(own: list[int], sizes: list[int]) -> Iterator[tuple[int, int, int]]:
             yield int(np.uint64(digest).view(np.int64)), i, j
 
 
-def line_table(docs: DataFrame, text_col: str = "text", with_runs: bool = False) -> DataFrame:
+def line_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(key, line, leaf, size, words, first)``: the distinct lines of each different text (``_own``), their
     word count, the words they make up there (null leaf: too short to be dropped) and whether no
-    line before has the same masked words (1 or 0).  ``with_runs`` adds the text's ``runs`` as lines of size 0."""
+    line before has the same masked words (1 or 0).  The text's ``runs`` are lines of size 0."""
     schema = pa.schema([("key", pa.int64()), ("line", pa.int64()), ("leaf", pa.int64()), ("size", pa.int32()),
                         ("words", pa.int64()), ("first", pa.int32())])
 
@@ -122,9 +122,8 @@ def line_table(docs: DataFrame, text_col: str = "text", with_runs: bool = False)
                         seen[own][3] += len(words)
                         order.append(own)
                         sizes.append(len(words))
-                if with_runs:
-                    for number, _, _ in runs(order, sizes):
-                        seen.setdefault(("run", number), [number, None, 0, 0, 0])
+                for number, _, _ in runs(order, sizes):
+                    seen.setdefault(("run", number), [number, None, 0, 0, 0])
                 keys += [key] * len(seen)
                 found += seen.values()
                 if len(keys) > 200_000:
@@ -147,8 +146,8 @@ def enough(size: str) -> Column:
     return F.when(F.col(size) >= LONG_WORDS, LONG_DOCS).otherwise(MIN_DOCS)
 
 
-def _packed(docs: DataFrame, text_col: str) -> DataFrame:
-    """``(key, z)``: compressed texts, for joins that move few of them."""
+def _packed(texts: DataFrame) -> DataFrame:
+    """``(key, z)`` of rows ``(key, text)``: compressed texts, for joins that move few of them."""
     schema = pa.schema([("key", pa.int64()), ("z", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,18 +156,31 @@ def _packed(docs: DataFrame, text_col: str) -> DataFrame:
             yield gather({"key": batch.column(0),
                           "z": [pack.compress(v or b"") for v in byte_values(batch.column(1))]}, schema)
 
-    return docs.select(F.xxhash64(text_col).alias("key"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "key long, z binary")
+    return texts.select("key", "text").mapInArrow(run, "key long, z binary")
 
 
 def _line_words(docs: DataFrame, lines: DataFrame, text_col: str) -> DataFrame:
-    """``(line, leaf, size, n, held, position, word)`` of every line in ``lines`` (the same with holder)."""
-    wanted = lines.groupBy("holder").agg(F.collect_set("line").alias("lines"))
-    packed = _packed(docs, text_col).join(wanted, F.col("key") == F.col("holder")).dropDuplicates(["key"])
-    schema = pa.schema([("line", pa.int64()), ("masked", pa.list_(pa.string()))])
+    """``(line, leaf, size, n, held, words)`` of every line in ``lines`` (the same with holder); words as 64-bit hashes.
+
+    Only the texts of holders are moved, compressed.
+    """
+    wanted = lines.groupBy("holder").agg(F.collect_set("line").alias("lines")).withColumnRenamed("holder", "key")
+    texts = docs.select(F.xxhash64(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    some = may_hold(texts, "key", wanted.select("key"), "_wanted").filter("_wanted")
+    packed = _packed(some).join(wanted, "key").dropDuplicates(["key"])
+    schema = pa.schema([("line", pa.int64()), ("words", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
+        unpack, known = zstandard.ZstdDecompressor(), {VARIABLE: VARIABLE_HASH}
+
+        def number_of(word: bytes) -> int:
+            if word not in known:
+                if len(known) >= 200_000:
+                    known.clear()
+                    known[VARIABLE] = VARIABLE_HASH
+                known[word] = _number([word])
+            return known[word]
+
         for batch in batches:
             for z, asked in zip(batch.column(0), batch.column(1), strict=True):
                 left, found = set(asked.as_py()), {}
@@ -177,12 +189,11 @@ def _line_words(docs: DataFrame, lines: DataFrame, text_col: str) -> DataFrame:
                     number = _own(line, words, _number(words)) if words else None
                     if number in left:
                         left.discard(number)
-                        found[number] = [w.decode("utf-8", "replace") for w in words]
-                yield gather({"line": list(found), "masked": list(found.values())}, schema)
+                        found[number] = [number_of(w) for w in words]
+                yield gather({"line": list(found), "words": list(found.values())}, schema)
 
-    words = packed.select("z", "lines").mapInArrow(run, "line long, masked array<string>")
-    return words.join(lines.select("line", "leaf", "size", "n", "held"), "line").select(
-        "line", "leaf", "size", "n", "held", F.posexplode("masked").alias("position", "word"))
+    words = packed.select("z", "lines").mapInArrow(run, "line long, words array<long>")
+    return words.join(lines.select("line", "leaf", "size", "n", "held"), "line").select("line", "leaf", "size", "n", "held", "words")
 
 
 def copy_classes(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -195,107 +206,103 @@ def copy_classes(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.col("doc_id").alias("key"), F.col("component_id").alias("class")).distinct()
 
 
-def _templates(words: DataFrame, sql_rules: bool) -> DataFrame:
+def _templates(lines: DataFrame) -> DataFrame:
     """``(line, template)``: the templates a line may recur by, itself among them.
 
     A word's documents are counted within its leaf and position.  A line has one template for
     each number of documents that one of its words reaches: the words that reach it are
     constant, all others variable fields.  So a field's frequent values, which gather
     documents as the corpus grows, stay fields beside the words that more documents hold.
-    ``sql_rules``: only the template of all words that enough documents hold.
     """
+    words = lines.select("line", "leaf", "size", "n", "held", F.posexplode("words").alias("position", "word"))
     constant = (words.groupBy("leaf", "size", "position", "word").agg(F.sum("n").alias("docs"))
-                .filter((F.col("docs") >= enough("size")) & (F.col("word") != VARIABLE.decode()))
+                .filter((F.col("docs") >= enough("size")) & (F.col("word") != VARIABLE_HASH))
                 .select("leaf", "position", "word", "docs"))
-    line = Window.partitionBy("line")
-    least = line.orderBy(F.desc("docs")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    least = Window.partitionBy("line").orderBy(F.desc("docs")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     # the template's number: its constants, each hashed with its position, in any order
     levels = words.join(constant, ["leaf", "position", "word"]).select(
         "line", "leaf", "size", "held", "docs", F.count(F.lit(1)).over(least).alias("constants"),
         F.bit_xor(F.xxhash64("position", "word")).over(least).alias("shape"))
-    if sql_rules:
-        levels = levels.withColumn("all", F.min("docs").over(line)).filter("docs = all").drop("all")
     levels = levels.filter(F.col("constants") / F.col("size") >= MIN_CONSTANT).select(
         "line", "size", "held", F.xxhash64("leaf", "shape").alias("template")).distinct()
-    every = levels.unionByName(words.filter("position = 0").select("line", "size", "held", F.col("line").alias("template")))
+    every = levels.unionByName(lines.select("line", "size", "held", F.col("line").alias("template")))
     # no template is held by more documents than its lines together
     likely = every.groupBy("template", "size").agg(F.sum("held").alias("held")).filter(F.col("held") >= enough("size"))
     return every.join(likely.select("template"), "template").select("line", "template")
 
 
-def _shared_runs(found: DataFrame, classes: DataFrame) -> DataFrame:
+def _shared_runs(found: DataFrame, classes: DataFrame, work: WorkTables) -> DataFrame:
     """``(key, passages)``: the runs of each text that ``LONG_DOCS`` classes hold."""
     def shared(frame: DataFrame, holder: str) -> DataFrame:
         both = frame.groupBy("line").agg(F.min(holder).alias("lo"), F.max(holder).alias("hi")).filter("lo != hi")
         return frame.join(both.select("line"), "line")
 
     texts = shared(found.select("key", "line"), "key").join(classes, "key")
-    return shared(materialise(texts, "runs"), "class").groupBy("key").agg(F.collect_set("line").alias("passages"))
+    return shared(work.keep(texts, "runs"), "class").groupBy("key").agg(F.collect_set("line").alias("passages"))
 
 
-def recurring_lines(docs: DataFrame, text_col: str = "text", sql_rules: bool = False) -> DataFrame:
+def recurring_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(key, lines, passages)``: the lines and runs (their numbers) to drop from each text that loses some.
 
-    ``key`` is the 64-bit hash of the text.
+    ``key`` is the 64-bit hash of the text.  The result is a table of its own; the work tables are gone.
     """
-    every = materialise(line_table(docs, text_col, with_runs=not sql_rules), "lines")
+    work = WorkTables(docs.sparkSession)
+    classes = work.keep(copy_classes(docs, text_col), "copy-classes")
+    every = work.keep(line_table(docs, text_col), "lines")
     leaves = (every.filter("leaf is not null").groupBy("leaf", "size").agg(F.sum("first").alias("n"))
               .filter(F.col("n") >= enough("size")))
-    held = every.join(leaves.select("leaf"), "leaf").select("key", "line", "leaf", "size", "words", "first")
-    if sql_rules:
-        held = held.withColumn("class", F.col("key"))
-    else:
-        classes = materialise(copy_classes(docs, text_col), "copy-classes")
-        held = held.join(classes, "key")
-    held = materialise(held, "leaf-lines")
+    held = every.join(leaves.select("leaf"), "leaf").select("key", "line", "leaf", "size", "first")
+    held = work.keep(held.join(classes, "key"), "leaf-lines")
     lines = (held.groupBy("line", "leaf", "size", "class").agg(F.min("key").alias("holder"), F.max("first").alias("first"))
              .groupBy("line", "leaf", "size").agg(F.sum("first").alias("n"), F.count(F.lit(1)).alias("held"),
                                                  F.min("holder").alias("holder")))
-    words = materialise(_line_words(docs, lines, text_col), "line-words")
-    templates = _templates(words, sql_rules)
-    found = materialise(held.join(templates, "line"), "template-lines")
+    lines = work.keep(lines, "distinct-lines")
+    templates = _templates(work.keep(_line_words(docs, lines, text_col), "line-words"))
+    found = work.keep(held.select("key", "class", "line", "size").join(templates, "line"), "template-lines")
     recurring = (found.groupBy("template", "size", "class").agg(F.lit(1).alias("one")).groupBy("template", "size")
                  .agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= enough("size")))
-    hit = found.join(recurring.select("template"), "template").groupBy("key").agg(
-        F.collect_set(F.struct("line", "words")).alias("hit"))
-    dropped = hit.select("key", F.col("hit.line").alias("lines"),
-                         F.aggregate("hit.words", F.lit(0).cast("long"), lambda x, y: x + y).alias("lost"))
-    if not sql_rules:
-        return dropped.select("key", "lines").join(_shared_runs(every.filter("size = 0"), classes), "key", "full")
-    total = every.groupBy("key").agg(F.sum("words").alias("total"))
-    return dropped.join(total, "key").filter(F.col("lost") < COPY_SHARE * F.col("total")).select(
-        "key", "lines", F.lit(None).cast("array<long>").alias("passages"))
-
-
-def drop_recurring_lines(docs: DataFrame, text_col: str = "text", report: bool = False,
-                         sql_rules: bool = False) -> DataFrame:
+    dropped = found.join(recurring.select("template"), "template").groupBy("key").agg(F.collect_set("line").alias("lines"))
+    return work.result(dropped.join(_shared_runs(every.filter("size = 0"), classes, work), "key", "full"), "line-drops")
+
+
+def drop_recurring_lines(docs: DataFrame, text_col: str = "text", report: bool = False) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text_col``.
 
     Every row stays and keeps its other columns (``n_chars``, where there is one, is
     the new text's length).  Null and empty texts stay as they are.  With ``report``
     the columns ``lines_before`` and ``lines_dropped`` are added.  Rows of equal text
-    count once and lose the same lines; an empty table stays empty.  ``sql_rules`` takes
-    the rules of operator 10's SQL (see the module's text).
+    count once and lose the same lines; an empty table stays empty.
+
+    Rows that lose nothing stay where they are, but for a few that share a bit with one that does (``may_hold``);
+    the others move with their texts compressed.
     """
-    drops = recurring_lines(docs, text_col, sql_rules).select(F.col("key").alias("_drop_key"), F.col("lines").alias("_drop"), F.col("passages").alias("_runs"))
-    mark = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    joined = docs.select(mark, F.xxhash64(text_col).alias("_key")).join(
-        drops, F.col("_key") == F.col("_drop_key"), "left")
-    joined = joined.select("_row", F.col(f"_row.`{text_col}`").cast("string").alias("_text"), "_drop", "_runs")
-
-    @F.pandas_udf("clean string, dropped long")
-    def clean(texts, drop, passages):
-        import pandas as pd
-
-        out = []
-        for text, numbers, shared in zip(texts, drop, passages, strict=True):
-            if text is None:
-                out.append((None, 0))
+    drops = recurring_lines(docs, text_col).select(F.col("key").alias("_drop_key"), F.col("lines").alias("_drop"),
+                                                   F.col("passages").alias("_runs"))
+    mark = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.lit(0).alias("_any")).alias("_row")
+    keyed = docs.select(mark, F.col(f"`{text_col}`").cast("string").alias("_text"), F.xxhash64(text_col).alias("_drop_key"))
+    flagged = may_hold(keyed, "_drop_key", drops, "_loses")
+
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        press = zstandard.ZstdCompressor(level=1)
+        return texts.map(lambda t: None if t is None else press.compress(t.encode("utf-8", "replace")))
+
+    @F.pandas_udf("clean string, dropped long, before long")
+    def clean(texts: pd.Series, drop: pd.Series, passages: pd.Series) -> pd.DataFrame:
+        press, out = zstandard.ZstdDecompressor(), []
+        for z, numbers, shared in zip(texts, drop, passages, strict=True):
+            if z is None:
+                out.append((None, 0, 0))
                 continue
-            gone, lines = set() if numbers is None else set(numbers.tolist()), text.split("\n")
+            text = press.decompress(z).decode()
+            lines = text.split("\n")
+            if numbers is None and shared is None:
+                out.append((text, 0, len(lines)))
+                continue
+            gone = set() if numbers is None else set(numbers.tolist())
             at, own, sizes = [], [], []
             for k, x in enumerate(lines):
-                line = x.encode("utf-8", "replace")
+                line = x.encode()
                 if words := masked(line):
                     at.append(k)
                     own.append(_own(line, words, _number(words)))
@@ -307,23 +314,24 @@ def drop_recurring_lines(docs: DataFrame, text_col: str = "text", report: bool =
                     if number in shared:
                         lost.update(at[i:j])
             kept = [x for k, x in enumerate(lines) if k not in lost]
-            out.append(("\n".join(kept), len(lines) - len(kept)))
-        return pd.DataFrame(out, columns=["clean", "dropped"])
-
-    # only texts that lose lines go through Python
-    some = F.col("_drop").isNotNull() | F.col("_runs").isNotNull()
-    made = joined.withColumn("_made", clean(F.when(some, F.col("_text")), "_drop", "_runs"))
-    text = F.when(some, F.col("_made.clean")).otherwise(F.col("_text"))
+            out.append(("\n".join(kept), len(lines) - len(kept), len(lines)))
+        return pd.DataFrame(out, columns=["clean", "dropped", "before"])
+
+    moved = flagged.filter("_loses").select("_row", "_drop_key", pack("_text").alias("_z")).join(drops, "_drop_key", "left")
+    moved = moved.select("_row", clean("_z", "_drop", "_runs").alias("_made")).select(
+        "_row", F.col("_made.clean").alias("_text"), F.col("_made.dropped").alias("_dropped"), F.col("_made.before").alias("_before"))
+    breaks = F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("\n"), F.lit("")))
+    stays = flagged.filter(~F.col("_loses")).select("_row", "_text", F.lit(0).cast("long").alias("_dropped"),
+                                                    F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("_before"))
+    made = stays.unionByName(moved)
     columns = []
     for c in docs.columns:
         if c == text_col:
-            columns.append(text.alias(c))
+            columns.append(F.col("_text").alias(c))
         elif c == "n_chars":
-            columns.append(F.length(text).cast(docs.schema[c].dataType).alias(c))
+            columns.append(F.length("_text").cast(docs.schema[c].dataType).alias(c))
         else:
             columns.append(F.col(f"_row.`{c}`").alias(c))
     if report:
-        breaks = F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("\n"), F.lit("")))
-        columns += [F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("lines_before"),
-                    F.when(some, F.col("_made.dropped")).otherwise(F.lit(0).cast("long")).alias("lines_dropped")]
+        columns += [F.col("_before").alias("lines_before"), F.col("_dropped").alias("lines_dropped")]
     return made.select(*columns)
