@@ -3,13 +3,18 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes it as
 Parquet below the shared checkpoint folder and reads it back as the next stage's
 documents.  All stages but the last return the columns of ``documents``.
+
+Stages handle odd rows alike: null, empty and blank texts are not toxic, lose no lines, are copies of nothing,
+hold no benchmark item and give no pieces; very long texts are worked on whole; rows without an id are kept by all
+filters that judge by copies; a row repeated in full stays once after near-duplicate removal (rows without an id all
+stay); an empty table gives an empty table; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm.common import materialise, ship_package, table
+from zoneflow.llm.common import WorkTables, ship_package, table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +70,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; returns the packed pieces."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    """All stages over ``documents``; returns the packed pieces.
+
+    A stage's table goes when the next one is written.
+    """
+    docs, work = table(spark, sf_dir, "documents"), WorkTables(spark)
+    for name, stage in STAGES[:-1]:
+        docs = work.keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        work.drop_all_but(1)
+    name, stage = STAGES[-1]
+    return work.result(stage(spark, docs, sf_dir), f"pipeline-{name}")
