@@ -16,12 +16,16 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from zoneflow.functions import canonicalize  # noqa: E402
 from zoneflow.operators import (  # noqa: E402
+    fill_from_knowledge,
     fill_from_latest_known,
     known_pairs,
     latest_known_value,
     merge_grouped,
     merge_joined,
+    merge_stored,
+    period_knowledge,
     row_counts,
+    store_by_key,
 )
 from zoneflow.operators.matches import (  # noqa: E402
     clean_match_dates,
@@ -32,7 +36,13 @@ from zoneflow.operators.matches import (  # noqa: E402
 from zoneflow.plans import jobs, queries, standins  # noqa: E402
 from zoneflow.session import build_session, scratch_dir  # noqa: E402
 from zoneflow.sinks import write_parquet  # noqa: E402
-from zoneflow.sources import read_mixed_format, read_season_table, season_folder_scan  # noqa: E402
+from zoneflow.sources import (  # noqa: E402
+    read_mixed_format,
+    read_season_table,
+    row_counts_from_footers,
+    scan_season_table,
+    season_folder_scan,
+)
 
 
 def facts(df) -> dict[str, int]:
@@ -45,7 +55,7 @@ def facts(df) -> dict[str, int]:
         "aggregate": count(r"HashAggregate|SortAggregate|ObjectHashAggregate"),
         "window": count(r"\bWindow\b"),
         "sort": count(r"\bSort \["),
-        "scan": count(r"FileScan|Scan parquet|Scan csv|Scan json"),
+        "scan": count(r"FileScan|BatchScan|Scan parquet|Scan csv|Scan json"),
     }
 
 
@@ -64,7 +74,10 @@ def main(argv):
                                              "country_1", "season"), scratch_dir(spark, "plan-report-state"))
     entities = list(queries._entities(spark, sf))
     plans = {
-        "W1 landing -> raw (season_folder_scan)": season_folder_scan(spark, landing),
+        "W1 landing -> raw, one header (season_folder_scan)": season_folder_scan(spark, landing),
+        "W1 landing -> raw, several headers": season_folder_scan(spark, standins.landing_layouts(spark, sf)),
+        "O8 parquet of differing types (2 groups)": scan_season_table(spark, standins.building_conflicting(spark, sf)).rows,
+        "W2 scan with layouts of single files": scan_season_table(spark, standins.raw_dates_by_layout(spark, sf), tagged=True).rows,
         "W2 dates cleaning": clean_match_dates(dates_raw),
         "W3 scores cleaning": clean_match_scores(scores_raw),
         "W4 synonyms + country fill": enrich_matches(teams_raw),
@@ -74,6 +87,11 @@ def main(argv):
         "W7 team dimension": jobs.team_dimension(spark.read.parquet(standins.raw_team_goals(spark, sf))),
         "J1 merge_grouped (3 sources)": merge_grouped(entities),
         "J1 merge_joined (3 sources)": merge_joined(entities),
+        "J1 merge_stored (3 sources in buckets)": merge_stored(store_by_key(
+            entities, "name", scratch_dir(spark, "plan-report-stored"), "zf_plan_report", 16), "name"),
+        "J2 fill from knowledge table": fill_from_knowledge(match, period_knowledge(match, "team_name_1", "country_1", "season"),
+                                                            "team_name_1", "country_1", "season"),
+        "A2 counts from footers": row_counts_from_footers(spark, standins.raw_match_teams(spark, sf)),
         "J2 fill": fill_from_latest_known(match, "team_name_1", "country_1", "season"),
         "A1 known_pairs": known_pairs(match, "team_name_1", "country_1"),
         "A3 latest_known_value": latest_known_value(match, "team_name_1", "country_1", "season"),

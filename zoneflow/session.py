@@ -9,8 +9,11 @@ a folder of its own.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +56,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers once per application (``--py-files`` does the same)."""
+    context = spark.sparkContext
+    if getattr(context, "_zoneflow_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    name = os.path.join(tempfile.mkdtemp(prefix="zoneflow-"), "zoneflow_package.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    context.addPyFile(name)
+    context._zoneflow_shipped = True
+
+
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/zoneflow/{tag}-{uuid.uuid4().hex[:12]}"

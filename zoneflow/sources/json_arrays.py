@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from zoneflow.session import scratch_dir
+from zoneflow.session import scratch_dir, ship_package
 from zoneflow.sources.manifests import file_path, written
 
 SOURCE_FILE = "_source_file"
@@ -134,6 +134,7 @@ def json_array_objects(spark: SparkSession, path: str, pattern: str = "*") -> Da
     ``junk`` marks text between objects that belongs to none, and objects that never end.  No file is
     read as a whole by a task, but an object is put together in one.
     """
+    ship_package(spark)
     pieces = _fragments(spark, path, pattern)
     ranges = written(pieces.mapInArrow(
         _summary, "path string, block long, file_size long, flips int, outside long, inside long, bytes long"), spark, "json-ranges")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from zoneflow.session import scratch_dir
+from zoneflow.session import scratch_dir, ship_package
 
 #: files whose entries (about 24 bytes each) are sent to every executor; more of them are joined by a shuffle
 BROADCAST_FILES = 2_000_000
@@ -108,6 +108,7 @@ def footer_manifest(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     readable parquet has a null ``schema`` and says why in ``error``.  In a store that only Spark opens
     (not one of ``OPENED_DIRECTLY``) the tasks get the files whole.
     """
+    ship_package(spark)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
         paths if isinstance(paths, str) else list(paths))
     some = paths if isinstance(paths, str) else paths[0]
