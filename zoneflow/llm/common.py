@@ -6,11 +6,7 @@ that is exactly ``bytes.lower().split()``, so words never need a regex.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator, Sequence
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,28 +14,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.session import scratch_dir
+from zoneflow.session import scratch_dir, ship_package
 from zoneflow.sinks.writers import remove_path
 
+__all__ = [
+    "BITMAP_BITS", "CHUNK_BYTES", "WordCodes", "WorkTables", "byte_values", "chunks", "crc_mod", "gather", "materialise", "may_hold",
+    "mix64", "row_key", "shingle_hashes", "ship_package", "shuffle_width", "table", "words_of",
+]
+
 #: Texts are worked on in pieces of about this many bytes, so that a task's Python
 #: memory does not depend on the size of an Arrow batch.
 CHUNK_BYTES = 6_000_000
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application (``--py-files`` does the same)."""
-    context = spark.sparkContext
-    if getattr(context, "_zoneflow_shipped", False):
-        return
-    top = Path(__file__).resolve().parents[1]
-    name = os.path.join(tempfile.mkdtemp(prefix="zoneflow-"), "zoneflow_package.zip")
-    with zipfile.ZipFile(name, "w") as z:
-        for f in sorted(top.rglob("*.py")):
-            z.write(f, f.relative_to(top.parent))
-    context.addPyFile(name)
-    context._zoneflow_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
