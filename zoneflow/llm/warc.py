@@ -59,7 +59,7 @@ def write_warc(pages: DataFrame, path: str, **columns: str) -> str:
     plain = pa.schema([("segment", pa.int64()), ("part", pa.int64()), ("page_id", pa.int64()), ("tie", pa.int64()), ("record", pa.string())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = byte_values(batch.column(3))
             yield gather({"segment": batch.column(0), "page_id": batch.column(1), "tie": batch.column(2),
@@ -169,8 +169,11 @@ def _leaves(rows: DataFrame) -> DataFrame:
     """
     quarters = [F.conv(F.substring("digest", 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)") for k in range(4)]
     sums = F.concat_ws(":", F.count(F.lit(1)).cast("string"), *[F.sum(q).cast("string") for q in quarters])
-    grouped = keyed(rows).groupBy("kind", "node").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("one"), sums.alias("sums"))
-    return grouped.select("kind", "node", F.when(F.col("n") == 1, F.col("one")).otherwise(F.sha2("sums", 256)).alias("digest"))
+    # most ids have one record: only its digest travels, and the sums of the others are taken from their records
+    grouped = keyed(rows).groupBy("kind", "node").agg(F.count(F.lit(1)).alias("n"), F.min(F.unhex("digest")).alias("digest"))
+    several = grouped.filter("n > 1").select("kind", "node")
+    added = keyed(rows).join(several, ["kind", "node"], "left_semi").groupBy("kind", "node").agg(F.unhex(F.sha2(sums, 256)).alias("digest"))
+    return grouped.filter("n = 1").select("kind", "node", "digest").unionByName(added)
 
 
 def keyed(rows: DataFrame) -> DataFrame:
@@ -188,9 +191,8 @@ def merkle_levels(leaves: DataFrame, height: int, work: WorkTables) -> list[Data
     for _ in range(height):
         group = levels[-1].groupBy("kind", F.floor(F.col("node") / FANOUT).cast("long").alias("parent")).agg(
             F.array_sort(F.collect_list(F.struct("node", "digest"))).alias("children"))
-        levels.append(work.keep(group.select("kind", F.col("parent").alias("node"), F.sha2(F.array_join(
-            F.transform("children", lambda c: F.concat_ws(":", c["node"].cast("string"), c["digest"])), ","), 256)
-            .alias("digest")), "merkle"))
+        text = F.array_join(F.transform("children", lambda c: F.concat_ws(":", c["node"].cast("string"), F.hex(c["digest"]))), ",")
+        levels.append(work.keep(group.select("kind", F.col("parent").alias("node"), F.unhex(F.sha2(text, 256)).alias("digest")), "merkle"))
     return levels
 
 
@@ -204,12 +206,12 @@ def audit(first: DataFrame, second: DataFrame, work: WorkTables | None = None) -
     differ.  Empty replicas are equal.  ``work`` holds the replicas' tables, which go when the result is written.
     """
     work = work or WorkTables(first.sparkSession)
-    first, second = (work.keep(keyed(r), "keyed") for r in (first, second))
+    first, second = keyed(first), keyed(second)
     top = first.select("node").unionByName(second.select("node")).agg(F.max(F.greatest(F.col("node"), -(F.col("node") + 1)))).first()[0]
     height = 0
     while top is not None and FANOUT ** height <= top:
         height += 1
-    one, two = (merkle_levels(_leaves(r), height, work) for r in (first, second))
+    one, two = (merkle_levels(_leaves(r.drop("kind", "node")), height, work) for r in (first, second))
     suspects = None
     for level in range(height, -1, -1):
         left, right = one[level], two[level]
