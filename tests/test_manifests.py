@@ -108,6 +108,16 @@ def test_records_of_several_lines_and_other_separators(spark, scratch):
     assert sorted(map(tuple, well_formed(rows).collect()), key=repr) == [("1", "two\nlines", None), (None, "6", "7"), (None, "8", None)]
 
 
+@pytest.mark.parametrize("layouts", [1, 2])
+def test_rows_are_counted_whatever_columns_are_asked_for(spark, scratch, layouts):
+    base = local(scratch)
+    for k in range(4):
+        put(base / "2020-21" / f"{k}.csv", "a,b\n1,2\n3\n" if k < 3 or layouts == 1 else "b\n1\n1,2\n")
+    rows = season_folder_scan(spark, scratch)
+    assert rows.count() == rows.select("season").count() == rows.select("b").count() == 4
+    assert [tuple(r) for r in rows.groupBy("season").count().collect()] == [("2020-21", 4)]
+
+
 def test_more_files_than_are_broadcast(spark, scratch, monkeypatch):
     monkeypatch.setattr(manifests, "BROADCAST_FILES", 0)
     for k in range(6):

@@ -121,7 +121,9 @@ def read_csv_by_header(spark: SparkSession, paths: str | Sequence[str], pattern:
         # all cells are parsed whatever columns are asked for, so that a record's cells are counted
         rows = reader.schema(schema).option("mode", "PERMISSIVE").option("columnPruning", "false").option(
             "columnNameOfCorruptRecord", RAGGED).options(**options).csv(where)
-        return rows.select(*[F.col(f"`{n}`") for n in layouts[0]], *more, RAGGED)
+        # Spark refuses a scan that needs the record's text alone, so the text goes with a cell (the comparison always holds)
+        held = F.when(F.coalesce(F.col(f"`{layouts[0][0]}`"), F.lit("")) >= "", F.col(RAGGED))
+        return rows.select(*[F.col(f"`{n}`") for n in layouts[0]], *more, held.alias(RAGGED))
 
     width = max(map(len, layouts))
     cells = StructType([StructField(f"c{i}", StringType()) for i in range(width + 1)])
