@@ -207,6 +207,41 @@ def test_tiles_cover_as_much_as_the_definition():
         assert abs(sum(t[2] for t in tiles) - naive_tiles(item, text, 3)) <= 3
 
 
+def test_rolling_hashes_are_those_of_their_windows(monkeypatch):
+    rng = random.Random(4)
+    for prime in (tiling.PRIME, 7):   # with a tiny prime most windows collide
+        monkeypatch.setattr(tiling, "PRIME", prime)
+        codes = [rng.randrange(9) for _ in range(80)]
+        free = [rng.random() < 0.9 for _ in codes]
+        for length in (1, 3, 8):
+            want = [(k, sum(c * pow(tiling.BASE, length - 1 - n) for n, c in enumerate(codes[k:k + length])) % prime)
+                    for k in range(len(codes) - length + 1) if all(free[k:k + length])]
+            assert list(tiling._windows(codes, free, length)) == want
+        item, text = ([rng.choice("abcd") for _ in range(n)] for n in (40, 60))
+        for i, j, n in tiling.greedy_tiles(item, text, 3):
+            assert item[i:i + n] == text[j:j + n]
+
+
+def test_tiles_do_not_depend_on_the_hash(monkeypatch):
+    rng = random.Random(9)
+    pairs = [([rng.choice("abcde") for _ in range(30)], [rng.choice("abcde") for _ in range(90)]) for _ in range(40)]
+    usual = [tiling.greedy_tiles(a, b, 4) for a, b in pairs]
+    monkeypatch.setattr(tiling, "PRIME", 3)
+    assert [tiling.greedy_tiles(a, b, 4) for a, b in pairs] == usual
+
+
+@pytest.mark.parametrize("limit", [0, 1, 10 ** 9])
+def test_both_ways_to_the_candidates_agree_at_the_border(lspark, documents, monkeypatch, limit):
+    rng = random.Random(2)
+    passage = [f"b{rng.randrange(400)}" for _ in range(40)]
+    bench = lspark.createDataFrame([(1, " ".join(passage)), (2, "a b c"), (3, None)], "item_id long, text string")
+    seeds = tiling.benchmark_seeds(bench)
+    monkeypatch.setattr(tiling, "MAX_SHARED_SEEDS", {0: 0, 1: seeds, 10 ** 9: seeds - 1}[limit])
+    rows = [(1, " ".join(["x"] * 9 + passage + ["y"] * 5)), (2, " ".join(passage[20:] + ["z"] + passage[:20])), (3, "q a b c q"), (4, "nothing here")]
+    got = {(r.doc_id, r.item_id, r.covered) for r in tiling.leaks(documents(rows), bench).collect()}
+    assert got == {(1, 1, 40), (2, 1, 40), (3, 2, 3)}
+
+
 def test_leaks_found_in_any_order_and_both_ways(lspark, documents):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi"
     words = item.split()

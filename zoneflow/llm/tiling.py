@@ -26,6 +26,7 @@ from zoneflow.llm.common import byte_values, chunks, gather, materialise, mix64,
 MIN_TILE = 5
 MIN_COVERAGE = 0.5
 MAX_SHARED_SEEDS = 2_000_000
+BASE, PRIME = 1_000_003, (1 << 61) - 1   # of the rolling hash
 
 _SPACES = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
@@ -80,14 +81,17 @@ def greedy_tiles(item: list, text: list, least: int = MIN_TILE) -> list[tuple[in
 
 def _matches(item: list, text: list, item_free: list, text_free: list, length: int) -> tuple[int, list]:
     """Maximal free matches of ``length`` or more: (greatest length, [(length, item at, text at)])."""
-    starts: dict[tuple, list[int]] = {}
-    for i in _runs(item_free, length):
-        starts.setdefault(_window_key(item, i, length), []).append(i)
+    codes = {token: k for k, token in enumerate(dict.fromkeys(item), 1)}   # other tokens are 0: they match nothing
+    starts: dict[int, list[int]] = {}
+    for i, key in _windows([codes[t] for t in item], item_free, length):
+        starts.setdefault(key, []).append(i)
     longest, found, reached = 0, [], {}
-    for j in _runs(text_free, length):
-        for i in starts.get(_window_key(text, j, length), ()):
+    for j, key in _windows([codes.get(t, 0) for t in text], text_free, length):
+        for i in starts.get(key, ()):
             if reached.get(i - j, -1) > j:  # inside a longer match on the same diagonal
                 continue
+            if item[i:i + length] != text[j:j + length]:  # equal hashes of different windows
+                continue
             run = length
             while (i + run < len(item) and j + run < len(text) and item_free[i + run] and text_free[j + run]
                    and item[i + run] == text[j + run]):
@@ -100,17 +104,21 @@ def _matches(item: list, text: list, item_free: list, text_free: list, length: i
     return longest, found
 
 
-def _runs(free: list, length: int) -> Iterator[int]:
-    """Starts of free windows."""
-    run = 0
+def _windows(codes: list[int], free: list, length: int) -> Iterator[tuple[int, int]]:
+    """(start, Karp-Rabin hash) of the free windows; the hash rolls on from one window to the next."""
+    oldest = pow(BASE, length, PRIME)
+    run, rolling = 0, 0
     for k, x in enumerate(free):
-        run = run + 1 if x else 0
+        if not x:
+            run, rolling = 0, 0
+            continue
+        run += 1
+        rolling = rolling * BASE + codes[k]
+        if run > length:
+            rolling -= codes[k - length] * oldest
+        rolling %= PRIME
         if run >= length:
-            yield k - length + 1
-
-
-def _window_key(sequence: list, at: int, length: int) -> tuple:
-    return tuple(sequence[at:at + length])
+            yield k - length + 1, rolling
 
 
 @dataclass
