@@ -167,6 +167,7 @@ def test_url_rules_on_odd_urls(lspark):
     got = url_rules.judge_urls(lspark.createDataFrame(rows, "page_id long, url string, rule string, host string")).collect()
     want = list(cases.values())
     assert len(got) == len(rows) and all((r.host, r.path, r.rule, r.verdict) == want[r.page_id] for r in got)
+    assert url_rules.judge_urls(lspark.createDataFrame([], "page_id long, url string, rule string, host string")).collect() == []
 
 
 # -- 8: language model --------------------------------------------------------------------

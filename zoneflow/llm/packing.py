@@ -72,6 +72,7 @@ def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, id_col: str
     its place in the bin.  Texts without words (null, empty, blank) have one row of 0 tokens
     and no bin.  Null ids and repeated rows are packed like any other row; other columns
     are ignored.  The bins are the same for the same rows, in whatever order they come.
+    Very long texts are cut into pieces of the largest capacity; an empty table gives no rows.
     """
     longest = max(capacities)
     n = F.regexp_count(F.col(text_col).cast("string"), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")

@@ -229,7 +229,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = MIN_COVERAGE, sh
     Items without tokens and without an id are ignored, items below ``MIN_TILE`` tokens
     need a tile as long as themselves.  Null and empty texts leak nothing; a row
     repeated in full gives its pairs once each time.  ``shared`` forces one of the two ways
-    to find candidates (None: by the benchmark's size).
+    to find candidates (None: by the benchmark's size); both give the same rows.  Very long texts are
+    searched whole, other columns are ignored, and an empty table on either side gives no rows.
     """
     if shared is None:
         shared = benchmark_seeds(benchmark) <= MAX_SHARED_SEEDS

@@ -349,7 +349,8 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     """``(id_col, score, predicted)`` for every row, over its whole text.
 
     Null, empty and blank texts have no evidence and get the score of the logistic
-    offset alone.  Repeated rows are scored alike; other columns are never read.
+    offset alone.  Repeated rows are scored alike; other columns are never read.  Very long
+    texts are scored whole; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])

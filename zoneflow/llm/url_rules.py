@@ -131,7 +131,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = SITE_RU
     longest (of host and path together, then the first given) wins and is named ``rule``.
     Otherwise ``rule`` is null and the first default glob decides, or else the url is
     allowed.  Null urls and those without ``://`` have an empty host and path.
-    Repeated rows are judged alike; other columns are ignored.
+    Repeated rows are judged alike; other columns are ignored; an empty table gives no rows.
     """
     automaton = compile_globs([g for host, path, _ in rules for g in site_globs(host, path)] + [g for g, _ in defaults])
     ranked = sorted(range(len(rules)), key=lambda k: (-len(rules[k][0] + rules[k][1]), k))
