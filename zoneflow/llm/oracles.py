@@ -92,8 +92,8 @@ SELECT f.word, f.form, l.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
 ORACLES["op12_int8_near_vectors"] = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, len(embedding) AS dim,
-         coalesce(label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
-                  AND len(list_filter(embedding, x -> x <> 0)) > 0, false) AS fine FROM embeddings),
+         coalesce(label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS fine FROM embeddings),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.dim = b.dim AND a.vec_id <> b.vec_id
   WHERE a.fine AND b.fine
