@@ -29,7 +29,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -282,40 +281,37 @@ def drop_recurring_lines(docs: DataFrame, text_col: str = "text", report: bool =
     keyed = docs.select(mark, F.col(f"`{text_col}`").cast("string").alias("_text"), F.xxhash64(text_col).alias("_drop_key"))
     flagged = may_hold(keyed, "_drop_key", drops, "_loses")
 
-    @F.pandas_udf("binary")
-    def pack(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("binary")
+    def pack(texts: pa.Array) -> pa.Array:
         press = zstandard.ZstdCompressor(level=1)
-        return texts.map(lambda t: None if t is None else press.compress(t.encode("utf-8", "replace")))
+        return pa.array([None if t is None else press.compress(t) for t in byte_values(texts)], pa.binary())
 
-    @F.pandas_udf("clean string, dropped long, before long")
-    def clean(texts: pd.Series, drop: pd.Series, passages: pd.Series) -> pd.DataFrame:
+    made_of = pa.struct([("clean", pa.string()), ("dropped", pa.int64()), ("before", pa.int64())])
+
+    @F.arrow_udf("clean string, dropped long, before long")
+    def clean(texts: pa.Array, drop: pa.Array, passages: pa.Array) -> pa.Array:
         press, out = zstandard.ZstdDecompressor(), []
-        for z, numbers, shared in zip(texts, drop, passages, strict=True):
+        for z, numbers, shared in zip(texts.to_pylist(), drop, passages, strict=True):
             if z is None:
                 out.append((None, 0, 0))
                 continue
-            text = press.decompress(z).decode()
-            lines = text.split("\n")
-            if numbers is None and shared is None:
-                out.append((text, 0, len(lines)))
-                continue
-            gone = set() if numbers is None else set(numbers.tolist())
+            lines = press.decompress(z).split(b"\n")
+            gone, shared = set(numbers.as_py() or ()), set(shared.as_py() or ())
             at, own, sizes = [], [], []
-            for k, x in enumerate(lines):
-                line = x.encode()
+            for k, line in enumerate(lines if gone or shared else ()):
                 if words := masked(line):
                     at.append(k)
                     own.append(_own(line, words, _number(words)))
                     sizes.append(len(words))
             lost = {k for k, number in zip(at, own, strict=True) if number in gone}
-            if shared is not None:
-                shared = set(shared.tolist())
-                for number, i, j in runs(own, sizes):
-                    if number in shared:
-                        lost.update(at[i:j])
+            for number, i, j in runs(own, sizes) if shared else ():
+                if number in shared:
+                    lost.update(at[i:j])
             kept = [x for k, x in enumerate(lines) if k not in lost]
-            out.append(("\n".join(kept), len(lines) - len(kept), len(lines)))
-        return pd.DataFrame(out, columns=["clean", "dropped", "before"])
+            out.append((b"\n".join(kept), len(lines) - len(kept), len(lines)))
+        text, dropped, before = ([row[k] for row in out] for k in range(3))
+        return pa.StructArray.from_arrays([pa.array(text, pa.binary()).cast(pa.string()), pa.array(dropped, pa.int64()),
+                                           pa.array(before, pa.int64())], fields=list(made_of))
 
     moved = flagged.filter("_loses").select("_row", "_drop_key", pack("_text").alias("_z")).join(drops, "_drop_key", "left")
     moved = moved.select("_row", clean("_z", "_drop", "_runs").alias("_made")).select(
