@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.test_properties import COUNTRIES, SEASONS, SETTINGS, TEAMS, brute_fill, brute_merge
-from zoneflow.functions import canonicalize_by_join, close_rules
+from zoneflow.functions import canonicalize_by_join, close_rules, names
 from zoneflow.operators import (
     fill_from_knowledge,
     merge_joined,
@@ -140,6 +140,25 @@ def test_closure_of_a_hundred_thousand_rules(spark):
     assert {r.source: r.target for r in got.collect()} == {v: w for v, w in follow.items() if v != w}
 
 
+def test_rules_closed_in_many_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    rules = [(rng.randrange(150), rng.choice("abcdefgh"), rng.choice("abcdefgh")) for _ in range(300)] + [(7, "a", "b")] * 30
+    monkeypatch.setattr(names, "BLOCK_RULES", 20)
+    got = close_rules(spark.createDataFrame(rules, "position long, source string, target string"))
+    want = {v: in_turn(v, sorted(rules)) for v in "abcdefgh"}
+    assert {r.source: r.target for r in got.collect()} == {v: w for v, w in want.items() if v != w}
+
+
+def test_long_chains_are_closed_without_a_join_for_each_doubling(spark, monkeypatch):
+    n, written = 5000, []
+    rules = [(k, f"v{k % 7}", f"v{(k + 1) % 7}") for k in range(n)]   # every rule fires on the one before
+    made = names.scratch_dir
+    monkeypatch.setattr(names, "scratch_dir", lambda spark, tag: written.append(tag) or made(spark, tag))
+    closed = {r.source: r.target for r in close_rules(spark.createDataFrame(rules, "position long, source string, target string")).collect()}
+    assert closed == {v: w for v in (f"v{k}" for k in range(7)) if (w := in_turn(v, rules)) != v}
+    assert len(written) <= 4   # 13 doublings of the rules before
+
+
 def test_rules_with_nulls_and_no_rules(spark):
     schema = "position long, source string, target string"
     frame = spark.createDataFrame([(1, "a", None), (None, "a", "b"), (2, None, "c"), (3, "a", "d"), (3, "a", "d")], schema)
