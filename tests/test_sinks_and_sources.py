@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -20,8 +21,11 @@ from zoneflow.sinks import (
     write_json_rows,
     write_parquet,
     write_single_parquet,
+    writers,
 )
 from zoneflow.sources import (
+    read_csv_quoted,
+    read_csv_strings,
     read_csv_with_schema,
     read_mixed_format,
     season_folder_scan,
@@ -73,6 +77,34 @@ def test_csv_export_keeps_every_text(spark, scratch):
         assert sorted((r.k, "" if r.v == "<empty>" else r.v) for r in got.collect()) == rows
 
 
+def test_single_csv_is_written_and_read_by_many_tasks(spark, scratch, monkeypatch):
+    odd = ["a\nb", "", None, 'say "x", y', "  pad ", "a\r\nb", "back\\slash", '"', "\n", '"\n"', "lone\rreturn", "é\n\n😀", ",", "x" * 400, "l\n" * 150]
+    rows = [(k, odd[k % len(odd)], odd[k * 7 % len(odd)]) for k in range(240)]
+    df = spark.createDataFrame(rows, "k int, `v,\n1` string, w string").repartition(5)
+    monkeypatch.setattr(writers, "COPY_BYTES", 700)
+    export_single_csv(df, f"{scratch}/one")
+    assert len(data_files(spark, f"{scratch}/one")) == 1
+    whole = read_csv_strings(spark, f"{scratch}/one", multiLine="true", escape='"')
+    want = sorted((tuple(r) for r in whole.collect()), key=repr)
+    assert sorted((int(r[0]), r[1] or "", r[2] or "") for r in want) == sorted((k, v or "", w or "") for k, v, w in rows)
+    export_csv(df, f"{scratch}/many")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (1 << 20, 2500, 600):   # texts are longer than the smallest ranges
+            for c in before:
+                spark.conf.set(c, str(size))
+            for path in ("one", "many"):
+                got = read_csv_quoted(spark, f"{scratch}/{path}")
+                assert got.columns == whole.columns and sorted((tuple(r) for r in got.collect()), key=repr) == want
+            assert size > 2500 or got.rdd.getNumPartitions() > 8 > 1 == whole.rdd.getNumPartitions()
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    spark.createDataFrame([(1, "a")], "k int, other string").write.csv(f"{scratch}/many", header=True, mode="append")
+    with pytest.raises(Exception, match="header"):
+        read_csv_quoted(spark, f"{scratch}/many").collect()
+
+
 def test_failed_write_leaves_the_old_rows(spark, scratch):
     import pytest
 

@@ -69,6 +69,7 @@ from zoneflow.sinks import (
 from zoneflow.sources import (
     catalog_select_all,
     exclude_seasons,
+    read_csv_quoted,
     read_csv_strings,
     read_csv_with_schema,
     read_json_arrays,
@@ -236,7 +237,7 @@ def q_single_csv_export(spark, sf):
 def q_single_csv_export_text(spark, sf):
     """K6 on whole texts: line breaks, quotes, blanks and empty strings read back as they were."""
     path = export_single_csv(table(spark, sf, "documents"), scratch_dir(spark, "single-csv-text"))
-    return read_csv_strings(spark, path, multiLine="true", escape='"')
+    return read_csv_quoted(spark, path)
 
 
 def q_season_partition_overwrite(spark, sf):

@@ -148,15 +148,74 @@ def replace_side_table(spark: SparkSession, df: DataFrame | None, path: str) ->
 
 # -- K5 / K6: published tables, in one file where the caller asks for it ---------
 
+#: Bytes that one task copies to their place in a single CSV file.
+COPY_BYTES = 64 << 20
+
+
+def _local_path(spark: SparkSession, path: str) -> str:
+    return filesystem(spark, path)[1].toUri().getPath()
+
+
+def _joined_csv(df: DataFrame, folder: str, options: dict[str, str]) -> None:
+    """One CSV file in ``folder``, which lies on a file system that all machines mount.
+
+    Tasks write their rows as files of their own; other tasks copy these, piece by piece, to their places in the
+    single file.  A task that runs again writes the same bytes to the same place.
+    """
+    spark = df.sparkSession
+    rows, head = f"{folder}_rows", f"{folder}_head"
+    plain = {**options, "compression": "none"}
+    try:
+        df.write.format("csv").options(**{**plain, "header": "false"}).save(rows)
+        files = []
+        if str(options.get("header", "false")).lower() == "true":
+            spark.createDataFrame([], df.schema).write.format("csv").options(**plain).save(head)
+            files += sorted(data_files(spark, head))
+        files += sorted(data_files(spark, rows))
+        pieces, end = [], 0
+        for file in files:
+            fs, p = filesystem(spark, file)
+            size = fs.getFileStatus(p).getLen()
+            pieces += [(_local_path(spark, file), at, min(COPY_BYTES, size - at), end + at) for at in range(0, size, COPY_BYTES)]
+            end += size
+        fs, p = filesystem(spark, folder)
+        fs.mkdirs(p)
+        target = f"{_local_path(spark, folder)}/part-00000-{uuid.uuid4()}.csv"
+        with open(target, "wb") as out:
+            out.truncate(end)
+
+        def copy(piece: tuple[str, int, int, int]) -> None:
+            name, at, left, to = piece
+            with open(name, "rb") as source, open(target, "r+b") as out:
+                source.seek(at)
+                out.seek(to)
+                while left:
+                    data = source.read(min(left, 1 << 20))
+                    if not data:
+                        raise OSError(f"{name} ends too early")
+                    out.write(data)
+                    left -= len(data)
+
+        spark.sparkContext.parallelize(pieces, max(len(pieces), 1)).foreach(copy)
+        fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")).close()
+    finally:
+        for path in (rows, head):
+            remove_path(spark, path)
+
+
 def publish(df: DataFrame, path: str, fmt: str = "parquet", one_file: bool = False, **options: str) -> str:
     """Replace ``path`` by ``df``: parallel part files, or with ``one_file`` a single one.
 
-    The plan is evaluated in parallel and once.  For a single file the result is first
-    staged as parquet, which keeps every value, and one task then writes the file.
+    The plan is evaluated in parallel and once.  A single CSV file below ``file:`` (a disk that all machines mount)
+    is put together by many tasks.  Any other single file is first staged as parquet, which keeps every value, and
+    one task then writes it.
     """
     spark = df.sparkSession
     if not one_file:
         return _staged(spark, path, lambda folder: df.write.format(fmt).options(**options).save(folder))
+    own = {"compression", "codec", "encoding", "charset"} & {k.lower() for k in options}
+    if fmt == "csv" and not own and filesystem(spark, path)[0].getScheme() == "file":
+        return _staged(spark, path, lambda folder: _joined_csv(df, folder, options))
     parts = f"{path.rstrip('/')}._parts-{uuid.uuid4().hex[:8]}"
     try:
         df.write.parquet(parts)
