@@ -6,6 +6,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql.types import LongType, StructField, StructType
 
 from zoneflow.sources import read_json_multiline
 from zoneflow.sources.json_arrays import SOURCE_FILE, read_json_arrays
@@ -93,3 +94,14 @@ def test_what_is_no_object_is_listed(spark, scratch, small_ranges):
         assert sorted(r.k for r in rows.collect()) == [1, 2, 3, 4]
         assert sorted((r.path.rsplit("/", 1)[-1], r.record.strip(" ,")) for r in rejects.collect()) == [
             ("a.json", "oops"), ("b.json", '{"k": "open'), ("c.json", "not json"), ("d.json", '{"k": 5')]
+
+
+def test_rejects_and_rows_can_be_counted_alone(spark, scratch):
+    base = local(scratch)
+    base.mkdir(parents=True)
+    (base / "a.json").write_text('[{"k": 1}, {"k": 2}]')
+    for text, bad in (('[{"k": 3}]', 0), ('[{"k": 3}, {"k": nope}]', 1)):
+        (base / "b.json").write_text(text)
+        rows, rejects = read_json_arrays(spark, scratch, StructType([StructField("k", LongType())]))
+        assert rejects.isEmpty() == (bad == 0) and rejects.count() == bad
+        assert rows.count() == 3 and not rows.isEmpty()

@@ -192,6 +192,8 @@ def read_json_arrays(spark: SparkSession, path: str, schema: StructType | None =
     rows = reader.json(lines)
     rejects = objects.filter("junk").select("path", F.col("text").alias("record"))
     if corrupt in rows.columns:
-        bad = rows.filter(F.col(corrupt).isNotNull()).select(F.col(SOURCE_FILE).alias("path"), F.col(corrupt).alias("record"))
-        rows, rejects = rows.filter(F.col(corrupt).isNull()).drop(corrupt), rejects.unionByName(bad)
+        # Spark reads no plan that needs the corrupt column alone (a count, isEmpty): the file's name is always needed with it
+        both = F.length(F.concat_ws("", SOURCE_FILE)) >= 0
+        bad = rows.filter(F.col(corrupt).isNotNull() & both).select(F.col(SOURCE_FILE).alias("path"), F.col(corrupt).alias("record"))
+        rows, rejects = rows.filter(F.col(corrupt).isNull() & both).drop(corrupt), rejects.unionByName(bad)
     return rows, rejects
