@@ -97,6 +97,30 @@ def test_ids_round_trip(lspark, odd, by_word):
     assert [i for _, i in by_id] == sorted(i for _, i in by_id)
 
 
+def test_words_are_encoded_together_and_stay_apart():
+    path, plain = tokenizer()
+    texts = ["", " ", "Don't x\x01y \x01 z\x01", "\u0301abc cafe\u0301 I\u0130 <|endoftext|>", "<|ENDOFTEXT|> a.b,c 12ab", "\u00a0 x\u00a0y \u2028 z",
+             *(f"word{i} Word{i}, \u00c9t\u00e9{i}" for i in range(2000))]
+    made = token_ids.Encoder(path, by_word=True)
+    calls = []
+    encode = made._plain
+    made._plain = lambda some, bare=False: calls.append(len(some)) or encode(some, bare)
+    for some in (texts[:2], texts[:5], texts[3:], texts):
+        values, at = made.encode([t.encode() for t in some], 1)
+        got = [values[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+        assert got == [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in some]
+    signs = ["Word's, it's. THE'S! x.y. a..,b?!? \u00c9t\u00e9. e\u0301, 12. .,. ' 'll. don't!?", "abc. abc abc, abc.., .abc <|endoftext|>, 're."]
+    assert made.parted
+    for some in (signs, signs[::-1]):
+        assert token_ids.Encoder(path, by_word=True).encode([t.encode() for t in some], 1)[0].tolist() == [
+            x for t in some for x in [*plain.encode(t, add_special_tokens=False).ids, 1]]
+    calls.clear()
+    made.encode([b" ".join(b"new%d" % i for i in range(4000))], 1)
+    assert sum(calls) < 20   # before: one text for each word
+    made.mark = 5            # an id that words have
+    assert made._word_ids([b"&", b"x y"[:1], b"other"]) == [np.array(plain.encode(w).ids, "<u4").tobytes() for w in ("&", "x", "other")]
+
+
 def test_ids_of_an_empty_table(lspark, empty):
     out = token_ids.write_token_ids(empty, scratch_dir(lspark, "ids"), tokenizer()[0], by_word=True)
     assert token_ids.read_token_ids(lspark, out).collect() == []

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +32,15 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 CACHED_WORDS = 1_500_000  # per Python worker, some 300 MB
+SIGNS = b".,;:!?"         # what often ends a word
+MARK = "\x01"             # between the new words that one call encodes
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
     """Token ids of texts.  ``by_word``: texts are cut at ASCII white space and each different word
-    is encoded once, which is exact for tokenizers that drop white space and never look across it."""
+    is encoded once, which is exact for tokenizers that drop white space, never look across it and
+    (or else ``parted`` is to be false) cut SIGNS off the ASCII letters before them."""
 
     def __init__(self, path: str, by_word: bool):
         from tokenizers import Tokenizer
@@ -44,24 +48,78 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
         self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids (unsigned 32 bits) of each text."""
+        # new words are normalised together, and what they become is encoded together, parted by MARK
+        self.bare = Tokenizer.from_file(path)
+        if self.tokenizer.normalizer is not None:
+            self.bare.normalizer = None
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        signs = SIGNS.decode()
+        ends = [f"{c}{t}" for c in "abtxZ" for t in (*signs, signs)]
+        self.parted = all(whole.tolist() == c.tolist() + t.tolist() for whole, c, t in
+                          (self._plain([e, e[0], e[1:]]) for e in ends))
+        mark, first, last, both = (self._plain([t])[0].tolist() for t in (MARK, "a", "b", f"a {MARK} b"))
+        self.mark = mark[0] if len(mark) == 1 and both == first + mark + last else None
+
+    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with ``end_id`` behind it, and where each text begins (one place more than texts)."""
         if not self.by_word:
-            whole = [t.decode("utf-8", "replace") for t in texts]
-            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)]
-        words = [t.split() for t in texts]
-        known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list({w for ws in words for w in ws})
-        for lo in range(0, len(new), 4096):
-            some = new[lo:lo + 4096]
-            made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some],
-                                                    add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, made, strict=True))
-        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4") for ws in words]
+            made = [np.append(x, np.uint32(end_id)) for x in self._plain([t.decode("utf-8", "replace") for t in texts])]
+            return np.concatenate(made).view(np.int32), np.cumsum([0, *map(len, made)])
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        coded = cut.flatten().dictionary_encode()
+        ids = [*self._word_ids(coded.dictionary.cast(pa.binary()).to_pylist()), np.array([end_id], "<u4").tobytes()]
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]) // 4, pa.int32()),
+                                         pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        ends = cut.offsets.to_numpy()[1:] - cut.offsets[0].as_py()
+        # the end of a text is one more word
+        made = lists.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(ids) - 1)))
+        return made.flatten().to_numpy(), made.offsets.to_numpy()[np.append(0, ends + np.arange(1, len(ends) + 1))]
+
+    def _plain(self, texts: list[str], bare: bool = False) -> list[np.ndarray]:
+        tokenizer = self.bare if bare else self.tokenizer
+        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, out of those known so far where possible."""
+        found = [*map(self.known.get, words)]
+        new = [i for i, x in enumerate(found) if x is None]
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self.known.clear()
+        # a word that ends in SIGNS behind a letter has the ids of both parts
+        parts = [(words[i][:n], words[i][n:]) if self.parted and (n := len(words[i].rstrip(SIGNS))) < len(words[i])
+                 and words[i][n - 1:n].isalpha() else (words[i],) for i in new]
+        asked = [w for w in dict.fromkeys(w for ws in parts for w in ws) if w not in self.known]
+        for lo in range(0, len(asked), 4096):
+            some = asked[lo:lo + 4096]
+            made = self._joined(some) or [x.tobytes() for x in self._plain([w.decode("utf-8", "replace") for w in some])]
+            self.known.update(zip(some, made, strict=True))
+        for i, ws in zip(new, parts, strict=True):
+            found[i] = self.known[words[i]] = b"".join([self.known[w] for w in ws])
+        return found
+
+    def _joined(self, words: list[bytes]) -> list[bytes] | None:
+        """Ids of words that pass the tokenizer as one text; none where they cannot be told apart in it."""
+        gap = f" {MARK} "
+        whole = gap.encode().join(words).decode("utf-8", "replace")
+        if self.mark is None or whole.count(MARK) != len(words) - 1 or any(t in whole for t in self.added):
+            return None
+        if self.tokenizer.normalizer is not None:
+            whole = self.tokenizer.normalizer.normalize_str(whole)
+        forms = [f.strip(" ") for f in whole.split(MARK)]   # white space is dropped, see ``by_word``
+        if len(forms) != len(words) or any(t in whole for t in self.added):
+            return None
+        different = [*dict.fromkeys(forms)]
+        ids_of: dict[str, bytes] = {}
+        for lo in range(0, len(different), 512):
+            some = different[lo:lo + 512]
+            ids = self._plain([gap.join(some)], bare=True)[0]
+            cuts = (np.flatnonzero(ids == self.mark) * 4).tolist()
+            if len(cuts) != len(some) - 1:   # a word of its own has the mark's id
+                return None
+            raw = ids.tobytes()
+            ids_of.update(zip(some, (raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True)),
+                              strict=True))
+        return [ids_of[f] for f in forms]
 
 
 def encoder(path: str, by_word: bool) -> Encoder:
@@ -97,20 +155,16 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, by_word: bool =
                     texts.append(unpack.decompress(packed[hi].as_py()))
                     size += len(texts[-1])
                     hi += 1
-                made = encoder(tokenizer, by_word).encode(texts)
-                counts = [len(x) + 1 for x in made]
+                values, ends = encoder(tokenizer, by_word).encode(texts, end_id)
+                counts = np.diff(ends).tolist()
                 here, starts = ranges.slice(lo, hi - lo).to_pylist(), []
                 for k, n in zip(here, counts, strict=True):
                     at, start = k, start if k == at else 0
                     starts.append(start)
                     start += n
-                ends = np.cumsum([0, *counts]).astype(np.int32)
-                values = np.full(ends[-1], end_id, np.int32)
-                for x, a in zip(made, ends[:-1], strict=True):
-                    values[a:a + len(x)] = x
                 yield gather({"doc_id": ids.slice(lo, hi - lo), "file_range": pa.array(here, pa.int32()),
                               "local_start": starts, "n_tokens": counts,
-                              "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(values))}, schema)
+                              "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))}, schema)
                 lo = hi
 
     cuts = cut_points(docs, id_col, range_count(docs))
