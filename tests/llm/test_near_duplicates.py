@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import SMOKE_DIR
-from zoneflow.llm import setsketch
+from zoneflow.llm import common, setsketch
 from zoneflow.llm.components import connected_components
 
 
@@ -96,3 +96,25 @@ def test_components_of_a_long_chain_and_loops(lspark):
     got = dict(map(tuple, connected_components(lspark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{k: 100 for k in range(100, 161)}, 2: 2, 3: 2}
     assert connected_components(lspark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_shingles_of_many_texts_are_made_together(monkeypatch):
+    rng = random.Random(8)
+    texts = [None, b"", b" \n", b"\t a  B\x0b\x0cc \r", b"one", "X É é x".encode(), b"\xff a\x1cb",
+             *(b" ".join(rng.choice([b"a", b"B", b"cc", b"d,"]) for _ in range(rng.randint(0, 40))) for _ in range(300)), b""]
+    codes = common.WordCodes(texts)
+    for text, a, b in zip(texts, codes.offsets[:-1], codes.offsets[1:], strict=True):
+        assert [codes.words[c] for c in codes.codes[a:b]] == common.words_of(text)
+    assert len(set(codes.words)) == len(codes.words)
+    hashes = codes.hashes()
+    for size in (1, 2, 5):
+        want = [common.shingle_hashes(codes.codes[a:b], hashes, size) for a, b in zip(codes.offsets[:-1], codes.offsets[1:], strict=True)]
+        for block in (7, 1 << 15):
+            got = list(common.text_shingles(codes.codes, codes.offsets, hashes, size, block))
+            assert len(got) == len(want) and all(np.array_equal(x, y) for x, y in zip(got, want, strict=True))
+        assert all(np.array_equal(common.distinct(x), np.unique(x)) for x in want)
+    calls = []
+    plain = common.shingle_hashes
+    monkeypatch.setattr(common, "shingle_hashes", lambda *a: calls.append(len(a[0])) or plain(*a))
+    assert sum(map(len, common.text_shingles(codes.codes, codes.offsets, hashes, 2))) > 1000
+    assert sum(n >= 2 for n in calls) == 1   # before: once a text

@@ -34,9 +34,11 @@ from zoneflow.llm.common import (
     WorkTables,
     byte_values,
     chunks,
+    distinct,
     gather,
     mix64,
     shingle_hashes,
+    text_shingles,
 )
 from zoneflow.llm.components import connected_components
 
@@ -59,10 +61,12 @@ _XOR, _MULTIPLY = _seeds[:REGISTERS], _seeds[REGISTERS:] | np.uint64(1)
 
 def registers(elements: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """SetSketch registers (sets x REGISTERS, uint16) of element hashes; set ``i`` begins at ``starts[i]``."""
-    out = np.empty((len(starts), REGISTERS), np.uint64)
+    out, mixed = np.empty((len(starts), REGISTERS), np.uint64), np.empty_like(elements)
     with np.errstate(over="ignore"):
         for i in range(REGISTERS):
-            out[:, i] = np.minimum.reduceat((elements ^ _XOR[i]) * _MULTIPLY[i], starts)
+            np.bitwise_xor(elements, _XOR[i], out=mixed)
+            np.multiply(mixed, _MULTIPLY[i], out=mixed)
+            out[:, i] = np.minimum.reduceat(mixed, starts)
     # the least of the exponential variates -log(1 - u) / RATE is that of the least u
     u = (out.astype(np.float64) + 0.5) / 2.0 ** 64
     return np.clip(np.floor(1 - np.log(-np.log1p(-u) / RATE) / np.log(BASE)), 0, LIMIT + 1).astype(np.uint16)
@@ -113,8 +117,7 @@ def sketch(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "
                 hashes = words.hashes()
                 ids = batch.column(0).slice(lo, hi - lo)
                 valid = ids.is_valid().to_numpy(zero_copy_only=False)
-                sets = [np.unique(shingle_hashes(words.codes[a:b], hashes, size))
-                        for a, b in zip(words.offsets[:-1], words.offsets[1:], strict=True)]
+                sets = [distinct(x) for x in text_shingles(words.codes, words.offsets, hashes, size)]
                 full = [i for i, s in enumerate(sets) if len(s) and valid[i]]
                 nodes, regs = [None] * len(sets), [None] * len(sets)
                 for some in _by_size(full, sets):
@@ -224,7 +227,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
                 if len(known) >= 64:
                     known.clear()
                 words = WordCodes([unpack.decompress(z)])
-                known[node] = np.unique(shingle_hashes(words.codes, words.hashes(), size))
+                known[node] = distinct(shingle_hashes(words.codes, words.hashes(), size))
             return known[node]
 
         for batch in batches:
@@ -281,7 +284,7 @@ def _strangers(members: DataFrame, classes: DataFrame, texts: DataFrame, size: i
         def elements(i: int) -> np.ndarray:
             if i not in sets:
                 words = WordCodes([unpack.decompress(group["z"][i].as_py())])
-                sets[i] = np.unique(shingle_hashes(words.codes, words.hashes(), size))
+                sets[i] = distinct(shingle_hashes(words.codes, words.hashes(), size))
             return sets[i]
 
         found = []
@@ -304,7 +307,7 @@ def _strangers(members: DataFrame, classes: DataFrame, texts: DataFrame, size: i
 
 def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two full sets (sorted, distinct) reach the similarity."""
-    common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+    common = len(x) + len(y) - len(distinct(np.concatenate([x, y])))
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 

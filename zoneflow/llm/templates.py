@@ -56,9 +56,15 @@ def masked(line: bytes) -> list[bytes]:
     return [VARIABLE if _DIGIT.search(w) else w for w in words] if _DIGIT.search(line) else words
 
 
+def _signed(data: bytes) -> int:
+    """Signed 64-bit hash."""
+    digest = xxhash.xxh3_64_intdigest(data)
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
 def _number(words: list[bytes]) -> int:
     """Signed 64-bit hash of a word sequence."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words))).view(np.int64))
+    return _signed(b" ".join(words))
 
 
 def _own(line: bytes, words: list[bytes], number: int) -> int:
@@ -88,11 +94,10 @@ def runs(own: list[int], sizes: list[int]) -> Iterator[tuple[int, int, int]]:
             since += 1
         if ends[j] - ends[since] >= LONG_WORDS:
             spans.add((since, j))
-    numbers = np.array(own, np.int64)
+    numbers = np.array(own, np.int64).tobytes()
     for i, j in sorted(spans):
         if j - i > 1:
-            digest = xxhash.xxh3_64_intdigest(numbers[i:j].tobytes())
-            yield int(np.uint64(digest).view(np.int64)), i, j
+            yield _signed(numbers[8 * i:8 * j]), i, j
 
 
 def line_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
