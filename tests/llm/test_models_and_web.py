@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from tests.conftest import SMOKE_DIR
@@ -213,6 +214,76 @@ def test_scores_of_odd_rows(odd, empty):
     assert brown.held_out_scores(empty).collect() == []
 
 
+def class_of(model):
+    """Class of any word by the model's tables."""
+    rows = model.counts.collect()
+    known = {r.word: r["class"] for r in rows}
+    assert len(known) == len(rows) == model.different
+    return lambda w: known.get(int(np.uint64(xxhash.xxh3_64_intdigest(w)).view(np.int64)), model.symbol_class[brown.endings([w])[0]]), known
+
+
+@pytest.mark.parametrize("hot, top", [(40, 6), (brown.HOT_WORDS, brown.TOP_WORDS)])
+def test_scores_by_brute_force(lspark, documents, monkeypatch, hot, top):
+    monkeypatch.setattr(brown, "HOT_WORDS", hot)
+    monkeypatch.setattr(brown, "TOP_WORDS", top)
+    rng = random.Random(8)
+    texts = [" ".join(f"{'abc'[(j + k) % 3]}{int(rng.expovariate(0.05))}" for j in range(rng.randint(0, 12))) for k in range(150)]
+    model = brown.fit(documents(list(enumerate(texts))).select("text"), classes=7, sweeps=4)
+    group, known = class_of(model)
+    lines = [[6, *(group(w.encode()) for w in t.split()), 6] for t in texts]
+    table, own = np.zeros((7, 7)), collections.Counter(w for t in texts for w in t.split())
+    for line in lines:
+        np.add.at(table, (line[:-1], line[1:]), 1)
+    n, v = table.sum(0), np.bincount(list(known.values()), minlength=7)
+    want = (table + 5 * ((n + 0.5) / (n.sum() + 3.5))) / (table.sum(1, keepdims=True) + 5)
+    assert np.allclose(model.transitions, np.log10(want)) and np.allclose(model.emission_base, np.log10(n + 0.5 * (v + 1)))
+    rare = ["", "never seen", "a1 never seen twice b2 never", *(f"a{k} x{k} b{k}" for k in range(90))]
+    got = {r.doc_id: r for r in brown.score(documents(list(enumerate(texts + rare))), model).collect()}
+    assert len(got) == len(texts + rare)
+    for k, text in enumerate(texts + rare):
+        words = text.split()
+        line = [6, *(group(w.encode()) for w in words), 6]
+        score = model.transitions[line[:-1], line[1:]].sum() + sum(
+            math.log10(own[w] + 0.5) - model.emission_base[group(w.encode())] for w in words)
+        assert math.isclose(got[k].score, score, rel_tol=1e-9)
+        assert (got[k].n_tokens, got[k].n_known) == (len(words) + 1, sum(own[w] > 0 for w in words) + 1)
+
+
+def test_rare_words_have_classes_of_their_own(lspark, documents):
+    # 3000 words of one ending, each there twice: neighbours alone tell the two kinds apart
+    rows = [t for k in range(1500) for t in (f"the a{k}qqq runs", f"to b{k}qqq now")] * 2
+    model = brown.fit(documents(list(enumerate(rows))).select("text"), classes=12, sweeps=6)
+    tests = [f"the {x}{k}qqq runs" for k in range(1500) for x in "ab"]
+    got = {r.doc_id: r.score for r in brown.score(documents(list(enumerate(tests))), model).collect()}
+    assert all(got[k] > got[k + 1] + 1 for k in range(0, 3000, 2))
+
+
+def test_gains_are_those_of_the_class_bigrams():
+    rng = np.random.default_rng(1)
+    pairs = rng.poisson(0.6, (30, 30)).astype(float)
+    pairs[:, 0] *= rng.integers(0, 60, 30)
+    place = rng.integers(0, 5, 30)
+
+    def table(place):
+        out = np.zeros((6, 6))
+        np.add.at(out, (place[:, None], place[None, :]), pairs)
+        return out
+
+    after, before = (np.stack([np.bincount(place, x[w], 6) for w in range(30)]) for x in (pairs, pairs.T))
+    gain = brown.Gains(table(place)).gains(after, before, np.diag(pairs), place)
+    for w in range(30):
+        for c in range(6):
+            moved = np.where(np.arange(30) == w, c, place)
+            assert math.isclose(gain[w, c] - gain[w, place[w]], brown._information(table(moved)) - brown._information(table(place)), abs_tol=1e-8)
+
+
+def test_words_of_one_count_are_not_left_out(lspark):
+    rows = [(k, k % brown.ENDINGS, 1) for k in range(500)] + [(-1, brown.EDGE, 100)]
+    counts = lspark.createDataFrame(rows, "word long, ending int, n long")
+    assert len(brown.frequent_words(counts, 100, 20).keys) == 20
+    assert len(brown.frequent_words(counts, 1000, 20).keys) == 501
+
+
 # -- the pipeline ------------------------------------------------------------------------------
 
 def test_stages_decide_as_their_operators_do_by_brute_force(lspark):
